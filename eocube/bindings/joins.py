@@ -20,7 +20,7 @@ from eocube.operators.reduce import coarsen, composite_max
 from eocube.operators.resample import resample_time
 from eocube.operators.tiles import tile_semi_join
 from eocube.plans.drought import SWATH_GRID
-from eocube.sources.store import calendar, missing_days
+from eocube.sources.store import calendar, materialize, missing_days
 from eocube.sources.vector import vertices_of
 
 FLAGS = q.coarse("fx_scene", "flood", 25, SCENE, q.flag("flood"))
@@ -172,7 +172,7 @@ ALIGNED = """
 
 @query("align_to_axis", ALIGNED)
 def align_to_axis_(t: Tables):
-    return align_to_axis(t.ragged_owner)
+    return align_to_axis(materialize(t.ragged_owner, "series"))
 
 
 @query("ragged_decode", """

@@ -134,12 +134,10 @@ def concat_time(t: Tables):
 @query("union_locations", f"""
     select location_id, {q6('lat')} as lat, {q6('lon')} as lon from fx_points""")
 def union_locations(t: Tables):
-    """Location lists of the customer segments appended to one."""
-    spots = t.points.join(t.customer.select(F.col("c_custkey").alias("location_id"), "c_mktsegment"), "location_id")
-    known = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    parts = [spots.where(F.col("c_mktsegment") == s) for s in known]
-    parts.append(spots.where(~F.coalesce(F.col("c_mktsegment").isin(known), F.lit(False))))
-    return rounded(combine.concat(parts).select("location_id", "lat", "lon"), "lat", "lon")
+    """Location lists of three longitude strips appended to one."""
+    lon = F.col("lon")
+    strips = [t.points.where(c) for c in (lon < 10, (lon >= 10) & (lon < 14), lon >= 14)]
+    return rounded(combine.concat(strips).select("location_id", "lat", "lon"), "lat", "lon")
 
 
 @query("day_difference", """

@@ -37,11 +37,13 @@ def nearest_label(
     axis_label = axis.columns[0]
     order = Window.orderBy("_at")
     at = axis.select(F.col(axis_label).alias(label), epoch_micros(F.col(axis_label)).alias("_at")).distinct()
-    ends = at.agg(F.min("_at").alias("lo"), F.max("_at").alias("hi"))
-    lo, hi = (F.floor(ends.select(c).scalar() / width) for c in ("lo", "hi"))
+    # Stretches are listed between the first and the last label; earlier and
+    # later rows are looked up in those labels' own buckets.
+    ends = at.agg(F.struct(F.min("_at").alias("lo"), F.max("_at").alias("hi"))).scalar()
+    within = F.greatest(ends["lo"], F.least(ends["hi"], F.col("_micros")))
 
     def bucket(micros):
-        return F.greatest(lo, F.least(hi, F.floor(micros / width)))
+        return F.floor(micros / width)
 
     # Twice the midpoint keeps the comparison in whole microseconds.
     stretches = at.withColumns(
@@ -55,12 +57,12 @@ def nearest_label(
         "_to",
         F.explode(
             F.sequence(
-                F.when(F.col("_from").isNull(), lo).otherwise(bucket(F.col("_from") / 2)),
-                F.when(F.col("_to").isNull(), hi).otherwise(bucket(F.col("_to") / 2)),
+                bucket(F.coalesce(F.col("_from") / 2, F.col("_at"))),
+                bucket(F.coalesce(F.col("_to") / 2, F.col("_at"))),
             )
         ).alias("_bucket"),
     )
-    timed = df.withColumn("_micros", epoch_micros(F.col(time))).withColumn("_bucket", bucket(F.col("_micros")))
+    timed = df.withColumn("_micros", epoch_micros(F.col(time))).withColumn("_bucket", bucket(within))
     twice = F.col("_micros") * 2
     hit = (F.col("_from").isNull() | (twice >= F.col("_from"))) & (F.col("_to").isNull() | (twice < F.col("_to")))
     return (

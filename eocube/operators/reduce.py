@@ -154,8 +154,8 @@ def normalize(df: DataFrame, value: str) -> DataFrame:
 
     The two scalars enter as uncorrelated subqueries: no join, no window.
     """
-    ends = min_max(df, value)
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    ends = min_max(df, value).select(F.struct("lo", "hi")).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     return df.withColumn(value, F.try_divide(F.col(value) - lo, hi - lo))
 
 

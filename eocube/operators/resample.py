@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -21,15 +22,22 @@ def resample_time(
     keys: Sequence[str] = CELL,
     method: str = "mean",
     fill: bool = True,
+    span: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Left-closed bins that start at midnight of the cube's first day.
 
+    ``span`` gives the first and last day where they are known, from a request
+    or a catalogue, and saves the pass over the times that finds them.
+
     With ``fill`` every series has every bin between the cube's first and last
     day; a bin without a valid value is missing.  The bins of one series are
     bounded by the calendar, so the filling step groups few small rows.
     """
-    ends = df.agg(F.to_date(F.min(time)).alias("first"), F.to_date(F.max(time)).alias("last"))
-    first, last = ends.select("first").scalar(), ends.select("last").scalar()
+    if span:
+        first, last = (F.lit(d).cast("date") for d in span)
+    else:
+        ends = df.agg(F.struct(F.to_date(F.min(time)).alias("first"), F.to_date(F.max(time)).alias("last"))).scalar()
+        first, last = ends["first"], ends["last"]
     binned = df.select(
         *keys, F.floor(day_number(F.col(time), first) / every_days).cast("int").alias("bin"), value
     )

@@ -49,8 +49,9 @@ def hillshade(
         -gx * (math.cos(a) * math.cos(h)) - gy * (math.sin(a) * math.cos(h)) + math.sin(h)
     ) / F.sqrt(gx * gx + gy * gy + 1.0)
     shaded = sloped.select("y_idx", "x_idx", lit.alias("shade"))
-    ends = shaded.agg(F.min("shade").alias("lo"), F.max("shade").alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    ends = shaded.agg(F.struct(F.min("shade").alias("lo"), F.max("shade").alias("hi"))).scalar()
+    placed = shaded.withColumn("_ends", ends)
+    lo, hi = F.col("_ends.lo"), F.col("_ends.hi")
     stretched = F.when(hi - lo > 1e-6, (F.col("shade") - lo) / (hi - lo)).otherwise(F.col("shade"))
     clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), stretched))
-    return shaded.withColumn("shade", F.when(F.col("shade").isNotNull(), clipped))
+    return placed.select("y_idx", "x_idx", F.when(F.col("shade").isNotNull(), clipped).alias("shade"))

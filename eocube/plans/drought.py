@@ -18,6 +18,7 @@ from eocube.operators.regrid import reproject
 from eocube.operators.resample import resample_time
 from eocube.operators.select import block_steps, clip_box, mask_drop, native_resolution, time_slice, valid_location
 from eocube.operators.swath import resample_points
+from eocube.sources.store import materialize
 
 # The swath's target area, search radius and final crop.
 SWATH_GRID = GridSpec(EQUIDISTANT_EU, 4_200_000.0, 6_500.0, 1_500_000.0, -6_500.0, 200, 200)
@@ -89,11 +90,13 @@ def restructure_ragged(
 ) -> DataFrame:
     """Ragged series as one table of locations on the longest series' time axis.
 
-    Offsets are taken over all locations before the invalid ones go.
+    Offsets are taken over all locations before the invalid ones go.  The
+    decoded series are written once, since finding the longest one, its axis
+    and the snapped values each read them.
     """
     offsets = ragged_offsets(locations)
     owned = valid_location(decode_ragged(offsets, obs))
-    return align_to_axis(time_slice(owned, start, end), dense=dense)
+    return align_to_axis(materialize(time_slice(owned, start, end), "series"), dense=dense)
 
 
 def restructure_landcover(

@@ -22,17 +22,22 @@ _OUT = "day date, y_idx bigint, x_idx bigint, tp double"
 _STATE = "last date, total double"
 
 
-def _advance(key, batches, state: GroupState):
-    steps = pd.concat(list(batches)).sort_values("day")
-    last, total = state.get if state.exists else (None, 0.0)
-    days = pd.to_datetime(steps["day"]).dt.date
-    if days.duplicated().any() or (last is not None and days.iloc[0] <= last):
-        raise ValueError(f"cell {key}: day {days.iloc[0]} arrived after {last} or twice")
-    # A missing step is NaN here and stays in the sum from then on.
-    values = steps["tp"].to_numpy(dtype="float64", na_value=np.nan)
-    running = total + np.cumsum(values * MM_PER_M)
-    state.update((days.iloc[-1], float(running[-1])))
-    yield pd.DataFrame({"day": days.to_numpy(), "y_idx": key[0], "x_idx": key[1], "tp": running})
+def _make_advance():
+    """The state function, nested so that it travels to executors by value."""
+
+    def advance(key, batches, state: GroupState):
+        steps = pd.concat(list(batches)).sort_values("day")
+        last, total = state.get if state.exists else (None, 0.0)
+        days = pd.to_datetime(steps["day"]).dt.date
+        if days.duplicated().any() or (last is not None and days.iloc[0] <= last):
+            raise ValueError(f"cell {key}: day {days.iloc[0]} arrived after {last} or twice")
+        # A missing step is NaN here and stays in the sum from then on.
+        values = steps["tp"].to_numpy(dtype="float64", na_value=np.nan)
+        running = total + np.cumsum(values * MM_PER_M)
+        state.update((days.iloc[-1], float(running[-1])))
+        yield pd.DataFrame({"day": days.to_numpy(), "y_idx": key[0], "x_idx": key[1], "tp": running})
+
+    return advance
 
 
 def running_accumulate(stream: DataFrame) -> DataFrame:
@@ -43,7 +48,7 @@ def running_accumulate(stream: DataFrame) -> DataFrame:
     totals = (
         stream.select("day", "y_idx", "x_idx", "tp")
         .groupBy("y_idx", "x_idx")
-        .applyInPandasWithState(_advance, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
+        .applyInPandasWithState(_make_advance(), _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
     )
     return totals.withColumn("tp", F.when(~F.isnan("tp"), F.col("tp")))
 

@@ -16,6 +16,12 @@ def fill_from_stream(stream: DataFrame, root: str, value: str, checkpoint: str):
     """
 
     def send(batch: DataFrame, _id: int) -> None:
-        fill_days(batch.sparkSession, root, batch, value, batch.select("day").distinct())
+        # Days, values and flags each read the batch; without this it would be
+        # fetched from the source three times.
+        batch.persist()
+        try:
+            fill_days(batch.sparkSession, root, batch, value, batch.select("day").distinct())
+        finally:
+            batch.unpersist()
 
     return run_each(send, stream, checkpoint)
