@@ -119,9 +119,9 @@ def series_length_(t: Tables):
 
 
 @query("longest_series", """
-    select location_id, n from (select location_id, count(*) as n from fx_ragged_owner group by 1) order by n desc, location_id limit 1""")
+    select location_id, n from (select l_orderkey as location_id, count(*) as n from lineitem group by 1) order by n desc, location_id limit 1""")
 def longest_series_(t: Tables):
-    return longest_series(series_length(t.ragged_owner))
+    return longest_series(series_length(t.lineitem.select(F.col("l_orderkey").alias("location_id"))))
 
 
 @query("mosaic", f"""

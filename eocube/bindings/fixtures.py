@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from eocube.functions.projection import LONLAT
 from eocube.model import Extent, GridSpec
-from eocube.operators.running import row_positions
 
 SCENE = GridSpec(LONLAT, 65.0, 0.02, 31.0, -0.02, 200, 500)
 BUILT = GridSpec(LONLAT, 65.0, 0.01, 31.0, -0.01, 400, 1000)
@@ -72,17 +71,16 @@ VIEWS: dict[str, str] = {
         from {customer}""",
     "point_obs": """
         select user_id as location_id, ts as time, value / 500e0 as sm from {events}""",
-    "ragged_loc": """
-        select l_orderkey % 10 as file_id, l_orderkey as location_id, count(*) as row_size
-        from {lineitem} group by 1, 2""",
-    "ragged_obs": """
-        select l_orderkey % 10 as file_id, l_shipdate as time, l_quantity as sm,
-               row_number() over (partition by l_orderkey % 10 order by l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 as obs_idx
-        from {lineitem}""",
+    # Events are numbered in time order, so the hours of a day are contiguous
+    # stretches of that day's file; the time counts from the start of the hour.
     "ragged_owner": """
-        select l_orderkey % 10 as file_id, l_orderkey as location_id, l_shipdate as time, l_quantity as sm,
-               row_number() over (partition by l_orderkey % 10 order by l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 as obs_idx
-        from {lineitem}""",
+        select cast(cast(ts as date) - date '2023-12-31' as bigint) as file_id,
+               cast(cast(ts as date) - date '2024-01-01' as bigint) * 24 + hour(ts) as location_id,
+               timestamp '2022-03-01 00:00:00' + (ts - date_trunc('hour', ts)) as time, value as sm,
+               event_id - min(event_id) over (partition by cast(ts as date)) as obs_idx
+        from {events}""",
+    "ragged_loc": """
+        select file_id, location_id, count(*) as row_size from fx_ragged_owner group by 1, 2""",
     "coverage": """
         select distinct cast(ts as date) as day, case when extract(day from ts) % 3 = 0 then 0 else 1 end as covered
         from {events}""",
@@ -114,27 +112,28 @@ def _dem(t):
 
 
 def _ragged(t):
-    """Flat positions per file, found in chunks of locations and months.
-
-    The positions within a file follow location, then time, so blocks of
-    locations and, inside them, location and month grow along the order.
-    """
-    rows = t.lineitem.select(
-        (F.col("l_orderkey") % 10).alias("file_id"),
-        F.col("l_orderkey").alias("location_id"),
-        F.col("l_shipdate").alias("time"),
-        F.col("l_quantity").alias("sm"),
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        F.floor(F.col("l_orderkey") / 16_384).alias("_block"),
-        F.struct(F.col("l_orderkey"), F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("_run"),
+    """Hours as locations, days as files; positions count from the day's first event."""
+    day, ts = F.to_date("ts"), F.col("ts")
+    first = t.events.groupBy(day.alias("day")).agg(F.min("event_id").alias("first"))
+    hours = t.events.withColumn("day", day).join(first, "day")
+    number = F.datediff("day", F.lit("2024-01-01").cast("date")).cast("bigint")
+    return hours.select(
+        (number + 1).alias("file_id"),
+        (number * 24 + F.hour(ts)).alias("location_id"),
+        F.make_timestamp_ntz(F.lit(2022), F.lit(3), F.lit(1), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts)).alias("time"),
+        F.col("value").alias("sm"),
+        (F.col("event_id") - F.col("first")).alias("obs_idx"),
     )
-    order = ["location_id", "time", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "sm"]
-    placed = row_positions(rows, ["file_id"], order, "obs_idx", levels=["_block", "_run"])
-    return placed.select("file_id", "location_id", "time", "sm", "obs_idx")
+
+
+def _ragged_loc(t):
+    keys = ["file_id", "location_id"]
+    return _ragged(t).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_size"))
 
 
 SPARK_VIEWS = {
     "dem": _dem,
     "ragged_owner": _ragged,
     "ragged_obs": lambda t: _ragged(t).drop("location_id"),
+    "ragged_loc": _ragged_loc,
 }

@@ -20,7 +20,7 @@ from eocube.operators.reduce import coarsen, composite_max
 from eocube.operators.resample import resample_time
 from eocube.operators.tiles import tile_semi_join
 from eocube.plans.drought import SWATH_GRID
-from eocube.sources.store import calendar, materialize, missing_days
+from eocube.sources.store import calendar, missing_days
 from eocube.sources.vector import vertices_of
 
 FLAGS = q.coarse("fx_scene", "flood", 25, SCENE, q.flag("flood"))
@@ -159,24 +159,34 @@ def missing_days_(t: Tables):
     return missing_days(calendar(t.spark, dt.date(2024, 1, 1), dt.date(2024, 2, 5)), t.coverage)
 
 
-ALIGNED = """
-    with n as (select location_id, count(*) as n from fx_ragged_owner group by 1),
-    axis as (select distinct date_trunc('minute', time) as label from fx_ragged_owner
-             where location_id = (select location_id from n order by n desc, location_id limit 1)),
-    times as (select distinct time from fx_ragged_owner),
-    snap as (select time, label from times, axis
-             qualify row_number() over (partition by time order by abs(epoch_us(time) - epoch_us(label)), label desc) = 1)
-    select location_id, s.label as time, max_by(sm, obs_idx) as sm
-    from fx_ragged_owner o join snap s on s.time = o.time group by 1, 2"""
 
 
-@query("align_to_axis", ALIGNED)
+def aligned(series: str) -> str:
+    """Series on the longest one's axis, by comparing every time with every label."""
+    return f"""
+      select location_id, s.label as time, max_by(sm, obs_idx) as sm
+      from {series} o join (
+        select time, label from (select distinct time from {series}),
+          (select distinct date_trunc('minute', time) as label from {series} where location_id = (
+             select location_id from (select location_id, count(*) as n from {series} group by 1) order by n desc, location_id limit 1))
+        qualify row_number() over (partition by time order by abs(epoch_us(time) - epoch_us(label)), label desc) = 1) s on s.time = o.time
+      group by 1, 2"""
+
+
+@query("align_to_axis", f"""
+    with series as (select user_id as location_id, ts as time, value as sm, event_id as obs_idx from events)
+    {aligned('series')}""")
 def align_to_axis_(t: Tables):
-    return align_to_axis(materialize(t.ragged_owner, "series"))
+    return align_to_axis(
+        t.events.select(
+            F.col("user_id").alias("location_id"), F.col("ts").alias("time"),
+            F.col("value").alias("sm"), F.col("event_id").alias("obs_idx"),
+        )
+    )
 
 
 @query("ragged_decode", """
-    select file_id, location_id, time, sm, obs_idx from fx_ragged_owner""")
+    select file_id, location_id, time, sm, cast(obs_idx as bigint) as obs_idx from fx_ragged_owner""")
 def ragged_decode(t: Tables):
     """Owners found from offsets alone; the view with owners is the check."""
     return decode_ragged(ragged_offsets(t.ragged_loc), t.ragged_obs)

@@ -57,10 +57,13 @@ def ragged_offset(t: Tables):
 
 
 @query("last_write_wins", """
-    select location_id, date_trunc('month', time) as slot, max_by(sm, obs_idx) as sm from fx_ragged_owner group by 1, 2""")
+    select user_id as location_id, cast(ts as date) as slot, max_by(value, event_id) as sm from events group by 1, 2""")
 def last_write_wins_(t: Tables):
-    slots = t.ragged_owner.withColumn("slot", F.trunc("time", "month").cast("timestamp_ntz"))
-    return last_write_wins(slots, "sm", "location_id", "slot")
+    writes = t.events.select(
+        F.col("user_id").alias("location_id"), F.to_date("ts").alias("slot"),
+        F.col("event_id").alias("obs_idx"), F.col("value").alias("sm"),
+    )
+    return last_write_wins(writes, "sm", "location_id", "slot")
 
 
 @query("hillshade", f"""

@@ -122,10 +122,12 @@ def resolution_lookup(t: Tables):
     return known.groupBy("name", "resolution", steps.alias("steps")).agg(F.count(F.lit(1)).alias("parts"))
 
 
-@query("index_by_time", f"""
-    select location_id, time, {q6('sm')} as sm from fx_ragged_owner
-    where time between timestamp '1997-03-01' and timestamp '1997-08-31'""")
+@query("index_by_time", """
+    select l_orderkey as location_id, l_shipdate as time, l_quantity as sm from lineitem
+    where l_shipdate between timestamp '1997-03-01' and timestamp '1997-08-31'""")
 def index_by_time(t: Tables):
     """Time is a column already, so a series is sliced by it without an index."""
-    picked = sel.time_slice(t.ragged_owner, dt.datetime(1997, 3, 1), dt.datetime(1997, 8, 31))
-    return rounded(picked.select("location_id", "time", "sm"), "sm")
+    series = t.lineitem.select(
+        F.col("l_orderkey").alias("location_id"), F.col("l_shipdate").alias("time"), F.col("l_quantity").alias("sm")
+    )
+    return sel.time_slice(series, dt.datetime(1997, 3, 1), dt.datetime(1997, 8, 31))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eocube.bindings import sqltext as q
 from eocube.bindings.fixtures import BUILT, DEM, LANDCOVER, POLYGONS, RAIN, SCENE
-from eocube.bindings.joins import ALIGNED, NEAREST_POINTS, TILE_BOX, files_catalog, tile_table
+from eocube.bindings.joins import NEAREST_POINTS, TILE_BOX, aligned, files_catalog, tile_table
 from eocube.bindings.ordered import ACCUMULATED, RAIN_BOX, RAIN_END, RAIN_START
 from eocube.bindings.registry import Tables, i64, q6, query, r6, rounded
 from eocube.bindings.scans import SCENE_BOX
@@ -211,12 +211,12 @@ def restructure_4dmed(t: Tables):
     return rounded(t.spark.read.parquet(path), "SM")
 
 
-@query("restructure_ascat", ALIGNED.replace("fx_ragged_owner", "owned").replace("with n", f"""with owned as (
-    select * from fx_ragged_owner where location_id > 0 and time between timestamp '1997-01-01' and timestamp '1998-12-31 23:59:59'), n""".strip()))
+@query("restructure_ascat", f"""
+    with owned as (select * from fx_ragged_owner where location_id > 0 and time between timestamp '2022-03-01 00:05:00' and timestamp '2022-03-01 00:50:00')
+    {aligned('owned')}""")
 def restructure_ascat(t: Tables):
-    return drought.restructure_ragged(
-        t.ragged_loc, t.ragged_obs, dt.datetime(1997, 1, 1), dt.datetime(1998, 12, 31, 23, 59, 59)
-    )
+    start, end = dt.datetime(2022, 3, 1, 0, 5), dt.datetime(2022, 3, 1, 0, 50)
+    return drought.restructure_ragged(t.ragged_loc, t.ragged_obs, start, end)
 
 
 _LC_INSIDE = q.inside(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eocube.functions.calendar import MICROS_PER_DAY, epoch_micros
+from eocube.functions.calendar import epoch_micros
 
 
 def time_axis(df: DataFrame, time: str = "time") -> DataFrame:
@@ -30,20 +30,28 @@ def axis_positions(axis: DataFrame, time: str = "time", to: str = "step") -> Dat
 
 
 def nearest_label(
-    df: DataFrame, axis: DataFrame, *, time: str = "time", label: str = "label", bucket_days: float = 1.0
+    df: DataFrame, axis: DataFrame, *, time: str = "time", label: str = "label", bucket_seconds: float | None = None
 ) -> DataFrame:
-    """Add to every row the axis label nearest to its time; ties go to the later."""
-    width = int(bucket_days * MICROS_PER_DAY)
+    """Add to every row the axis label nearest to its time; ties go to the later.
+
+    Rows and stretches meet in buckets of ``bucket_seconds``, by default the
+    mean gap between labels: twice as many stretches as labels are listed then,
+    and a row meets about two of them.  For labels that crowd together, give
+    their smallest gap.
+    """
     axis_label = axis.columns[0]
     order = Window.orderBy("_at")
     at = axis.select(F.col(axis_label).alias(label), epoch_micros(F.col(axis_label)).alias("_at")).distinct()
     # Stretches are listed between the first and the last label; earlier and
     # later rows are looked up in those labels' own buckets.
-    ends = at.agg(F.struct(F.min("_at").alias("lo"), F.max("_at").alias("hi"))).scalar()
+    lo, hi = F.min("_at"), F.max("_at")
+    mean_gap = F.greatest(F.lit(1_000_000.0), (hi - lo) / F.count("_at"))
+    ends = at.agg(F.struct(lo.alias("lo"), hi.alias("hi"), mean_gap.alias("gap"))).scalar()
     within = F.greatest(ends["lo"], F.least(ends["hi"], F.col("_micros")))
+    width = ends["gap"] if bucket_seconds is None else F.lit(bucket_seconds * 1e6)
 
     def bucket(micros):
-        return F.floor(micros / width)
+        return F.floor((micros - ends["lo"]) / width)
 
     # Twice the midpoint keeps the comparison in whole microseconds.
     stretches = at.withColumns(

@@ -86,7 +86,7 @@ def align_to_axis(
     """
     longest = longest_series(series_length(obs, location), location).select(location).scalar()
     axis = obs.where(F.col(location) == longest).select(to_minute(F.col(time)).alias("label")).distinct()
-    snapped = nearest_label(obs, axis, time=time, label="label")
+    snapped = nearest_label(obs, axis, time=time, label="label", bucket_seconds=60.0)
     slots = last_write_wins(snapped, value, location, "label", position=position)
     slots = slots.withColumnRenamed("label", time)
     if not dense:

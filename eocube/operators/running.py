@@ -68,8 +68,3 @@ def running_total(
         .withColumn(to, F.sum(value).over(w) + F.col("_before"))
         .drop("_before")
     )
-
-
-def row_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], to: str, levels: Sequence[str] = ()) -> DataFrame:
-    """Zero-based position of each row in its group."""
-    return running_total(df, group, order, F.lit(1), to, levels=levels).withColumn(to, F.col(to) - 1)

@@ -1,8 +1,9 @@
 """Running rain total as keyed state.
 
-Per cell the state is the last day and the total so far.  Steps must arrive in
-order: a day at or before the last one fails the query instead of being added
-to totals that were already emitted.
+The state of a block of cells holds, per cell, the last day and the total so
+far, so that one call of the state function advances thousands of cells with a
+few array operations.  Steps must arrive in order: a day at or before a cell's
+last one fails the query instead of being added to totals already emitted.
 """
 
 from __future__ import annotations
@@ -18,37 +19,51 @@ from eocube.model import GridSpec
 from eocube.operators.regrid import reproject
 
 MM_PER_M = 1000.0
+#: Cells per side of a block that shares one state.
+STATE_BLOCK = 64
 _OUT = "day date, y_idx bigint, x_idx bigint, tp double"
-_STATE = "last date, total double"
+_STATE = "last array<int>, total array<double>"
 
 
-def _make_advance():
+def _make_advance(side: int, factor: float):
     """The state function, nested so that it travels to executors by value."""
 
     def advance(key, batches, state: GroupState):
-        steps = pd.concat(list(batches)).sort_values("day")
-        last, total = state.get if state.exists else (None, 0.0)
-        days = pd.to_datetime(steps["day"]).dt.date
-        if days.duplicated().any() or (last is not None and days.iloc[0] <= last):
-            raise ValueError(f"cell {key}: day {days.iloc[0]} arrived after {last} or twice")
-        # A missing step is NaN here and stays in the sum from then on.
-        values = steps["tp"].to_numpy(dtype="float64", na_value=np.nan)
-        running = total + np.cumsum(values * MM_PER_M)
-        state.update((days.iloc[-1], float(running[-1])))
-        yield pd.DataFrame({"day": days.to_numpy(), "y_idx": key[0], "x_idx": key[1], "tp": running})
+        steps = pd.concat(list(batches))
+        day = steps["number"].to_numpy()
+        cell = ((steps["y_idx"] % side) * side + steps["x_idx"] % side).to_numpy()
+        value = steps["tp"].to_numpy(dtype="float64", na_value=np.nan) * factor
+        if state.exists:
+            last, total = (np.array(v) for v in state.get)
+        else:
+            last, total = np.full(side * side, np.iinfo("int32").min), np.zeros(side * side)
+        if (day <= last[cell]).any() or len(np.unique(day * side * side + cell)) < len(day):
+            raise ValueError(f"block {key}: a day arrived twice or after a later one")
+        running = np.empty(len(day))
+        for d in np.unique(day):
+            now = day == d
+            # A missing step is NaN and stays in the total from then on.
+            total[cell[now]] += value[now]
+            running[now] = total[cell[now]]
+        np.maximum.at(last, cell, day)
+        state.update((last.tolist(), total.tolist()))
+        yield steps[["day", "y_idx", "x_idx"]].assign(tp=running)
 
     return advance
 
 
-def running_accumulate(stream: DataFrame) -> DataFrame:
+def running_accumulate(stream: DataFrame, *, factor: float = MM_PER_M) -> DataFrame:
     """Every step's running total in millimetres; a missing step ends a cell's total.
 
     ``stream`` holds ``(day, y_idx, x_idx, tp)`` with tp in metres.
     """
+    block = [F.floor(F.col(c) / STATE_BLOCK).alias(f"block_{c[0]}") for c in ("y_idx", "x_idx")]
     totals = (
-        stream.select("day", "y_idx", "x_idx", "tp")
-        .groupBy("y_idx", "x_idx")
-        .applyInPandasWithState(_make_advance(), _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
+        stream.select("day", F.unix_date("day").alias("number"), "y_idx", "x_idx", "tp", *block)
+        .groupBy("block_y", "block_x")
+        .applyInPandasWithState(
+            _make_advance(STATE_BLOCK, factor), _OUT, _STATE, "append", GroupStateTimeout.NoTimeout
+        )
     )
     return totals.withColumn("tp", F.when(~F.isnan("tp"), F.col("tp")))
 
