@@ -58,28 +58,30 @@ def cell_corners(t: Tables):
     return t.points.select("location_id", r6(c[0][0], "lat1"), r6(c[0][1], "lon1"), r6(c[2][0], "lat3"), r6(c[2][1], "lon3"))
 
 
+def _there_and_back(t: Tables, crs: str):
+    """The points in another system, and transformed back from it."""
+    there = project(t.points, F.col("lon"), F.col("lat"), LONLAT, crs, ("x", "y"))
+    return project(there, F.col("x"), F.col("y"), crs, LONLAT, ("lon", "lat"))
+
+
 @query("web_mercator", f"""
     select location_id, {q6('6378137e0 * radians(lon) / 1000')} as x, {q6('6378137e0 * ln(tan(pi() / 4 + radians(lat) / 2)) / 1000')} as y,
            {q6('lon')} as lon, {q6('lat')} as lat from fx_points""")
 def web_mercator(t: Tables):
     """Forward, and back again to where it started."""
-    x, y = project(F.col("lon"), F.col("lat"), LONLAT, WEB_MERCATOR)
-    lon, lat = project(x, y, WEB_MERCATOR, LONLAT)
-    return t.points.select("location_id", r6(x / 1000, "x"), r6(y / 1000, "y"), r6(lon, "lon"), r6(lat, "lat"))
-
-
-_C = "acos(sin(radians(lat)) * sin(radians(53e0)) + cos(radians(lat)) * cos(radians(53e0)) * cos(radians(lon - 24e0)))"
+    moved = _there_and_back(t, WEB_MERCATOR)
+    return moved.select("location_id", r6(F.col("x") / 1000, "x"), r6(F.col("y") / 1000, "y"), r6("lon"), r6("lat"))
 
 
 @query("aeqd_eu", f"""
-    select location_id, {q6('(5837287.81977e0 + k * cos(radians(lat)) * sin(radians(lon - 24e0))) / 1000')} as x,
-           {q6('(2121415.69617e0 + k * (sin(radians(lat)) * cos(radians(53e0)) - cos(radians(lat)) * sin(radians(53e0)) * cos(radians(lon - 24e0)))) / 1000')} as y,
-           {q6('lon')} as lon, {q6('lat')} as lat
-    from (select *, 6371008.7714e0 * {_C} / sin({_C}) as k from fx_points)""")
+    select location_id, {q6('east / 1000')} as x, {q6('north / 1000')} as y, round(lon, 3) as lon, round(lat, 3) as lat from ({q.aeqd('select * from fx_points')})""")
 def aeqd_eu(t: Tables):
-    x, y = project(F.col("lon"), F.col("lat"), LONLAT, EQUIDISTANT_EU)
-    lon, lat = project(x, y, EQUIDISTANT_EU, LONLAT)
-    return t.points.select("location_id", r6(x / 1000, "x"), r6(y / 1000, "y"), r6(lon, "lon"), r6(lat, "lat"))
+    """Forward, and back to within metres."""
+    moved = _there_and_back(t, EQUIDISTANT_EU)
+    return moved.select(
+        "location_id", r6(F.col("x") / 1000, "x"), r6(F.col("y") / 1000, "y"),
+        F.round("lon", 3).alias("lon"), F.round("lat", 3).alias("lat"),
+    )
 
 
 def _newton_sql(steps: int) -> str:
@@ -94,9 +96,8 @@ def _newton_sql(steps: int) -> str:
            {q6('6378137e0 * sqrt(2e0) * sin(u / 2) / 1000')} as y, {q6('lon')} as lon, {q6('lat')} as lat
     from ({_newton_sql(12)})""")
 def mollweide(t: Tables):
-    x, y = project(F.col("lon"), F.col("lat"), LONLAT, MOLLWEIDE)
-    lon, lat = project(x, y, MOLLWEIDE, LONLAT)
-    return t.points.select("location_id", r6(x / 1000, "x"), r6(y / 1000, "y"), r6(lon, "lon"), r6(lat, "lat"))
+    moved = _there_and_back(t, MOLLWEIDE)
+    return moved.select("location_id", r6(F.col("x") / 1000, "x"), r6(F.col("y") / 1000, "y"), r6("lon"), r6("lat"))
 
 
 @query("affine", f"""
@@ -152,9 +153,10 @@ def extent_transform(t: Tables):
     edges = boxes.select("id", F.posexplode(_ring(F.col("e"))).alias("seq", "a"), _ring(F.col("e")).alias("ring")).where("seq < 4")
     along = edges.select("id", "a", F.get("ring", F.col("seq") + 1).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("i"))
     at = lambda c: F.col(f"a.{c}") + (F.col(f"b.{c}") - F.col(f"a.{c}")) * F.col("i") / steps
-    x, y = project(at("x"), at("y"), LONLAT, WEB_MERCATOR)
-    return along.groupBy("id").agg(
-        r6(F.min(x) / 1000, "min_x"), r6(F.min(y) / 1000, "min_y"), r6(F.max(x) / 1000, "max_x"), r6(F.max(y) / 1000, "max_y")
+    moved = project(along, at("x"), at("y"), LONLAT, WEB_MERCATOR, ("x", "y"))
+    return moved.groupBy("id").agg(
+        r6(F.min("x") / 1000, "min_x"), r6(F.min("y") / 1000, "min_y"),
+        r6(F.max("x") / 1000, "max_x"), r6(F.max("y") / 1000, "max_y"),
     )
 
 

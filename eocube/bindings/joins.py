@@ -65,17 +65,6 @@ def regrid_bilinear(t: Tables):
     return rounded(cells, "tp")
 
 
-def aeqd_inverse_sql(x: str, y: str) -> tuple[str, str]:
-    """Longitude and latitude of azimuthal-equidistant coordinates, written out."""
-    u, v = f"({x} - 5837287.81977e0)", f"({y} - 2121415.69617e0)"
-    rho = f"sqrt({u} * {u} + {v} * {v})"
-    c = f"({rho} / 6371008.7714e0)"
-    s0, c0 = "sin(radians(53e0))", "cos(radians(53e0))"
-    lat = f"degrees(asin(cos({c}) * {s0} + {v} * sin({c}) * {c0} / {rho}))"
-    lon = f"(24e0 + degrees(atan2({u} * sin({c}), {rho} * {c0} * cos({c}) - {v} * {s0} * sin({c}))))"
-    return lon, lat
-
-
 def haversine_sql(lat_a: str, lon_a: str, lat_b: str, lon_b: str) -> str:
     a = (
         f"(pow(sin(radians({lat_b} - {lat_a}) / 2), 2) + cos(radians({lat_a})) * cos(radians({lat_b}))"
@@ -84,11 +73,13 @@ def haversine_sql(lat_a: str, lon_a: str, lat_b: str, lon_b: str) -> str:
     return f"(2 * 6371e3 * atan2(sqrt({a}), sqrt(1 - {a})))"
 
 
-_LON, _LAT = aeqd_inverse_sql(q.center(SWATH_GRID, "x", "x_idx"), q.center(SWATH_GRID, "y", "y_idx"))
+_CENTRES = q.aeqd_inverse(
+    f"select y_idx, x_idx, {q.center(SWATH_GRID, 'x', 'x_idx')} as east, {q.center(SWATH_GRID, 'y', 'y_idx')} as north from ({q.cells(SWATH_GRID)})"
+)
 NEAREST_POINTS = f"""
     select y_idx, x_idx, location_id, d as distance from (
       select c.y_idx, c.x_idx, p.location_id, {haversine_sql('p.lat', 'p.lon', 'c.lat', 'c.lon')} as d
-      from (select y_idx, x_idx, {_LON} as lon, {_LAT} as lat from ({q.cells(SWATH_GRID)})) c
+      from ({_CENTRES}) c
       join fx_points p on p.lat between c.lat - 0.05e0 and c.lat + 0.05e0)
     where d <= 5000e0
     qualify row_number() over (partition by y_idx, x_idx order by d, location_id) = 1"""

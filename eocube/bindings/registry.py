@@ -85,13 +85,14 @@ def oracle_sql() -> dict[str, str]:
 
 def r6(c: Column | str, name: str | None = None) -> Column:
     """Round to six digits, without a negative zero."""
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        name, c = name or c, F.col(c)
     out = F.round(c.cast("double"), 6) + F.lit(0.0)
     return out.alias(name) if name else out
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: r6(c) for c in columns})
+    return df.withColumns({c: r6(F.col(c)) for c in columns})
 
 
 def q6(expr: str) -> str:

@@ -40,6 +40,39 @@ def mercator_lookup(src: GridSpec, dst: GridSpec) -> str:
       where ax >= 0 and ax < {src.nx} and ay >= 0 and ay < {src.ny}"""
 
 
+_E2 = "((1 / 298.257223563e0) * (2 - 1 / 298.257223563e0))"
+_S0, _C0 = "sin(radians(53e0))", "cos(radians(53e0))"
+_N0 = f"({R_MERC} / sqrt(1 - {_E2} * {_S0} * {_S0}))"
+_G = f"(sqrt({_E2}) * {_S0} / sqrt(1 - {_E2}))"
+
+
+def aeqd(inner: str) -> str:
+    """Add east and north of a relation's lon and lat: azimuth and distance from the centre."""
+    return f"""
+      select *, 5837287.81977e0 + c * sin(az) as east, 2121415.69617e0 + c * cos(az) as north from (
+        select *, {_N0} * s * (1 - pow(s, 2) * pow(h, 2) * (1 - pow(h, 2)) / 6 + pow(s, 3) / 8 * {_G} * h * (1 - 2 * pow(h, 2))
+          + pow(s, 4) / 120 * (pow(h, 2) * (4 - 7 * pow(h, 2)) - 3 * pow({_G}, 2) * (1 - 7 * pow(h, 2))) - pow(s, 5) / 48 * {_G} * h) as c from (
+          select *, sqrt({_E2}) * {_C0} * cos(az) / sqrt(1 - {_E2}) as h from (
+            select *, atan2(cos(psi) * sin(lam), {_C0} * sin(psi) - {_S0} * cos(psi) * cos(lam)) as az,
+                   acos({_S0} * sin(psi) + {_C0} * cos(psi) * cos(lam)) as s from (
+              select *, radians(lon - 24e0) as lam,
+                     atan((1 - {_E2}) * tan(radians(lat)) + {_E2} * {_N0} * {_S0} * sqrt(1 - {_E2} * pow(sin(radians(lat)), 2)) / ({R_MERC} * cos(radians(lat)))) as psi
+              from ({inner})))))"""
+
+
+def aeqd_inverse(inner: str) -> str:
+    """Add lon and lat of a relation's east and north."""
+    return f"""
+      select *, 24e0 + degrees(asin(sin(az) * sin(e) / cos(psi))) as lon,
+             degrees(atan((1 - {_E2} * (1 - a * pow(e, 2) / 2 - b * pow(e, 3) / 6) * {_S0} / sin(psi)) * tan(psi) / (1 - {_E2}))) as lat from (
+        select *, asin({_S0} * cos(e) + {_C0} * sin(e) * cos(az)) as psi from (
+          select *, d - a * (1 + a) * pow(d, 3) / 6 - b * (1 + 3 * a) * pow(d, 4) / 24 as e from (
+            select *, 3 * {_E2} * (1 - a) * {_S0} * {_C0} * cos(az) / (1 - {_E2}) as b from (
+              select *, -{_E2} * pow({_C0}, 2) * pow(cos(az), 2) / (1 - {_E2}) as a from (
+                select *, sqrt(pow(east - 5837287.81977e0, 2) + pow(north - 2121415.69617e0, 2)) / {_N0} as d,
+                       atan2(east - 5837287.81977e0, north - 2121415.69617e0) as az from ({inner}))))))"""
+
+
 def nearest(lookup: str, src: str, keys: str, value: str) -> str:
     """Nearest sampling of ``src`` through a lookup."""
     k = "".join(f"s.{c}, " for c in keys.split(",") if c)

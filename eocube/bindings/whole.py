@@ -141,17 +141,13 @@ _SWATH_MERC = drought.SWATH_GRID.project(WEB_MERCATOR)
 
 def _swath_lookup() -> str:
     """Web-mercator cells placed in the azimuthal grid, by the forward formula."""
-    lon = f"radians({q.mercator_lon(q.center(_SWATH_MERC, 'x', 'x_idx'))} - 24e0)"
-    lat = f"radians({q.mercator_lat(q.center(_SWATH_MERC, 'y', 'y_idx'))})"
-    s0, c0 = "sin(radians(53e0))", "cos(radians(53e0))"
+    lon = q.mercator_lon(q.center(_SWATH_MERC, "x", "x_idx"))
+    lat = q.mercator_lat(q.center(_SWATH_MERC, "y", "y_idx"))
     g = drought.SWATH_GRID
+    placed = q.aeqd(f"select y_idx, x_idx, {lon} as lon, {lat} as lat from ({q.cells(_SWATH_MERC)})")
     return f"""
-      select y_idx, x_idx, (x - {q.num(g.x0)}) / {q.num(g.dx)} as ax, (y - {q.num(g.y0)}) / {q.num(g.dy)} as ay from (
-        select y_idx, x_idx, 5837287.81977e0 + k * cos(phi) * sin(lam) as x, 2121415.69617e0 + k * (sin(phi) * {c0} - cos(phi) * {s0} * cos(lam)) as y from (
-          select *, 6371008.7714e0 * c / sin(c) as k from (
-            select *, acos(sin(phi) * {s0} + cos(phi) * {c0} * cos(lam)) as c from (
-              select y_idx, x_idx, {lon} as lam, {lat} as phi from ({q.cells(_SWATH_MERC)})))))
-      where x >= {q.num(g.x0)} and x < {q.num(g.x0 + g.nx * g.dx)} and y <= {q.num(g.y0)} and y > {q.num(g.y0 + g.ny * g.dy)}"""
+      select y_idx, x_idx, (east - {q.num(g.x0)}) / {q.num(g.dx)} as ax, (north - {q.num(g.y0)}) / {q.num(g.dy)} as ay from ({placed})
+      where east >= {q.num(g.x0)} and east < {q.num(g.x0 + g.nx * g.dx)} and north <= {q.num(g.y0)} and north > {q.num(g.y0 + g.ny * g.dy)}"""
 
 
 _SWATH_MEANS = q.bins("fx_point_obs", "location_id", "sm", 10)

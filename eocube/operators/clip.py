@@ -18,8 +18,7 @@ SPAN_BLOCK = 256
 
 
 def to_crs(vertices: DataFrame, src: str, dst: str) -> DataFrame:
-    x, y = project(F.col("x"), F.col("y"), src, dst)
-    return vertices.withColumns({"x": x, "y": y})
+    return project(vertices, F.col("x"), F.col("y"), src, dst, ("x", "y"))
 
 
 def edges(vertices: DataFrame) -> DataFrame:

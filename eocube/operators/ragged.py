@@ -35,12 +35,12 @@ def decode_ragged(
     resolved on its own however long one location is.  Observations move once.
     """
     ends = locations.where(F.col("row_size") > 0)
-    owner = F.struct(F.col(location).alias("id"), F.col("cum_sum").alias("end"))
+    owner = [F.col(location).alias("_id"), F.col("cum_sum").alias("_end")]
     first, last = (F.floor(c / OBS_CHUNK) for c in (F.col("offset"), F.col("cum_sum") - 1))
-    starts = ends.select(file, F.col("offset").alias(position), owner.alias("_owner"))
+    starts = ends.select(file, F.col("offset").alias(position), *owner)
     carried = ends.where(last > first).select(
-        file, F.explode(F.sequence(first + 1, last)).alias("_chunk"), owner.alias("_owner")
-    ).select(file, (F.col("_chunk") * OBS_CHUNK).alias(position), "_owner")
+        file, F.explode(F.sequence(first + 1, last)).alias("_chunk"), *owner
+    ).select(file, (F.col("_chunk") * OBS_CHUNK).alias(position), "_id", "_end")
     marks = starts.unionByName(carried).withColumn("_mark", F.lit(True))
     both = obs.unionByName(marks, allowMissingColumns=True).withColumn(
         "_chunk", F.floor(F.col(position) / OBS_CHUNK)
@@ -50,9 +50,9 @@ def decode_ragged(
         .orderBy(position, F.col("_mark").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    owned = both.withColumn("_last", F.last("_owner", ignorenulls=True).over(w))
-    return owned.where(F.col("_mark").isNull() & (F.col(position) < F.col("_last.end"))).select(
-        *obs.columns, F.col("_last.id").alias(location)
+    owned = both.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in ("_id", "_end")})
+    return owned.where(F.col("_mark").isNull() & (F.col(position) < F.col("_end"))).select(
+        *obs.columns, F.col("_id").alias(location)
     )
 
 

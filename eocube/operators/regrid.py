@@ -22,25 +22,24 @@ from eocube.operators.sizing import small_side
 
 def _axis_lookup(spark: SparkSession, src: GridSpec, dst: GridSpec, axis: str) -> DataFrame:
     """(target index, fractional source position) along one axis."""
-    i = F.col("id")
-    mid = F.lit(0.0)
+    i, mid = F.col("id"), F.lit(0.0)
     if axis == "x":
-        n, size = dst.nx, src.nx
-        at = src.pixel_x(project(dst.center_x(i), mid, dst.crs, src.crs)[0])
+        n, size, x, y = dst.nx, src.nx, dst.center_x(i), mid
     else:
-        n, size = dst.ny, src.ny
-        at = src.pixel_y(project(mid, dst.center_y(i), dst.crs, src.crs)[1])
-    return spark.range(n).select(i.alias(f"to_{axis}"), at.alias(f"at_{axis}")).where(
+        n, size, x, y = dst.ny, src.ny, mid, dst.center_y(i)
+    placed = project(spark.range(n), x, y, dst.crs, src.crs, ("x", "y"))
+    at = src.pixel_x(F.col("x")) if axis == "x" else src.pixel_y(F.col("y"))
+    return placed.select(i.alias(f"to_{axis}"), at.alias(f"at_{axis}")).where(
         (F.col(f"at_{axis}") >= 0) & (F.col(f"at_{axis}") < size)
     )
 
 
 def _cell_lookup(spark: SparkSession, src: GridSpec, dst: GridSpec) -> DataFrame:
     """(target cell, fractional source position) for every target cell."""
-    x, y = project(dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx")), dst.crs, src.crs)
-    at = dst.spine(spark).select(
+    x, y = dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx"))
+    at = project(dst.spine(spark), x, y, dst.crs, src.crs, ("x", "y")).select(
         F.col("x_idx").alias("to_x"), F.col("y_idx").alias("to_y"),
-        src.pixel_x(x).alias("at_x"), src.pixel_y(y).alias("at_y"),
+        src.pixel_x(F.col("x")).alias("at_x"), src.pixel_y(F.col("y")).alias("at_y"),
     )
     return at.where(
         (F.col("at_x") >= 0) & (F.col("at_x") < src.nx) & (F.col("at_y") >= 0) & (F.col("at_y") < src.ny)

@@ -40,18 +40,21 @@ def nearest_points(
     points is ever gathered, so a crowd of points at one place costs no more
     than the same points spread out.
     """
-    x, y = project(F.col(lon), F.col(lat), LONLAT, dst.crs)
     near = radius * STRETCH
-    offered = (
+    places = (
         points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-        .groupBy(lon, lat)
+        .groupBy(F.col(lon).alias("lon"), F.col(lat).alias("lat"))
         .agg(F.min(point_id).alias("point"))
-        .select(lon, lat, "point", dst.pixel_x(x).alias("px"), dst.pixel_y(y).alias("py"))
-        .withColumn("x_idx", F.explode(_reach(F.col("px"), near / abs(dst.dx), dst.nx)))
-        .withColumn("y_idx", F.explode(_reach(F.col("py"), near / abs(dst.dy), dst.ny)))
     )
-    cell_lon, cell_lat = project(dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx")), dst.crs, LONLAT)
-    measured = offered.withColumn("distance", haversine(F.col(lat), F.col(lon), cell_lat, cell_lon))
+    offered = (
+        project(places, F.col("lon"), F.col("lat"), LONLAT, dst.crs, ("x", "y"))
+        .withColumn("x_idx", F.explode(_reach(dst.pixel_x(F.col("x")), near / abs(dst.dx), dst.nx)))
+        .withColumn("y_idx", F.explode(_reach(dst.pixel_y(F.col("y")), near / abs(dst.dy), dst.ny)))
+    )
+    centre = dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx"))
+    measured = project(offered, *centre, dst.crs, LONLAT, ("cell_lon", "cell_lat")).withColumn(
+        "distance", haversine(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))
+    )
     best = (
         measured.where(F.col("distance") <= radius)
         .groupBy("y_idx", "x_idx")

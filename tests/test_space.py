@@ -28,8 +28,40 @@ def test_round_trip(lon, lat, crs):
 @settings(max_examples=60, deadline=None)
 @given(st.floats(-10, 50), st.floats(30, 70))
 def test_round_trip_equidistant(lon, lat):
+    # Forward and inverse series are cut at the same order: metres, not millimetres.
     back = project_point(*project_point(lon, lat, LONLAT, EQUIDISTANT_EU), EQUIDISTANT_EU, LONLAT)
-    assert back == pytest.approx((lon, lat), abs=1e-6)
+    assert back == pytest.approx((lon, lat), abs=1e-3)
+
+
+def geodesic(lat_a, lon_a, lat_b, lon_b):
+    """Distance and start azimuth on the ellipsoid by Vincenty's iteration."""
+    f = 1 / 298.257223563
+    b = 6378137.0 * (1 - f)
+    u1, u2 = (math.atan((1 - f) * math.tan(math.radians(v))) for v in (lat_a, lat_b))
+    lam = start = math.radians(lon_b - lon_a)
+    for _ in range(30):
+        east = math.cos(u2) * math.sin(lam)
+        north = math.cos(u1) * math.sin(u2) - math.sin(u1) * math.cos(u2) * math.cos(lam)
+        ss, cs = math.hypot(east, north), math.sin(u1) * math.sin(u2) + math.cos(u1) * math.cos(u2) * math.cos(lam)
+        s = math.atan2(ss, cs)
+        sa = math.cos(u1) * math.cos(u2) * math.sin(lam) / ss
+        c2 = 1 - sa * sa
+        cm = cs - 2 * math.sin(u1) * math.sin(u2) / c2
+        k = f / 16 * c2 * (4 + f * (4 - 3 * c2))
+        lam = start + (1 - k) * f * sa * (s + k * ss * (cm + k * cs * (2 * cm * cm - 1)))
+    w = c2 * (6378137.0**2 - b * b) / (b * b)
+    big = 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w)))
+    low = w / 1024 * (256 + w * (-128 + w * (74 - 47 * w)))
+    d = low * ss * (cm + low / 4 * (cs * (2 * cm * cm - 1) - low / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))
+    return b * big * (s - d), math.atan2(east, north)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.floats(6, 19), st.floats(36, 47.5))
+def test_equidistant_is_close_to_geodesics(lon, lat):
+    d, az = geodesic(53.0, 24.0, lat, lon)
+    x, y = project_point(lon, lat, LONLAT, EQUIDISTANT_EU)
+    assert math.hypot(x - 5837287.81977 - d * math.sin(az), y - 2121415.69617 - d * math.cos(az)) < 80
 
 
 @pytest.mark.parametrize("crs", [WEB_MERCATOR, MOLLWEIDE, EQUIDISTANT_EU])
@@ -37,8 +69,7 @@ def test_columns_agree_with_floats(spark, crs):
     rng = random.Random(1)
     points = [(rng.uniform(5, 25), rng.uniform(35, 60)) for _ in range(20)] + [(24.0, 53.0)]
     df = spark.createDataFrame(points, "x double, y double")
-    x, y = project(F.col("x"), F.col("y"), LONLAT, crs)
-    for (px, py), r in zip(points, df.select(x.alias("u"), y.alias("v")).collect()):
+    for (px, py), r in zip(points, project(df, F.col("x"), F.col("y"), LONLAT, crs, ("u", "v")).collect()):
         assert (r.u, r.v) == pytest.approx(project_point(px, py, LONLAT, crs), abs=1e-3)
 
 
