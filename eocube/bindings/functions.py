@@ -14,7 +14,8 @@ from eocube.bindings.scans import COLOUR_LINES, colour_file
 from eocube.functions import calendar as cal
 from eocube.functions import geodesy
 from eocube.functions.projection import EQUIDISTANT_EU, LONLAT, MOLLWEIDE, WEB_MERCATOR, project
-from eocube.functions.text import cci_name, landcover_name, parse_extent, parse_legend, rgb_hex, tile_bounds
+from eocube.functions.text import cci_name, extent_epsg, extent_ring, landcover_name, parse_extent, parse_legend, rgb_hex, tile_bounds
+from eocube.operators.clip import transform_extents
 from eocube.operators.combine import compose, scale
 from eocube.operators.overlay import major_class, ramp_bin
 from eocube.operators.reduce import min_max
@@ -123,23 +124,16 @@ def parse_extent_(t: Tables):
     return t.extent_text.select("id", parse_extent(F.col("txt")).alias("e")).select("id", "e.*")
 
 
-def _ring(e):
-    """The closed outline of a box struct as an array of vertices."""
-    corner = lambda x, y: F.struct(e[x].alias("x"), e[y].alias("y"))
-    return F.array(
-        corner("min_x", "min_y"), corner("max_x", "min_y"), corner("max_x", "max_y"), corner("min_x", "max_y"), corner("min_x", "min_y")
-    )
-
-
 @query("extent_polygon", f"""
     select id, cast(seq as bigint) as seq, case when seq in (0, 3, 4) then min_x else max_x end as x,
            case when seq in (0, 1, 4) then min_y else max_y end as y, cast(nullif(split_part(crs, ':', 2), '') as bigint) as epsg
     from ({_EXTENT_SQL}), range(5) s(seq)""")
 def extent_polygon(t: Tables):
     boxes = t.extent_text.select("id", parse_extent(F.col("txt")).alias("e"))
-    epsg = F.try_element_at(F.split("e.crs", ":"), F.lit(2)).cast("bigint")
-    vertices = boxes.select("id", epsg.alias("epsg"), F.posexplode(_ring(F.col("e"))).alias("seq", "v"))
-    return i64(vertices.select("id", "seq", "v.x", "v.y", "epsg"), "seq")
+    vertices = boxes.select(
+        "id", extent_epsg(F.col("e")).alias("epsg"), F.posexplode(extent_ring(F.col("e"))).alias("seq", "v")
+    )
+    return i64(vertices.select("id", "seq", "v.x", "v.y", "epsg"), "seq", "epsg")
 
 
 @query("extent_transform", f"""
@@ -149,15 +143,8 @@ def extent_polygon(t: Tables):
 def extent_transform(t: Tables):
     """Boxes to web mercator: edges densified, vertices moved, envelope taken."""
     boxes = t.extent_text.select("id", parse_extent(F.col("txt")).alias("e"))
-    steps = 20
-    edges = boxes.select("id", F.posexplode(_ring(F.col("e"))).alias("seq", "a"), _ring(F.col("e")).alias("ring")).where("seq < 4")
-    along = edges.select("id", "a", F.get("ring", F.col("seq") + 1).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("i"))
-    at = lambda c: F.col(f"a.{c}") + (F.col(f"b.{c}") - F.col(f"a.{c}")) * F.col("i") / steps
-    moved = project(along, at("x"), at("y"), LONLAT, WEB_MERCATOR, ("x", "y"))
-    return moved.groupBy("id").agg(
-        r6(F.min("x") / 1000, "min_x"), r6(F.min("y") / 1000, "min_y"),
-        r6(F.max("x") / 1000, "max_x"), r6(F.max("y") / 1000, "max_y"),
-    )
+    moved = transform_extents(boxes, "e", ["id"], LONLAT, WEB_MERCATOR)
+    return moved.select("id", *(r6(F.col(c) / 1000, c) for c in ("min_x", "min_y", "max_x", "max_y")))
 
 
 @query("scale", f"select day, y_idx, x_idx, {q6('tp * 1000')} as tp from fx_tp")

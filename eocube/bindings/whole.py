@@ -119,8 +119,8 @@ def flood_risk_map(t: Tables):
 
 
 @query("rain_forecast_500m", f"""
-    with cube as ({ACCUMULATED}), last as (select * from cube where day = (select day from (select distinct day from cube) order by day limit 1 offset 12))
-    select day, y_idx, x_idx, {q6('tp')} as tp from ({q.bilinear(q.mercator_lookup(RAIN, RAIN.project(WEB_MERCATOR, 500.0)), 'last', 'day', 'tp')})""")
+    with cube as ({ACCUMULATED}), last as (select day, y_idx, x_idx, nullif(tp, 0) as tp from cube where day = (select day from (select distinct day from cube) order by day limit 1 offset 12))
+    select day, y_idx, x_idx, {q6('coalesce(tp, 0)')} as tp from ({q.bilinear(q.mercator_lookup(RAIN, RAIN.project(WEB_MERCATOR, 500.0)), 'last', 'day', 'tp')})""")
 def rain_forecast_500m(t: Tables):
     cells, _ = flood.rain_forecast(t.tp, RAIN, RAIN_START, RAIN_END, RAIN_BOX, step=12, time="day")
     return rounded(cells, "tp")

@@ -29,6 +29,23 @@ def parse_extent(text: Column) -> Column:
     )
 
 
+def extent_ring(extent: Column) -> Column:
+    """Closed outline of an extent struct as five vertices."""
+    corner = lambda x, y: F.struct(extent[x].alias("x"), extent[y].alias("y"))
+    return F.array(
+        corner("min_x", "min_y"),
+        corner("max_x", "min_y"),
+        corner("max_x", "max_y"),
+        corner("min_x", "max_y"),
+        corner("min_x", "min_y"),
+    )
+
+
+def extent_epsg(extent: Column) -> Column:
+    """Number of an extent's reference system, missing without one."""
+    return F.try_element_at(F.split(extent["crs"], ":"), F.lit(2)).try_cast("int")
+
+
 def rgb_hex(line: Column) -> Column:
     """``"r g b"`` as ``#rrggbb``."""
     channels = F.split(F.trim(line), r"\s+")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from eocube.functions.projection import LONLAT
@@ -17,7 +17,7 @@ from eocube.model import Extent, GridSpec
 from eocube.operators.reduce import composite_max
 from eocube.operators.select import clip_box
 from eocube.plans import drought, flood as flood_plans, ingest
-from eocube.sources.store import calendar, rechunk, write_cube
+from eocube.sources.store import calendar, write_cube
 from eocube.sources.vector import read_geojson
 
 
@@ -25,23 +25,19 @@ def _extent(text: str) -> Extent:
     return Extent.parse(text)
 
 
-def _store(cells: DataFrame, path: str) -> None:
-    write_cube(rechunk(cells), path)
-
-
 def flood(spark, source, target, spec: GridSpec, extent: str, day: dt.date, land: str, crs: str = LONLAT) -> None:
     """One day's scenes: crop, take the maximum, reproject, blank the sea."""
     scenes = spark.read.parquet(source).where(F.col("day") == F.lit(day))
     scene = composite_max(clip_box(scenes, spec, _extent(extent)), "flood")
-    _store(flood_plans.restructure_flood(scene, spec, read_geojson(spark, land), crs)[0], target)
+    write_cube(flood_plans.restructure_flood(scene, spec, read_geojson(spark, land), crs)[0], target)
 
 
 def built(spark, source, target, spec: GridSpec, extent: str, crs: str = LONLAT) -> None:
-    _store(flood_plans.restructure_built(spark.read.parquet(source), spec, _extent(extent), crs)[0], target)
+    write_cube(flood_plans.restructure_built(spark.read.parquet(source), spec, _extent(extent), crs)[0], target)
 
 
 def dem(spark, source, target, spec: GridSpec, crs: str = LONLAT) -> None:
-    _store(flood_plans.restructure_dem(spark.read.parquet(source), spec, crs)[0], target)
+    write_cube(flood_plans.restructure_dem(spark.read.parquet(source), spec, crs)[0], target)
 
 
 def gridded(spark, sources: list[str], target) -> None:
@@ -55,7 +51,7 @@ def ragged(spark, locations, obs, target, start: dt.datetime, end: dt.datetime)
 
 def landcover(spark, source, target, spec: GridSpec, catchment: str, value: str = "corine_lc") -> None:
     cells, _ = drought.restructure_landcover(spark.read.parquet(source), spec, read_geojson(spark, catchment), value)
-    _store(cells, target)
+    write_cube(cells, target)
 
 
 def retrieve(spark, landing, target, value: str, start: dt.date, end: dt.date) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eocube.functions.projection import project
+from eocube.functions.text import extent_ring
 from eocube.model import Extent, GridSpec
 
 #: Cells of one row that share a join key.
@@ -107,6 +108,23 @@ def clip_polygon(
     )
 
 
+def transform_extents(
+    df: DataFrame, extent: str, keys: list[str], src: str, dst: str, pieces: int = 20
+) -> DataFrame:
+    """Boxes of a struct column in another system: densified edges, envelope.
+
+    Returns the keys and ``min_x, min_y, max_x, max_y``, one row per box.
+    """
+    ring = extent_ring(F.col(extent))
+    sides = df.select(*keys, F.explode(F.arrays_zip(F.slice(ring, 1, 4).alias("a"), F.slice(ring, 2, 4).alias("b"))).alias("s"))
+    along = sides.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(pieces))))
+    at = lambda c: F.col(f"s.a.{c}") + (F.col(f"s.b.{c}") - F.col(f"s.a.{c}")) * F.col("i") / pieces
+    moved = project(along, at("x"), at("y"), src, dst, ("x", "y"))
+    return moved.groupBy(*keys).agg(
+        F.min("x").alias("min_x"), F.min("y").alias("min_y"), F.max("x").alias("max_x"), F.max("y").alias("max_y")
+    )
+
+
 def polygons_meeting(vertices: DataFrame, extent: Extent) -> DataFrame:
     """Vertices of the polygons whose own box meets the extent."""
     boxes = vertices.groupBy("poly_id").agg(

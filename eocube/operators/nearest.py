@@ -80,9 +80,15 @@ def nearest_label(
     )
 
 
-def select_nearest(cube: DataFrame, requests: DataFrame, *, time: str = "time", request: str = "request") -> DataFrame:
-    """For each requested time, the cube at the step nearest to it."""
-    asked = nearest_label(requests.select(request), time_axis(cube, time), time=request, label="_label")
+def select_nearest(
+    cube: DataFrame, requests: DataFrame, *, time: str = "time", request: str = "request", axis: DataFrame | None = None
+) -> DataFrame:
+    """For each requested time, the cube at the step nearest to it.
+
+    ``axis`` saves the pass over the cube that lists its steps.
+    """
+    axis = time_axis(cube, time) if axis is None else axis
+    asked = nearest_label(requests.select(request), axis, time=request, label="_label")
     return cube.join(asked.withColumnRenamed("_label", time), time)
 
 
@@ -90,9 +96,10 @@ def first_step(cube: DataFrame, time: str = "time") -> DataFrame:
     return cube.where(F.col(time) == cube.agg(F.min(time)).scalar())
 
 
-def nth_step(cube: DataFrame, n: int, time: str = "time") -> DataFrame:
+def nth_step(cube: DataFrame, n: int, time: str = "time", axis: DataFrame | None = None) -> DataFrame:
     """The cube at the n-th label of its time axis, counted from 0."""
-    at = axis_positions(time_axis(cube, time), time).where(F.col("step") == n).select(time)
+    axis = time_axis(cube, time) if axis is None else axis
+    at = axis_positions(axis, time).where(F.col("step") == n).select(time)
     return cube.where(F.col(time) == at.scalar())
 
 

@@ -77,20 +77,26 @@ def regrid(
     *,
     keys: Sequence[str] = (),
     dense: bool = False,
+    nodata: float | None = None,
 ) -> DataFrame:
     """Sample ``values`` at the cell centres of ``dst``.
 
     ``keys`` are carried along (time, band).  Target cells whose centre lies
     outside the source are absent, and so are those that meet no source row;
     ``dense`` returns every target cell, per key, with missing values there.
+    ``nodata`` counts as missing on the way in and stands for it on the way out.
     """
+    if nodata is not None:
+        df = df.withColumns({v: F.nullif(F.col(v), F.lit(nodata)) for v in values})
     if method == "nearest":
         out = _nearest(df, src, dst, values, keys)
     elif method == "bilinear":
         out = _bilinear(df, src, dst, values, keys)
     else:
         raise ValueError(f"unknown resampling method {method!r}")
-    return _densify(out, dst, keys) if dense else out
+    if dense:
+        out = _densify(out, dst, keys)
+    return out if nodata is None else out.fillna(nodata, list(values))
 
 
 def _nearest(df, src, dst, values, keys) -> DataFrame:
@@ -148,7 +154,7 @@ def _bilinear(df, src, dst, values, keys) -> DataFrame:
     )
 
 
-def reproject(df, src, crs, values, method="nearest", *, resolution=None, keys=(), dense=False):
+def reproject(df, src, crs, values, method="nearest", *, resolution=None, keys=(), dense=False, nodata=None):
     """Regrid to another system on its default grid; returns (cells, grid)."""
     dst = src.project(crs, resolution)
-    return regrid(df, src, dst, values, method, keys=keys, dense=dense), dst
+    return regrid(df, src, dst, values, method, keys=keys, dense=dense, nodata=nodata), dst

@@ -113,9 +113,10 @@ def rain_forecast(
 ) -> tuple[DataFrame, GridSpec]:
     """Accumulated rain on a fine metric grid, bilinear.
 
-    ``step`` keeps one time step, chosen before the grid is refined.
+    No rain, 0, is the no-data value, so dry cells do not dilute their wet
+    neighbours.  ``step`` keeps one time step, chosen before the grid is refined.
     """
     total = accumulate_rain(rain, spec, start, end, extent, time)
     if step is not None:
         total = nth_step(total, step, time)
-    return reproject(total, spec, WEB_MERCATOR, ["tp"], "bilinear", resolution=resolution, keys=[time])
+    return reproject(total, spec, WEB_MERCATOR, ["tp"], "bilinear", resolution=resolution, keys=[time], nodata=0.0)

@@ -41,7 +41,11 @@ def workspace(spark: SparkSession, name: str = "eocube") -> str:
 
 
 def rechunk(df: DataFrame, block: int = BLOCK, keys: Sequence[str] = ()) -> DataFrame:
-    """Bring the cells of one spatial block together before writing."""
+    """Bring the cells of one spatial block, per key, together before writing.
+
+    A block holds at most ``block`` squared cells, so no partition outgrows it
+    however much lands on one day, and each day gets one file per block.
+    """
     return df.repartition(*keys, F.floor(F.col("y_idx") / block), F.floor(F.col("x_idx") / block))
 
 
@@ -56,18 +60,23 @@ def materialize(df: DataFrame, name: str = "result") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_cube(df: DataFrame, path: str, *, overwrite: bool = False, partition_by: Sequence[str] = ()) -> None:
-    """Persist cells, sorted for row-group pruning; fails if the target exists."""
-    writer = df.sortWithinPartitions(*partition_by, "y_idx", "x_idx").write
-    writer.mode("overwrite" if overwrite else "errorifexists").partitionBy(*partition_by).parquet(path)
+def write_cube(
+    df: DataFrame, path: str, *, overwrite: bool = False, partition_by: Sequence[str] = (), block: int = BLOCK
+) -> None:
+    """Persist cells by block, sorted for row-group pruning; fails if the target exists."""
+    ordered = rechunk(df, block, partition_by).sortWithinPartitions(*partition_by, "y_idx", "x_idx")
+    writer = ordered.write.mode("overwrite" if overwrite else "errorifexists")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
-def upsert_days(df: DataFrame, path: str, day: str = "day") -> None:
+def upsert_days(df: DataFrame, path: str, day: str = "day", block: int = BLOCK) -> None:
     """Replace exactly the days present in ``df``; repeating it changes nothing."""
-    order = [c for c in (day, "y_idx", "x_idx") if c in df.columns]
+    if "y_idx" in df.columns:
+        df = rechunk(df, block, [day]).sortWithinPartitions(day, "y_idx", "x_idx")
+    else:
+        df = df.repartition(day)
     (
-        df.sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .parquet(path)

@@ -71,5 +71,5 @@ def running_accumulate(stream: DataFrame, *, factor: float = MM_PER_M) -> DataFr
 def close_stream(
     totals: DataFrame, spec: GridSpec, *, crs: str = WEB_MERCATOR, resolution: float = 500.0
 ) -> tuple[DataFrame, GridSpec]:
-    """After the last step: all running totals on the fine metric grid."""
-    return reproject(totals, spec, crs, ["tp"], "bilinear", resolution=resolution, keys=["day"])
+    """After the last step: all running totals on the fine metric grid, 0 as no-data."""
+    return reproject(totals, spec, crs, ["tp"], "bilinear", resolution=resolution, keys=["day"], nodata=0.0)

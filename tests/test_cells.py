@@ -105,6 +105,12 @@ def test_overlay_is_never_missing(cells):
     assert grid(overlay.overlay_flood_built(flood, built), "class") == {(0, 0): 2.0, (0, 1): 0.0, (1, 0): 0.0, (1, 1): 2.0}
 
 
+def test_legend_join(spark, cells):
+    legend = spark.createDataFrame([(1, "a"), (2, "b")], "code int, label string")
+    joined = overlay.join_labels(cells([[1, 2, 3]]), legend, "v")
+    assert grid(joined, "label") == {(0, 0): "a", (0, 1): "b", (0, 2): None}
+
+
 def test_ramp_bins(spark):
     df = spark.createDataFrame([(-0.1,), (0.0,), (0.5,), (1.0,), (1.5,), (None,)], "v double")
     got = [r[0] for r in df.select(overlay.ramp_bin(F.col("v"), 0.0, 1.0)).collect()]

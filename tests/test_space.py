@@ -165,6 +165,15 @@ def test_reproject_against_brute_force(cells, method, crs):
     assert all(got[k] == pytest.approx(want[k], abs=1e-6) if want[k] is not None else got[k] is None for k in want)
 
 
+def test_nodata_does_not_dilute(cells):
+    df = cells([[0, 6], [6, 6]])
+    between = GridSpec(LONLAT, 10.25, 0.5, 49.75, -0.5, 1, 1)
+    assert grid(regrid(df, SRC, between, ["v"], "bilinear")) == pytest.approx({(0, 0): 4.5})
+    assert grid(regrid(df, SRC, between, ["v"], "bilinear", nodata=0.0)) == pytest.approx({(0, 0): 6.0})
+    dry = regrid(cells([[0, 0], [0, 0]]), SRC, between, ["v"], "bilinear", nodata=0.0)
+    assert grid(dry) == {(0, 0): 0.0}
+
+
 def test_dense_regrid_lists_every_cell(cells):
     df = cells([[1, 2], [3, ...]]).withColumn("t", F.lit(1)).unionByName(cells([[5]]).withColumn("t", F.lit(2)))
     out, dst = reproject(df, SRC, WEB_MERCATOR, ["v"], keys=["t"], dense=True)
