@@ -25,10 +25,10 @@ from eocube.sources.tables import read_colours
 
 
 @query("haversine", f"""
-    select location_id, {q6(haversine_sql('lat', 'lon', '41.9e0', '12.5e0') + ' / 1000')} as km from fx_points""")
+    select location_id, {q6(haversine_sql('lat', 'lon', '41.9e0', '12.5e0') + ' / 1000', 3)} as km from fx_points""")
 def haversine(t: Tables):
     km = geodesy.haversine(F.col("lat"), F.col("lon"), F.lit(41.9), F.lit(12.5)) / 1000
-    return t.points.select("location_id", r6(km, "km"))
+    return t.points.select("location_id", r6(km, "km", 3))
 
 
 def _area_sql(lat: str, lon: str) -> str:
@@ -42,13 +42,13 @@ def _area_sql(lat: str, lon: str) -> str:
 
 
 @query("cell_area", f"""
-    select location_id, {q6('area / 1e6')} as area,
-           {q6('6371e3 * 6371e3 * radians(0.1e0) * (sin(radians(lat + 0.05e0)) - sin(radians(lat - 0.05e0))) / 1e6')} as area_exact
+    select location_id, {q6('area / 1e6', 3)} as area,
+           {q6('6371e3 * 6371e3 * radians(0.1e0) * (sin(radians(lat + 0.05e0)) - sin(radians(lat - 0.05e0))) / 1e6', 3)} as area_exact
     from ({_area_sql('lat', 'lon')})""")
 def cell_area(t: Tables):
     lat, lon = F.col("lat"), F.col("lon")
     return t.points.select(
-        "location_id", r6(geodesy.cell_area(lat, lon) / 1e6, "area"), r6(geodesy.cell_area_exact(lat) / 1e6, "area_exact")
+        "location_id", r6(geodesy.cell_area(lat, lon) / 1e6, "area", 3), r6(geodesy.cell_area_exact(lat) / 1e6, "area_exact", 3)
     )
 
 
@@ -75,12 +75,12 @@ def web_mercator(t: Tables):
 
 
 @query("aeqd_eu", f"""
-    select location_id, {q6('east / 1000')} as x, {q6('north / 1000')} as y, round(lon, 3) as lon, round(lat, 3) as lat from ({q.aeqd('select * from fx_points')})""")
+    select location_id, {q6('east / 1000', 3)} as x, {q6('north / 1000', 3)} as y, round(lon, 3) as lon, round(lat, 3) as lat from ({q.aeqd('select * from fx_points')})""")
 def aeqd_eu(t: Tables):
     """Forward, and back to within metres."""
     moved = _there_and_back(t, EQUIDISTANT_EU)
     return moved.select(
-        "location_id", r6(F.col("x") / 1000, "x"), r6(F.col("y") / 1000, "y"),
+        "location_id", r6(F.col("x") / 1000, "x", 3), r6(F.col("y") / 1000, "y", 3),
         F.round("lon", 3).alias("lon"), F.round("lat", 3).alias("lat"),
     )
 

@@ -85,10 +85,10 @@ NEAREST_POINTS = f"""
     qualify row_number() over (partition by y_idx, x_idx order by d, location_id) = 1"""
 
 
-@query("swath_nearest", f"select y_idx, x_idx, location_id, {q6('distance / 1000')} as km from ({NEAREST_POINTS})")
+@query("swath_nearest", f"select y_idx, x_idx, location_id, {q6('distance / 1000', 3)} as km from ({NEAREST_POINTS})")
 def swath_nearest(t: Tables):
     near = swath.nearest_points(t.points, SWATH_GRID, 5_000.0)
-    return near.select("y_idx", "x_idx", "location_id", r6(F.col("distance") / 1000, "km"))
+    return near.select("y_idx", "x_idx", "location_id", r6(F.col("distance") / 1000, "km", 3))
 
 
 _INSIDE = q.inside(POLYGONS, q.center(SCENE, "x", "x_idx"), q.center(SCENE, "y", "y_idx"))

@@ -83,21 +83,21 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)
 
 
-def r6(c: Column | str, name: str | None = None) -> Column:
-    """Round to six digits, without a negative zero."""
+def r6(c: Column | str, name: str | None = None, digits: int = 6) -> Column:
+    """Round to six digits (fewer for large magnitudes), without a negative zero."""
     if isinstance(c, str):
         name, c = name or c, F.col(c)
-    out = F.round(c.cast("double"), 6) + F.lit(0.0)
+    out = F.round(c.cast("double"), digits) + F.lit(0.0)
     return out.alias(name) if name else out
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: r6(F.col(c)) for c in columns})
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: r6(F.col(c), digits=digits) for c in columns})
 
 
-def q6(expr: str) -> str:
+def q6(expr: str, digits: int = 6) -> str:
     """The SQL twin of :func:`r6`."""
-    return f"(round(cast({expr} as double), 6) + 0e0)"
+    return f"(round(cast({expr} as double), {digits}) + 0e0)"
 
 
 def i64(df: DataFrame, *columns: str) -> DataFrame:

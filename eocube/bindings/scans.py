@@ -100,14 +100,14 @@ def file_catalog_(t: Tables):
 
 
 @query("multi_file_concat", f"""
-    select band, count(*) as cells, {q6('sum(v)')} as total from
+    select band, count(*) as cells, {q6('sum(v)', 2)} as total from
       (select 'lineitem.parquet' as band, l_quantity as v, l_orderkey as k from lineitem
        union all select 'orders.parquet', o_totalprice, o_orderkey from orders) group by band""")
 def multi_file_concat(t: Tables):
     one = read_many(t.spark, [t.path("lineitem")]).select("band", F.col("l_quantity").alias("v"))
     two = read_many(t.spark, [t.path("orders")]).select("band", F.col("o_totalprice").alias("v"))
     stacked = concat([one, two]).withColumn("band", F.element_at(F.split("band", "/"), -1))
-    return rounded(stacked.groupBy("band").agg(F.count(F.lit(1)).alias("cells"), F.sum("v").alias("total")), "total")
+    return rounded(stacked.groupBy("band").agg(F.count(F.lit(1)).alias("cells"), F.sum("v").alias("total")), "total", digits=2)
 
 
 @query("daily_landing_read", f"""

@@ -71,10 +71,10 @@ _FINE = RAIN.project(WEB_MERCATOR, 5_000.0)
 
 @query("stream_close", f"""
     with totals as (select day, y_idx, x_idx, nullif(tp, 0) as tp from ({STRICT}))
-    select day, y_idx, x_idx, {q6('coalesce(tp, 0)')} as tp from ({q.bilinear(q.mercator_lookup(RAIN, _FINE), 'totals', 'day', 'tp')})""")
+    select day, y_idx, x_idx, {q6('coalesce(tp, 0)', 3)} as tp from ({q.bilinear(q.mercator_lookup(RAIN, _FINE), 'totals', 'day', 'tp')})""")
 def stream_close(t: Tables):
     cells, _ = acc.close_stream(_totals(t), RAIN, resolution=5_000.0)
-    return rounded(cells, "tp")
+    return rounded(cells, "tp", digits=3)
 
 
 @query("stream_progress", """

@@ -120,10 +120,10 @@ def flood_risk_map(t: Tables):
 
 @query("rain_forecast_500m", f"""
     with cube as ({ACCUMULATED}), last as (select day, y_idx, x_idx, nullif(tp, 0) as tp from cube where day = (select day from (select distinct day from cube) order by day limit 1 offset 12))
-    select day, y_idx, x_idx, {q6('coalesce(tp, 0)')} as tp from ({q.bilinear(q.mercator_lookup(RAIN, RAIN.project(WEB_MERCATOR, 500.0)), 'last', 'day', 'tp')})""")
+    select day, y_idx, x_idx, {q6('coalesce(tp, 0)', 3)} as tp from ({q.bilinear(q.mercator_lookup(RAIN, RAIN.project(WEB_MERCATOR, 500.0)), 'last', 'day', 'tp')})""")
 def rain_forecast_500m(t: Tables):
     cells, _ = flood.rain_forecast(t.tp, RAIN, RAIN_START, RAIN_END, RAIN_BOX, step=12, time="day")
-    return rounded(cells, "tp")
+    return rounded(cells, "tp", digits=3)
 
 
 _FLOOD_DAYS = [dt.date(2022, 8, 18), dt.date(2022, 8, 30)]
@@ -255,13 +255,13 @@ def retrieve_swvl1(t: Tables):
 
 
 @query("stream_accumulate", f"""
-    select y_idx, x_idx, max(day) as last, {q6('max(tp)')} as total from (
+    select y_idx, x_idx, max(day) as last, {q6('max(tp)', 3)} as total from (
       select day, y_idx, x_idx, case when not bool_or(tp is null) over (partition by y_idx, x_idx order by day)
              then sum(tp * 1000) over (partition by y_idx, x_idx order by day) end as tp from fx_tp) group by 1, 2""")
 def stream_accumulate(t: Tables):
     """The stream's running totals reduced to the last valid one per cell."""
     totals = running_accumulator(t)
-    return totals.groupBy("y_idx", "x_idx").agg(F.max("day").alias("last"), r6(F.max("tp"), "total"))
+    return totals.groupBy("y_idx", "x_idx").agg(F.max("day").alias("last"), r6(F.max("tp"), "total", 3))
 
 
 _OBSERVED = q.bins("fx_sm", "y_idx,x_idx", "sm", 10)
