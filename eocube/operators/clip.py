@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from eocube.functions.projection import project
 from eocube.functions.text import extent_ring
 from eocube.model import Extent, GridSpec
+from eocube.operators.sizing import measured_side
 
-#: Cells of one row that share a join key.
+#: Least number of cells of one row that share a join key, and the most such
+#: blocks a row is cut into.
 SPAN_BLOCK = 256
+ROW_BLOCKS = 8
 
 
 def to_crs(vertices: DataFrame, src: str, dst: str) -> DataFrame:
@@ -81,16 +84,20 @@ def clip_polygon(
 ) -> DataFrame:
     """Blank the cells outside the polygons, or drop them.
 
+    The stretches are counted first: the polygons of a region give few, which
+    are then broadcast, and the raster is not shuffled.
+
     Vertices are ``(poly_id, ring_id, seq, x, y)`` with ``seq`` from 0, in the
     grid's own reference system (see :func:`to_crs`).
     """
     spans = inside_spans(vertices, spec)
-    ends = [F.floor(spec.pixel_x(F.col(c)) / SPAN_BLOCK) for c in ("x_from", "x_to")]
+    block = max(SPAN_BLOCK, -(-spec.nx // ROW_BLOCKS))
+    ends = [F.floor(spec.pixel_x(F.col(c)) / block) for c in ("x_from", "x_to")]
     # A stretch may lie beyond the grid; only blocks that hold cells are listed.
     lo = F.greatest(F.lit(0), F.least(*ends))
-    hi = F.least(F.lit((spec.nx - 1) // SPAN_BLOCK), F.greatest(*ends))
+    hi = F.least(F.lit((spec.nx - 1) // block), F.greatest(*ends))
     blocks = spans.withColumn("_block", F.explode(F.when(hi >= lo, F.sequence(lo, hi))))
-    cells = df.withColumn("_block", F.floor(F.col("x_idx") / SPAN_BLOCK))
+    cells = df.withColumn("_block", F.floor(F.col("x_idx") / block))
     cx = spec.center_x(F.col("l.x_idx"))
     hit = (
         (F.col("l.y_idx") == F.col("r.y_idx"))
@@ -98,7 +105,7 @@ def clip_polygon(
         & (cx >= F.col("r.x_from"))
         & (cx < F.col("r.x_to"))
     )
-    joined = cells.alias("l").join(blocks.alias("r"), hit, "left" if keep_shape else "inner")
+    joined = cells.alias("l").join(measured_side(blocks).alias("r"), hit, "left" if keep_shape else "inner")
     inside = F.col("r.y_idx").isNotNull()
     return joined.select(
         *(

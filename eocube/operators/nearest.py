@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eocube.functions.calendar import epoch_micros
+from eocube.operators.sizing import small_side
 
 
 def time_axis(df: DataFrame, time: str = "time") -> DataFrame:
@@ -30,14 +31,21 @@ def axis_positions(axis: DataFrame, time: str = "time", to: str = "step") -> Dat
 
 
 def nearest_label(
-    df: DataFrame, axis: DataFrame, *, time: str = "time", label: str = "label", bucket_seconds: float | None = None
+    df: DataFrame,
+    axis: DataFrame,
+    *,
+    time: str = "time",
+    label: str = "label",
+    bucket_seconds: float | None = None,
+    listed: int | None = None,
 ) -> DataFrame:
     """Add to every row the axis label nearest to its time; ties go to the later.
 
     Rows and stretches meet in buckets of ``bucket_seconds``, by default the
     mean gap between labels: twice as many stretches as labels are listed then,
     and a row meets about two of them.  For labels that crowd together, give
-    their smallest gap.
+    their smallest gap.  ``listed`` is an upper bound on the listed stretches;
+    where it is known and small they are broadcast and the rows stay in place.
     """
     axis_label = axis.columns[0]
     order = Window.orderBy("_at")
@@ -70,6 +78,8 @@ def nearest_label(
             )
         ).alias("_bucket"),
     )
+    if listed is not None:
+        stretches = small_side(stretches, listed)
     timed = df.withColumn("_micros", epoch_micros(F.col(time))).withColumn("_bucket", bucket(within))
     twice = F.col("_micros") * 2
     hit = (F.col("_from").isNull() | (twice >= F.col("_from"))) & (F.col("_to").isNull() | (twice < F.col("_to")))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eocube.functions.calendar import to_minute
+from eocube.functions.calendar import epoch_micros, to_minute
 from eocube.operators.nearest import nearest_label
 from eocube.operators.running import running_total
+from eocube.sources.store import materialize
 
 #: Locations, and observations, ordered together by one task.
 LOCATION_BLOCK = 65_536
@@ -81,12 +82,17 @@ def align_to_axis(
 ) -> DataFrame:
     """Snap every series to the time axis of the longest one.
 
-    The axis is cut to whole minutes, which bounds its length by the calendar.
+    The axis is cut to whole minutes, which bounds its length by the calendar;
+    it is written and measured before the observations are matched with it.
     The result lists filled slots; ``dense`` adds the unfilled ones as missing.
     """
     longest = longest_series(series_length(obs, location), location).select(location).scalar()
-    axis = obs.where(F.col(location) == longest).select(to_minute(F.col(time)).alias("label")).distinct()
-    snapped = nearest_label(obs, axis, time=time, label="label", bucket_seconds=60.0)
+    minutes = obs.where(F.col(location) == longest).select(to_minute(F.col(time)).alias("label"))
+    axis = materialize(minutes.distinct(), "axis")
+    at = epoch_micros(F.col("label"))
+    n, span = axis.agg(F.count("label"), (F.max(at) - F.min(at)) / 60_000_000).first()
+    listed = n + int(span or 0) + 1
+    snapped = nearest_label(obs, axis, time=time, label="label", bucket_seconds=60.0, listed=listed)
     slots = last_write_wins(snapped, value, location, "label", position=position)
     slots = slots.withColumnRenamed("label", time)
     if not dense:

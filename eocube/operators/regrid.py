@@ -57,7 +57,7 @@ def _attach(df: DataFrame, src: GridSpec, dst: GridSpec, key) -> DataFrame:
     cells = _cell_lookup(spark, src, dst).withColumns(
         {"jx": key(F.col("at_x")), "jy": key(F.col("at_y"))}
     )
-    return df.join(cells, ["jy", "jx"])
+    return df.join(small_side(cells, dst.cells), ["jy", "jx"])
 
 
 def _densify(out: DataFrame, dst: GridSpec, keys: Sequence[str]) -> DataFrame:
@@ -125,7 +125,7 @@ def _bilinear(df, src, dst, values, keys) -> DataFrame:
     ).withColumns({"jx": F.col("x_idx") - F.col("right"), "jy": F.col("y_idx") - F.col("low")})
     if separable(src.crs, dst.crs):
         for axis, n in (("x", dst.nx), ("y", dst.ny)):
-            used = _axis_lookup(spark, src, dst, axis).select(_corner(F.col(f"at_{axis}")).alias(f"j{axis}")).distinct()
+            used = _axis_lookup(spark, src, dst, axis).select(_corner(F.col(f"at_{axis}")).alias(f"j{axis}"))
             parts = parts.join(small_side(used, n), f"j{axis}", "left_semi")
     corners = [(v, r, b) for v in values for b in (0, 1) for r in (0, 1)]
     quads = parts.groupBy(*keys, "jy", "jx").agg(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eocube.functions.geodesy import haversine
 from eocube.functions.projection import LONLAT, project
 from eocube.model import GridSpec
+from eocube.operators.sizing import small_side
 
 #: How much longer than on the ground a distance may look in the target
 #: projection; 1.25 covers an azimuthal map to 66 degrees from its centre.
@@ -78,11 +79,12 @@ def resample_points(
     """Grid the observations of scattered locations.
 
     The cell-to-location table does not depend on time; it is found once from
-    the locations and joined with all steps.  A missing value of the nearest
+    the locations and joined with all steps; it has at most one row per target
+    cell, so a moderate grid is broadcast and the observations stay.  A missing value of the nearest
     location stays missing.  ``dense`` lists cells out of reach, as ``fill``.
     """
     cells = nearest_points(points, dst, radius, point_id=point_id).drop("distance")
-    out = obs.join(cells, point_id).select(*keys, "y_idx", "x_idx", *values)
+    out = obs.join(small_side(cells, dst.cells), point_id).select(*keys, "y_idx", "x_idx", *values)
     if not dense:
         return out
     spine = dst.spine(obs.sparkSession)

@@ -263,3 +263,34 @@ def test_text_tables(spark, tmp_path):
 
 def test_workspace_uses_the_shared_folder(spark):
     assert store.workspace(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_job_from_the_command_line(spark, tmp_path):
+    from eocube import jobs
+
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "store")
+    hourly(spark, [1, 2, 3]).write.parquet(landing)
+    jobs.main(["retrieve", landing, target, "--value", "tp", "--start", "2024-01-01", "--end", "2024-01-02"])
+    assert sorted({r.day.day for r in spark.read.parquet(f"{target}/cube").collect()}) == [1, 2]
+    cells, out = str(tmp_path / "built"), str(tmp_path / "out")
+    GRID.spine(spark).withColumn("built", F.lit(3.0)).write.parquet(cells)
+    jobs.main(["built", cells, out, "--grid", "EPSG:4326;0;1;2;-1;2;2", "--extent", "0,0,2,2,EPSG:4326"])
+    assert spark.read.parquet(out).count() == 4
+    with pytest.raises(SystemExit):
+        jobs.main(["melt", cells, out])
+
+
+def test_flood_job(spark, tmp_path):
+    from eocube import jobs
+
+    scenes, land, out = (str(tmp_path / p) for p in ("scenes", "land.geojson", "out"))
+    rows = [(dt.date(2022, 8, 18), b, y, x, float(b)) for b in (0, 1) for y in (0, 1) for x in (0, 1)]
+    rows.append((dt.date(2022, 8, 30), 0, 0, 0, 5.0))
+    spark.createDataFrame(rows, "day date, band int, y_idx long, x_idx long, flood double").write.parquet(scenes)
+    ring = [[0, 0], [1, 0], [1, 2], [0, 2], [0, 0]]
+    with open(land, "w") as f:
+        json.dump({"features": [{"geometry": {"type": "Polygon", "coordinates": [ring]}}]}, f)
+    jobs.main(["flood", scenes, out, "--grid", "EPSG:4326;0;1;2;-1;2;2", "--extent", "0,0,2,2,EPSG:4326",
+               "--start", "2022-08-18", "--polygons", land])
+    got = {(r.y_idx, r.x_idx): r.flood for r in spark.read.parquet(out).collect()}
+    assert got == {(0, 0): 1.0, (1, 0): 1.0, (0, 1): None, (1, 1): None}
