@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Naming rules of the input files.
-GRID_PATTERN = r"EQUI7_(AS|AF|EU|NA|SA|OZ)(\d{3})M"
 TILE_PATTERN = r"E(\d{3})N(\d{3})T(\d)"
 FLOOD_LEVELS = [r"V0M2R3", r"EQUI7_(AS|AF|EU|NA|SA|OZ)020M", r"E\d\d\dN\d\d\dT3"]
 DEM_LEVELS = [r"V01R01", r"EQUI7_(AS|AF|EU|NA|SA|OZ)020M", r"E\d\d\dN\d\d\dT3"]

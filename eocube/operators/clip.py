@@ -14,6 +14,7 @@ from eocube.functions.projection import project
 from eocube.functions.text import extent_ring
 from eocube.model import Extent, GridSpec
 from eocube.operators.sizing import measured_side
+from eocube.sources.store import materialize
 
 #: Least number of cells of one row that share a join key, and the most such
 #: blocks a row is cut into.
@@ -84,8 +85,8 @@ def clip_polygon(
 ) -> DataFrame:
     """Blank the cells outside the polygons, or drop them.
 
-    The stretches are counted first: the polygons of a region give few, which
-    are then broadcast, and the raster is not shuffled.
+    The stretches are written and counted first: the polygons of a region give
+    few, which are then broadcast, and the raster is not shuffled.
 
     Vertices are ``(poly_id, ring_id, seq, x, y)`` with ``seq`` from 0, in the
     grid's own reference system (see :func:`to_crs`).
@@ -96,7 +97,7 @@ def clip_polygon(
     # A stretch may lie beyond the grid; only blocks that hold cells are listed.
     lo = F.greatest(F.lit(0), F.least(*ends))
     hi = F.least(F.lit((spec.nx - 1) // block), F.greatest(*ends))
-    blocks = spans.withColumn("_block", F.explode(F.when(hi >= lo, F.sequence(lo, hi))))
+    blocks = materialize(spans.withColumn("_block", F.explode(F.when(hi >= lo, F.sequence(lo, hi)))), "spans")
     cells = df.withColumn("_block", F.floor(F.col("x_idx") / block))
     cx = spec.center_x(F.col("l.x_idx"))
     hit = (

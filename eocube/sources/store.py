@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eocube.functions.calendar import days_between
 from eocube.functions.geodesy import GLOBAL_STEP_DEG, cell_area, cell_area_exact
 from eocube.functions.projection import LONLAT
 from eocube.model import GridSpec
@@ -101,7 +102,7 @@ def append_dims(spark: SparkSession, root: str, spec: GridSpec = GLOBAL_GRID) ->
 def calendar(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY) -> DataFrame:
     """Daily calendar, both ends included."""
     return spark.range(1).select(
-        F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("day")
+        F.explode(days_between(F.lit(first), F.lit(last))).alias("day")
     )
 
 

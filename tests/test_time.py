@@ -236,6 +236,36 @@ def test_file_listing(spark, tmp_path):
     assert [(r.grid_name, r.tile_name, r.day) for r in files] == [("AS", "E039N012T3", dt.date(2022, 8, 18))]
 
 
+def test_naming_conventions(spark):
+    from eocube.functions import text
+
+    paths = [
+        "/lc/Corine_Land_Cover/2018/E048N012T6/CLC_2018_EU500M_E048N012T6.tif",
+        "/lc/CCI_Land_Cover/V1M0R1/EQUI7_EU500M/E048N012T6/ESACCI_LC_L4_LCCS_Map_300m_P1Y_2015_v2_EU500M_E048N012T6.tif",
+        "/dem/V01R01/EQUI7_AS020M/E039N012T3/DEM.tif",
+        "/other/short.tif",
+    ]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    one = file_catalog(df, text.landcover_name, ["Corine_Land_Cover", *text.LANDCOVER_LEVELS]).collect()
+    assert [(r.var_name, r.grid_name, r.tile_name) for r in one] == [("CLC", "EU500M", "E048N012T6")]
+    two = file_catalog(df, text.cci_name, text.CCI_LEVELS).first()
+    assert (two.product, two.type, two.resolution, two.time, two.tile_name) == ("ESACCI", "LCCS-Map", "300m", "2015", "E048N012T6")
+    assert file_catalog(df, text.scene_name, text.DEM_LEVELS).count() == 1
+    # Names with too few parts give missing fields.
+    short = file_catalog(df.where("path like '%short%'"), text.cci_name).first()
+    assert short.product == "short" and short.tile_name is None
+
+
+def test_dataset_at_a_path(spark, tmp_path):
+    from eocube.sources import catalog as cat
+
+    path = str(tmp_path / "dem")
+    spark.createDataFrame([(0, 0, -9999.0), (0, 1, 12.0)], "y_idx long, x_idx long, dem double").write.parquet(path)
+    got = cat.find_dem(cat.at_path(cat.DEM, spark, path))
+    assert sorted((r.x_idx, r.dem) for r in got.collect()) == [(0, None), (1, 12.0)]
+    assert attrs_of(got, "dem")["location"] == "central-site"
+
+
 def test_geojson(spark, tmp_path):
     ring = [[0, 0], [4, 0], [4, 4], [0, 0]]
     features = [
