@@ -20,7 +20,7 @@ from eocube.operators.reduce import coarsen, composite_max
 from eocube.operators.resample import resample_time
 from eocube.operators.tiles import tile_semi_join
 from eocube.plans.drought import SWATH_GRID
-from eocube.sources.store import calendar, missing_days
+from eocube.sources.store import calendar, materialize, missing_days
 from eocube.sources.vector import vertices_of
 
 FLAGS = q.coarse("fx_scene", "flood", 25, SCENE, q.flag("flood"))
@@ -136,7 +136,7 @@ _TEN_DAYS = q.bins("fx_sm", "y_idx,x_idx", "sm", 10)
             qualify row_number() over (partition by request order by abs(epoch_us(request) - epoch_us(time)), time desc) = 1)
     select h.request, c.time, c.y_idx, c.x_idx, {q6('c.sm')} as sm from hit h join cube c on c.time = h.time""")
 def nearest_time(t: Tables):
-    cube = resample_time(t.sm, 10, "sm")
+    cube = materialize(resample_time(t.sm, 10, "sm"), "means")
     asked = t.events.select(
         (F.to_date("ts").cast("timestamp_ntz") + F.expr("interval 15 hours")).alias("request")
     ).distinct()

@@ -108,6 +108,10 @@ def restructure_landcover(
 
 
 def retro_compare(observed: DataFrame, model: DataFrame, time: str = "time") -> DataFrame:
-    """The observed cube at the step nearest to each of the model's steps."""
+    """The observed cube at the step nearest to each of the model's steps.
+
+    Resampled cubes are small beside what they come from; the observed one is
+    written once, since its time axis and its values both read it.
+    """
     steps = model.select(F.col(time).alias("request")).distinct()
-    return select_nearest(observed, steps, time=time)
+    return select_nearest(materialize(observed, "observed"), steps, time=time)
