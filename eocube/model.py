@@ -33,10 +33,11 @@ class Extent:
     @classmethod
     def parse(cls, text: str) -> Extent:
         """Read ``"min_x, min_y, max_x, max_y[, crs]"``."""
-        parts = [p.strip() for p in text.split(",")]
-        if len(parts) not in (4, 5):
+        fields = text.split(",")
+        if len(fields) not in (4, 5):
             raise ValueError(f"an extent has 4 numbers and an optional crs: {text!r}")
-        return cls(*map(float, parts[:4]), parts[4] if len(parts) == 5 else None)
+        crs = fields.pop().strip() if len(fields) == 5 else None
+        return cls(*(float(f) for f in fields), crs)
 
     def corners(self) -> tuple[float, float, float, float]:
         return self.min_x, self.min_y, self.max_x, self.max_y
