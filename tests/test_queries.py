@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from eocube import bindings
 from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = bindings.queries(), bindings.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +34,4 @@ def test_entry_has_rows(spark):
 
 def test_every_query_has_a_check():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
