@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from eocube.llm.spans import Hasher, pieces, units
+from eocube.llm.spans import Hasher, U, pieces, units
 
-KEPT_UNITS = 300_000
+KEPT_UNITS = 1_500_000
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -21,6 +22,31 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
+class Known:
+    """Sorted 64-bit hashes with a number each; forgets everything once it is full."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.values = np.zeros(0, U), np.zeros(0, np.int64)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of hashes, and which of them are known."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return self.values[at], self.keys[at] == hashes
+
+    def add(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        keys = np.concatenate([self.keys, hashes[order]])
+        values = np.concatenate([self.values, values[order]])
+        merge = np.argsort(keys, kind="stable")  # two sorted runs
+        self.keys, self.values = keys[merge], values[merge]
+
+
 def first_places(codes: np.ndarray, count: int) -> np.ndarray:
     """For each code the index of its first occurrence."""
     first = np.empty(count, np.int64)
@@ -29,36 +55,45 @@ def first_places(codes: np.ndarray, count: int) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts unit by unit; ids of recent distinct units are kept by their 64-bit hash."""
+    """Encodes texts unit by unit; the ids of distinct units are kept by their 64-bit hash."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.known = Known(KEPT_UNITS)
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.lengths: list[int] = []
-        self.ids: list[list[int]] = []
-
-    def _slots(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[int]:
-        if len(self.known) + len(hashes) > KEPT_UNITS:
+        self.known.clear()
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _encode_units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def _slots(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if len(self.known.keys) + len(hashes) > self.known.limit:
             self._clear()
-        known = self.known
-        keys = hashes.tolist()
-        new = [i for i, k in enumerate(keys) if k not in known]
-        if new:
+        slots, hit = self.known.find(hashes)
+        new = np.flatnonzero(~hit)
+        if len(new):
             data = buf.tobytes()
-            s, e = start.tolist(), end.tolist()
-            texts = [data[s[i] : e[i]].decode("utf-8") for i in new]
-            for i, enc in zip(new, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-                ids = enc.ids
-                known[keys[i]] = len(self.ids)
-                self.ids.append(ids)
-                self.lengths.append(len(ids))
-        return [known[k] for k in keys]
+            texts = [data[s:e].decode("utf-8") for s, e in zip(start[new].tolist(), end[new].tolist())]
+            ids, size = self._encode_units(texts)
+            if self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+            self.flat[self.used : self.used + len(ids)] = ids
+            slots[new] = len(self.length) + np.arange(len(new))
+            self.begin = np.concatenate([self.begin, self.used + np.cumsum(size) - size])
+            self.length = np.concatenate([self.length, size])
+            self.used += len(ids)
+            self.known.add(hashes[new], slots[new])
+        return slots
 
     def encode(self, column: pa.Array, end_id: int):
         """Runs of rows: first row, ids of all rows one after the other, offsets; each row ends with ``end_id``."""
@@ -66,18 +101,13 @@ class Encoder:
             start, stop, first = units(buf, offsets)
             codes, hashes = pd.factorize(Hasher(buf).ranges(start, stop))
             at = first_places(codes, len(hashes))
-            slots = self._slots(hashes, buf, start[at], stop[at])
-            flat = np.array([x for k in slots for x in self.ids[k]], np.uint32)
-            length = np.array([self.lengths[k] for k in slots], np.int64)
-            begin = np.cumsum(length) - length
-            # per unit its ids, and one place behind the last unit of a row for the end id
-            counts = length[codes] if len(codes) else np.zeros(0, np.int64)
+            slots = self._slots(hashes, buf, start[at], stop[at])[codes]
+            begin, counts = self.begin[slots], self.length[slots]
             total = np.concatenate([[0], np.cumsum(counts)])
             row_start = total[first] + np.arange(len(offsets))
             out = np.full(int(row_start[-1]), end_id, np.uint32)
-            if len(codes):
-                row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-                shift = begin[codes] - total[:-1] 
-                where = np.arange(int(total[-1]))
-                out[where + np.repeat(row, counts)] = flat[where + np.repeat(shift, counts)]
+            # a row's ids lie as many places later as rows end before it
+            row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            where = np.arange(int(total[-1]))
+            out[where + np.repeat(row, counts)] = self.flat[where + np.repeat(begin - total[:-1], counts)]
             yield i, out, row_start

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.tables import ascii_lower
+from eocube.llm.tables import ascii_lower, free_name
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -91,11 +91,12 @@ def drop_repeated_lines(docs: DataFrame, **rule) -> DataFrame:
     ``doc_id`` are one document, whose rows all keep or lose a line at a position
     together; an empty table stays empty.
     """
+    node, bitmap = free_name(docs, "_node"), free_name(docs, "_bitmap")
     maps = keep_bitmaps(docs.select("doc_id", "text"), **rule).select(
-        F.col("doc_id").alias("_line_doc"), F.col("dropped").alias("_line_map")
+        F.col("doc_id").alias(node), F.col("dropped").alias(bitmap)
     )
-    joined = docs.join(maps, docs["doc_id"].eqNullSafe(maps["_line_doc"]), "left")
-    return joined.withColumn("text", kept_text(F.col("text"), F.col("_line_map"))).select(*docs.columns)
+    joined = docs.join(maps, docs["doc_id"].eqNullSafe(maps[node]), "left")
+    return joined.withColumn("text", kept_text(F.col("text"), F.col(bitmap))).select(*docs.columns)
 
 
 def line_dedup(docs: DataFrame, **rule) -> DataFrame:

@@ -24,6 +24,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text) -> "F.Column":
     """A-Z lower-cased, every other character untouched."""
     c = F.col(text) if isinstance(text, str) else text

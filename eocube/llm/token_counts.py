@@ -26,14 +26,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.encode import first_places
+from eocube.llm.encode import Known, first_places
 from eocube.llm.spans import Hasher, pieces, units
 
 # Fixed value: the pre-token pattern of the byte-level scheme.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK_CHARS = 65_536
-KEPT_UNITS = 400_000
-KEPT_STATES = 100_000
+KEPT_UNITS = 2_000_000
+KEPT_STATES = 200_000
 KEPT_PAIRS = 300_000
 _compiled: dict[str, "Transducer"] = {}
 
@@ -46,28 +46,50 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Transducer:
-    """The compiled counter of one tokenizer file of BPE over bytes."""
+    """The compiled counter of one tokenizer file of BPE over bytes.
+
+    Tokens are numbered by their merge, single bytes first, so that the smaller of two
+    merges runs first.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self._require(spec)
         symbols = byte_symbols()
-        raw = lambda s: bytes(symbols[c] for c in s)
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.tokens = {bytes([b]) for b in range(256)}
-        self.rank: dict[tuple[bytes, bytes], int] = {}
-        for r, (a, b) in enumerate(pairs):
-            left, right = raw(a), raw(b)
-            self.rank[left, right] = r
-            self.tokens.add(left + right)
-        self.prefixes = {t[:k] for t in self.tokens for k in range(1, len(t))}
+        number = {bytes([b]): b for b in range(256)}
+        self.pairs: dict[tuple[int, int], int] = {}
+        self.halves: list[tuple[int, int]] = [(b, b) for b in range(256)]
+        for m in spec["model"]["merges"]:
+            left, right = (bytes(symbols[c] for c in s) for s in (m if isinstance(m, list) else m.split(" ")))
+            if left + right in number:
+                raise ValueError("a token is made by two merges")
+            self.pairs[number[left], number[right]] = number[left + right] = len(self.halves)
+            self.halves.append((number[left], number[right]))
+        # the trie of all tokens: children by node and byte, and each node's token
+        self.child: dict[int, int] = {}
+        self.token_at = [-1]
+        for data, token in number.items():
+            node = 0
+            for b in data:
+                step = node << 8 | b
+                if step not in self.child:
+                    self.child[step] = len(self.token_at)
+                    self.token_at.append(-1)
+                node = self.child[step]
+            self.token_at[node] = token
+        inner = {step >> 8 for step in self.child}
+        self.grows = [n in inner for n in range(len(self.token_at))]
+        # tokens that their own bytes encode to
+        for token, (left, right) in enumerate(self.halves):
+            if token >= 256 and not self._joins(left, right, token):
+                raise ValueError("a token does not encode to itself")
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.pretoken = regex.compile(PRETOKEN)
         self.splits = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.fits: dict[int, bool] = {}
+        self.known = Known(KEPT_UNITS)
         self._reset_states()
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.counts: dict[int, int] = {}
 
     @staticmethod
     def _require(spec: dict) -> None:
@@ -82,49 +104,61 @@ class Transducer:
             raise ValueError("only plain byte-level BPE files can be compiled")
 
     def _reset_states(self) -> None:
-        # a state: for each byte string still open its bytes, and the last token and the count before it;
-        # counts are relative to the current one
-        begin = ((b"", b"", 0),)
+        # a state: for each byte string still open its trie node, and the last token and the count before
+        # it; -1 is no token, counts are relative to the current one
+        begin = (0, -1, 0)
         self.names: dict[tuple, int] = {begin: 0}
         self.states: list[tuple] = [begin]
-        self.moves: list[dict[int, tuple[int, int]]] = [{}]
-
-    def _merged(self, data: bytes) -> list[bytes]:
-        """The encoding of a short byte string by its merges: lowest rank first, left to right."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            ranks = [self.rank.get(p, len(self.rank)) for p in zip(parts, parts[1:])]
-            low = min(ranks)
-            if low == len(self.rank):
-                break
-            i = ranks.index(low)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
-
-    def _follows(self, left: bytes, right: bytes) -> bool:
-        """Whether the two tokens side by side encode as themselves; an empty left asks for the right alone."""
-        key = (left, right)
-        if key not in self.fits:
+        self.moves: dict[int, tuple[int, int]] = {}
+
+    def _joins(self, left: int, right: int, limit: int) -> bool:
+        """Whether two tokens stay apart until merge ``limit``, that is, no merge across their border runs before it.
+
+        Merges run by number. Undoing the later of the last merges of both sides shows what
+        stood at the border when each merge ran; a pair there with a smaller number than the
+        merge undone last would have merged across.
+        """
+        pairs, halves = self.pairs, self.halves
+        while True:
+            across = pairs.get((left, right))
+            if across is not None and across < limit:
+                return False
+            if left < 256 and right < 256:
+                return True
+            if left > right:  # the left one was merged later
+                limit, left = min(limit, left), halves[left][1]
+            else:  # of the same merge the left one ran first, so a tie lets the border pair go
+                limit, right = min(limit, right + 1), halves[right][0]
+
+    def _follows(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side encode as themselves."""
+        key = left << 32 | right
+        known = self.fits.get(key)
+        if known is None:
             if len(self.fits) > KEPT_PAIRS:
                 self.fits.clear()
-            self.fits[key] = self._merged(left + right) == ([left, right] if left else [right])
-        return self.fits[key]
+            known = self.fits[key] = self._joins(left, right, len(self.halves))
+        return known
 
     def _step(self, state: int, byte: int) -> tuple[int, int]:
         """The transition of a state by a byte: next state and tokens emitted."""
-        c = bytes([byte])
-        token, emitted, grown = b"", 0, []
-        for tail, last, count in self.states[state]:
-            s = tail + c
-            if not token and s in self.tokens and self._follows(last, s):
-                token, emitted = s, count + 1
-            if s in self.prefixes:
-                grown.append((s, last, count))
-        entries = (*((s, t, n - emitted) for s, t, n in grown), (b"", token, 0))
+        token, emitted, grown = -1, 0, []
+        open_now = self.states[state]
+        for k in range(0, len(open_now), 3):
+            last = open_now[k + 1]
+            node = self.child.get(open_now[k] << 8 | byte)
+            if node is None:
+                continue
+            if token < 0:
+                found = self.token_at[node]
+                if found >= 0 and (last < 0 or self._follows(last, found)):
+                    token, emitted = found, open_now[k + 2] + 1
+            if self.grows[node]:
+                grown.append((node, last, open_now[k + 2]))
+        entries = (*(x for n, t, c in grown for x in (n, t, c - emitted)), 0, token, 0)
         if entries not in self.names:
             self.names[entries] = len(self.states)
             self.states.append(entries)
-            self.moves.append({})
         return self.names[entries], emitted
 
     def pretoken_count(self, data: bytes) -> int:
@@ -133,9 +167,9 @@ class Transducer:
         state = total = 0
         moves = self.moves
         for b in data:
-            hop = moves[state].get(b)
+            hop = moves.get(state << 8 | b)
             if hop is None:
-                hop = moves[state][b] = self._step(state, b)
+                hop = moves[state << 8 | b] = self._step(state, b)
             state, emitted = hop
             total += emitted
         return total
@@ -150,14 +184,16 @@ class Transducer:
 
     def unit_counts(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Counts of distinct units, from those of before where the hash is known."""
-        if len(self.counts) + len(hashes) > KEPT_UNITS:
-            self.counts = {}
-        known, keys, data = self.counts, hashes.tolist(), buf.tobytes()
-        s, e = start.tolist(), end.tolist()
-        for i, k in enumerate(keys):
-            if k not in known:
-                known[k] = self.count(data[s[i] : e[i]].decode("utf-8"))
-        return np.fromiter((known[k] for k in keys), np.int64, len(keys))
+        if len(self.known.keys) + len(hashes) > self.known.limit:
+            self.known.clear()
+        counts, hit = self.known.find(hashes)
+        new = np.flatnonzero(~hit)
+        if len(new):
+            data = buf.tobytes()
+            found = [self.count(data[s:e].decode("utf-8")) for s, e in zip(start[new].tolist(), end[new].tolist())]
+            counts[new] = found
+            self.known.add(hashes[new], counts[new])
+        return counts
 
 
 def transducer(path: str) -> Transducer:
