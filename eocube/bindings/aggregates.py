@@ -112,16 +112,29 @@ def distinct_tiles_(t: Tables):
 
 
 @query("series_length", """
-    select location_id, count(*) as n from fx_point_obs
-    where time between timestamp '2024-01-05' and timestamp '2024-01-25' group by 1""")
+    select p.location_id, count(o.location_id) as n from fx_points p left join
+      (select * from fx_point_obs where time between timestamp '2024-01-05' and timestamp '2024-01-25') o on o.location_id = p.location_id
+    group by 1""")
 def series_length_(t: Tables):
-    return series_length(time_slice(t.point_obs, dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 25)))
+    """Locations without observations count 0."""
+    inside = time_slice(t.point_obs, dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 25))
+    return series_length(inside, locations=t.points)
 
 
 @query("longest_series", """
-    select location_id, n from (select l_orderkey as location_id, count(*) as n from lineitem group by 1) order by n desc, location_id limit 1""")
+    select location_id, n from (
+      select s_suppkey as location_id, s_nationkey as file_id, (s_suppkey * 7) % 1000 as pos, count(l_suppkey) as n
+      from supplier left join lineitem on l_suppkey = s_suppkey and l_quantity > 49 group by 1, 2, 3)
+    order by n desc, file_id, pos, location_id limit 1""")
 def longest_series_(t: Tables):
-    return longest_series(series_length(t.lineitem.select(F.col("l_orderkey").alias("location_id"))))
+    """Of equally long series the first in the files' order, which is not that of the ids."""
+    places = t.supplier.select(
+        F.col("s_suppkey").alias("location_id"), F.col("s_nationkey").alias("file_id"), (F.col("s_suppkey") * 7 % 1000).alias("pos")
+    )
+    obs = t.lineitem.where("l_quantity > 49").select(F.col("l_suppkey").alias("location_id"))
+    order = ("file_id", "pos", "location_id")
+    lengths = series_length(obs, locations=places, order=order[:2])
+    return longest_series(lengths, order=order).select("location_id", "n")
 
 
 @query("mosaic", f"""

@@ -73,14 +73,21 @@ VIEWS: dict[str, str] = {
         select user_id as location_id, ts as time, value / 497e0 as sm from {events}""",
     # Events are numbered in time order, so the hours of a day are contiguous
     # stretches of that day's file; the time counts from the start of the hour.
+    # Ids do not follow the place in the file, two hours are padding with one
+    # id, and place 12 is a location without observations.
     "ragged_owner": """
         select cast(cast(ts as date) - date '2023-12-31' as bigint) as file_id,
-               cast(cast(ts as date) - date '2024-01-01' as bigint) * 24 + hour(ts) as location_id,
+               cast(hour(ts) + case when hour(ts) >= 12 then 1 else 0 end as bigint) as pos,
+               cast(case when hour(ts) in (3, 17) then -1 else 1000 + cast(cast(ts as date) - date '2024-01-01' as bigint) * 25 + (hour(ts) * 7) % 24 end as bigint) as location_id,
                timestamp '2022-03-01 00:00:00' + (ts - date_trunc('hour', ts)) as time, value as sm,
                event_id - min(event_id) over (partition by cast(ts as date)) as obs_idx
         from {events}""",
     "ragged_loc": """
-        select file_id, location_id, count(*) as row_size from fx_ragged_owner group by 1, 2""",
+        select file_id, pos, location_id, count(*) as row_size, 37e0 + pos / 8e0 as lat, 7e0 + file_id / 4e0 as lon
+        from fx_ragged_owner group by 1, 2, 3
+        union all
+        select distinct file_id, cast(12 as bigint), 1000 + (file_id - 1) * 25 + 24, cast(0 as bigint), 37e0 + 12 / 8e0, 7e0 + file_id / 4e0
+        from fx_ragged_owner""",
     "coverage": """
         select distinct cast(ts as date) as day, case when extract(day from ts) % 3 = 0 then 0 else 1 end as covered
         from {events}""",
@@ -119,7 +126,8 @@ def _ragged(t):
     number = F.datediff("day", F.lit("2024-01-01").cast("date")).cast("bigint")
     return hours.select(
         (number + 1).alias("file_id"),
-        (number * 24 + F.hour(ts)).alias("location_id"),
+        (F.hour(ts) + F.when(F.hour(ts) >= 12, 1).otherwise(0)).cast("bigint").alias("pos"),
+        F.when(F.hour(ts).isin(3, 17), -1).otherwise(1000 + number * 25 + (F.hour(ts) * 7) % 24).cast("bigint").alias("location_id"),
         F.make_timestamp_ntz(F.lit(2022), F.lit(3), F.lit(1), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts)).alias("time"),
         F.col("value").alias("sm"),
         (F.col("event_id") - F.col("first")).alias("obs_idx"),
@@ -127,13 +135,17 @@ def _ragged(t):
 
 
 def _ragged_loc(t):
-    keys = ["file_id", "location_id"]
-    return _ragged(t).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_size"))
+    found = _ragged(t).groupBy("file_id", "pos", "location_id").agg(F.count(F.lit(1)).alias("row_size"))
+    empty = found.select(
+        "file_id", F.lit(12).cast("bigint").alias("pos"), (1000 + (F.col("file_id") - 1) * 25 + 24).alias("location_id"),
+        F.lit(0).cast("bigint").alias("row_size"),
+    ).distinct()
+    return found.unionByName(empty).withColumns({"lat": 37.0 + F.col("pos") / 8, "lon": 7.0 + F.col("file_id") / 4})
 
 
 SPARK_VIEWS = {
     "dem": _dem,
     "ragged_owner": _ragged,
-    "ragged_obs": lambda t: _ragged(t).drop("location_id"),
+    "ragged_obs": lambda t: _ragged(t).drop("location_id", "pos"),
     "ragged_loc": _ragged_loc,
 }

@@ -152,14 +152,14 @@ def missing_days_(t: Tables):
 
 
 
-def aligned(series: str) -> str:
+def aligned(series: str, longest: str = "") -> str:
     """Series on the longest one's axis, by comparing every time with every label."""
+    longest = longest or f"select location_id from (select location_id, count(*) as n from {series} group by 1) order by n desc, location_id limit 1"
     return f"""
       select location_id, s.label as time, max_by(sm, obs_idx) as sm
       from {series} o join (
         select time, label from (select distinct time from {series}),
-          (select distinct date_trunc('minute', time) as label from {series} where location_id = (
-             select location_id from (select location_id, count(*) as n from {series} group by 1) order by n desc, location_id limit 1))
+          (select distinct date_trunc('minute', time) as label from {series} where location_id = ({longest}))
         qualify row_number() over (partition by time order by abs(epoch_us(time) - epoch_us(label)), label desc) = 1) s on s.time = o.time
       group by 1, 2"""
 

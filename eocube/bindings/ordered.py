@@ -20,17 +20,19 @@ from eocube.operators.tiles import sorted_tiles
 from eocube.plans.flood import accumulate_rain
 from eocube.sources.store import missing_days
 
-RAIN_BOX = Extent(65.02, 28.02, 68.98, 30.98, "EPSG:4326")
+#: Rows 1 to 29 and columns 1 to 39 of the rain grid.
+RAIN_BOX = Extent(65.12, 28.02, 68.98, 30.88, "EPSG:4326")
+IN_RAIN_BOX = "65e0 + 0.1e0 * (x_idx + 0.5e0) between 65.12e0 and 68.98e0 and 31e0 - 0.1e0 * (y_idx + 0.5e0) between 28.02e0 and 30.88e0"
 RAIN_START, RAIN_END = dt.date(2024, 1, 8), dt.date(2024, 1, 20)
-ACCUMULATED = """
-    select day, y_idx, x_idx, sum(coalesce(tp, 0)) over (partition by y_idx, x_idx order by day) * 1000 as tp from fx_tp
+ACCUMULATED = f"""
+    select day, y_idx - 1 as y_idx, x_idx - 1 as x_idx, sum(coalesce(tp, 0)) over (partition by y_idx, x_idx order by day) * 1000 as tp from fx_tp
     where day between date '2024-01-08' and date '2024-01-20'
-      and 65e0 + 0.1e0 * (x_idx + 0.5e0) between 65.02e0 and 68.98e0 and 31e0 - 0.1e0 * (y_idx + 0.5e0) between 28.02e0 and 30.98e0"""
+      and {IN_RAIN_BOX}"""
 
 
 @query("accumulate_rain", f"select day, y_idx, x_idx, {q6('tp')} as tp from ({ACCUMULATED})")
 def accumulate_rain_(t: Tables):
-    return rounded(accumulate_rain(t.tp, RAIN, RAIN_START, RAIN_END, RAIN_BOX, "day"), "tp")
+    return rounded(accumulate_rain(t.tp, RAIN, RAIN_START, RAIN_END, RAIN_BOX, "day")[0], "tp")
 
 
 @query("accumulate_strict", f"""
@@ -42,18 +44,18 @@ def accumulate_strict(t: Tables):
 
 
 _OFFSETS = """
-    select file_id, location_id, row_size, cast(sum(row_size) over (partition by file_id order by location_id) as bigint) as cum_sum from fx_ragged_loc"""
+    select file_id, pos, location_id, row_size, cast(sum(row_size) over (partition by file_id order by pos) as bigint) as cum_sum from fx_ragged_loc"""
 
 
 @query("ragged_cumsum", _OFFSETS)
 def ragged_cumsum(t: Tables):
-    return ragged_offsets(t.ragged_loc).select("file_id", "location_id", "row_size", "cum_sum")
+    return ragged_offsets(t.ragged_loc).select("file_id", "pos", "location_id", "row_size", "cum_sum")
 
 
 @query("ragged_offset", f"""
-    select file_id, location_id, coalesce(lag(cum_sum) over (partition by file_id order by location_id), 0) as "offset" from ({_OFFSETS})""")
+    select file_id, pos, location_id, coalesce(lag(cum_sum) over (partition by file_id order by pos), 0) as "offset" from ({_OFFSETS})""")
 def ragged_offset(t: Tables):
-    return ragged_offsets(t.ragged_loc).select("file_id", "location_id", "offset")
+    return ragged_offsets(t.ragged_loc).select("file_id", "pos", "location_id", "offset")
 
 
 @query("last_write_wins", """
@@ -117,7 +119,7 @@ def first_step(t: Tables):
     with cube as ({ACCUMULATED}) select day, y_idx, x_idx, {q6('tp')} as tp from cube
     where day = (select day from (select distinct day from cube) order by day limit 1 offset 12)""")
 def nth_step(t: Tables):
-    total = accumulate_rain(t.tp, RAIN, RAIN_START, RAIN_END, RAIN_BOX, "day")
+    total, _ = accumulate_rain(t.tp, RAIN, RAIN_START, RAIN_END, RAIN_BOX, "day")
     return rounded(nearest.nth_step(total, 12, "day"), "tp")
 
 

@@ -49,19 +49,19 @@ def day_select(t: Tables):
 
 
 @query("bbox_slice", f"""
-    select day, y_idx, x_idx, {q6('tp')} as tp from fx_tp
+    select day, y_idx - 1 as y_idx, x_idx - 2 as x_idx, {q6('tp')} as tp from fx_tp
     where 65e0 + 0.1e0 * (x_idx + 0.5e0) between 65.22e0 and 66.08e0 and 31e0 - 0.1e0 * (y_idx + 0.5e0) between 30.12e0 and 30.93e0""")
 def bbox_slice(t: Tables):
-    return rounded(sel.bbox_slice(t.tp, RAIN, Extent(65.22, 30.93, 66.08, 30.12)), "tp")
+    return rounded(sel.bbox_slice(t.tp, RAIN, Extent(65.22, 30.93, 66.08, 30.12))[0], "tp")
 
 
 @query("clip_box", """
-    select day, band, y_idx, x_idx, flood from fx_scene
+    select day, band, y_idx - 129 as y_idx, x_idx - 29 as x_idx, flood from fx_scene
     where 65e0 + 0.02e0 * (x_idx + 0.5e0) between degrees(7301000e0 / 6378137e0) and degrees(7502000e0 / 6378137e0)
       and 31e0 - 0.02e0 * (y_idx + 0.5e0) between degrees(2 * atan(exp(2801000e0 / 6378137e0)) - pi() / 2)
                                               and degrees(2 * atan(exp(3302000e0 / 6378137e0)) - pi() / 2)""")
 def clip_box(t: Tables):
-    return sel.clip_box(t.scene, SCENE, Extent(7301000, 2801000, 7502000, 3302000, "EPSG:3857"))
+    return sel.clip_box(t.scene, SCENE, Extent(7301000, 2801000, 7502000, 3302000, "EPSG:3857"))[0]
 
 
 @query("mask_drop", f"""
@@ -73,7 +73,7 @@ def mask_drop(t: Tables):
 
 @query("valid_location", """
     select file_id, location_id, row_size, cum_sum, cum_sum - row_size as "offset" from (
-      select *, cast(sum(row_size) over (partition by file_id order by location_id) as bigint) as cum_sum from fx_ragged_loc)
+      select *, cast(sum(row_size) over (partition by file_id order by pos) as bigint) as cum_sum from fx_ragged_loc)
     where location_id > 0""")
 def valid_location(t: Tables):
     return sel.valid_location(ragged_offsets(t.ragged_loc)).select("file_id", "location_id", "row_size", "cum_sum", "offset")

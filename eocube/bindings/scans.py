@@ -151,9 +151,9 @@ def vector_read(t: Tables):
     return rounded(i64(vertices, "ring_id", "seq"), "x", "y")
 
 
-@query("raster_roi_read", f"select day, y_idx, x_idx, flood from fx_scene where band = 1 and {IN_SCENE_BOX}")
+@query("raster_roi_read", f"select day, y_idx - 50 as y_idx, x_idx - 25 as x_idx, flood from fx_scene where band = 1 and {IN_SCENE_BOX}")
 def raster_roi_read_(t: Tables):
-    return raster_roi_read(t.scene, SCENE, SCENE_BOX, band=1)
+    return raster_roi_read(t.scene, SCENE, SCENE_BOX, band=1)[0]
 
 
 @query("cube_write", f"select day, y_idx, x_idx, {q6('tp')} as tp from fx_tp")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from eocube import jobs
 from eocube.bindings import sqltext as q
 from eocube.bindings.fixtures import BUILT, RAIN
-from eocube.bindings.registry import Tables, q6, query, rounded
-from eocube.functions.projection import WEB_MERCATOR
+from eocube.bindings.registry import Tables, i64, q6, query, rounded
+from eocube.functions.projection import LONLAT, WEB_MERCATOR
+from eocube.model import GridSpec
 from eocube.operators.combine import concat
 from eocube.operators.reduce import coarsen
 from eocube.sources import catalog as cat
@@ -20,7 +21,17 @@ from eocube.streaming import steps
 from eocube.streaming.cache import fill_from_stream
 
 #: The days arrive in three deliveries; the stream runs after each.
-DELIVERIES = [(1, 10), (11, 20), (21, 30)]
+DELIVERIES = 3
+
+
+def _days(cells) -> list[dt.date]:
+    """The calendar of a table, in order."""
+    return [r.day for r in cells.select("day").distinct().orderBy("day").collect()]
+
+
+def _parts(days: list[dt.date]) -> list[list[dt.date]]:
+    cut = [len(days) * i // DELIVERIES for i in range(DELIVERIES + 1)]
+    return [days[a:b] for a, b in zip(cut, cut[1:])]
 
 
 def _deliver(t: Tables, run):
@@ -28,8 +39,7 @@ def _deliver(t: Tables, run):
     root = store.workspace(t.spark, "stream")
     cells = t.tp
     landing, out, check = (f"{root}/{p}" for p in ("landing", "out", "checkpoint"))
-    for first, last in DELIVERIES:
-        days = [dt.date(2024, 1, d) for d in range(first, last + 1)]
+    for days in _parts(_days(cells)):
         steps.land_steps(cells, landing, days)
         query_run = run(steps.step_stream(t.spark, landing, cells.schema), out, check)
     return out, query_run
@@ -40,12 +50,19 @@ STRICT = """
            then sum(tp * 1000) over (partition by y_idx, x_idx order by day) end as tp from fx_tp"""
 
 
-@query("step_stream", f"select day, count(*) as cells, {q6('sum(tp)')} as total from fx_tp group by 1")
+@query("step_stream", f"select day, count(*) as cells, {q6('sum(tp)')} as total, row_number() over (order by day) - 1 as step from fx_tp group by 1")
 def step_stream(t: Tables):
-    """The stream hands on every cell of every step once."""
-    out, _ = _deliver(t, steps.run_to_files)
-    days = t.spark.read.parquet(out).groupBy("day").agg(F.count(F.lit(1)).alias("cells"), F.sum("tp").alias("total"))
-    return rounded(days, "total")
+    """The stream hands on one step at a time, every cell of it, in order."""
+    root = store.workspace(t.spark, "steps")
+    cells = t.tp
+    steps.land_each(cells, f"{root}/landing", _days(cells))
+
+    def send(batch, batch_id):
+        sums = batch.groupBy("day").agg(F.count(F.lit(1)).alias("cells"), F.sum("tp").alias("total"))
+        sums.write.mode("overwrite").parquet(f"{root}/out/step={batch_id}")
+
+    steps.run_each(send, steps.step_stream(t.spark, f"{root}/landing", cells.schema, files_per_batch=1), f"{root}/checkpoint")
+    return rounded(i64(t.spark.read.parquet(f"{root}/out"), "step"), "total")
 
 
 @query("run_stream", f"select y_idx, x_idx, count(*) as days, {q6('max(tp)')} as top from fx_tp group by 1, 2")
@@ -78,7 +95,8 @@ def stream_close(t: Tables):
 
 
 @query("stream_progress", """
-    select count(*) as rows from fx_tp where day between date '2024-01-21' and date '2024-01-30'""")
+    with days as (select day, row_number() over (order by day) - 1 as i, count(*) over () as n from (select distinct day from fx_tp))
+    select count(*) as rows from fx_tp where day in (select day from days where i >= floor(n * 2 / 3))""")
 def stream_progress(t: Tables):
     """Rows the last run reports: those of the last delivery."""
     _, last = _deliver(t, steps.run_to_files)
@@ -88,12 +106,16 @@ def stream_progress(t: Tables):
 @query("cache_fill", f"""
     select day, y_idx, x_idx, {q6('coalesce(sum(tp), 0)')} as tp from fx_hourly group by 1, 2, 3""")
 def cache_fill(t: Tables):
-    """Hourly slices land in deliveries that overlap; each day is stored once."""
+    """Hourly slices land in deliveries that cut days in two and overlap; each day is stored whole."""
     root = store.workspace(t.spark, "cache")
     hourly, landing = t.hourly, f"{root}/landing"
-    for first, last in [(1, 12), (10, 20), (18, 30)]:
-        steps.land_steps(hourly, landing, [dt.date(2024, 1, d) for d in range(first, last + 1)])
-        fill_from_stream(steps.step_stream(t.spark, landing, hourly.schema), f"{root}/store", "tp", f"{root}/checkpoint")
+    parts = _parts(_days(hourly))
+    for i, days in enumerate(parts):
+        # the first day of the next delivery has already landed up to noon
+        early = hourly.where(F.col("day").isin(parts[i + 1][:1]) & (F.col("step") < 12)) if i + 1 < len(parts) else hourly.limit(0)
+        hourly.where(F.col("day").isin(days)).unionByName(early).write.mode("append").parquet(landing)
+        stream = steps.step_stream(t.spark, landing, hourly.schema)
+        fill_from_stream(stream, f"{root}/store", "tp", f"{root}/checkpoint", landing=landing)
     return rounded(t.spark.read.parquet(f"{root}/store/cube").select("day", "y_idx", "x_idx", "tp"), "tp")
 
 
@@ -124,7 +146,7 @@ def stream_sink(t: Tables):
             return t.spark.read.parquet(self.path).drop("batch").withColumn("wet", F.lit(True))
 
     root = store.workspace(t.spark, "sink")
-    steps.land_steps(t.tp, f"{root}/landing", [dt.date(2024, 1, d) for d in range(1, 31)])
+    steps.land_steps(t.tp, f"{root}/landing", _days(t.tp))
     stream = steps.step_stream(t.spark, f"{root}/landing", t.tp.schema)
     return steps.run_to_sink(stream, WetCells(f"{root}/out"), f"{root}/checkpoint")
 
@@ -154,9 +176,13 @@ def method_dispatch(t: Tables):
     return rounded(concat(parts), "built").select("method", "y_idx", "x_idx", "built")
 
 
+_BUILT_CROP = GridSpec(LONLAT, 65.5, 0.01, 30.0, -0.01, 200, 600)
+_BUILT_CROP_MERC = GridSpec(WEB_MERCATOR, 7291426.646959418, 1237.2153585972333, 3503549.843504374, -1237.2153585972333, 180, 607)
+
+
 @query("jobs", f"""
-    with cut as (select * from fx_built where 65e0 + 0.01e0 * (x_idx + 0.5e0) between 65.5025e0 and 67.4975e0 and 31e0 - 0.01e0 * (y_idx + 0.5e0) between 24.0025e0 and 29.9975e0)
-    select y_idx, x_idx, {q6('built')} as built from ({q.nearest(q.mercator_lookup(BUILT, BUILT.project(WEB_MERCATOR)), 'cut', '', 'built')})""")
+    with cut as (select y_idx - 100 as y_idx, x_idx - 50 as x_idx, built from fx_built where 65e0 + 0.01e0 * (x_idx + 0.5e0) between 65.5025e0 and 67.4975e0 and 31e0 - 0.01e0 * (y_idx + 0.5e0) between 24.0025e0 and 29.9975e0)
+    select y_idx, x_idx, {q6('built')} as built from ({q.nearest(q.mercator_lookup(_BUILT_CROP, _BUILT_CROP_MERC), 'cut', '', 'built')})""")
 def jobs_(t: Tables):
     """The batch job for built-up land, written and read back."""
     root = store.workspace(t.spark, "job")

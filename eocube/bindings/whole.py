@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from eocube.bindings import sqltext as q
 from eocube.bindings.fixtures import BUILT, DEM, LANDCOVER, POLYGONS, RAIN, SCENE
 from eocube.bindings.joins import NEAREST_POINTS, TILE_BOX, aligned, files_catalog, tile_table
-from eocube.bindings.ordered import ACCUMULATED, RAIN_BOX, RAIN_END, RAIN_START
+from eocube.bindings.ordered import ACCUMULATED, IN_RAIN_BOX, RAIN_BOX, RAIN_END, RAIN_START
 from eocube.bindings.registry import Tables, i64, q6, query, r6, rounded
 from eocube.bindings.scans import SCENE_BOX
 from eocube.bindings.streams import running_accumulator
 from eocube.functions.projection import LONLAT, WEB_MERCATOR, project_point
-from eocube.model import Extent
+from eocube.model import Extent, GridSpec
 from eocube.operators.clip import to_crs
 from eocube.operators.resample import resample_time
 from eocube.plans import drought, flood, ingest
@@ -35,7 +35,7 @@ def _pixels(t: Tables):
 
 
 FLOOD_SCENE = rf"""
-    select l_orderkey % 500 as y_idx, l_partkey % 200 as x_idx,
+    select l_orderkey % 500 - 50 as y_idx, l_partkey % 200 - 25 as x_idx,
            max(case when l_discount = 0 then null when l_returnflag = 'R' then 1e0 else 0e0 end) as flood
     from lineitem join (
       select s_suppkey, path, 1e5 * cast(regexp_extract(path, 'E(\d{{3}})N\d{{3}}T', 1) as double) as x0, 1e5 * cast(regexp_extract(path, 'E\d{{3}}N(\d{{3}})T', 1) as double) as y0 from fx_files) f
@@ -52,7 +52,7 @@ def _scene(t: Tables):
 
 @query("flood_scene", FLOOD_SCENE)
 def flood_scene(t: Tables):
-    return _scene(t)
+    return _scene(t)[0]
 
 
 SCENE_MERC = SCENE.project(WEB_MERCATOR)
@@ -75,12 +75,19 @@ def restructure_flood(t: Tables):
     return flood.restructure_flood(scene, SCENE, land, WEB_MERCATOR)[0]
 
 
+#: The cropped grids and their default grids in web mercator, as numbers from the formulas alone.
+BUILT_CROP = GridSpec(LONLAT, 65.5, 0.01, 30.0, -0.01, 200, 600)
+BUILT_CROP_MERC = GridSpec(WEB_MERCATOR, 7291426.646959418, 1237.2153585972333, 3503549.843504374, -1237.2153585972333, 180, 607)
+_RAIN_CROP = GridSpec(LONLAT, 65.1, 0.1, 30.9, -0.1, 39, 29)
+_RAIN_CROP_FINE = GridSpec(WEB_MERCATOR, 7246898.850642109, 500.0, 3619769.038150872, -500.0, 869, 742)
+_MODEL_CROP = GridSpec(LONLAT, 65.1, 0.1, 30.9, -0.1, 11, 9)
+_MODEL_CROP_MERC = GridSpec(WEB_MERCATOR, 7246898.850642109, 11878.355457387514, 3619769.038150872, -11878.355457387514, 11, 10)
 _BUILT_CUT = "65e0 + 0.01e0 * (x_idx + 0.5e0) between 65.5025e0 and 67.4975e0 and 31e0 - 0.01e0 * (y_idx + 0.5e0) between 24.0025e0 and 29.9975e0"
 
 
 @query("restructure_built", f"""
-    with cut as (select * from fx_built where {_BUILT_CUT})
-    select y_idx, x_idx, {q6('built')} as built from ({q.nearest(q.mercator_lookup(BUILT, BUILT.project(WEB_MERCATOR)), 'cut', '', 'built')})""")
+    with cut as (select y_idx - 100 as y_idx, x_idx - 50 as x_idx, built from fx_built where {_BUILT_CUT})
+    select y_idx, x_idx, {q6('built')} as built from ({q.nearest(q.mercator_lookup(BUILT_CROP, BUILT_CROP_MERC), 'cut', '', 'built')})""")
 def restructure_built(t: Tables):
     box = Extent(65.5025, 24.0025, 67.4975, 29.9975, "EPSG:4326")
     return rounded(flood.restructure_built(t.built, BUILT, box, WEB_MERCATOR)[0], "built")
@@ -120,7 +127,7 @@ def flood_risk_map(t: Tables):
 
 @query("rain_forecast_500m", f"""
     with cube as ({ACCUMULATED}), last as (select day, y_idx, x_idx, nullif(tp, 0) as tp from cube where day = (select day from (select distinct day from cube) order by day limit 1 offset 12))
-    select day, y_idx, x_idx, {q6('coalesce(tp, 0)', 3)} as tp from ({q.bilinear(q.mercator_lookup(RAIN, RAIN.project(WEB_MERCATOR, 500.0)), 'last', 'day', 'tp')})""")
+    select day, y_idx, x_idx, {q6('coalesce(tp, 0)', 3)} as tp from ({q.bilinear(q.mercator_lookup(_RAIN_CROP, _RAIN_CROP_FINE), 'last', 'day', 'tp')})""")
 def rain_forecast_500m(t: Tables):
     cells, _ = flood.rain_forecast(t.tp, RAIN, RAIN_START, RAIN_END, RAIN_BOX, step=12, time="day")
     return rounded(cells, "tp", digits=3)
@@ -156,20 +163,20 @@ _SWATH_MEANS = q.bins("fx_point_obs", "location_id", "sm", 10)
 @query("ascat_drought", f"""
     with area as (select m.time, n.y_idx, n.x_idx, m.sm from ({_SWATH_MEANS}) m join ({NEAREST_POINTS}) n on n.location_id = m.location_id),
     level as ({q.stretched('select * from area', 'sm', 'time, y_idx, x_idx')})
-    select time, y_idx, x_idx, {q6('sm')} as sm from ({q.bilinear(_swath_lookup(), 'level', 'time', 'sm')})
+    select time, y_idx - 14 as y_idx, x_idx - 47 as x_idx, {q6('sm')} as sm from ({q.bilinear(_swath_lookup(), 'level', 'time', 'sm')})
     where {q.mercator_lon(q.center(_SWATH_MERC, 'x', 'x_idx'))} between 7 and 18 and {q.mercator_lat(q.center(_SWATH_MERC, 'y', 'y_idx'))} between 37 and 46.5""")
 def ascat_drought(t: Tables):
     return rounded(drought.swath_drought(t.points, t.point_obs)[0], "sm")
 
 
-_MODEL_BOUNDS = Extent(65.12, 30.02, 66.18, 30.98)
-_MODEL_CUT = "(select * from fx_sm where 65e0 + 0.1e0 * (x_idx + 0.5e0) between 65.12e0 and 66.18e0 and 31e0 - 0.1e0 * (y_idx + 0.5e0) between 30.02e0 and 30.98e0)"
+_MODEL_BOUNDS = Extent(65.12, 30.02, 66.18, 30.88)
+_MODEL_CUT = "(select time, y_idx - 1 as y_idx, x_idx - 1 as x_idx, sm from fx_sm where 65e0 + 0.1e0 * (x_idx + 0.5e0) between 65.12e0 and 66.18e0 and 31e0 - 0.1e0 * (y_idx + 0.5e0) between 30.02e0 and 30.88e0)"
 _RAIN_MERC = RAIN.project(WEB_MERCATOR)
 
 
 @query("model_drought", f"""
     with level as ({q.stretched(q.bins(_MODEL_CUT, 'y_idx,x_idx', 'sm', 15), 'sm', 'time, y_idx, x_idx')})
-    select time, y_idx, x_idx, {q6('sm')} as sm from ({q.nearest(q.mercator_lookup(RAIN, _RAIN_MERC), 'level', 'time', 'sm')})""")
+    select time, y_idx, x_idx, {q6('sm')} as sm from ({q.nearest(q.mercator_lookup(_MODEL_CROP, _MODEL_CROP_MERC), 'level', 'time', 'sm')})""")
 def model_drought(t: Tables):
     return rounded(drought.model_drought(t.sm, RAIN, _MODEL_BOUNDS, value="sm")[0], "sm")
 
@@ -208,8 +215,14 @@ def restructure_4dmed(t: Tables):
 
 
 @query("restructure_ascat", f"""
-    with owned as (select * from fx_ragged_owner where location_id > 0 and time between timestamp '2022-03-01 00:05:00' and timestamp '2022-03-01 00:50:00')
-    {aligned('owned')}""")
+    with owned as (select * from fx_ragged_owner where location_id > 0 and time between timestamp '2022-03-01 00:05:00' and timestamp '2022-03-01 00:50:00'),
+    valid as (select * from fx_ragged_loc where location_id > 0),
+    first as (select v.location_id from valid v left join owned o on o.location_id = v.location_id
+              group by v.location_id, v.file_id, v.pos order by count(o.location_id) desc, v.file_id, v.pos limit 1),
+    slots as ({aligned('owned', 'select location_id from first')}),
+    axis as (select distinct date_trunc('minute', time) as time from owned where location_id = (select location_id from first))
+    select v.location_id, v.lat, v.lon, a.time, s.sm from valid v cross join axis a
+    left join slots s on s.location_id = v.location_id and s.time = a.time""")
 def restructure_ascat(t: Tables):
     start, end = dt.datetime(2022, 3, 1, 0, 5), dt.datetime(2022, 3, 1, 0, 50)
     return drought.restructure_ragged(t.ragged_loc, t.ragged_obs, start, end)
@@ -234,12 +247,13 @@ def restructure_landcover(t: Tables):
 @query("predicted_rain_get", f"""
     select day, y_idx, x_idx, {q6('coalesce(sum(tp), 0)')} as tp from fx_hourly
     where day between date '2024-01-08' and date '2024-01-20'
-      and 65e0 + 0.1e0 * (x_idx + 0.5e0) between 65.02e0 and 68.98e0 and 31e0 - 0.1e0 * (y_idx + 0.5e0) between 28.02e0 and 30.98e0
+      and {IN_RAIN_BOX}
     group by 1, 2, 3""")
 def predicted_rain_get(t: Tables):
-    """Asked twice for overlapping days; the second call fills the rest only."""
+    """Asked twice for overlapping days; a day that had landed in part is done again."""
     root = store.workspace(t.spark, "rain")
-    ingest.cached_get(t.spark, root, t.hourly, "tp", RAIN, RAIN_BOX, dt.date(2024, 1, 8), dt.date(2024, 1, 14))
+    early = t.hourly.where((F.col("day") < "2024-01-14") | (F.col("step") < 12))
+    ingest.cached_get(t.spark, root, early, "tp", RAIN, RAIN_BOX, dt.date(2024, 1, 8), dt.date(2024, 1, 14))
     return rounded(ingest.cached_get(t.spark, root, t.hourly, "tp", RAIN, RAIN_BOX, RAIN_START, RAIN_END), "tp")
 
 

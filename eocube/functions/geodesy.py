@@ -42,11 +42,10 @@ def cell_area(lat: Column, lon: Column, step: float = GLOBAL_STEP_DEG) -> Column
     sides = [gap(0, 1), gap(1, 2), gap(2, 3), gap(3, 0)]
     half = (sides[0] + sides[1] + sides[2] + sides[3]) / 2
     diagonals = gap(0, 2) * gap(1, 3)
-    radicand = -(diagonals * diagonals) / 16
     product = F.lit(1.0)
     for s in sides:
         product = product * (half - s)
-    radicand = product + radicand
+    radicand = product - diagonals * diagonals / 16
     return F.when(radicand >= 0, F.sqrt(radicand))
 
 

@@ -20,10 +20,7 @@ from pyspark.sql import functions as F
 LONLAT = "EPSG:4326"
 WEB_MERCATOR = "EPSG:3857"
 MOLLWEIDE = "ESRI:54009"
-EQUIDISTANT_EU = (
-    "+proj=aeqd +lat_0=53 +lon_0=24 +x_0=5837287.81977 +y_0=2121415.69617 "
-    "+datum=WGS84 +units=m +no_defs"
-)
+EQUIDISTANT_EU = "+proj=aeqd +lat_0=53 +lon_0=24 +x_0=5837287.81977 +y_0=2121415.69617 +datum=WGS84 +units=m +no_defs"
 WGS84_RADIUS = 6378137.0
 WGS84_FLATTENING = 1 / 298.257223563
 AEQD_LAT0, AEQD_LON0 = 53.0, 24.0

@@ -28,8 +28,9 @@ def _extent(text: str) -> Extent:
 def flood(spark, source, target, spec: GridSpec, extent: str, day: dt.date, land: str, crs: str = LONLAT) -> None:
     """One day's scenes: crop, take the maximum, reproject, blank the sea."""
     scenes = spark.read.parquet(source).where(F.col("day") == F.lit(day))
-    scene = composite_max(clip_box(scenes, spec, _extent(extent)), "flood")
-    write_cube(flood_plans.restructure_flood(scene, spec, read_geojson(spark, land), crs)[0], target)
+    cells, cut = clip_box(scenes, spec, _extent(extent))
+    scene = composite_max(cells, "flood")
+    write_cube(flood_plans.restructure_flood(scene, cut, read_geojson(spark, land), crs)[0], target)
 
 
 def built(spark, source, target, spec: GridSpec, extent: str, crs: str = LONLAT) -> None:
@@ -45,6 +46,7 @@ def gridded(spark, sources: list[str], target) -> None:
 
 
 def ragged(spark, locations, obs, target, start: dt.datetime, end: dt.datetime) -> None:
+    # locations: file_id, pos (place in the file), location_id, row_size, lat, lon
     out = drought.restructure_ragged(spark.read.parquet(locations), spark.read.parquet(obs), start, end)
     out.sortWithinPartitions("location_id", "time").write.parquet(target)
 

@@ -8,8 +8,10 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eocube.functions.projection import LONLAT, project_point
+from eocube.functions.projection import LONLAT, WEB_MERCATOR, project_point
 
+#: Web mercator ends at this latitude.
+MERCATOR_LIMIT = 85.0511287798066
 #: Edge spacing, in units of the extent's own system, when a box is densified.
 SEGMENT = 25_000.0
 
@@ -53,9 +55,16 @@ class Extent:
         return F.coalesce(hit, F.lit(False))
 
     def to(self, crs: str, segment: float = SEGMENT) -> Extent:
-        """Envelope of the box's densified outline in another system."""
+        """Envelope of the box's densified outline in another system.
+
+        Web mercator holds only what lies between its limiting latitudes.
+        """
         src = self.crs or LONLAT
-        ring = self.polygon()
+        box = self
+        if (src, crs) == (LONLAT, WEB_MERCATOR):
+            low, high = (min(max(y, -MERCATOR_LIMIT), MERCATOR_LIMIT) for y in (self.min_y, self.max_y))
+            box = replace(self, min_y=low, max_y=high)
+        ring = [(round(x, 6), round(y, 6)) for x, y in box.polygon()]
         xs, ys = [], []
         for (ax, ay), (bx, by) in zip(ring, ring[1:]):
             # At least 20 pieces, so that a box in degrees follows curved edges.
@@ -127,6 +136,11 @@ class GridSpec:
         x_lo, x_hi = span(extent.min_x, extent.max_x, self.x0, self.dx, self.nx)
         return y_lo, y_hi, x_lo, x_hi
 
+    def window(self, y_lo: int, y_hi: int, x_lo: int, x_hi: int) -> GridSpec:
+        """The grid of a block of cells, both ends included."""
+        ny, nx = max(0, y_hi - y_lo + 1), max(0, x_hi - x_lo + 1)
+        return replace(self, x0=self.x0 + x_lo * self.dx, y0=self.y0 + y_lo * self.dy, nx=nx, ny=ny)
+
     def coarsen(self, k: int, boundary: str = "trim") -> GridSpec:
         """The grid of k x k blocks; 'exact' refuses partial blocks."""
         if boundary not in ("trim", "exact"):

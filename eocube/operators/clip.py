@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from eocube.functions.projection import project
 from eocube.functions.text import extent_ring
-from eocube.model import Extent, GridSpec
+from eocube.model import SEGMENT, Extent, GridSpec
 from eocube.operators.sizing import measured_side
 from eocube.sources.store import materialize
 
@@ -117,16 +117,20 @@ def clip_polygon(
 
 
 def transform_extents(
-    df: DataFrame, extent: str, keys: list[str], src: str, dst: str, pieces: int = 20
+    df: DataFrame, extent: str, keys: list[str], src: str, dst: str, segment: float = SEGMENT
 ) -> DataFrame:
     """Boxes of a struct column in another system: densified edges, envelope.
 
-    Returns the keys and ``min_x, min_y, max_x, max_y``, one row per box.
+    Corners count to six decimals. An edge is cut into pieces of at most ``segment``
+    units, and into 20 at least, as :meth:`Extent.to` does.  Returns the keys and ``min_x, min_y, max_x, max_y``, one row per box.
     """
     ring = extent_ring(F.col(extent))
     sides = df.select(*keys, F.explode(F.arrays_zip(F.slice(ring, 1, 4).alias("a"), F.slice(ring, 2, 4).alias("b"))).alias("s"))
-    along = sides.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(pieces))))
-    at = lambda c: F.col(f"s.a.{c}") + (F.col(f"s.b.{c}") - F.col(f"s.a.{c}")) * F.col("i") / pieces
+    end = lambda p, c: F.round(F.col(f"s.{p}.{c}"), 6)
+    step = lambda c: end("b", c) - end("a", c)
+    pieces = F.greatest(F.lit(20), F.ceil(F.hypot(step("x"), step("y")) / segment))
+    along = sides.withColumn("n", pieces).withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n"))))
+    at = lambda c: end("a", c) + step(c) * F.col("i") / F.col("n")
     moved = project(along, at("x"), at("y"), src, dst, ("x", "y"))
     return moved.groupBy(*keys).agg(
         F.min("x").alias("min_x"), F.min("y").alias("min_y"), F.max("x").alias("max_x"), F.max("y").alias("max_y")

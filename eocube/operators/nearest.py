@@ -31,63 +31,54 @@ def axis_positions(axis: DataFrame, time: str = "time", to: str = "step") -> Dat
 
 
 def nearest_label(
-    df: DataFrame,
-    axis: DataFrame,
-    *,
-    time: str = "time",
-    label: str = "label",
-    bucket_seconds: float | None = None,
-    listed: int | None = None,
+    df: DataFrame, axis: DataFrame, *, time: str = "time", label: str = "label", listed: int | None = None
 ) -> DataFrame:
     """Add to every row the axis label nearest to its time; ties go to the later.
 
-    Rows and stretches meet in buckets of ``bucket_seconds``, by default the
-    mean gap between labels: twice as many stretches as labels are listed then,
-    and a row meets about two of them.  For labels that crowd together, give
-    their smallest gap.  ``listed`` is an upper bound on the listed stretches;
-    where it is known and small they are broadcast and the rows stay in place.
+    A stretch is listed in the time buckets of a width that fits its own length,
+    the next power of two, so it lies in two buckets at most, and a bucket holds
+    three stretches of its width at most however much the labels crowd.  A row
+    looks into one bucket of every width that some stretch has.  ``listed`` is an
+    upper bound on the listed stretches; where it is known and small they are
+    broadcast and the rows stay in place.  A row without time gets no label.
     """
     axis_label = axis.columns[0]
     order = Window.orderBy("_at")
-    at = axis.select(F.col(axis_label).alias(label), epoch_micros(F.col(axis_label)).alias("_at")).distinct()
-    # Stretches are listed between the first and the last label; earlier and
-    # later rows are looked up in those labels' own buckets.
-    lo, hi = F.min("_at"), F.max("_at")
-    mean_gap = F.greatest(F.lit(1_000_000.0), (hi - lo) / F.count("_at"))
-    ends = at.agg(F.struct(lo.alias("lo"), hi.alias("hi"), mean_gap.alias("gap"))).scalar()
-    within = F.greatest(ends["lo"], F.least(ends["hi"], F.col("_micros")))
-    width = ends["gap"] if bucket_seconds is None else F.lit(bucket_seconds * 1e6)
-
-    def bucket(micros):
-        return F.floor((micros - ends["lo"]) / width)
-
-    # Twice the midpoint keeps the comparison in whole microseconds.
-    stretches = at.withColumns(
+    at = axis.select(F.col(axis_label).alias(label), epoch_micros(F.col(axis_label)).alias("_at")).where("_at is not null").distinct()
+    neighbours = at.withColumns(
         {
+            # Twice the midpoint keeps the comparison in whole microseconds.
             "_from": F.lag("_at").over(order) + F.col("_at"),
             "_to": F.lead("_at").over(order) + F.col("_at"),
         }
-    ).select(
-        label,
-        "_from",
-        "_to",
-        F.explode(
-            F.sequence(
-                bucket(F.coalesce(F.col("_from") / 2, F.col("_at"))),
-                bucket(F.coalesce(F.col("_to") / 2, F.col("_at"))),
-            )
-        ).alias("_bucket"),
+    )
+    start = F.floor(F.coalesce(F.col("_from") / 2, F.col("_at"))).cast("bigint")
+    end = F.ceil(F.coalesce(F.col("_to") / 2, F.col("_at"))).cast("bigint")
+    sized = neighbours.withColumns({"_start": start, "_end": end}).withColumn(
+        "_width", F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("_end") - F.col("_start"), F.lit(1))))).cast("bigint")
+    )
+    # Earlier and later rows are looked up at the first and the last label.
+    ends = sized.agg(
+        F.struct(F.min("_at").alias("lo"), F.max("_at").alias("hi"), F.collect_set("_width").alias("widths"))
+    ).scalar()
+    within = F.greatest(ends["lo"], F.least(ends["hi"], F.col("_micros")))
+    bucket = lambda micros: F.floor((micros - ends["lo"]) / F.col("_width"))
+    stretches = sized.select(
+        label, "_from", "_to", "_width", F.explode(F.sequence(bucket(F.col("_start")), bucket(F.col("_end")))).alias("_bucket")
     )
     if listed is not None:
         stretches = small_side(stretches, listed)
-    timed = df.withColumn("_micros", epoch_micros(F.col(time))).withColumn("_bucket", bucket(within))
+    timed = df.where(F.col(time).isNotNull()).withColumn("_micros", epoch_micros(F.col(time))).withColumn("_width", F.explode(ends["widths"]))
+    timed = timed.withColumn("_bucket", bucket(within))
     twice = F.col("_micros") * 2
     hit = (F.col("_from").isNull() | (twice >= F.col("_from"))) & (F.col("_to").isNull() | (twice < F.col("_to")))
-    return (
-        timed.alias("l")
-        .join(stretches.alias("r"), (F.col("l._bucket") == F.col("r._bucket")) & hit, "left")
-        .select(*(F.col(f"l.{c}") for c in df.columns), F.col(f"r.{label}"))
+    found = timed.alias("l").join(
+        stretches.alias("r"),
+        (F.col("l._width") == F.col("r._width")) & (F.col("l._bucket") == F.col("r._bucket")) & hit,
     )
+    found = found.select(*(F.col(f"l.{c}") for c in df.columns), F.col(f"r.{label}"))
+    unlabelled = df.where(F.col(time).isNull()).withColumn(label, F.lit(None).cast(axis.schema[axis_label].dataType))
+    return found.unionByName(unlabelled) if df.schema[time].nullable else found
 
 
 def select_nearest(

@@ -29,7 +29,7 @@ def overlay_flood_built(
 ) -> DataFrame:
     """0 other, 1 flooded, 2 built; never missing, since a missing built is 0."""
     two = F.when(exceeds(F.col("built"), threshold), 2.0).otherwise(0.0)
-    both = flood.join(built.select(*CELL, "built"), list(CELL), "left")
+    both = flood.join(built.select(*CELL, "built"), list(CELL), "left")  # built does not depend on the keys
     return both.select(*keys, *CELL, F.greatest(F.col("flood"), two).alias("class"))
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eocube.functions.calendar import epoch_micros, to_minute
+from eocube.functions.calendar import to_minute
 from eocube.operators.nearest import nearest_label
 from eocube.operators.running import running_total
 from eocube.sources.store import materialize
@@ -15,10 +17,11 @@ LOCATION_BLOCK = 65_536
 OBS_CHUNK = 65_536
 
 
-def ragged_offsets(locations: DataFrame, *, file: str = "file_id", order: str = "location_id") -> DataFrame:
-    """Add the running total of ``row_size`` and its start, per file.
+def ragged_offsets(locations: DataFrame, *, file: str = "file_id", order: str = "pos") -> DataFrame:
+    """Add the running total of ``row_size`` and its start, per file, in the stored order.
 
-    Compute this before dropping any location: a dropped one still occupies its
+    ``order`` is the place of a location in its file, from 0; ids need not grow
+    with it, and padding ids may repeat.  Compute this before dropping any location: a dropped one still occupies its
     stretch of the observation axis.
     """
     blocked = locations.withColumn("_block", F.floor(F.col(order) / LOCATION_BLOCK))
@@ -57,13 +60,24 @@ def decode_ragged(
     )
 
 
-def series_length(obs: DataFrame, location: str = "location_id") -> DataFrame:
-    return obs.groupBy(location).agg(F.count(F.lit(1)).alias("n"))
+def series_length(
+    obs: DataFrame, location: str = "location_id", *, locations: DataFrame | None = None, order: Sequence[str] = ()
+) -> DataFrame:
+    """Observations per location; with ``locations`` also of those without any, and their order columns."""
+    counts = obs.groupBy(location).agg(F.count(F.lit(1)).alias("n"))
+    if locations is None:
+        return counts
+    if order:
+        firsts = locations.groupBy(location).agg(F.min(F.struct(*order)).alias("_o"))
+        every = firsts.select(location, *(F.col(f"_o.{c}").alias(c) for c in order))
+    else:
+        every = locations.select(location).distinct()
+    return every.join(counts, location, "left").select(location, *order, F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
-def longest_series(lengths: DataFrame, location: str = "location_id") -> DataFrame:
-    """The location with most observations, the first of equals; one row."""
-    return lengths.orderBy(F.col("n").desc(), F.col(location)).limit(1)
+def longest_series(lengths: DataFrame, location: str = "location_id", *, order: Sequence[str] = ()) -> DataFrame:
+    """The location with most observations, the first of equals by ``order``, else by id; one row."""
+    return lengths.orderBy(F.col("n").desc(), *(order or [location])).limit(1)
 
 
 def last_write_wins(df: DataFrame, value: str, *keys: str, position: str = "obs_idx") -> DataFrame:
@@ -78,25 +92,27 @@ def align_to_axis(
     location: str = "location_id",
     time: str = "time",
     position: str = "obs_idx",
+    locations: DataFrame | None = None,
+    order: Sequence[str] = (),
     dense: bool = False,
 ) -> DataFrame:
     """Snap every series to the time axis of the longest one.
 
+    ``locations`` lists the locations wanted, also those without observations;
+    ``order`` are its columns that say which of equally long series is the first.
     The axis is cut to whole minutes, which bounds its length by the calendar;
     it is written and measured before the observations are matched with it.
     The result lists filled slots; ``dense`` adds the unfilled ones as missing.
     """
-    longest = longest_series(series_length(obs, location), location).select(location).scalar()
+    lengths = series_length(obs, location, locations=locations, order=order)
+    longest = longest_series(lengths, location, order=order).select(location).scalar()
     minutes = obs.where(F.col(location) == longest).select(to_minute(F.col(time)).alias("label"))
     axis = materialize(minutes.distinct(), "axis")
-    at = epoch_micros(F.col("label"))
-    n, span = axis.agg(F.count("label"), (F.max(at) - F.min(at)) / 60_000_000).first()
-    listed = n + int(span or 0) + 1
-    snapped = nearest_label(obs, axis, time=time, label="label", bucket_seconds=60.0, listed=listed)
+    snapped = nearest_label(obs, axis, time=time, label="label", listed=3 * axis.count())
     slots = last_write_wins(snapped, value, location, "label", position=position)
     slots = slots.withColumnRenamed("label", time)
     if not dense:
         return slots
     labels = axis.agg(F.sort_array(F.collect_set("label"))).scalar()
-    spine = obs.select(location).distinct().withColumn(time, F.explode(labels))
+    spine = (obs if locations is None else locations).select(location).distinct().withColumn(time, F.explode(labels))
     return spine.join(slots, [location, time], "left")

@@ -6,13 +6,14 @@ values *before* the aggregation: one shuffle, no join back.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eocube.model import GridSpec
 from eocube.operators.select import CELL
+from eocube.sources.store import materialize
 
 
 def majority_flag(c: Column) -> Column:
@@ -55,17 +56,22 @@ def coarsen(
     boundary: str = "trim",
     keys: Sequence[str] = (),
     dense: bool | None = None,
+    labels: Mapping[str, Sequence] | None = None,
     keep_missing: bool = False,
 ) -> tuple[DataFrame, GridSpec]:
     """Reduce k x k blocks; returns the blocks and their grid.
 
     Without ``keys`` every block of the grid is present in the output.  With
-    ``keys`` (days, bands) only blocks that hold a row are.  ``keep_missing``
+    ``keys`` (days, bands) only blocks that hold a row are, unless ``labels``
+    lists the labels of each key; then every block of each is.  ``keep_missing``
     leaves a flag missing where a block has no valid cell.
     """
     dense = not keys if dense is None else dense
-    if dense and keys:
-        raise ValueError("a dense result has no extra keys")
+    if dense and keys and not labels:
+        raise ValueError("a dense result with keys needs their labels")
+    if labels is not None and set(labels) != set(keys):
+        raise ValueError("labels are given for every key or none")
+    dense = dense or bool(labels)
     out = spec.coarsen(k, boundary)
     c = F.col(value)
     blocks = df.where(F.col("y_idx").between(0, out.ny * k - 1) & F.col("x_idx").between(0, out.nx * k - 1)).select(
@@ -75,9 +81,10 @@ def coarsen(
         value,
     )
     if dense:
-        blocks = blocks.unionByName(
-            out.spine(df.sparkSession).withColumn(value, F.lit(None).cast(df.schema[value].dataType))
-        )
+        spine = out.spine(df.sparkSession).withColumn(value, F.lit(None).cast(df.schema[value].dataType))
+        for key, known in (labels or {}).items():
+            spine = spine.withColumn(key, F.explode(F.array(*(F.lit(v).cast(df.schema[key].dataType) for v in known))))
+        blocks = blocks.unionByName(spine)
     agg = reducer(method)(c)
     if keep_missing:
         agg = F.when(F.count(c) > 0, agg)
@@ -94,41 +101,52 @@ def global_reduce(df: DataFrame, value: str, method: str) -> DataFrame:
 def exact_median(df: DataFrame, value: str, *, finish_rows: int = 1_000_000) -> float | None:
     """Exact median of a whole column without collecting it.
 
-    Each round brackets a middle rank between two approximate quantiles, counts
-    what lies below, on and between them, and goes on strictly between.  The
-    rest shrinks about 500-fold per round whatever the distribution, until it
-    is small enough to be ranked in one pass.
+    The column is read three times: for its size and two approximate quantiles
+    that bracket both middle ranks, for what lies below and on them, and to
+    write what lies strictly between.  That rest, a 500th whatever the
+    distribution, is bracketed again where it is still large, and then ranked.
+    A bracket that misses a rank is made wider.
     """
     c = F.col(value)
     valid = df.select(c.cast("double").alias(value)).where(c.isNotNull())
-    total = valid.count()
+    margin = 0.001  # ten times the rank error of the approximate quantiles
+    total, ends = valid.agg(F.count(value), F.percentile_approx(c, [0.5 - margin, 0.5 + margin], 10_000)).first()
     if total == 0:
         return None
-    middle = [_value_at_rank(valid, value, total, rank, finish_rows) for rank in {(total - 1) // 2, total // 2}]
+    ranks = sorted({(total - 1) // 2, total // 2})
+    middle = _values_at_ranks(valid, value, total, ranks, ends, finish_rows)
     return sum(middle) / len(middle)
 
 
-def _value_at_rank(df: DataFrame, value: str, n: int, rank: int, finish_rows: int) -> float:
+def _values_at_ranks(df: DataFrame, value: str, n: int, ranks: list[int], ends, finish_rows: int) -> list[float]:
+    """The values at one or two neighbouring ranks of ``n`` rows; ``ends`` is a first guess around them."""
     c = F.col(value)
-    margin = 0.001  # ten times the rank error of the approximate quantiles below
+    margin = 0.001
     while n > finish_rows:
-        near = [max(0.0, rank / n - margin), min(1.0, rank / n + margin)]
-        lo, hi = df.agg(F.percentile_approx(c, near, 10_000)).first()[0]
+        lo, hi = ends
         between = (c > lo) & (c < hi)
-        below, on_lo, inner = df.agg(
-            F.count_if(c < lo), F.count_if(c == lo), F.count_if(between)
+        below, on_lo, inner, on_hi = df.agg(
+            F.count_if(c < lo), F.count_if(c == lo), F.count_if(between), F.count_if((c == hi) & (c != lo))
         ).first()
-        rank -= below
-        if rank < on_lo:
-            return lo
-        if rank >= on_lo + inner:
-            return hi
-        df, n, rank = df.where(between), inner, rank - on_lo
+        if ranks[0] < below or ranks[-1] >= below + on_lo + inner + on_hi:
+            margin *= 10
+            near = [max(0.0, ranks[0] / n - margin), min(1.0, ranks[-1] / n + margin)]
+            ends = df.agg(F.percentile_approx(c, near, 10_000)).first()[0] if margin < 1 else df.agg(F.min(c), F.max(c)).first()
+            continue
+        known = {r: lo for r in ranks if r < below + on_lo} | {r: hi for r in ranks if r >= below + on_lo + inner}
+        rest = [r for r in ranks if r not in known]
+        if rest:
+            inside = materialize(df.where(between), "between")
+            at = [r - below - on_lo for r in rest]
+            near = [max(0.0, at[0] / inner - 0.001), min(1.0, at[-1] / inner + 0.001)]
+            guess = inside.agg(F.percentile_approx(c, near, 10_000)).first()[0] if inner > finish_rows else None
+            known |= dict(zip(rest, _values_at_ranks(inside, value, inner, at, guess, finish_rows)))
+        return [known[r] for r in ranks]
     counts = df.groupBy(value).count()
     upto = counts.withColumn(
         "upto", F.sum("count").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
     )
-    return upto.where(F.col("upto") > rank).agg(F.min(value)).first()[0]
+    return list(upto.agg(*(F.min(F.when(F.col("upto") > r, F.col(value))) for r in ranks)).first())
 
 
 def composite_max(df: DataFrame, value: str, keys: Sequence[str] = CELL) -> DataFrame:

@@ -60,10 +60,11 @@ def _attach(df: DataFrame, src: GridSpec, dst: GridSpec, key) -> DataFrame:
     return df.join(small_side(cells, dst.cells), ["jy", "jx"])
 
 
-def _densify(out: DataFrame, dst: GridSpec, keys: Sequence[str]) -> DataFrame:
+def _densify(out: DataFrame, df: DataFrame, dst: GridSpec, keys: Sequence[str]) -> DataFrame:
+    """Every target cell for every label of the input, also of those without a cell in the target."""
     spine = dst.spine(out.sparkSession)
     for k in keys:
-        labels = out.agg(F.collect_set(k)).scalar()
+        labels = df.agg(F.collect_set(k)).scalar()
         spine = spine.withColumn(k, F.explode(labels))
     return spine.join(out, [*keys, *CELL], "left").select(*out.columns)
 
@@ -95,7 +96,7 @@ def regrid(
     else:
         raise ValueError(f"unknown resampling method {method!r}")
     if dense:
-        out = _densify(out, dst, keys)
+        out = _densify(out, df, dst, keys)
     return out if nodata is None else out.fillna(nodata, list(values))
 
 

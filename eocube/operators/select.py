@@ -65,15 +65,27 @@ def day_select(df: DataFrame, start: dt.date, end: dt.date | None = None, time:
     return df.where((F.col(time) >= _bound(df, time, start)) & (F.col(time) < _bound(df, time, after)))
 
 
-def bbox_slice(df: DataFrame, spec: GridSpec, extent: Extent) -> DataFrame:
-    """Cells whose centre label lies in the box, as index ranges."""
-    y_lo, y_hi, x_lo, x_hi = spec.index_window(extent)
+def _on(spec: GridSpec, extent: Extent) -> Extent:
+    return extent.to(spec.crs) if extent.crs and extent.crs != spec.crs else extent
+
+
+def in_box(df: DataFrame, spec: GridSpec, extent: Extent) -> DataFrame:
+    """Cells whose centre lies in a box of any reference system, still numbered on the whole grid."""
+    y_lo, y_hi, x_lo, x_hi = spec.index_window(_on(spec, extent))
     return df.where(F.col("y_idx").between(y_lo, y_hi) & F.col("x_idx").between(x_lo, x_hi))
 
 
-def clip_box(df: DataFrame, spec: GridSpec, extent: Extent) -> DataFrame:
-    """Crop by a box that may be given in another reference system."""
-    return bbox_slice(df, spec, extent.to(spec.crs) if extent.crs and extent.crs != spec.crs else extent)
+def bbox_slice(df: DataFrame, spec: GridSpec, extent: Extent) -> tuple[DataFrame, GridSpec]:
+    """Cells whose centre label lies in the box, numbered on the cropped grid, and that grid."""
+    y_lo, y_hi, x_lo, x_hi = window = spec.index_window(extent)
+    inside = df.where(F.col("y_idx").between(y_lo, y_hi) & F.col("x_idx").between(x_lo, x_hi))
+    moved = {c: F.col(c) - lo for c, lo in (("y_idx", y_lo), ("x_idx", x_lo)) if lo}
+    return inside.withColumns(moved) if moved else inside, spec.window(*window)
+
+
+def clip_box(df: DataFrame, spec: GridSpec, extent: Extent) -> tuple[DataFrame, GridSpec]:
+    """Crop by a box that may be given in another reference system; cells and the cropped grid."""
+    return bbox_slice(df, spec, _on(spec, extent))
 
 
 def mask_drop(df: DataFrame, x: Column, y: Column, extent: Extent) -> DataFrame:

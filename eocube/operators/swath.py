@@ -2,28 +2,63 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eocube.functions.geodesy import haversine
-from eocube.functions.projection import LONLAT, project
+from eocube.functions.geodesy import EARTH_RADIUS_M, haversine
+from eocube.functions.projection import DEG, EQUIDISTANT_EU, LONLAT, WEB_MERCATOR, WGS84_RADIUS, project
 from eocube.model import GridSpec
 from eocube.operators.sizing import small_side
 
-#: How much longer than on the ground a distance may look in the target
-#: projection; 1.25 covers an azimuthal map to 66 degrees from its centre.
+#: How much longer than on the ground a distance may look on the azimuthal map,
+#: up to 66 degrees from its centre.
 STRETCH = 1.25
 
 
-def _reach(at: Column, cells: float, n: int) -> Column:
-    """Indices of target cells whose centre may lie within reach of a position."""
-    lo = F.greatest(F.lit(0), F.ceil(at - 0.5 - cells))
-    hi = F.least(F.lit(n - 1), F.floor(at - 0.5 + cells))
+def _reach(one: Column, two: Column, n: int) -> Column:
+    """Indices of target cells whose centre may lie between two positions."""
+    lo = F.greatest(F.lit(0), F.ceil(F.least(one, two) - 0.5 - 1e-6))
+    hi = F.least(F.lit(n - 1), F.floor(F.greatest(one, two) - 0.5 + 1e-6))
     return F.when(hi >= lo, F.sequence(lo, hi))
 
 
+def _offers(places: DataFrame, dst: GridSpec, radius: float) -> DataFrame:
+    """Places with the target box ``(x_lo, x_hi, y_lo, y_hi)`` of the ground circle around them.
+
+    In longitude and latitude the box of a circle is known exactly, and web
+    mercator keeps it a box; where it crosses the date line it is listed again
+    a world's width to either side, and around a pole it spans all longitudes.
+    """
+    if dst.crs == EQUIDISTANT_EU:
+        near = radius * STRETCH
+        placed = project(places, F.col("lon"), F.col("lat"), LONLAT, dst.crs, ("x", "y"))
+        return placed.withColumns(
+            {"x_lo": F.col("x") - near, "x_hi": F.col("x") + near, "y_lo": F.col("y") - near, "y_hi": F.col("y") + near}
+        )
+    if dst.crs not in (LONLAT, WEB_MERCATOR):
+        raise ValueError(f"the reach of a point is not known in {dst.crs!r}")
+    angle = radius / EARTH_RADIUS_M
+    south, north = F.col("lat") - angle / DEG, F.col("lat") + angle / DEG
+    pole = (south <= -90) | (north >= 90)
+    wide = F.asin(F.least(F.lit(1.0), F.sin(F.lit(angle)) / F.greatest(F.cos(F.col("lat") * DEG), F.lit(1e-12)))) / DEG
+    boxes = places.withColumns(
+        {
+            "x_lo": F.when(pole, -180.0).otherwise(F.col("lon") - wide), "x_hi": F.when(pole, 180.0).otherwise(F.col("lon") + wide),
+            "y_lo": F.greatest(south, F.lit(-90.0)), "y_hi": F.least(north, F.lit(90.0)),
+        }
+    )
+    turns = F.explode(F.array(F.lit(0.0), F.lit(-360.0), F.lit(360.0)))
+    boxes = boxes.withColumn("turn", turns).withColumns({c: F.col(c) + F.col("turn") for c in ("x_lo", "x_hi")})
+    if dst.crs == LONLAT:
+        return boxes
+    scale = DEG * WGS84_RADIUS
+    edge = lambda c: F.ln(F.tan(F.least(F.greatest(F.col(c), F.lit(-89.9999)), F.lit(89.9999)) * (DEG / 2) + F.lit(math.pi / 4))) * WGS84_RADIUS
+    return boxes.withColumns({"x_lo": F.col("x_lo") * scale, "x_hi": F.col("x_hi") * scale, "y_lo": edge("y_lo"), "y_hi": edge("y_hi")})
+
+
 def nearest_points(
     points: DataFrame,
     dst: GridSpec,
@@ -37,20 +72,19 @@ def nearest_points(
 
     Each point offers itself to the few cells within its radius and a minimum
     per cell decides, ties to the smaller id.  The fan-out per point is fixed by
-    radius and cell size, minima are taken before the shuffle, and no bucket of
+    radius, cell size and the map's local scale, minima are taken before the shuffle, and no bucket of
     points is ever gathered, so a crowd of points at one place costs no more
     than the same points spread out.
     """
-    near = radius * STRETCH
     places = (
         points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
         .groupBy(F.col(lon).alias("lon"), F.col(lat).alias("lat"))
         .agg(F.min(point_id).alias("point"))
     )
     offered = (
-        project(places, F.col("lon"), F.col("lat"), LONLAT, dst.crs, ("x", "y"))
-        .withColumn("x_idx", F.explode(_reach(dst.pixel_x(F.col("x")), near / abs(dst.dx), dst.nx)))
-        .withColumn("y_idx", F.explode(_reach(dst.pixel_y(F.col("y")), near / abs(dst.dy), dst.ny)))
+        _offers(places, dst, radius)
+        .withColumn("x_idx", F.explode(_reach(dst.pixel_x(F.col("x_lo")), dst.pixel_x(F.col("x_hi")), dst.nx)))
+        .withColumn("y_idx", F.explode(_reach(dst.pixel_y(F.col("y_lo")), dst.pixel_y(F.col("y_hi")), dst.ny)))
     )
     centre = dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx"))
     measured = project(offered, *centre, dst.crs, LONLAT, ("cell_lon", "cell_lat")).withColumn(

@@ -16,7 +16,7 @@ from eocube.operators.ragged import align_to_axis, decode_ragged, ragged_offsets
 from eocube.operators.reduce import coarsen, normalize
 from eocube.operators.regrid import reproject
 from eocube.operators.resample import resample_time
-from eocube.operators.select import block_steps, clip_box, mask_drop, native_resolution, time_slice, valid_location
+from eocube.operators.select import bbox_slice, block_steps, clip_box, native_resolution, time_slice, valid_location
 from eocube.operators.swath import resample_points
 from eocube.sources.store import materialize
 
@@ -42,7 +42,7 @@ def swath_drought(
     cells, dst = reproject(area, grid, WEB_MERCATOR, ["sm"], "bilinear", keys=["time"])
     if catchment is not None:
         cells = clip_polygon(cells, dst, catchment, ["sm"])
-    return clip_box(cells, dst, box), dst
+    return clip_box(cells, dst, box)
 
 
 def model_drought(
@@ -55,9 +55,9 @@ def model_drought(
     every_days: int = 15,
 ) -> tuple[DataFrame, GridSpec]:
     """15-day means of modelled soil moisture inside a catchment's bounds."""
-    inside = mask_drop(cube, spec.center_x(F.col("x_idx")), spec.center_y(F.col("y_idx")), bounds)
+    inside, cut = bbox_slice(cube, spec, bounds)
     level = normalize(resample_time(inside, every_days, value), value)
-    return reproject(level, spec, WEB_MERCATOR, [value], method, keys=["time"])
+    return reproject(level, cut, WEB_MERCATOR, [value], method, keys=["time"])
 
 
 def gridded_drought(
@@ -86,17 +86,24 @@ def restructure_gridded(domains: list[DataFrame], value: str = "SM") -> DataFram
 
 
 def restructure_ragged(
-    locations: DataFrame, obs: DataFrame, start, end, *, dense: bool = False
+    locations: DataFrame, obs: DataFrame, start, end, *, dense: bool = True
 ) -> DataFrame:
     """Ragged series as one table of locations on the longest series' time axis.
 
-    Offsets are taken over all locations before the invalid ones go.  The
+    ``locations`` is ``(file_id, pos, location_id, row_size, lat, lon)``.  Every
+    valid location is in the result with its coordinates, without observations as
+    missing values; ``dense=False`` lists the filled slots only.  Offsets are taken
+    over all locations before the invalid ones go.  The
     decoded series are written once, since finding the longest one, its axis
     and the snapped values each read them.
     """
     offsets = ragged_offsets(locations)
     owned = valid_location(decode_ragged(offsets, obs))
-    return align_to_axis(materialize(time_slice(owned, start, end), "series"), dense=dense)
+    valid = valid_location(locations)
+    series = materialize(time_slice(owned, start, end), "series")
+    aligned = align_to_axis(series, locations=valid, order=("file_id", "pos"), dense=dense)
+    places = valid.select("location_id", "lat", "lon").dropDuplicates(["location_id"])
+    return aligned.join(places, "location_id").select("location_id", "lat", "lon", "time", "sm")
 
 
 def restructure_landcover(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from eocube.functions.missing import encode_int16
 from eocube.functions.projection import WEB_MERCATOR
 from eocube.model import Extent, GridSpec
 from eocube.operators.clip import clip_polygon
-from eocube.operators.combine import concat, mosaic
+from eocube.operators.combine import mosaic
 from eocube.operators.nearest import nth_step
 from eocube.operators.overlay import OVERLAY_CLASSES, class_label, overlay_flood_built
 from eocube.operators.reduce import coarsen, composite_max
@@ -30,14 +31,15 @@ def flood_scene(
     tile_extent: Extent,
     start: dt.date,
     end: dt.date | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, GridSpec]:
     """Scene of one day, or of several: pick files by day and tile, crop, take the maximum.
 
-    ``pixels`` holds the cells of all files keyed by ``path``.
+    ``pixels`` holds the cells of all files keyed by ``path``; the grid returned is that of the crop.
     """
     chosen = tile_semi_join(day_select(files, start, end, "day"), tiles, tile_extent)
     stacked = pixels.join(chosen.select("path"), "path", "left_semi")
-    return composite_max(clip_box(stacked, spec, extent), "flood")
+    cells, cut = clip_box(stacked, spec, extent)
+    return composite_max(cells, "flood"), cut
 
 
 def restructure_flood(scene: DataFrame, spec: GridSpec, land: DataFrame, crs: str) -> tuple[DataFrame, GridSpec]:
@@ -47,7 +49,8 @@ def restructure_flood(scene: DataFrame, spec: GridSpec, land: DataFrame, crs: st
 
 
 def restructure_built(built: DataFrame, spec: GridSpec, extent: Extent, crs: str) -> tuple[DataFrame, GridSpec]:
-    return reproject(clip_box(built, spec, extent), spec, crs, ["built"])
+    cells, cut = clip_box(built, spec, extent)
+    return reproject(cells, cut, crs, ["built"])
 
 
 def restructure_dem(tiles: DataFrame, spec: GridSpec, crs: str, k: int | None = None) -> tuple[DataFrame, GridSpec]:
@@ -67,37 +70,41 @@ def flood_risk_map(
     crs: str = WEB_MERCATOR,
     flood_k: int | None = None,
     built_k: int | None = None,
+    labels: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
     """Class per target cell: 0 other, 1 flooded, 2 built.
 
     Both rasters shrink to 500 m blocks first, so only blocks are regridded and
-    joined.
+    joined.  ``labels`` maps key columns of the flood cells (days) to their
+    labels; there is one map per label then, from one pass over the cells.
     """
-    flags, fs = coarsen(flood, flood_spec, flood_k or block_steps(native_resolution("flood")), "flag", "flood")
+    keys = tuple(labels or ())
+    flags, fs = coarsen(
+        flood, flood_spec, flood_k or block_steps(native_resolution("flood")), "flag", "flood", keys=keys, labels=labels
+    )
     means, bs = coarsen(built, built_spec, built_k or block_steps(native_resolution("built")), "mean", "built")
-    flood_cells, dst = reproject(flags, fs, crs, ["flood"])
+    flood_cells, dst = reproject(flags, fs, crs, ["flood"], keys=keys)
     built_cells = regrid(means, bs, dst, ["built"])
-    classes = overlay_flood_built(flood_cells, built_cells)
+    classes = overlay_flood_built(flood_cells, built_cells, keys=keys)
     return classes.withColumn("label", class_label(F.col("class"), OVERLAY_CLASSES))
 
 
 def flood_change(
     flood: DataFrame, flood_spec: GridSpec, built: DataFrame, built_spec: GridSpec, days: list[dt.date], **kw
 ) -> DataFrame:
-    """Cells per class on each of several days, side by side."""
-    maps = [
-        flood_risk_map(flood.where(F.col("day") == F.lit(d)), flood_spec, built, built_spec, **kw)
-        .groupBy("class", "label")
-        .agg(F.count(F.lit(1)).alias("cells"))
-        .withColumn("day", F.lit(d))
-        for d in days
-    ]
-    return concat(maps).select("day", "class", "label", "cells")
+    """Cells per class on each of several days, from one pass over either raster."""
+    asked = flood.where(F.col("day").isin(days))
+    maps = flood_risk_map(asked, flood_spec, built, built_spec, labels={"day": days}, **kw)
+    counts = maps.groupBy("day", "class", "label").agg(F.count(F.lit(1)).alias("cells"))
+    return counts.select("day", "class", "label", "cells")
 
 
-def accumulate_rain(rain: DataFrame, spec: GridSpec, start, end, extent: Extent, time: str = "time") -> DataFrame:
-    """Slice in time and space, then the running total in millimetres."""
-    return accumulate(bbox_slice(time_slice(rain, start, end, time), spec, extent), "tp", time=time)
+def accumulate_rain(
+    rain: DataFrame, spec: GridSpec, start, end, extent: Extent, time: str = "time"
+) -> tuple[DataFrame, GridSpec]:
+    """Slice in time and space, then the running total in millimetres, on the cropped grid."""
+    cells, cut = bbox_slice(time_slice(rain, start, end, time), spec, extent)
+    return accumulate(cells, "tp", time=time), cut
 
 
 def rain_forecast(
@@ -116,7 +123,7 @@ def rain_forecast(
     No rain, 0, is the no-data value, so dry cells do not dilute their wet
     neighbours.  ``step`` keeps one time step, chosen before the grid is refined.
     """
-    total = accumulate_rain(rain, spec, start, end, extent, time)
+    total, cut = accumulate_rain(rain, spec, start, end, extent, time)
     if step is not None:
         total = nth_step(total, step, time)
-    return reproject(total, spec, WEB_MERCATOR, ["tp"], "bilinear", resolution=resolution, keys=[time], nodata=0.0)
+    return reproject(total, cut, WEB_MERCATOR, ["tp"], "bilinear", resolution=resolution, keys=[time], nodata=0.0)

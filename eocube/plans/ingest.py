@@ -8,31 +8,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eocube.model import Extent, GridSpec
-from eocube.operators.reduce import daily_mean, daily_sum
-from eocube.operators.select import bbox_slice
-from eocube.sources.store import calendar, missing_days, read_coverage, read_or_empty, upsert_days
+from eocube.operators.reduce import reducer
+from eocube.operators.select import CELL, in_box
+from eocube.sources.store import calendar, materialize, missing_days, read_coverage, read_or_empty, upsert_days
 
 #: How a day's slices become one value, by variable.
-DAILY = {"tp": daily_sum, "swvl1": daily_mean}
+DAILY = {"tp": "sum", "swvl1": "mean"}
+#: Slices of a complete day.
+STEPS = 24
 
 
 def cube_schema(value: str) -> str:
     return f"y_idx bigint, x_idx bigint, {value} double, day date"
 
 
-def fill_days(spark: SparkSession, root: str, hourly: DataFrame, value: str, days: DataFrame) -> None:
+def fill_days(
+    spark: SparkSession, root: str, hourly: DataFrame, value: str, days: DataFrame, *, step: str = "step", steps: int = STEPS
+) -> None:
     """Aggregate the uncovered ones of ``days`` and store them with their flag.
 
-    All missing days are one job.  The cube is written before the flags, so a
-    job that dies in between leaves days uncovered and the next run redoes them.
+    ``hourly`` holds all slices landed so far of these days, numbered by ``step``
+    from 0 to 62.  It is read once: a cell keeps the steps it has seen as bits, and
+    the flags are made from the bits that were written.  A day is covered once
+    ``steps`` different steps are there; until then it is stored as far as it has
+    come and done again the next time.  The cube is written before the flags, so
+    a job that dies in between leaves days uncovered and the next run redoes them.
     """
     if value not in DAILY:
         raise ValueError(f"no daily rule for variable {value!r}")
-    todo = missing_days(days, read_coverage(spark, root))
+    todo = materialize(missing_days(days, read_coverage(spark, root)), "todo")
+    seen = F.bit_or(F.expr(f"shiftleft(1L, int({step}))")).alias("steps")
     landed = hourly.join(todo, "day", "left_semi")
-    upsert_days(DAILY[value](landed, value).select("y_idx", "x_idx", value, "day"), f"{root}/cube")
-    stored = landed.select("day").distinct().select(F.lit(1).cast("tinyint").alias("covered"), "day")
-    upsert_days(stored, f"{root}/coverage")
+    cells = landed.groupBy("day", *CELL).agg(reducer(DAILY[value])(F.col(value)).alias(value), seen)
+    upsert_days(cells.select(*CELL, value, "steps", "day"), f"{root}/cube")
+    stored = read_or_empty(spark, f"{root}/cube", "steps bigint, day date").join(todo, "day", "left_semi")
+    full = F.bit_count(F.bit_or("steps")) >= steps
+    flags = stored.groupBy("day").agg(full.cast("tinyint").alias("covered")).select("covered", "day")
+    upsert_days(flags, f"{root}/coverage")
 
 
 def cached_get(
@@ -44,11 +56,13 @@ def cached_get(
     extent: Extent,
     start: dt.date,
     end: dt.date | None = None,
+    *,
+    steps: int = STEPS,
 ) -> DataFrame:
-    """Make the store cover the days asked for, then read them in the box."""
+    """Make the store cover the days asked for, then read them in the box, numbered on the store's grid."""
     end = end or start
-    fill_days(spark, root, hourly, value, calendar(spark, start, end))
+    fill_days(spark, root, hourly, value, calendar(spark, start, end), steps=steps)
     cube = read_or_empty(spark, f"{root}/cube", cube_schema(value))
-    return bbox_slice(cube.where(F.col("day").between(F.lit(start), F.lit(end))), spec, extent).select(
+    return in_box(cube.where(F.col("day").between(F.lit(start), F.lit(end))), spec, extent).select(
         "day", "y_idx", "x_idx", value
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from eocube.functions.missing import drop_nan, mask_and_scale
 from eocube.model import Extent, GridSpec
-from eocube.operators.select import clip_box, day_select
+from eocube.operators.select import day_select, in_box
 
 
 class Source(Protocol):
@@ -35,7 +35,8 @@ class CellSource:
     """A cell table with one variable, its grid and its time column.
 
     ``load`` returns the table; Spark pushes the variable selection, the time
-    range and the index ranges of the extent into the scan.
+    range and the index ranges of the extent into the scan. Cells keep the numbers
+    of the dataset's grid.
     """
 
     load: Callable[[], DataFrame]
@@ -52,7 +53,7 @@ class CellSource:
         if self.time and start is not None:
             df = day_select(df, start, end, self.time)
         if extent is not None and self.spec is not None:
-            df = clip_box(df, self.spec, extent)
+            df = in_box(df, self.spec, extent)
         if self.packed:
             df = df.withColumn(self.variable, mask_and_scale(F.col(self.variable), *self.packed))
         else:

@@ -45,8 +45,9 @@ def read_landing_day(spark: SparkSession, root: str, day: str, variable: str) ->
     )
 
 
-def raster_roi_read(df: DataFrame, spec, extent, band: int = 0) -> DataFrame:
-    """One band of a raster, cropped to a box."""
+def raster_roi_read(df: DataFrame, spec, extent, band: int = 0):
+    """One band of a raster, cropped to a box; cells and the cropped grid."""
     from eocube.operators.select import clip_box
 
-    return clip_box(df.where(F.col("band") == band), spec, extent).drop("band")
+    cells, cut = clip_box(df.where(F.col("band") == band), spec, extent)
+    return cells.drop("band"), cut

@@ -6,6 +6,7 @@ partitioned by day, ``<root>/grid`` with static values per cell.
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import tempfile
 import uuid
@@ -27,18 +28,36 @@ BLOCK = 1000
 COVERAGE_SCHEMA = "covered tinyint, day date"
 
 
+_homes: set[str] = set()
+
+
+def _drop(spark: SparkSession, conf, home: str) -> None:
+    """Delete a session's folder; a cluster that is gone already keeps it for its own clean-up."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(home)
+        path.getFileSystem(conf).delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM may have ended before the interpreter
+        pass
+
+
 def workspace(spark: SparkSession, name: str = "eocube") -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Without that setting a local folder is made, which only a local session
-    can use.
+    All folders of a session share one parent, which is deleted when the driver
+    ends.  Without the setting a local folder is made, which only a local
+    session can use.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="eocube-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    home = f"{root.rstrip('/')}/eocube-{spark.sparkContext.applicationId}"
+    if home not in _homes:
+        _homes.add(home)
+        atexit.register(_drop, spark, spark._jsc.hadoopConfiguration(), home)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
 
 
 def rechunk(df: DataFrame, block: int = BLOCK, keys: Sequence[str] = ()) -> DataFrame:

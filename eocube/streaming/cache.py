@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from eocube.plans.ingest import fill_days
+from eocube.operators.select import CELL
+from eocube.plans.ingest import STEPS, fill_days
+from eocube.sources.store import materialize
 from eocube.streaming.steps import run_each
 
 
-def fill_from_stream(stream: DataFrame, root: str, value: str, checkpoint: str):
-    """Each micro-batch stores the uncovered days it brings.
+def fill_from_stream(stream: DataFrame, root: str, value: str, checkpoint: str, *, landing: str, steps: int = STEPS):
+    """Each micro-batch says which days have grown; these are stored from all that has landed.
 
-    A day must land within one micro-batch; replaying a batch after a failure
-    finds its days covered, or redoes them whole.
+    A day may land in any number of deliveries: it is read whole from ``landing``,
+    the folder behind the stream, until it is complete.  A slice of a cell that
+    lands twice counts once.  Replaying a batch after a failure finds its days
+    covered, or redoes them whole.
     """
+    schema = stream.schema
 
     def send(batch: DataFrame, _id: int) -> None:
-        # Days, values and flags each read the batch; without this it would be
-        # fetched from the source three times.
-        batch.persist()
-        try:
-            fill_days(batch.sparkSession, root, batch, value, batch.select("day").distinct())
-        finally:
-            batch.unpersist()
+        spark = batch.sparkSession
+        days = materialize(batch.select("day").distinct(), "grown")
+        landed = spark.read.schema(schema).parquet(landing).join(days, "day", "left_semi")
+        # both groupings follow one shuffle by day and cell
+        once = landed.repartition("day", *CELL).groupBy("day", *CELL, "step").agg(F.max(value).alias(value))
+        fill_days(spark, root, once, value, days, steps=steps)
 
     return run_each(send, stream, checkpoint)

@@ -18,21 +18,36 @@ class StreamSink(Protocol):
     def close(self) -> DataFrame: ...
 
 
-def land_steps(df: DataFrame, path: str, days: list, day: str = "day") -> None:
-    """Append the given days to a landing folder, as their arrival would."""
-    df.where(F.col(day).isin(days)).write.mode("append").parquet(path)
+#: Files of one micro-batch, which bounds the backlog that one state function sees.
+FILES_PER_BATCH = 64
+#: Progress records a query keeps; Spark's default forgets all but the last 100.
+KEPT_PROGRESS = 1_000_000
 
 
-def step_stream(spark: SparkSession, path: str, schema, *, files_per_batch: int | None = None) -> DataFrame:
-    """Cells that land in a folder, oldest files first."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+def land_steps(df: DataFrame, path: str, days: list, day: str = "day", *, files: int | None = None) -> None:
+    """Append the given days to a landing folder, as their arrival would; ``files`` fixes the number of files."""
+    landed = df.where(F.col(day).isin(days))
+    (landed if files is None else landed.repartition(files)).write.mode("append").parquet(path)
+
+
+def land_each(df: DataFrame, path: str, days: list, day: str = "day", *, files: int = 1) -> None:
+    """Land day after day, each as ``files`` files, so that a stream of as many files a batch takes one step at a time."""
+    for d in days:
+        land_steps(df, path, [d], day, files=files)
+
+
+def step_stream(spark: SparkSession, path: str, schema, *, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Cells that land in a folder, oldest files first, at most ``files_per_batch`` files a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def _keep_progress(stream: DataFrame) -> None:
+    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", KEPT_PROGRESS)
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process all that has landed into a Parquet folder, then stop."""
+    _keep_progress(stream)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -47,6 +62,7 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
 
 def run_to_sink(stream: DataFrame, sink: StreamSink, checkpoint: str) -> DataFrame:
     """Send every micro-batch to a user sink and return what it closes with."""
+    _keep_progress(stream)
     query = (
         stream.writeStream.foreachBatch(sink.send)
         .option("checkpointLocation", checkpoint)
@@ -58,6 +74,7 @@ def run_to_sink(stream: DataFrame, sink: StreamSink, checkpoint: str) -> DataFra
 
 
 def run_each(send: Callable[[DataFrame, int], None], stream: DataFrame, checkpoint: str) -> StreamingQuery:
+    _keep_progress(stream)
     query = (
         stream.writeStream.foreachBatch(send)
         .option("checkpointLocation", checkpoint)
@@ -69,6 +86,8 @@ def run_each(send: Callable[[DataFrame, int], None], stream: DataFrame, checkpoi
 
 
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Rows per micro-batch of a finished query."""
+    """Rows per micro-batch of a finished query that one of the functions above ran."""
+    if len(query.recentProgress) >= KEPT_PROGRESS:
+        raise ValueError("the query has forgotten its first micro-batches")
     rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
     return spark.createDataFrame(rows, "batch bigint, rows bigint")

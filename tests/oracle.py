@@ -19,7 +19,7 @@ def connect(folder: str):
 
 def _plain(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else v
+        return "NaN" if math.isnan(v) else v
     return v
 
 

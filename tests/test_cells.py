@@ -64,6 +64,10 @@ def test_coarsen_per_key_lists_present_blocks(cells):
     assert [(r.day, r.y_idx, r.x_idx, r.v) for r in out.collect()] == [("a", 0, 0, 1.0)]
     with pytest.raises(ValueError):
         reduce.coarsen(df, spec(4, 4), 2, "flag", "v", keys=["day"], dense=True)
+    every, _ = reduce.coarsen(df, spec(4, 4), 2, "flag", "v", keys=["day"], labels={"day": ["a", "b"]})
+    assert {(r.day, r.y_idx, r.x_idx): r.v for r in every.collect()} == {
+        (d, y, x): float((d, y, x) == ("a", 0, 0)) for d in "ab" for y in (0, 1) for x in (0, 1)
+    }
 
 
 @pytest.mark.parametrize("n", [1, 2, 9, 10])
@@ -222,10 +226,34 @@ def test_squeeze(cells):
 def test_boxes(cells):
     df = cells([[y * 10 + x for x in range(4)] for y in range(4)])
     s = spec(4, 4)
-    assert set(grid(select.bbox_slice(df, s, Extent(0.5, 3.5, 1.5, 2.5)))) == {(0, 0), (0, 1), (1, 0), (1, 1)}
-    assert select.bbox_slice(df, s, Extent(50, 50, 60, 60)).count() == 0
+    assert set(grid(select.bbox_slice(df, s, Extent(0.5, 3.5, 1.5, 2.5))[0])) == {(0, 0), (0, 1), (1, 0), (1, 1)}
+    assert select.bbox_slice(df, s, Extent(50, 50, 60, 60))[0].count() == 0
     merc = Extent(0.4, 2.4, 1.6, 3.6, LONLAT).to("EPSG:3857")
-    assert set(grid(select.clip_box(df, s, merc))) == {(0, 0), (0, 1), (1, 0), (1, 1)}
+    assert set(grid(select.clip_box(df, s, merc)[0])) == {(0, 0), (0, 1), (1, 0), (1, 1)}
+
+
+def test_crops_carry_their_grid(cells):
+    df = cells([[y * 10 + x for x in range(4)] for y in range(4)])
+    cut, s = select.bbox_slice(df, spec(4, 4), Extent(1.5, 0.5, 2.5, 1.5))
+    whole = spec(4, 4)
+    assert (s.nx, s.ny) == (2, 2) and s.x0 == whole.x0 + 1 and grid(cut)[0, 0] == grid(df)[2, 1]
+    assert s.bounds().corners() == (1.0, 0.0, 3.0, 2.0)
+
+
+def test_the_global_grid_projects(spark):
+    from eocube.plans import drought, flood
+    from eocube.sources.store import GLOBAL_GRID
+
+    box = GLOBAL_GRID.project("EPSG:3857").bounds()
+    assert abs(box.max_y - 20037508.34) < 20_000
+    cells = [(dt.date(2024, 1, d), 498 + i, 1898 + j, 0.5 * d + i) for d in (1, 2) for i in range(5) for j in range(5)]
+    df = spark.createDataFrame(cells, "day date, y_idx long, x_idx long, tp double")
+    area = Extent(9.0, 39.0, 11.0, 41.0, LONLAT)
+    cells, dst = flood.rain_forecast(df, GLOBAL_GRID, dt.date(2024, 1, 1), dt.date(2024, 1, 2), area, time="day", resolution=5_000.0)
+    assert dst.bounds().max_x < 1_300_000 and cells.count() > 0
+    sm = df.select(F.col("day").cast("timestamp_ntz").alias("time"), "y_idx", "x_idx", F.col("tp").alias("swvl1"))
+    cells, dst = drought.model_drought(sm, GLOBAL_GRID, area)
+    assert dst.bounds().max_x < 1_300_000 and cells.count() > 0
 
 
 def test_missing_values(spark):

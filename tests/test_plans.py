@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from eocube import bindings
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = bindings.queries()
 #: Queries that write or stream while they are built return a plain scan.
 EAGER = {
     "running_accumulator", "stream_accumulate", "stream_close", "stream_progress", "step_stream", "run_stream",

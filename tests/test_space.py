@@ -174,6 +174,12 @@ def test_nodata_does_not_dilute(cells):
     assert grid(dry) == {(0, 0): 0.0}
 
 
+def test_dense_regrid_keeps_steps_outside_the_target(spark):
+    df = spark.createDataFrame([(1, 0, 0, 1.0), (2, 900, 900, 2.0)], "t int, y_idx long, x_idx long, v double")
+    out, dst = reproject(df, SRC, WEB_MERCATOR, ["v"], keys=["t"], dense=True)
+    assert {r.t: r["count"] for r in out.groupBy("t").count().collect()} == {1: dst.cells, 2: dst.cells}
+
+
 def test_dense_regrid_lists_every_cell(cells):
     df = cells([[1, 2], [3, ...]]).withColumn("t", F.lit(1)).unionByName(cells([[5]]).withColumn("t", F.lit(2)))
     out, dst = reproject(df, SRC, WEB_MERCATOR, ["v"], keys=["t"], dense=True)
@@ -222,6 +228,24 @@ def test_nearest_points_against_brute_force(spark, radius):
     assert got == brute_points(points, GRID, radius) and got
 
 
+@pytest.mark.parametrize("dst", [
+    GridSpec("EPSG:3857", 1_080_000.0, 500.0, 5_970_000.0, -500.0, 90, 90),
+    GridSpec(LONLAT, 9.8, 0.01, 47.2, -0.01, 45, 45),
+    GridSpec(LONLAT, -180.0, 0.01, 72.1, -0.01, 40, 30),
+])
+def test_reach_follows_the_map_scale(spark, dst):
+    points = [(1, 10.0, 47.0), (2, 10.03, 47.01), (3, 179.95, 72.0)]
+    df = spark.createDataFrame(points, "location_id long, lon double, lat double")
+    got = grid(nearest_points(df, dst, 5_000.0), "location_id")
+    assert got == brute_points(points, dst, 5_000.0) and got
+
+
+def test_reach_is_refused_where_it_is_unknown(spark):
+    df = spark.createDataFrame([(1, 10.0, 47.0)], "location_id long, lon double, lat double")
+    with pytest.raises(ValueError):
+        nearest_points(df, GridSpec("ESRI:54009", 0.0, 500.0, 0.0, -500.0, 5, 5), 5_000.0)
+
+
 def test_points_without_position_are_ignored(spark):
     df = spark.createDataFrame([(1, None, 42.0), (2, 10.0, None)], "location_id long, lon double, lat double")
     assert nearest_points(df, GRID, 5000.0).count() == 0

@@ -51,20 +51,37 @@ def test_time_functions_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-@pytest.mark.parametrize("width", [None, 3600.0, 1e7])
-def test_nearest_label_against_brute_force(spark, width):
+@pytest.mark.parametrize("crowd", [0, 40])
+def test_nearest_label_against_brute_force(spark, crowd):
     rng = random.Random(5)
     axis = sorted({T0 + dt.timedelta(hours=rng.randrange(0, 2000)) for _ in range(25)})
+    # labels that crowd within a second beside ones that lie weeks apart
+    axis = sorted({*axis, *(T0 + dt.timedelta(microseconds=17 * i) for i in range(crowd))})
     times = [T0 + dt.timedelta(minutes=rng.randrange(-9000, 140_000)) for _ in range(300)]
     times += [a + (b - a) / 2 for a, b in zip(axis, axis[1:])] + axis
     df = spark.createDataFrame(list(enumerate(times)), "id int, time timestamp_ntz")
     labels = spark.createDataFrame([(a,) for a in axis], "label timestamp_ntz")
-    got = {r.id: r.label for r in nearest.nearest_label(df, labels, bucket_seconds=width).collect()}
+    got = {r.id: r.label for r in nearest.nearest_label(df, labels).collect()}
     assert len(got) == len(times)
     for i, t in enumerate(times):
         assert got[i] == min(axis, key=lambda a: (abs(a - t), -a.timestamp()))
 
 
+def test_crowded_labels_do_not_multiply_rows(spark):
+    """A row meets three stretches of every width at most, also where all labels share a second."""
+    labels = spark.range(2000).select((F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") / 1e4)).alias("label"))
+    far = spark.createDataFrame([(T0 + dt.timedelta(days=3650),)], "label timestamp_ntz")
+    df = labels.withColumnRenamed("label", "time")
+    out = nearest.nearest_label(df, labels.union(far))
+    assert out.where("label = time").count() == 2000 == out.count()
+
+
+def test_rows_without_time_get_no_label(spark):
+    df = spark.createDataFrame([(1, None), (2, T0)], "id int, time timestamp_ntz")
+    axis = spark.createDataFrame([(T0,)], "label timestamp_ntz")
+    assert {(r.id, r.label) for r in nearest.nearest_label(df, axis).collect()} == {(1, None), (2, T0)}
+
+
 def test_nearest_on_a_single_label(spark):
     df = spark.createDataFrame([(T0 - dt.timedelta(days=900),), (T0 + dt.timedelta(days=900),)], "time timestamp_ntz")
     axis = spark.createDataFrame([(T0,)], "label timestamp_ntz")
@@ -80,7 +97,9 @@ def test_steps_of_an_axis(spark):
 
 def ragged_tables(spark, sizes):
     """One file: locations with given ids and sizes, one observation per slot."""
-    locs = spark.createDataFrame([(1, i, n) for i, n in sizes], "file_id int, location_id long, row_size long")
+    locs = spark.createDataFrame(
+        [(1, p, i, n) for p, (i, n) in enumerate(sizes)], "file_id int, pos int, location_id long, row_size long"
+    )
     obs, at = [], 0
     for i, n in sizes:
         for k in range(n):
@@ -96,7 +115,7 @@ def test_ragged_decode(spark, monkeypatch, chunk):
     sizes = [(0, 2), (1, 0), (2, 25), (3, 1), (5, 0), (7, 4), (9, 1)]
     locs, obs = ragged_tables(spark, sizes)
     offsets = ragged.ragged_offsets(locs)
-    assert [(r.cum_sum, r.offset) for r in offsets.orderBy("location_id").collect()] == [
+    assert [(r.cum_sum, r.offset) for r in offsets.orderBy("pos").collect()] == [
         (2, 0), (2, 2), (27, 2), (28, 27), (28, 28), (32, 28), (33, 32)
     ]
     owned = ragged.decode_ragged(offsets, obs).collect()
@@ -107,6 +126,21 @@ def test_ragged_decode(spark, monkeypatch, chunk):
     assert ragged.decode_ragged(offsets, extra).count() == 33
 
 
+def test_ragged_order_is_that_of_the_file(spark):
+    """Ids out of order, two padding ids, one location without observations."""
+    sizes = [(20, 2), (-1, 3), (0, 1), (-1, 2), (30, 0), (10, 3)]
+    locs, obs = ragged_tables(spark, sizes)
+    owned = ragged.decode_ragged(ragged.ragged_offsets(locs), obs).collect()
+    want = [i for i, n in sizes for _ in range(n)]
+    assert [r.location_id for r in sorted(owned, key=lambda r: r.obs_idx)] == want
+    places = locs.where("location_id > 0")
+    lengths = ragged.series_length(obs.join(spark.createDataFrame(list(enumerate(want)), "obs_idx long, location_id long"), "obs_idx"),
+                                   locations=places, order=("file_id", "pos"))
+    assert {(r.location_id, r.n) for r in lengths.collect()} == {(20, 2), (30, 0), (10, 3)}
+    tied = lengths.where("n > 0").withColumn("n", F.lit(1))
+    assert ragged.longest_series(tied, order=("file_id", "pos")).first().location_id == 20
+
+
 def test_align_to_the_longest_series(spark):
     def series(loc, minutes):
         return [(loc, i, T0 + dt.timedelta(minutes=m, seconds=10), float(m)) for i, m in enumerate(minutes)]
@@ -131,7 +165,9 @@ def hourly(spark, days, value=1.0):
 def test_store_fills_only_uncovered_days(spark, tmp_path):
     root = str(tmp_path / "store")
     box = Extent(0, 0, 2, 2)
-    get = lambda src, a, b: ingest.cached_get(spark, root, src, "tp", GRID, box, dt.date(2024, 1, a), b and dt.date(2024, 1, b))
+    get = lambda src, a, b: ingest.cached_get(
+        spark, root, src, "tp", GRID, box, dt.date(2024, 1, a), b and dt.date(2024, 1, b), steps=3
+    )
     first = get(hourly(spark, [1, 2, 3]), 1, 2)
     assert {(r.day.day, r.tp) for r in first.collect()} == {(1, 3.0), (2, 6.0)}
     # Days 1 and 2 are kept as they are although the source has changed.
@@ -144,6 +180,19 @@ def test_store_fills_only_uncovered_days(spark, tmp_path):
         ingest.fill_days(spark, root, hourly(spark, [1]), "snow", store.calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 1)))
 
 
+def test_a_day_in_parts_is_done_again_until_complete(spark, tmp_path):
+    root, whole = str(tmp_path / "store"), hourly(spark, [1])
+    day = store.calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 1))
+    total = lambda: {r.tp for r in spark.read.parquet(f"{root}/cube").collect()}
+    flag = lambda: [r.covered for r in store.read_coverage(spark, root).collect()]
+    ingest.fill_days(spark, root, whole.where("step < 1"), "tp", day, steps=3)
+    assert (total(), flag()) == ({1.0}, [0])
+    ingest.fill_days(spark, root, whole, "tp", day, steps=3)
+    assert (total(), flag()) == ({3.0}, [1])
+    ingest.fill_days(spark, root, hourly(spark, [1], 9.0), "tp", day, steps=3)
+    assert (total(), flag()) == ({3.0}, [1])
+
+
 def test_upsert_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "cube")
     df = hourly(spark, [1, 2]).where("step = 0").drop("step")
@@ -205,10 +254,26 @@ def test_stream_fills_the_store(spark, tmp_path):
     src = hourly(spark, [1, 2])
     src.write.parquet(landing)
     stream = steps.step_stream(spark, landing, src.schema)
-    query = cache.fill_from_stream(stream, root, "tp", check)
+    fill = lambda: cache.fill_from_stream(stream, root, "tp", check, landing=landing, steps=3)
+    query = fill()
     assert [r.rows for r in steps.progress(spark, query).collect()] == [12]
-    cache.fill_from_stream(stream, root, "tp", check)
+    fill()
     assert spark.read.parquet(f"{root}/cube").count() == 4
+    # a day in two deliveries, and one slice that lands twice
+    third = hourly(spark, [3])
+    for part in ("step < 2", "step > 0"):
+        third.where(part).write.mode("append").parquet(landing)
+        fill()
+    assert {r.tp for r in spark.read.parquet(f"{root}/cube").where("day = '2024-01-03'").collect()} == {9.0}
+
+
+def test_progress_of_a_long_run(spark, tmp_path):
+    landing, out, check = (str(tmp_path / p) for p in ("in", "out", "check"))
+    spark.range(12_000).repartition(120).write.parquet(landing)
+    stream = steps.step_stream(spark, landing, "id long", files_per_batch=1)
+    query = steps.run_to_files(stream, out, check)
+    rows = steps.progress(spark, query).collect()
+    assert len(rows) > 100 and sum(r.rows for r in rows) == 12_000
 
 
 def test_catalogue(spark):
