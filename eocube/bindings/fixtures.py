@@ -95,7 +95,7 @@ VIEWS: dict[str, str] = {
         select s_suppkey,
                concat(case when s_nationkey % 5 = 4 then '/V0M1R0' else '/V0M2R3' end, '/EQUI7_',
                       case when s_nationkey % 2 = 0 then 'AS' else 'EU' end, '020M/E',
-                      lpad(cast((s_suppkey * 3) % 60 as string), 3, '0'), 'N', lpad(cast((s_nationkey * 3) % 60 as string), 3, '0'),
+                      lpad(cast((s_suppkey * 3) % 60 as string), 3, '0'), 'N', lpad(cast(20 + (s_nationkey * 3) % 15 as string), 3, '0'),
                       'T3/FLOOD_202208', lpad(cast(1 + s_suppkey % 30 as string), 2, '0'), '_VV_', cast(s_suppkey as string), '.tif') as path
         from {supplier}""",
     "extent_text": """

@@ -101,7 +101,8 @@ def polygon_clip(t: Tables):
     return clip_polygon(composite_max(t.scene, "flood"), SCENE, vertices_of(t.spark, POLYGONS), ["flood"])
 
 
-TILE_BOX = Extent(900_000, 1_500_000, 3_400_000, 4_700_000)
+#: A box in longitude and latitude that reaches into both grids.
+TILE_BOX = Extent(15, 15, 75, 60, "EPSG:4326")
 
 
 def files_catalog(t: Tables):
@@ -120,7 +121,8 @@ def tile_table(files):
       select path, regexp_extract(path, 'EQUI7_([A-Z]{2})', 1) as grid_name, regexp_extract(path, '(E\d{3}N\d{3}T\d)', 1) as tile_name,
              1e5 * cast(regexp_extract(path, 'E(\d{3})N\d{3}T', 1) as double) as x0, 1e5 * cast(regexp_extract(path, 'E\d{3}N(\d{3})T', 1) as double) as y0
       from fx_files)
-    where x0 < 3400000 and x0 + 300000 > 900000 and y0 < 4700000 and y0 + 300000 > 1500000""")
+    where (grid_name = 'AS' and x0 < 3284415 and x0 + 300000 > -3624423 and y0 < 8520154 and y0 + 300000 > 1480241)
+       or (grid_name = 'EU' and x0 < 11450168 and x0 + 300000 > 4796197 and y0 < 3917224 and y0 + 300000 > -2094214)""")
 def tile_semi_join_(t: Tables):
     files = files_catalog(t)
     return tile_semi_join(files, tile_table(files), TILE_BOX).select("path", "grid_name", "tile_name")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eocube.bindings import sqltext as q
 from eocube.bindings.fixtures import BUILT, DEM, LANDCOVER, POLYGONS, RAIN, SCENE
-from eocube.bindings.joins import NEAREST_POINTS, TILE_BOX, aligned, files_catalog, tile_table
+from eocube.bindings.joins import NEAREST_POINTS, aligned, files_catalog, tile_table
 from eocube.bindings.ordered import ACCUMULATED, IN_RAIN_BOX, RAIN_BOX, RAIN_END, RAIN_START
 from eocube.bindings.registry import Tables, i64, q6, query, r6, rounded
 from eocube.bindings.scans import SCENE_BOX
@@ -38,16 +38,18 @@ FLOOD_SCENE = rf"""
     select l_orderkey % 500 - 50 as y_idx, l_partkey % 200 - 25 as x_idx,
            max(case when l_discount = 0 then null when l_returnflag = 'R' then 1e0 else 0e0 end) as flood
     from lineitem join (
-      select s_suppkey, path, 1e5 * cast(regexp_extract(path, 'E(\d{{3}})N\d{{3}}T', 1) as double) as x0, 1e5 * cast(regexp_extract(path, 'E\d{{3}}N(\d{{3}})T', 1) as double) as y0 from fx_files) f
+      select s_suppkey, path, 1e5 * cast(regexp_extract(path, 'E(\d{{3}})N\d{{3}}T', 1) as double) as x0, 1e5 * cast(regexp_extract(path, 'E\d{{3}}N(\d{{3}})T', 1) as double) as y0, regexp_extract(path, 'EQUI7_([A-Z]{{2}})', 1) as grid from fx_files) f
       on s_suppkey = l_suppkey
-    where regexp_extract(path, '_(\d{{8}})_', 1) between '20220805' and '20220820' and x0 < 3400000 and x0 + 300000 > 900000 and y0 < 4700000 and y0 + 300000 > 1500000
+    where regexp_extract(path, '_(\d{{8}})_', 1) between '20220805' and '20220820' 
+      and ((grid = 'AS' and x0 < 1829727 and x0 + 300000 > 1406639 and y0 < 3387243 and y0 + 300000 > 2657546)
+        or (grid = 'EU' and x0 < 10311377 and x0 + 300000 > 9781387 and y0 < 770101 and y0 + 300000 > 19430))
       and 65e0 + 0.02e0 * (l_partkey % 200 + 0.5e0) between 65.505e0 and 67.995e0 and 31e0 - 0.02e0 * (l_orderkey % 500 + 0.5e0) between 24.005e0 and 29.995e0
     group by 1, 2"""
 
 
 def _scene(t: Tables):
     files = files_catalog(t)
-    return flood.flood_scene(files, tile_table(files), _pixels(t), SCENE, SCENE_BOX, TILE_BOX, dt.date(2022, 8, 5), dt.date(2022, 8, 20))
+    return flood.flood_scene(files, tile_table(files), _pixels(t), SCENE, SCENE_BOX, dt.date(2022, 8, 5), dt.date(2022, 8, 20))
 
 
 @query("flood_scene", FLOOD_SCENE)

@@ -10,7 +10,8 @@ one generated stage instead of being repeated inside an ever larger expression.
 from __future__ import annotations
 
 import math
-
+import re
+from functools import lru_cache
 from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame
@@ -23,8 +24,16 @@ MOLLWEIDE = "ESRI:54009"
 EQUIDISTANT_EU = "+proj=aeqd +lat_0=53 +lon_0=24 +x_0=5837287.81977 +y_0=2121415.69617 +datum=WGS84 +units=m +no_defs"
 WGS84_RADIUS = 6378137.0
 WGS84_FLATTENING = 1 / 298.257223563
-AEQD_LAT0, AEQD_LON0 = 53.0, 24.0
-AEQD_X0, AEQD_Y0 = 5837287.81977, 2121415.69617
+#: The continental equidistant grids of the flood archive by their two letters.
+EQUI7_GRIDS = {
+    "AF": "+proj=aeqd +lat_0=8.5 +lon_0=21.5 +x_0=5621452.01998 +y_0=5990638.42298 +datum=WGS84 +units=m +no_defs",
+    "AN": "+proj=aeqd +lat_0=-90 +lon_0=0 +x_0=3714266.97719 +y_0=3402016.50625 +datum=WGS84 +units=m +no_defs",
+    "AS": "+proj=aeqd +lat_0=47 +lon_0=94 +x_0=4340913.84808 +y_0=4812712.92347 +datum=WGS84 +units=m +no_defs",
+    "EU": EQUIDISTANT_EU,
+    "NA": "+proj=aeqd +lat_0=52 +lon_0=-97.5 +x_0=8264722.17686 +y_0=4867518.35323 +datum=WGS84 +units=m +no_defs",
+    "OC": "+proj=aeqd +lat_0=-19.5 +lon_0=131.5 +x_0=6988408.5356 +y_0=7654884.53733 +datum=WGS84 +units=m +no_defs",
+    "SA": "+proj=aeqd +lat_0=-14 +lon_0=-60.5 +x_0=7257179.23559 +y_0=5592024.44605 +datum=WGS84 +units=m +no_defs",
+}
 
 DEG = math.pi / 180.0
 NEWTON_STEPS = 12
@@ -33,11 +42,8 @@ NEWTON_STEPS = 12
 SEPARABLE = frozenset({LONLAT, WEB_MERCATOR})
 
 
-# Derived from the ellipsoid and the centre of the equidistant map.
+# Derived from the ellipsoid.
 E2 = WGS84_FLATTENING * (2 - WGS84_FLATTENING)
-SIN0, COS0 = math.sin(AEQD_LAT0 * DEG), math.cos(AEQD_LAT0 * DEG)
-N0 = WGS84_RADIUS / math.sqrt(1 - E2 * SIN0**2)
-G0 = math.sqrt(E2 / (1 - E2)) * SIN0
 MOLLWEIDE_X = 2 * math.sqrt(2) / math.pi * WGS84_RADIUS
 MOLLWEIDE_Y = math.sqrt(2) * WGS84_RADIUS
 
@@ -62,55 +68,68 @@ _MERCATOR_INVERSE = [
     }
 ]
 
-# Ellipsoidal form for a fixed centre (Snyder 1987, USGS PP 1395, p. 199).  It
-# measures along normal sections, which differs from geodesics by less than
-# 80 m over Italy; a sphere would be off by 4 km there.
-_AEQD = [
-    lambda p, m: {"phi": p.lat * DEG, "lam": (p.lon - AEQD_LON0) * DEG},
-    lambda p, m: {
-        "psi": m.atan(
-            m.tan(p.phi) * (1 - E2)
-            + m.sqrt(1 - m.sin(p.phi) * m.sin(p.phi) * E2) * (E2 * N0 * SIN0 / WGS84_RADIUS) / m.cos(p.phi)
-        )
-    },
-    lambda p, m: {
-        "u": m.cos(p.psi) * m.sin(p.lam),
-        "v": m.sin(p.psi) * COS0 - m.cos(p.psi) * m.cos(p.lam) * SIN0,
-        "w": m.sin(p.psi) * SIN0 + m.cos(p.psi) * m.cos(p.lam) * COS0,
-    },
-    lambda p, m: {"side": m.sqrt(p.u * p.u + p.v * p.v)},
-    lambda p, m: {"s": m.atan2(p.side, p.w), "h": _ratio(p.v, p.side, 1.0, m) * (math.sqrt(E2 / (1 - E2)) * COS0)},
-    lambda p, m: {"h2": p.h * p.h, "s2": p.s * p.s},
-    lambda p, m: {
-        "c": p.s * N0 * (
-            1
-            - p.s2 * p.h2 * (1 - p.h2) / 6
-            + p.s2 * p.s * p.h * (1 - p.h2 * 2) * (G0 / 8)
-            + p.s2 * p.s2 * (p.h2 * (4 - p.h2 * 7) - (1 - p.h2 * 7) * (3 * G0**2)) / 120
-            - p.s2 * p.s2 * p.s * p.h * (G0 / 48)
-        )
-    },
-    lambda p, m: {"k": _ratio(p.c, p.side, 0.0, m)},
-    lambda p, m: {"x": p.u * p.k + AEQD_X0, "y": p.v * p.k + AEQD_Y0},
-]
-_AEQD_INVERSE = [
-    lambda p, m: {"u": p.x - AEQD_X0, "v": p.y - AEQD_Y0},
-    lambda p, m: {"c": m.sqrt(p.u * p.u + p.v * p.v)},
-    lambda p, m: {"sin_az": _ratio(p.u, p.c, 0.0, m), "cos_az": _ratio(p.v, p.c, 1.0, m), "d": p.c / N0},
-    lambda p, m: {"a": p.cos_az * p.cos_az * (-E2 * COS0**2 / (1 - E2))},
-    lambda p, m: {"b": (1 - p.a) * p.cos_az * (3 * E2 * SIN0 * COS0 / (1 - E2))},
-    lambda p, m: {"e": p.d - p.a * (p.a + 1) * p.d * p.d * p.d / 6 - p.b * (p.a * 3 + 1) * p.d * p.d * p.d * p.d / 24},
-    lambda p, m: {
-        "f": 1 - p.a * p.e * p.e / 2 - p.b * p.e * p.e * p.e / 6,
-        "east": p.sin_az * m.sin(p.e),
-        "north": m.cos(p.e) * COS0 - m.sin(p.e) * p.cos_az * SIN0,
-        "sin_psi": m.cos(p.e) * SIN0 + m.sin(p.e) * p.cos_az * COS0,
-    },
-    lambda p, m: {
-        "lon": m.atan2(p.east, p.north) * (1 / DEG) + AEQD_LON0,
-        "lat": m.atan((p.sin_psi - p.f * (E2 * SIN0)) / (m.sqrt(p.east * p.east + p.north * p.north) * (1 - E2))) * (1 / DEG),
-    },
-]
+@lru_cache
+def _azimuthal(crs: str) -> tuple[list, list]:
+    """Forward and inverse steps of an equidistant map given as ``+proj=aeqd`` with its centre and false origin.
+
+    Ellipsoidal form for a fixed centre (Snyder 1987, USGS PP 1395, p. 199).  It
+    measures along normal sections, which differs from geodesics by less than
+    80 m over Italy; a sphere would be off by 4 km there.
+    """
+    given = dict(re.findall(r"\+(\w+)=(\S+)", crs))
+    if given.get("datum") != "WGS84" or given.get("units") != "m":
+        raise ValueError(f"only WGS84 in metres is supported: {crs!r}")
+    lat0, lon0, x0, y0 = (float(given[k]) for k in ("lat_0", "lon_0", "x_0", "y_0"))
+    sin0, cos0 = math.sin(lat0 * DEG), math.cos(lat0 * DEG)
+    n0 = WGS84_RADIUS / math.sqrt(1 - E2 * sin0**2)
+    g0 = math.sqrt(E2 / (1 - E2)) * sin0
+    forward = [
+        lambda p, m: {"phi": p.lat * DEG, "lam": (p.lon - lon0) * DEG},
+        lambda p, m: {
+            "psi": m.atan(
+                m.tan(p.phi) * (1 - E2)
+                + m.sqrt(1 - m.sin(p.phi) * m.sin(p.phi) * E2) * (E2 * n0 * sin0 / WGS84_RADIUS) / m.cos(p.phi)
+            )
+        },
+        lambda p, m: {
+            "u": m.cos(p.psi) * m.sin(p.lam),
+            "v": m.sin(p.psi) * cos0 - m.cos(p.psi) * m.cos(p.lam) * sin0,
+            "w": m.sin(p.psi) * sin0 + m.cos(p.psi) * m.cos(p.lam) * cos0,
+        },
+        lambda p, m: {"side": m.sqrt(p.u * p.u + p.v * p.v)},
+        lambda p, m: {"s": m.atan2(p.side, p.w), "h": _ratio(p.v, p.side, 1.0, m) * (math.sqrt(E2 / (1 - E2)) * cos0)},
+        lambda p, m: {"h2": p.h * p.h, "s2": p.s * p.s},
+        lambda p, m: {
+            "c": p.s * n0 * (
+                1
+                - p.s2 * p.h2 * (1 - p.h2) / 6
+                + p.s2 * p.s * p.h * (1 - p.h2 * 2) * (g0 / 8)
+                + p.s2 * p.s2 * (p.h2 * (4 - p.h2 * 7) - (1 - p.h2 * 7) * (3 * g0**2)) / 120
+                - p.s2 * p.s2 * p.s * p.h * (g0 / 48)
+            )
+        },
+        lambda p, m: {"k": _ratio(p.c, p.side, 0.0, m)},
+        lambda p, m: {"x": p.u * p.k + x0, "y": p.v * p.k + y0},
+    ]
+    inverse = [
+        lambda p, m: {"u": p.x - x0, "v": p.y - y0},
+        lambda p, m: {"c": m.sqrt(p.u * p.u + p.v * p.v)},
+        lambda p, m: {"sin_az": _ratio(p.u, p.c, 0.0, m), "cos_az": _ratio(p.v, p.c, 1.0, m), "d": p.c / n0},
+        lambda p, m: {"a": p.cos_az * p.cos_az * (-E2 * cos0**2 / (1 - E2))},
+        lambda p, m: {"b": (1 - p.a) * p.cos_az * (3 * E2 * sin0 * cos0 / (1 - E2))},
+        lambda p, m: {"e": p.d - p.a * (p.a + 1) * p.d * p.d * p.d / 6 - p.b * (p.a * 3 + 1) * p.d * p.d * p.d * p.d / 24},
+        lambda p, m: {
+            "f": 1 - p.a * p.e * p.e / 2 - p.b * p.e * p.e * p.e / 6,
+            "east": p.sin_az * m.sin(p.e),
+            "north": m.cos(p.e) * cos0 - m.sin(p.e) * p.cos_az * sin0,
+            "sin_psi": m.cos(p.e) * sin0 + m.sin(p.e) * p.cos_az * cos0,
+        },
+        lambda p, m: {
+            "lon": m.atan2(p.east, p.north) * (1 / DEG) + lon0,
+            "lat": m.atan((p.sin_psi - p.f * (E2 * sin0)) / (m.sqrt(p.east * p.east + p.north * p.north) * (1 - E2))) * (1 / DEG),
+        },
+    ]
+    return forward, inverse
 
 
 def _newton(p, m):
@@ -137,20 +156,27 @@ _MOLLWEIDE_INVERSE = [
 
 _TO_XY = [lambda p, m: {"x": p.lon, "y": p.lat}]
 _TO_LONLAT = [lambda p, m: {"lon": p.x, "lat": p.y}]
-_FORWARD = {LONLAT: _TO_XY, WEB_MERCATOR: _MERCATOR, EQUIDISTANT_EU: _AEQD, MOLLWEIDE: _MOLLWEIDE}
+_FORWARD = {LONLAT: _TO_XY, WEB_MERCATOR: _MERCATOR, MOLLWEIDE: _MOLLWEIDE}
 _INVERSE = {
     LONLAT: _TO_LONLAT,
     WEB_MERCATOR: _MERCATOR_INVERSE,
-    EQUIDISTANT_EU: _AEQD_INVERSE,
     MOLLWEIDE: _MOLLWEIDE_INVERSE,
 }
 
 
 def _steps(src: str, dst: str) -> list:
     for crs in (src, dst):
-        if crs not in _FORWARD:
+        if crs not in _FORWARD and not is_azimuthal(crs):
             raise ValueError(f"unsupported coordinate reference system: {crs!r}")
-    return [] if src == dst else [*_INVERSE[src], *_FORWARD[dst]]
+    if src == dst:
+        return []
+    back = _azimuthal(src)[1] if is_azimuthal(src) else _INVERSE[src]
+    there = _azimuthal(dst)[0] if is_azimuthal(dst) else _FORWARD[dst]
+    return [*back, *there]
+
+
+def is_azimuthal(crs: str) -> bool:
+    return "+proj=aeqd" in crs.split()
 
 
 def project(df: DataFrame, x: Column, y: Column, src: str, dst: str, to: tuple[str, str]) -> DataFrame:

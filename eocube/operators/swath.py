@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eocube.functions.geodesy import EARTH_RADIUS_M, haversine
-from eocube.functions.projection import DEG, EQUIDISTANT_EU, LONLAT, WEB_MERCATOR, WGS84_RADIUS, project
+from eocube.functions.projection import DEG, LONLAT, WEB_MERCATOR, WGS84_RADIUS, is_azimuthal, project
 from eocube.model import GridSpec
 from eocube.operators.sizing import small_side
 
@@ -32,7 +32,7 @@ def _offers(places: DataFrame, dst: GridSpec, radius: float) -> DataFrame:
     mercator keeps it a box; where it crosses the date line it is listed again
     a world's width to either side, and around a pole it spans all longitudes.
     """
-    if dst.crs == EQUIDISTANT_EU:
+    if is_azimuthal(dst.crs):
         near = radius * STRETCH
         placed = project(places, F.col("lon"), F.col("lat"), LONLAT, dst.crs, ("x", "y"))
         return placed.withColumns(

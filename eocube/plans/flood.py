@@ -19,7 +19,8 @@ from eocube.operators.reduce import coarsen, composite_max
 from eocube.operators.regrid import regrid, reproject
 from eocube.operators.running import accumulate
 from eocube.operators.select import bbox_slice, block_steps, clip_box, day_select, native_resolution, time_slice
-from eocube.operators.tiles import tile_semi_join
+from eocube.operators.tiles import sorted_tiles, tile_semi_join
+from eocube.sources.catalog import with_attrs
 
 
 def flood_scene(
@@ -28,18 +29,20 @@ def flood_scene(
     pixels: DataFrame,
     spec: GridSpec,
     extent: Extent,
-    tile_extent: Extent,
     start: dt.date,
     end: dt.date | None = None,
 ) -> tuple[DataFrame, GridSpec]:
     """Scene of one day, or of several: pick files by day and tile, crop, take the maximum.
 
-    ``pixels`` holds the cells of all files keyed by ``path``; the grid returned is that of the crop.
+    Tiles are picked by the extent moved into each grid; their sorted names are an
+    attribute of the scene. ``pixels`` holds the cells of all files keyed by ``path``;
+    the grid returned is that of the crop.
     """
-    chosen = tile_semi_join(day_select(files, start, end, "day"), tiles, tile_extent)
+    chosen = tile_semi_join(day_select(files, start, end, "day"), tiles, extent)
+    names = {r.grid_name: list(r.tiles) for r in sorted_tiles(chosen).collect()}
     stacked = pixels.join(chosen.select("path"), "path", "left_semi")
     cells, cut = clip_box(stacked, spec, extent)
-    return composite_max(cells, "flood"), cut
+    return with_attrs(composite_max(cells, "flood"), "flood", {"tiles": names}), cut
 
 
 def restructure_flood(scene: DataFrame, spec: GridSpec, land: DataFrame, crs: str) -> tuple[DataFrame, GridSpec]:

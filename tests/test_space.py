@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eocube.functions.geodesy import cell_area, cell_area_exact, haversine
-from eocube.functions.projection import EQUIDISTANT_EU, LONLAT, MOLLWEIDE, WEB_MERCATOR, project, project_point
+from eocube.functions.projection import EQUI7_GRIDS, EQUIDISTANT_EU, LONLAT, MOLLWEIDE, WEB_MERCATOR, project, project_point
 from eocube.model import Extent, GridSpec
 from eocube.operators.regrid import regrid, reproject
 from eocube.operators.swath import nearest_points, resample_points
@@ -240,6 +240,18 @@ def test_reach_follows_the_map_scale(spark, dst):
     assert got == brute_points(points, dst, 5_000.0) and got
 
 
+@pytest.mark.parametrize("name", sorted(EQUI7_GRIDS))
+def test_equidistant_grids_go_there_and_back(name):
+    crs = EQUI7_GRIDS[name]
+    given = dict(p.split("=") for p in crs.replace("+", "").split() if "=" in p)
+    lat, lon = float(given["lat_0"]), float(given["lon_0"])
+    assert project_point(lon, lat, LONLAT, crs) == pytest.approx((float(given["x_0"]), float(given["y_0"])), abs=1e-6)
+    place = lon + 7, min(lat + 6, 84)
+    assert project_point(*project_point(*place, LONLAT, crs), crs, LONLAT) == pytest.approx(place, abs=1e-4)
+    with pytest.raises(ValueError):
+        project_point(0, 0, LONLAT, crs.replace("WGS84", "NAD27"))
+
+
 def test_reach_is_refused_where_it_is_unknown(spark):
     df = spark.createDataFrame([(1, 10.0, 47.0)], "location_id long, lon double, lat double")
     with pytest.raises(ValueError):
