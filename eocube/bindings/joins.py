@@ -18,7 +18,7 @@ from eocube.operators.nearest import select_nearest
 from eocube.operators.ragged import align_to_axis, decode_ragged, ragged_offsets
 from eocube.operators.reduce import coarsen, composite_max
 from eocube.operators.resample import resample_time
-from eocube.operators.tiles import tile_semi_join
+from eocube.operators.tiles import tile_semi_join, tile_table
 from eocube.plans.drought import SWATH_GRID
 from eocube.sources.store import calendar, materialize, missing_days
 from eocube.sources.vector import vertices_of
@@ -109,13 +109,6 @@ def files_catalog(t: Tables):
     return t.files.select("s_suppkey", "path", scene_name(F.col("path")).alias("f")).select("s_suppkey", "path", "f.*")
 
 
-def tile_table(files):
-    """Boxes of the tiles the catalogue lists."""
-    return files.select("grid_name", "tile_name").distinct().select(
-        "grid_name", "tile_name", tile_bounds(F.col("tile_name")).alias("b")
-    ).select("grid_name", "tile_name", "b.*")
-
-
 @query("tile_semi_join", r"""
     select path, grid_name, tile_name from (
       select path, regexp_extract(path, 'EQUI7_([A-Z]{2})', 1) as grid_name, regexp_extract(path, '(E\d{3}N\d{3}T\d)', 1) as tile_name,

@@ -57,24 +57,29 @@ def flood_scene(t: Tables):
     return _scene(t)[0]
 
 
-SCENE_MERC = SCENE.project(WEB_MERCATOR)
+#: Rows 50 to 349 and columns 25 to 149 of the scene grid, and its default web-mercator grid, as numbers.
+SCENE_CROP = GridSpec(LONLAT, 65.5, 0.02, 30.0, -0.02, 125, 300)
+SCENE_CROP_MERC = GridSpec(WEB_MERCATOR, 7291426.646959418, 2461.8515238192776, 3503549.843504374, -2461.8515238192776, 114, 305)
 
 
 def _merc_polygons():
     return [[project_point(x, y, LONLAT, WEB_MERCATOR) for x, y in ring] for ring in POLYGONS]
 
 
-_LAND = q.inside(_merc_polygons(), q.center(SCENE_MERC, "x", "x_idx"), q.center(SCENE_MERC, "y", "y_idx"))
+_LAND = q.inside(_merc_polygons(), q.center(SCENE_CROP_MERC, "x", "x_idx"), q.center(SCENE_CROP_MERC, "y", "y_idx"))
 
 
 @query("restructure_flood", f"""
-    with scene as (select y_idx, x_idx, max(flood) as flood from fx_scene where day = date '2022-08-30' group by 1, 2)
+    with scene as ({FLOOD_SCENE})
     select y_idx, x_idx, case when {_LAND} then flood end as flood
-    from ({q.nearest(q.mercator_lookup(SCENE, SCENE_MERC), 'scene', '', 'flood')})""")
+    from ({q.nearest(q.mercator_lookup(SCENE_CROP, SCENE_CROP_MERC), 'scene', '', 'flood')})""")
 def restructure_flood(t: Tables):
-    scene = t.scene.where(F.col("day") == "2022-08-30").groupBy("y_idx", "x_idx").agg(F.max("flood").alias("flood"))
+    """From the files of the archive to a masked scene in the store."""
+    scene, cut = _scene(t)
     land = to_crs(vertices_of(t.spark, POLYGONS), "EPSG:4326", WEB_MERCATOR)
-    return flood.restructure_flood(scene, SCENE, land, WEB_MERCATOR)[0]
+    path = store.workspace(t.spark, "flood")
+    store.write_cube(flood.restructure_flood(scene, cut, land, WEB_MERCATOR)[0], path)
+    return t.spark.read.parquet(path)
 
 
 #: The cropped grids and their default grids in web mercator, as numbers from the formulas alone.

@@ -10,13 +10,13 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from eocube.functions.projection import LONLAT
 from eocube.model import Extent, GridSpec
-from eocube.operators.reduce import composite_max
-from eocube.operators.select import clip_box
+from eocube.functions.text import FLOOD_LEVELS, scene_name
+from eocube.operators.tiles import tile_table
 from eocube.plans import drought, flood as flood_plans, ingest
+from eocube.sources.files import file_catalog
 from eocube.sources.store import calendar, write_cube
 from eocube.sources.vector import read_geojson
 
@@ -26,10 +26,13 @@ def _extent(text: str) -> Extent:
 
 
 def flood(spark, source, target, spec: GridSpec, extent: str, day: dt.date, land: str, crs: str = LONLAT) -> None:
-    """One day's scenes: crop, take the maximum, reproject, blank the sea."""
-    scenes = spark.read.parquet(source).where(F.col("day") == F.lit(day))
-    cells, cut = clip_box(scenes, spec, _extent(extent))
-    scene = composite_max(cells, "flood")
+    """One day's files of the archive that meet the extent: crop, take the maximum, reproject, blank the sea.
+
+    ``source`` holds the cells of all files with the ``path`` each comes from.
+    """
+    cells = spark.read.parquet(source)
+    files = file_catalog(cells.select("path").distinct(), scene_name, FLOOD_LEVELS)
+    scene, cut = flood_plans.flood_scene(files, tile_table(files), cells, spec, _extent(extent), day)
     write_cube(flood_plans.restructure_flood(scene, cut, read_geojson(spark, land), crs)[0], target)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eocube.functions.projection import EQUI7_GRIDS
+from eocube.functions.text import tile_bounds
 from eocube.model import Extent
 
 TILE_KEY = ("grid_name", "tile_name")
@@ -31,6 +32,12 @@ def tiles_meeting(tiles: DataFrame, extent: Extent) -> DataFrame:
     return tiles.where(meets)
 
 
+def tile_table(files: DataFrame) -> DataFrame:
+    """Boxes of the tiles a file catalogue lists."""
+    named = distinct_tiles(files).withColumn("b", tile_bounds(F.col("tile_name")))
+    return named.select(*TILE_KEY, "b.*")
+
+
 def tile_semi_join(files: DataFrame, tiles: DataFrame, extent: Extent) -> DataFrame:
     """Files whose tile meets the extent.
 

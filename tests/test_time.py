@@ -379,9 +379,12 @@ def test_flood_job(spark, tmp_path):
     from eocube import jobs
 
     scenes, land, out = (str(tmp_path / p) for p in ("scenes", "land.geojson", "out"))
-    rows = [(dt.date(2022, 8, 18), b, y, x, float(b)) for b in (0, 1) for y in (0, 1) for x in (0, 1)]
-    rows.append((dt.date(2022, 8, 30), 0, 0, 0, 5.0))
-    spark.createDataFrame(rows, "day date, band int, y_idx long, x_idx long, flood double").write.parquet(scenes)
+    name = "/V0M2R3/EQUI7_AF020M/{}T3/FLOOD_202208{}_VV_{}.tif".format
+    rows = [(name("E033N051", 18, b), y, x, float(b)) for b in (0, 1) for y in (0, 1) for x in (0, 1)]
+    # another day, a tile that does not meet the extent, another version of the archive
+    rows += [(name("E033N051", 30, 0), 0, 0, 5.0), (name("E003N051", 18, 0), 0, 0, 6.0)]
+    rows.append((name("E033N051", 18, 0).replace("V0M2R3", "V0M1R0"), 0, 0, 7.0))
+    spark.createDataFrame(rows, "path string, y_idx long, x_idx long, flood double").write.parquet(scenes)
     ring = [[0, 0], [1, 0], [1, 2], [0, 2], [0, 0]]
     with open(land, "w") as f:
         json.dump({"features": [{"geometry": {"type": "Polygon", "coordinates": [ring]}}]}, f)
