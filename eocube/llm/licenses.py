@@ -103,8 +103,15 @@ def license_matches(docs: DataFrame, templates: DataFrame, *, percent: int = 75)
     rows = rows.select("doc_id", F.xxhash64("words").alias("content"), "words")
     region_start = F.greatest(F.col("at") - longest, F.lit(0))
     region = F.slice("words", region_start + 1, F.lit(2 * longest + WINDOW_WORDS))
-    found = band_values(rows, STRIDE, "doc_id", "content", "words").join(values, "value")
-    hits = found.select("doc_id", "content", "license_id", "template", "at", region.alias("region")).distinct()
+    where = ["doc_id", "content", "license_id", "template", "at"]
+    if small:
+        found = band_values(rows, STRIDE, "doc_id", "content", "words").join(values, "value")
+        hits = found.select(*where, region.alias("region")).distinct()
+    else:  # the windows move without their texts, which are joined again with the few that hit
+        found = band_values(rows, STRIDE, "doc_id", "content").join(values, "value").select(*where).distinct()
+        texts = rows.select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), "words").distinct()
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))
+        hits = found.join(texts, same).select(*where, region.alias("region"))
     must = known.select("license_id", "template", "must")
     checked = hits.join(F.broadcast(must) if small else must, ["license_id", "template"]).select(
         "doc_id", "content", "license_id", "at",

@@ -161,7 +161,7 @@ def pack_blocks(
     kinds = "item bigint, length bigint, blk bigint, island int, guest bigint, bin bigint, bins bigint"
 
     def evolve(epoch: int):
-        def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             frame = frame.sort_values(["length", "item"], ascending=[False, True], ignore_index=True)
             packer = Packer(frame["length"].tolist(), capacity, hash((seed, epoch, int(key[0]), int(key[1]))) & 0x7FFFFFFF)
             people = [_as_bins(frame[c].to_numpy(np.int64)) for c in ("bin", "guest") if frame[c].notna().all()]
