@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.tables import ascii_lower, free_name
+from eocube.llm.tables import ascii_lower, free_name, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -39,6 +39,8 @@ def dropped_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, ke
     occurs = lines.where(F.length("key") >= min_chars).select(
         F.xxhash64("key").alias("h"), F.hash("key").alias("g"), "doc_id", "pos"
     )
+    # read three times: for the bounds of the ranges, for the ranges, for the lines to drop
+    occurs = written(occurs, "line-hashes")
     ordered = occurs.repartitionByRange("h", "g", "doc_id").sortWithinPartitions("h", "g", "doc_id", "pos")
     firsts = ordered.groupBy("h", "g", "doc_id").agg(F.min("pos").alias("pos"))
     stays = F.max if keep == "last" else F.min
