@@ -13,12 +13,14 @@ from eocube.bindings.ordered import ACCUMULATED, IN_RAIN_BOX, RAIN_BOX, RAIN_END
 from eocube.bindings.registry import Tables, i64, q6, query, r6, rounded
 from eocube.bindings.scans import SCENE_BOX
 from eocube.bindings.streams import running_accumulator
-from eocube.functions.projection import LONLAT, WEB_MERCATOR, project_point
+from eocube.functions.projection import EQUIDISTANT_EU, LONLAT, WEB_MERCATOR, project_point
+from eocube.functions.text import CCI_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name
 from eocube.model import Extent, GridSpec
 from eocube.operators.clip import to_crs
-from eocube.operators.resample import resample_time
+from eocube.operators.resample import day_span, resample_time
 from eocube.plans import drought, flood, ingest
 from eocube.sources import store
+from eocube.sources.files import file_catalog
 from eocube.sources.vector import vertices_of
 
 
@@ -235,20 +237,52 @@ def restructure_ascat(t: Tables):
     return drought.restructure_ragged(t.ragged_loc, t.ragged_obs, start, end)
 
 
-_LC_INSIDE = q.inside(
-    [[(x - 59.0, y + 16.0) for x, y in ring] for ring in POLYGONS], q.center(LANDCOVER, "x", "x_idx"), q.center(LANDCOVER, "y", "y_idx")
-)
+#: Tiles of 100 x 100 cells of 6 km on the European grid, a catchment on it, and the target grid as numbers.
+LC_GRID = GridSpec(EQUIDISTANT_EU, 4_200_000.0, 6_000.0, 3_600_000.0, -6_000.0, 200, 500)
+LC_RING = [(4_411_000.0, 3_307_000.0), (5_207_000.0, 3_101_000.0), (5_003_000.0, 1_203_000.0), (4_505_000.0, 909_000.0)]
+LC_LONLAT = GridSpec(LONLAT, -9.097718049739271, 0.07425403547922634, 65.99488410257169, -0.07425403547922634, 379, 384)
 
 
-@query("restructure_landcover", f"""
-    select y_idx, x_idx, case when {_LC_INSIDE} then corine_lc end as corine_lc from fx_landcover""")
-def restructure_landcover(t: Tables):
-    tiles = t.landcover.select(
-        (F.floor(F.col("y_idx") / 250) * 250).alias("tile_y"), (F.floor(F.col("x_idx") / 100) * 100).alias("tile_x"),
-        (F.col("y_idx") % 250).alias("y_idx"), (F.col("x_idx") % 100).alias("x_idx"), "corine_lc",
+def _landcover_lookup() -> str:
+    """Cells of the target grid placed in the European grid, by the forward formula."""
+    placed = q.aeqd(f"select y_idx, x_idx, {q.center(LC_LONLAT, 'x', 'x_idx')} as lon, {q.center(LC_LONLAT, 'y', 'y_idx')} as lat from ({q.cells(LC_LONLAT)})")
+    return f"""
+      select y_idx, x_idx, (east - 4200000e0) / 6000e0 as ax, (3600000e0 - north) / 6000e0 as ay from ({placed})
+      where east >= 4200000e0 and east < 5400000e0 and north <= 3600000e0 and north > 600000e0"""
+
+
+LANDCOVER_SQL = f"""
+    with lc as (select y_idx, x_idx, case when {q.inside([LC_RING], q.center(LC_GRID, 'x', 'x_idx'), q.center(LC_GRID, 'y', 'y_idx'))} then corine_lc end as corine_lc from fx_landcover)
+    select y_idx, x_idx, corine_lc from ({q.nearest(_landcover_lookup(), 'lc', '', 'corine_lc')})"""
+
+
+def _landcover(t: Tables, name: str, convention, levels):
+    """Cells by file, with an older version of every file beside it, through the catalogue into the store."""
+    tile = F.format_string(
+        "E%03dN%03dT6", (42 + 6 * F.floor(F.col("x_idx") / 100)).cast("int"), (30 - 6 * F.floor(F.col("y_idx") / 100)).cast("int")
     )
-    catchment = vertices_of(t.spark, [[(x - 59.0, y + 16.0) for x, y in ring] for ring in POLYGONS])
-    return drought.restructure_landcover(tiles, LANDCOVER, catchment)[0]
+    path = F.format_string(name, tile, tile)
+    cells = t.landcover.select(
+        path.alias("path"), (F.col("y_idx") % 100).alias("y_idx"), (F.col("x_idx") % 100).alias("x_idx"), "corine_lc"
+    )
+    old = cells.withColumns({"path": F.concat(F.regexp_replace("path", "T6/", "T3/"), F.lit("_old")), "corine_lc": F.lit(999.0)})
+    files = file_catalog(cells.union(old).select("path").distinct(), convention, levels)
+    catchment = vertices_of(t.spark, [LC_RING])
+    out = store.workspace(t.spark, "landcover")
+    store.write_cube(drought.restructure_landcover(cells.union(old), files, LC_GRID, catchment)[0], out)
+    return t.spark.read.parquet(out)
+
+
+@query("restructure_landcover", LANDCOVER_SQL)
+def restructure_landcover(t: Tables):
+    return _landcover(t, "/lc/%s/CLC2018_CLC_EU500M_%s.tif", landcover_name, LANDCOVER_LEVELS)
+
+
+@query("restructure_cci", LANDCOVER_SQL)
+def restructure_cci(t: Tables):
+    """The other land-cover product: its own file names and folders."""
+    name = "/CCI_Land_Cover/V1M0R1/EQUI7_EU500M/%s/ESA_LCMAP_L4_LC_L4_300m_2018_2018_v2_EU500M_%s.tif"
+    return _landcover(t, name, cci_name, CCI_LEVELS)
 
 
 @query("predicted_rain_get", f"""
@@ -296,5 +330,6 @@ _OBSERVED = q.bins("fx_sm", "y_idx,x_idx", "sm", 10)
     select h.request, o.time, o.y_idx, o.x_idx, {q6('o.sm')} as sm from hit h join observed o on o.time = h.time""")
 def retro_compare(t: Tables):
     """10-day observations at the steps of the 15-day model, ties to the later."""
-    compared = drought.retro_compare(resample_time(t.sm, 10, "sm"), resample_time(t.sm, 15, "sm"))
+    span = day_span(t.sm)
+    compared = drought.retro_compare(resample_time(t.sm, 10, "sm", span=span), resample_time(t.sm, 15, "sm", span=span))
     return rounded(compared.select("request", "time", "y_idx", "x_idx", "sm"), "sm")

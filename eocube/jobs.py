@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from eocube.functions.projection import LONLAT
 from eocube.model import Extent, GridSpec
-from eocube.functions.text import FLOOD_LEVELS, scene_name
+from eocube.functions.text import CCI_LEVELS, FLOOD_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name, scene_name
 from eocube.operators.tiles import tile_table
 from eocube.plans import drought, flood as flood_plans, ingest
 from eocube.sources.files import file_catalog
@@ -54,8 +54,14 @@ def ragged(spark, locations, obs, target, start: dt.datetime, end: dt.datetime)
     out.sortWithinPartitions("location_id", "time").write.parquet(target)
 
 
-def landcover(spark, source, target, spec: GridSpec, catchment: str, value: str = "corine_lc") -> None:
-    cells, _ = drought.restructure_landcover(spark.read.parquet(source), spec, read_geojson(spark, catchment), value)
+def landcover(
+    spark, source, target, spec: GridSpec, catchment: str, value: str = "corine_lc", product: str = "corine"
+) -> None:
+    """Corine or CCI: the files of the product below the folder, by their names."""
+    names = {"corine": (landcover_name, LANDCOVER_LEVELS), "cci": (cci_name, CCI_LEVELS)}[product]
+    tiles = spark.read.parquet(source)
+    files = file_catalog(tiles.select("path").distinct(), *names)
+    cells, _ = drought.restructure_landcover(tiles, files, spec, read_geojson(spark, catchment), value)
     write_cube(cells, target)
 
 
@@ -80,6 +86,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--crs", default=LONLAT)
     parser.add_argument("--polygons", help="GeoJSON of land or catchment")
     parser.add_argument("--value", default="corine_lc")
+    parser.add_argument("--product", choices=["corine", "cci"], default="corine")
     parser.add_argument("--start", type=dt.date.fromisoformat)
     parser.add_argument("--end", type=dt.date.fromisoformat)
     a = parser.parse_args(argv)
@@ -93,7 +100,7 @@ def main(argv: list[str] | None = None) -> None:
         "ragged": lambda: ragged(
             spark, *a.source.split(","), a.target, dt.datetime.combine(a.start, dt.time()), end_of(a.end)
         ),
-        "landcover": lambda: landcover(spark, a.source, a.target, a.grid, a.polygons, a.value),
+        "landcover": lambda: landcover(spark, a.source, a.target, a.grid, a.polygons, a.value, a.product),
         "retrieve": lambda: retrieve(spark, a.source, a.target, a.value, a.start, a.end or a.start),
     }
     runs[a.job]()

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eocube.functions.text import tile_bounds
+from eocube.model import GridSpec
 from eocube.operators.select import CELL
 
 
@@ -48,6 +50,21 @@ def mosaic(tiles: DataFrame, value: str, *, strict: bool = True) -> DataFrame:
     return merged.drop("n")
 
 
+def place_tiles(cells: DataFrame, files: DataFrame, spec: GridSpec) -> DataFrame:
+    """Cells ``(path, y_idx, x_idx, ...)`` of tiles as input of :func:`mosaic`.
+
+    A tile's first row and column on the mosaic grid follow from the box that its
+    name stands for; cells of files that the catalogue does not list go.
+    """
+    box = tile_bounds(F.col("tile_name"), abs(spec.dx))
+    offsets = files.select(
+        "path",
+        F.round((box["y0"] - spec.y0) / spec.dy).cast("bigint").alias("tile_y"),
+        F.round((box["x0"] - spec.x0) / spec.dx).cast("bigint").alias("tile_x"),
+    )
+    return cells.join(offsets, "path").drop("path")
+
+
 def meshgrid(spark: SparkSession, ny: int, nx: int) -> DataFrame:
     """All index pairs of two axes, generated from one range."""
     return spark.range(ny * nx).select(F.floor(F.col("id") / nx).alias("y_idx"), (F.col("id") % nx).alias("x_idx"))

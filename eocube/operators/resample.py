@@ -54,5 +54,10 @@ def resample_time(
     return means.select(start.alias(time), *keys, value)
 
 
+def day_span(df: DataFrame, time: str = "time") -> tuple[dt.date, dt.date]:
+    """First and last day of a table, for the ``span`` of several resamplings of it."""
+    return tuple(df.agg(F.to_date(F.min(time)), F.to_date(F.max(time))).first())
+
+
 def resample_daily(df: DataFrame, value: str, **kw) -> DataFrame:
     return resample_time(df, 1, value, **kw)

@@ -9,7 +9,7 @@ from eocube.functions.calendar import midnight
 from eocube.functions.projection import EQUIDISTANT_EU, LONLAT, WEB_MERCATOR
 from eocube.model import Extent, GridSpec
 from eocube.operators.clip import clip_polygon
-from eocube.operators.combine import mosaic, union_domains
+from eocube.operators.combine import mosaic, place_tiles, union_domains
 from eocube.operators.nearest import select_nearest
 from eocube.operators.overlay import LANDCOVER_CLASSES, class_label, major_class
 from eocube.operators.ragged import align_to_axis, decode_ragged, ragged_offsets
@@ -107,11 +107,15 @@ def restructure_ragged(
 
 
 def restructure_landcover(
-    tiles: DataFrame, spec: GridSpec, catchment: DataFrame, value: str = "corine_lc"
+    cells: DataFrame, files: DataFrame, spec: GridSpec, catchment: DataFrame, value: str = "corine_lc"
 ) -> tuple[DataFrame, GridSpec]:
-    """Mosaic, mask to the catchment, reproject to longitude and latitude."""
-    masked = clip_polygon(mosaic(tiles, value), spec, catchment, [value])
-    return reproject(masked, spec, LONLAT, [value])
+    """Place the catalogue's tiles, mosaic, mask to the catchment, keep, reproject to longitude and latitude.
+
+    ``cells`` holds the cells of all files keyed by ``path``; ``files`` is the
+    catalogue of either product; ``catchment`` is in the system of the tiles.
+    """
+    masked = clip_polygon(mosaic(place_tiles(cells, files, spec), value), spec, catchment, [value])
+    return reproject(materialize(masked, "landcover"), spec, LONLAT, [value])
 
 
 def retro_compare(observed: DataFrame, model: DataFrame, time: str = "time") -> DataFrame:
