@@ -8,8 +8,9 @@ copy and no pairs. Nodes that agree on four minima of a band share a bucket.
 Pairs are never listed within a bucket. In each round every bucket names a hub and every
 node is compared with the hub that it meets most often, first by signature, then on the
 full sets; links found merge components. Buckets whose members are all in one component are
-done. What is still apart after the hub rounds is compared in blocks of signatures, only
-across components, and again confirmed on full sets, so no link is lost by the hubs.
+done. What is still apart after the hub rounds is compared on full sets in blocks of bounded
+size, only across components; a block returns the links that join components, so no link
+between groups is lost by the hubs and no list of pairs is made.
 
 With four minima a band, two sets of similarity 0.75 miss all ``BANDS`` = 40 bands with
 probability (1 - 0.75**4)**40 = 2.5e-7, and less when they are closer.
@@ -32,7 +33,7 @@ SHINGLE_WORDS = 5
 BAND_ROWS = 4
 BANDS = 40
 HASHES = BAND_ROWS * BANDS
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 BLOCK_ROWS = 256
 # six standard deviations below the expected number of equal minima at similarity 0.75
 LEAST_EQUAL = int(HASHES * 0.75 - 6 * (HASHES * 0.75 * 0.25) ** 0.5)
@@ -191,8 +192,17 @@ def _open_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(members: DataFrame, salt: int) -> DataFrame:
-    """For every node of an open bucket the hub of another component that it shares most buckets with."""
-    rank = F.col("node") if salt == 0 else F.xxhash64("node", F.lit(salt))
+    """For every node of an open bucket the hub of another component that it shares most buckets with.
+
+    The hub of a bucket is at first the node with the largest buckets, which is near the
+    middle of its group; in later rounds it is drawn by a hash.
+    """
+    if salt == 0:
+        sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+        known = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("size"))
+        members, rank = members.join(known, "node"), -F.col("size")
+    else:
+        rank = F.xxhash64("node", F.lit(salt))
     hubs = members.groupBy("bucket").agg(F.min_by(F.struct("node", "part"), F.struct(rank, F.col("node"))).alias("hub"))
     met = members.join(hubs, "bucket").where(F.col("part") != F.col("hub.part"))
     often = met.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("n"))
@@ -200,34 +210,92 @@ def _hub_pairs(members: DataFrame, salt: int) -> DataFrame:
     return best.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
 
 
-def _block_pairs(members: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs of an open bucket from different components whose signatures are close, found block by block."""
-    size = members.groupBy("bucket").agg(F.count("*").alias("n"))
-    count = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (
-        members.join(size.select("bucket", count.alias("blocks")), "bucket")
-        .select("bucket", "node", "part", own.alias("own"), other.alias("other"))
-        .select("bucket", "node", "part", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+def _clustered(members: DataFrame) -> DataFrame:
+    """``(node, part, cluster, left, lefts, rights)`` of the nodes of open buckets.
+
+    Nodes that share a bucket, or are joined by a chain of them, are one cluster; ``left``
+    says whether a node is outside the largest component of its cluster. Small clusters are
+    put together until they fill a block.
+    """
+    hubs = members.groupBy("bucket").agg(F.min("node").alias("v"))
+    stars = members.join(hubs, "bucket").select(F.col("node").alias("u"), "v").distinct()
+    nodes = members.select("node", "part").distinct()
+    placed = written(_with_component(nodes, components(stars), "node", "cluster"), "clusters")
+    sizes = placed.groupBy("cluster", "part").agg(F.count("*").alias("n"))
+    whole = sizes.groupBy("cluster").agg(
+        F.sum("n").alias("n_all"), F.max("n").alias("n_most"), F.max_by("part", F.struct("n", "part")).alias("most")
+    )
+    small = whole.where(F.col("n_all") < BLOCK_ROWS).agg(F.coalesce(F.sum("n_all"), F.lit(0))).first()[0]
+    bins = max(1, -(-small // BLOCK_ROWS))
+    joint = F.when(F.col("n_all") < BLOCK_ROWS, -1 - F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster"))
+    blocks = lambda n: F.when(F.col("n_all") < BLOCK_ROWS, 1).otherwise(F.ceil(n / BLOCK_ROWS)).cast("int")
+    return placed.join(whole, "cluster").select(
+        "node", "part", joint.alias("cluster"), (F.col("part") != F.col("most")).alias("left"),
+        blocks(F.col("n_all") - F.col("n_most")).alias("lefts"), blocks(F.col("n_all")).alias("rights"),
     )
 
-    def compare(key, frame: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(key[1]), int(key[2])
-        left = frame[frame["own"] == lo]
-        right = frame[frame["own"] == hi]
-        sig = np.stack(right["sig"].to_numpy()) if len(right) else np.zeros((0, HASHES), np.int32)
-        size, part, node = (right[c].to_numpy() for c in ("n_shingles", "part", "node"))
-        out = []
-        for x, p, n, s in zip(left["node"], left["part"], left["n_shingles"], left["sig"]):
-            close = (part != p) & (100 * np.minimum(size, n) >= 75 * np.maximum(size, n))
-            at = np.flatnonzero(close)
-            at = at[(sig[at] == s[None, :]).sum(axis=1) >= LEAST_EQUAL]
-            out += [(min(x, y), max(x, y)) for y in node[at].tolist()]
-        return pd.DataFrame(sorted(set(out)), columns=["u", "v"]).astype("int64")
 
-    rows = dealt.join(sigs.select("node", "n_shingles", "sig"), "node")
-    return rows.groupBy("bucket", "lo", "hi").applyInPandas(compare, "u bigint, v bigint").distinct()
+def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share an open bucket, on full sets, block by block.
+
+    Only nodes outside the largest component of a cluster are compared with the others; a
+    block returns the links that join components, not all pairs it finds.
+    """
+    rows = _clustered(members).join(sets, "node")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    columns = ["cluster", "lo", "hi", "node", "part", "shingles"]
+    left = rows.where("left").select("*", own("lefts").alias("lo"), every("rights").alias("hi")).select(*columns)
+    right = rows.select("*", every("lefts").alias("lo"), own("rights").alias("hi")).select(
+        *(F.col(c).alias(f"{c}_r") for c in columns)
+    )
+
+    def compare(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        links: list[tuple[int, int]] = []
+        if len(one) and len(two):
+            two = two.rename(columns=lambda c: c.removesuffix("_r"))
+            shared, n_one, n_two = shared_counts(one["shingles"].to_list(), two["shingles"].to_list())
+            close = 100 * shared >= percent * (n_one[:, None] + n_two[None, :] - shared)
+            close &= one["part"].to_numpy()[:, None] != two["part"].to_numpy()[None, :]
+            root: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while root.setdefault(x, x) != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            names, parts = (one["node"].tolist(), two["node"].tolist()), (one["part"].tolist(), two["part"].tolist())
+            for i, j in np.argwhere(close).tolist():
+                a, b = find(parts[0][i]), find(parts[1][j])
+                if a != b:
+                    root[a] = b
+                    links.append((names[0][i], names[1][j]))
+        return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+
+    keys = ["cluster", "lo", "hi"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*(f"{k}_r" for k in keys))).applyInPandas(compare, "u bigint, v bigint").distinct()
+
+
+def shared_counts(one: list[np.ndarray], two: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the intersections of two lists of sets, and the sizes of the sets."""
+    n_one, n_two = (np.array([len(x) for x in side], np.int64) for side in (one, two))
+    a, b = np.concatenate(one), np.concatenate(two)
+    known = np.intersect1d(a, b)
+    out = np.zeros((len(one), len(two)), np.int64)
+    sides = []
+    for flat, n in ((a, n_one), (b, n_two)):
+        at = np.searchsorted(known, flat) if len(known) else np.zeros(len(flat), np.int64)
+        hit = (known[np.minimum(at, len(known) - 1)] == flat) if len(known) else np.zeros(len(flat), bool)
+        sides.append((np.repeat(np.arange(len(n)), n)[hit], at[hit]))
+    for lo in range(0, len(known), 4096):  # dense 0/1 matrices over a stretch of the shingles they have in common
+        parts = []
+        for (row, at), n in zip(sides, (n_one, n_two)):
+            here = (at >= lo) & (at < lo + 4096)
+            m = np.zeros((len(n), min(4096, len(known) - lo)), np.float32)
+            m[row[here], at[here] - lo] = 1
+            parts.append(m)
+        out += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+    return out, n_one, n_two
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
@@ -269,8 +337,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
         open_now = written(_open_buckets(members, parts), "open-buckets")
         if open_now.isEmpty():
             break
-        pairs = _hub_pairs(open_now, r) if r < HUB_ROUNDS else _block_pairs(open_now, sigs)
-        found = written(confirmed(pairs, sigs, sets, percent), "links")
+        if r < HUB_ROUNDS:
+            found = confirmed(_hub_pairs(open_now, r), sigs, sets, percent)
+        else:
+            found = _block_links(open_now, sets, percent)
+        found = written(found, "links")
         links = parts.select(F.col("node").alias("u"), F.col("component").alias("v")).union(found)
         parts = written(components(links), "parts")
     of_doc = _with_component(member, parts, "node", "part").groupBy("doc_id").agg(F.min("part").alias("part"))
