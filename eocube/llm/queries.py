@@ -26,7 +26,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("spans")
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), stored=True).drop("spans")
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eocube.llm.spans import Hasher, U, mix, pieces
+from eocube.llm.tables import written
 
 LENGTH = 200
 GRAM = 32
@@ -246,8 +247,9 @@ def _sort_shares(texts: DataFrame, length: int) -> DataFrame:
         if held and (out := flush(held)) is not None:
             yield out
 
-    dealt = texts.repartition("h").sortWithinPartitions("h")
-    return dealt.select("h", "row", "start", "n", "copies", "text").mapInArrow(run, MARKS)
+    # doc_id rides along, so that the texts move by row once, for these contexts and for the result
+    dealt = texts.drop("k").repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(run, MARKS)
 
 
 def _count_windows(texts: DataFrame, length: int) -> DataFrame:
@@ -261,7 +263,7 @@ def _count_windows(texts: DataFrame, length: int) -> DataFrame:
                 columns = [found.view(np.int64), mix(other ^ U(0x5DEECE66D)).view(np.int64), np.full(n, row), start + np.arange(n), np.full(n, copies)]
                 yield pa.record_batch([pa.array(x) for x in columns], names=["one", "two", "row", "start", "copies"])
 
-    windows = texts.select("row", "start", "n", "copies", "text").mapInArrow(
+    windows = texts.select("row", "doc_id", "start", "n", "copies", "text").mapInArrow(
         run, "one bigint, two bigint, row bigint, start bigint, copies bigint"
     )
     twice = windows.groupBy("one", "two").agg(F.count("*").alias("k")).where("k > 1").select("one", "two")
@@ -274,7 +276,7 @@ def repeated_ranges(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM)
     """``(row, start, end)``: byte ranges of ``(row, doc_id, text)`` covered by repeated strings; ranges may overlap."""
     found = anchors(rows.select("row", "text"), length, gram)
     again = found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
-    kept = found.join(again, "h")
+    kept = written(found.join(again, "h"), "anchors")
     distinct = kept.groupBy("h", "c").agg(
         F.count("*").alias("copies"), F.first("row").alias("row"), F.first("start").alias("start"), F.first("n").alias("n")
     )
@@ -284,7 +286,7 @@ def repeated_ranges(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM)
     per_anchor = distinct.groupBy("h").agg(F.count("*").alias("k"), F.min("copies").alias("least"))
     mixed = distinct.join(per_anchor.where("k > 1 and least = 1").select("h", "k"), "h")
     span = F.substring(F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("n") + (length - 1))
-    texts = mixed.join(rows.select("row", "doc_id", "text"), "row").select("h", "k", "row", "start", "n", "copies", span.alias("text"))
+    texts = mixed.join(rows.select("row", "doc_id", "text"), "row").select("h", "k", "row", "doc_id", "start", "n", "copies", span.alias("text"))
     few = _sort_shares(texts.where(F.col("k") <= SHARE_CONTEXTS), length)
     crowded = _count_windows(texts.where(F.col("k") > SHARE_CONTEXTS), length)
     return marks.unionByName(few).unionByName(crowded)
@@ -293,18 +295,21 @@ def repeated_ranges(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM)
 REMOVED = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<bigint>"
 
 
-def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, stored: bool = False) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)`` of every row of ``(doc_id, text)``.
 
     Texts count as UTF-8 bytes, a null text as an empty one. Each byte in a string of
     ``length`` bytes that also starts anywhere else goes, matches never cross texts;
     ``spans`` holds start and end of every maximal removed run. Rows are texts of their own,
-    also equal ones and those without id; an empty table stays empty.
+    also equal ones and those without id; an empty table stays empty. Other columns are
+    ignored. Rows are numbered where they are read, more than once; ``stored`` says that
+    ``docs`` comes straight from files, which give the same numbers each time. Otherwise the
+    texts are written first.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
+    rows = (rows if stored else written(rows, "texts")).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     marks = repeated_ranges(rows, length=length, gram=gram)
     per_row = marks.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
 
