@@ -32,9 +32,9 @@ from eocube.llm.spans import Hasher, pieces, units
 # Fixed value: the pre-token pattern of the byte-level scheme.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK_CHARS = 65_536
-KEPT_UNITS = 2_000_000
-KEPT_STATES = 200_000
-KEPT_PAIRS = 300_000
+KEPT_UNITS = 1_000_000
+KEPT_STATES = 60_000
+KEPT_PAIRS = 100_000
 _compiled: dict[str, "Transducer"] = {}
 
 
@@ -109,7 +109,7 @@ class Transducer:
         begin = (0, -1, 0)
         self.names: dict[tuple, int] = {begin: 0}
         self.states: list[tuple] = [begin]
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves: dict[int, int] = {}
 
     def _joins(self, left: int, right: int, limit: int) -> bool:
         """Whether two tokens stay apart until merge ``limit``, that is, no merge across their border runs before it.
@@ -169,9 +169,10 @@ class Transducer:
         for b in data:
             hop = moves.get(state << 8 | b)
             if hop is None:
-                hop = moves[state << 8 | b] = self._step(state, b)
-            state, emitted = hop
-            total += emitted
+                after, emitted = self._step(state, b)
+                hop = moves[state << 8 | b] = after << 12 | emitted + 2048
+            state = hop >> 12
+            total += (hop & 4095) - 2048
         return total
 
     def count(self, text: str) -> int:
