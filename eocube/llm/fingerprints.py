@@ -25,46 +25,64 @@ GROUP = 4
 SLOT = 8
 RANGES = 64
 RANGE_ROWS = 20_000
-LEAST_PARTS = 8
-BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
+LEAST_PARTS = 32
+BLANKS = " \t\n\x0b\x0c\r"
+SPACES = "[ \\t\\n\\x0B\\f\\r]+"
 
 
 def words(text: Column) -> Column:
     """Words between ASCII white space; a text without any is one empty word."""
-    found = F.filter(F.split(text, BLANKS, -1), lambda w: w != "")
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("")))
+    return F.split(F.trim(text, F.lit(BLANKS)), SPACES, -1)
 
 
 def _uniforms(h: Column) -> Column:
-    """The product of the two uniform numbers in the halves of a 64-bit hash."""
-    upper = (F.shiftrightunsigned(h, 32) + 0.5) / 4294967296.0
-    lower = (h.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")) + 0.5) / 4294967296.0
-    return upper * lower
+    """The product of two uniform numbers, from the halves of a 64-bit hash."""
+    upper = F.shiftrightunsigned(h, 32) + 0.5
+    lower = h.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")) + 0.5
+    return upper * lower * 2.0**-64
 
 
 def sample_value(term: Column, log_weight: Column, sample: Column) -> Column:
+    """The value of a word of a weight in a sample; the smallest of a document is kept."""
     one = F.xxhash64(term, sample)
     two = F.xxhash64(one)
-    b = (F.shiftrightunsigned(F.xxhash64(two), 11) + 0.5) / 9007199254740992.0
+    b = (F.shiftrightunsigned(F.xxhash64(two), 11) + 0.5) * 2.0**-53
     r = -F.ln(_uniforms(one))
     c = -F.ln(_uniforms(two))
-    return F.ln(c) - r * (F.floor(log_weight / r + b) - b + 1)
+    steps = F.when(log_weight == 0, 0.0).otherwise(F.floor(log_weight / r + b).cast("double"))
+    return F.ln(c) - r * (steps - b + 1.0)
 
 
-def sampled(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``(*keys, fingerprint)`` from ``(*keys, term, weight)``, hexadecimal, eight digits a sample.
+def sampled(terms: DataFrame, keys: list[str], prints: dict[str, str], samples: int = SAMPLES) -> DataFrame:
+    """``(*keys, *prints)``: fingerprints, hexadecimal, eight digits a sample.
 
-    The samples are taken in groups of four: a row computes four of them, small enough
+    ``prints`` names the weight column that each fingerprint follows; a word whose weight
+    is 0 is not in it. A word is sampled once for all fingerprints in which it weighs the
+    same. Samples are taken in groups of four: a row computes four of them, small enough
     for the compiler, and each group keeps its four minima per key.
     """
+    weights = list(prints.values())
+    each = F.array(*weights)
+    if len(weights) == 2:
+        each = F.when(F.col(weights[0]) == F.col(weights[1]), F.array(weights[0])).otherwise(each)
     groups = F.array(*(F.lit(g) for g in range(samples // GROUP)))
-    rows = terms.select(*keys, "term", F.ln("weight").alias("lw"), F.explode(groups).alias("g"))
+    rows = terms.select(*keys, "term", *weights, F.explode(each).alias("w")).where("w > 0")
+    rows = rows.select(
+        *keys, "term", *((F.col(w) == F.col("w")).alias(w) for w in weights), F.ln("w").alias("lw"), F.explode(groups).alias("g")
+    )
     values = [sample_value(F.col("term"), F.col("lw"), F.col("g") * GROUP + j) for j in range(GROUP)]
-    least = rows.groupBy(*keys, "g").agg(*(F.min(v).alias(f"m{j}") for j, v in enumerate(values)))
-    digits = [F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(f"m{j}"), 32))), SLOT, "0") for j in range(GROUP)]
-    parts = least.select(*keys, F.struct("g", F.concat(*digits).alias("part")).alias("piece"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["part"]), "")
-    return parts.groupBy(*keys).agg(joined.alias("fingerprint"))
+    rows = rows.select(*keys, "g", *weights, *(v.alias(f"v{j}") for j, v in enumerate(values)))
+    least = rows.groupBy(*keys, "g").agg(
+        *(F.min(F.when(F.col(w), F.col(f"v{j}"))).alias(f"{w}_{j}") for w in weights for j in range(GROUP))
+    )
+    digits = lambda c: F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(c), 32))), SLOT, "0")
+    parts = least.select(
+        *keys, F.struct("g", *(F.concat(*(digits(f"{w}_{j}") for j in range(GROUP))).alias(w) for w in weights)).alias("piece")
+    )
+    ordered = parts.groupBy(*keys).agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    return ordered.select(
+        *keys, *(F.array_join(F.col(f"pieces.{w}"), "").alias(name) for name, w in prints.items())
+    )
 
 
 def likeness(one: Column, two: Column, samples: int = SAMPLES) -> Column:
@@ -157,12 +175,10 @@ def fingerprints(docs: DataFrame, *, samples: int = SAMPLES) -> DataFrame:
     terms = pairs.select("part", "seq", both.alias("v")).select(
         "part", "seq", F.col("v.which").alias("which"), F.explode(words(F.col("v.text"))).alias("word")
     )
-    ids = ["part", "seq", "which"]
-    counted = terms.select(*ids, F.xxhash64("word").alias("term")).groupBy(*ids, "term").agg(F.count("*").alias("weight"))
-    prints = sampled(counted, ids, samples).groupBy("part", "seq").agg(
-        F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"),
-        F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
+    counted = terms.select("part", "seq", "which", F.xxhash64("word").alias("term")).groupBy("part", "seq", "term").agg(
+        F.sum(1 - F.col("which")).alias("own"), F.sum("which").alias("changed")
     )
+    prints = sampled(counted, ["part", "seq"], {"fingerprint": "own", "edited_fingerprint": "changed"}, samples)
     table = written(described.join(prints, ["part", "seq"]), "fingerprints")
     known = table.groupBy(F.col("hash").alias("next_hash")).agg(F.first("fingerprint").alias("next_fingerprint"))
     return table.join(known, "next_hash").select(
