@@ -14,7 +14,7 @@ from eocube.bindings.registry import Tables, i64, q6, query, r6, rounded
 from eocube.bindings.scans import SCENE_BOX
 from eocube.bindings.streams import running_accumulator
 from eocube.functions.projection import EQUIDISTANT_EU, LONLAT, WEB_MERCATOR, project_point
-from eocube.functions.text import CCI_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name
+from eocube.functions.text import CCI_LEVELS, DEM_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name, scene_name
 from eocube.model import Extent, GridSpec
 from eocube.operators.clip import to_crs
 from eocube.operators.resample import day_span, resample_time
@@ -102,19 +102,38 @@ def restructure_built(t: Tables):
     return rounded(flood.restructure_built(t.built, BUILT, box, WEB_MERCATOR)[0], "built")
 
 
-_DEM_BLOCKS = DEM.coarsen(5)
+#: Tiles of 50 x 50 cells of 6 km on the European grid, and the target grid of their blocks as numbers.
+DEM_GRID = GridSpec(EQUIDISTANT_EU, 4_500_000.0, 6_000.0, 1_500_000.0, -6_000.0, 100, 100)
+DEM_MERC = GridSpec(WEB_MERCATOR, 737758.253710541, 47901.15794520513, 5938135.660178418, -47901.15794520513, 20, 21)
+
+
+def _dem_lookup() -> str:
+    """Web-mercator cells placed among the blocks of the European grid, by the forward formula."""
+    lon, lat = q.mercator_lon(q.center(DEM_MERC, "x", "x_idx")), q.mercator_lat(q.center(DEM_MERC, "y", "y_idx"))
+    placed = q.aeqd(f"select y_idx, x_idx, {lon} as lon, {lat} as lat from ({q.cells(DEM_MERC)})")
+    return f"""
+      select y_idx, x_idx, (east - 4500000e0) / 30000e0 as ax, (1500000e0 - north) / 30000e0 as ay from ({placed})
+      where east >= 4500000e0 and east < 5100000e0 and north <= 1500000e0 and north > 900000e0"""
 
 
 @query("restructure_dem", f"""
     with blocks as ({q.coarse('fx_dem', 'dem', 5, DEM, 'avg(s.dem)')})
     select y_idx, x_idx, cast(round_even(dem, 0) as bigint) as dem
-    from ({q.nearest(q.mercator_lookup(_DEM_BLOCKS, _DEM_BLOCKS.project(WEB_MERCATOR)), 'blocks', '', 'dem')})""")
+    from ({q.nearest(_dem_lookup(), 'blocks', '', 'dem')})""")
 def restructure_dem(t: Tables):
-    tiles = t.dem.select(
-        (F.floor(F.col("y_idx") / 50) * 50).alias("tile_y"), (F.floor(F.col("x_idx") / 50) * 50).alias("tile_x"),
+    """Cells by file, with an older version of every tile beside it, through the catalogue into the store."""
+    tile = F.format_string(
+        "E%03dN%03dT3", (45 + 3 * F.floor(F.col("x_idx") / 50)).cast("int"), (12 - 3 * F.floor(F.col("y_idx") / 50)).cast("int")
+    )
+    cells = t.dem.select(
+        F.format_string("/V01R01/EQUI7_EU020M/%s/DEM.tif", tile).alias("path"),
         (F.col("y_idx") % 50).alias("y_idx"), (F.col("x_idx") % 50).alias("x_idx"), "dem",
     )
-    return i64(flood.restructure_dem(tiles, DEM, WEB_MERCATOR, k=5)[0], "dem")
+    old = cells.withColumns({"path": F.regexp_replace("path", "V01R01", "V00R01"), "dem": F.lit(-5.0)})
+    files = file_catalog(cells.union(old).select("path").distinct(), scene_name, DEM_LEVELS)
+    path = store.workspace(t.spark, "dem")
+    store.write_cube(flood.restructure_dem(cells.union(old), files, DEM_GRID, WEB_MERCATOR, k=5)[0], path)
+    return i64(t.spark.read.parquet(path), "dem")
 
 
 def risk_sql(where: str) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from eocube.functions.projection import LONLAT
 from eocube.model import Extent, GridSpec
-from eocube.functions.text import CCI_LEVELS, FLOOD_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name, scene_name
+from eocube.functions.text import CCI_LEVELS, DEM_LEVELS, FLOOD_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name, scene_name
 from eocube.operators.tiles import tile_table
 from eocube.plans import drought, flood as flood_plans, ingest
 from eocube.sources.files import file_catalog
@@ -41,7 +41,10 @@ def built(spark, source, target, spec: GridSpec, extent: str, crs: str = LONLAT)
 
 
 def dem(spark, source, target, spec: GridSpec, crs: str = LONLAT) -> None:
-    write_cube(flood_plans.restructure_dem(spark.read.parquet(source), spec, crs)[0], target)
+    """The tiles of the height model below the folder, by their names."""
+    cells = spark.read.parquet(source)
+    files = file_catalog(cells.select("path").distinct(), scene_name, DEM_LEVELS)
+    write_cube(flood_plans.restructure_dem(cells, files, spec, crs)[0], target)
 
 
 def gridded(spark, sources: list[str], target) -> None:

@@ -12,7 +12,7 @@ from eocube.functions.missing import encode_int16
 from eocube.functions.projection import WEB_MERCATOR
 from eocube.model import Extent, GridSpec
 from eocube.operators.clip import clip_polygon
-from eocube.operators.combine import mosaic
+from eocube.operators.combine import mosaic, place_tiles
 from eocube.operators.nearest import nth_step
 from eocube.operators.overlay import OVERLAY_CLASSES, class_label, overlay_flood_built
 from eocube.operators.reduce import coarsen, composite_max
@@ -56,10 +56,12 @@ def restructure_built(built: DataFrame, spec: GridSpec, extent: Extent, crs: str
     return reproject(cells, cut, crs, ["built"])
 
 
-def restructure_dem(tiles: DataFrame, spec: GridSpec, crs: str, k: int | None = None) -> tuple[DataFrame, GridSpec]:
-    """Mosaic, exact block mean, reproject, pack to 16 bits."""
+def restructure_dem(
+    cells: DataFrame, files: DataFrame, spec: GridSpec, crs: str, k: int | None = None
+) -> tuple[DataFrame, GridSpec]:
+    """Place the catalogue's tiles, mosaic, exact block mean, reproject, pack to 16 bits; cells are keyed by ``path``."""
     k = k or block_steps(native_resolution("dem"))
-    means, coarse = coarsen(mosaic(tiles, "dem"), spec, k, "mean", "dem", boundary="exact")
+    means, coarse = coarsen(mosaic(place_tiles(cells, files, spec), "dem"), spec, k, "mean", "dem", boundary="exact")
     cells, dst = reproject(means, coarse, crs, ["dem"])
     return cells.withColumn("dem", encode_int16(F.col("dem"))), dst
 

@@ -15,7 +15,7 @@ EAGER = {
     "running_accumulator", "stream_accumulate", "stream_close", "stream_progress", "step_stream", "run_stream",
     "stream_sink", "cache_fill", "jobs", "predicted_rain_get", "retrieve_swvl1", "restructure_4dmed",
     "restructure_ascat", "align_to_axis", "materialize", "cube_write", "region_upsert", "dims_append",
-    "daily_landing_read", "vector_read", "text_dims_read", "head_n", "ramp_bin", "global_median", "restructure_flood", "restructure_landcover", "restructure_cci",
+    "daily_landing_read", "vector_read", "text_dims_read", "head_n", "ramp_bin", "global_median", "restructure_flood", "restructure_dem", "restructure_landcover", "restructure_cci",
 }
 
 
