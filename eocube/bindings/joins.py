@@ -10,7 +10,7 @@ from eocube.bindings import sqltext as q
 from eocube.bindings.fixtures import BUILT, POLYGONS, RAIN, SCENE
 from eocube.bindings.registry import Tables, q6, query, r6, rounded
 from eocube.functions.projection import WEB_MERCATOR
-from eocube.functions.text import scene_name, tile_bounds
+from eocube.functions.text import scene_name
 from eocube.model import Extent
 from eocube.operators import combine, overlay, regrid, swath
 from eocube.operators.clip import clip_polygon
