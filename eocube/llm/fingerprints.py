@@ -181,7 +181,7 @@ def fingerprints(docs: DataFrame, *, samples: int = SAMPLES) -> DataFrame:
     prints = sampled(counted, ["part", "seq"], {"fingerprint": "own", "edited_fingerprint": "changed"}, samples)
     table = written(described.join(prints, ["part", "seq"]), "fingerprints")
     known = table.groupBy(F.col("hash").alias("next_hash")).agg(F.first("fingerprint").alias("next_fingerprint"))
-    return table.join(known, "next_hash").select(
+    return table.join(written(known, "known-fingerprints"), "next_hash").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"),

@@ -51,7 +51,7 @@ def dropped_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, ke
         .where(F.col("n") >= min_docs)
         .select("h", "g", F.col("kept.doc_id").alias("kept"))
     )
-    found = occurs.join(repeated, ["h", "g"])
+    found = occurs.join(written(repeated, "repeated-lines"), ["h", "g"])
     return found.where(~F.col("doc_id").eqNullSafe(F.col("kept"))).select("doc_id", "pos")
 
 

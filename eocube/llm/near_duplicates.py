@@ -188,7 +188,7 @@ def _open_buckets(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Members ``(bucket, node, part)`` of the buckets that hold more than one component."""
     placed = _with_component(members, parts, "node", "part")
     split = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi")
-    return placed.join(split.select("bucket"), "bucket", "left_semi")
+    return placed.join(written(split.select("bucket"), "split-buckets"), "bucket", "left_semi")
 
 
 def _hub_pairs(members: DataFrame, salt: int) -> DataFrame:
@@ -204,7 +204,7 @@ def _hub_pairs(members: DataFrame, salt: int) -> DataFrame:
     else:
         rank = F.xxhash64("node", F.lit(salt))
     hubs = members.groupBy("bucket").agg(F.min_by(F.struct("node", "part"), F.struct(rank, F.col("node"))).alias("hub"))
-    met = members.join(hubs, "bucket").where(F.col("part") != F.col("hub.part"))
+    met = members.join(written(hubs, "hubs"), "bucket").where(F.col("part") != F.col("hub.part"))
     often = met.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("n"))
     best = often.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
     return best.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
@@ -323,7 +323,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
         "node", F.xxhash64(F.slice("sig", F.col("band") * BAND_ROWS + 1, F.lit(BAND_ROWS)), "band").alias("bucket")
     )
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
-    members = written(banded.join(shared.select("bucket"), "bucket", "left_semi"), "buckets")
+    members = written(banded.join(written(shared.select("bucket"), "shared-buckets"), "bucket", "left_semi"), "buckets")
     involved = written(members.select("node").distinct(), "involved")
     sigs = written(nodes.join(involved, "node", "left_semi"), "involved-signatures")
     sets = written(full_sets(docs, involved), "full-sets")

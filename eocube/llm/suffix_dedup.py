@@ -275,16 +275,17 @@ def _count_windows(texts: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(row, start, end)``: byte ranges of ``(row, doc_id, text)`` covered by repeated strings; ranges may overlap."""
     found = anchors(rows.select("row", "text"), length, gram)
-    again = found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
+    again = written(found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "repeated-anchors")
     kept = written(found.join(again, "h"), "anchors")
     distinct = kept.groupBy("h", "c").agg(
         F.count("*").alias("copies"), F.first("row").alias("row"), F.first("start").alias("start"), F.first("n").alias("n")
     )
+    distinct = written(distinct, "contexts")
     whole = distinct.where("copies > 1").select("h", "c")
     marks = kept.join(whole, ["h", "c"]).select("row", "start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
 
     per_anchor = distinct.groupBy("h").agg(F.count("*").alias("k"), F.min("copies").alias("least"))
-    mixed = distinct.join(per_anchor.where("k > 1 and least = 1").select("h", "k"), "h")
+    mixed = distinct.join(written(per_anchor.where("k > 1 and least = 1").select("h", "k"), "mixed-anchors"), "h")
     span = F.substring(F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), F.col("n") + (length - 1))
     texts = mixed.join(rows.select("row", "doc_id", "text"), "row").select("h", "k", "row", "doc_id", "start", "n", "copies", span.alias("text"))
     few = _sort_shares(texts.where(F.col("k") <= SHARE_CONTEXTS), length)

@@ -18,7 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write below ``spark.checkpoint.dir`` and read back: cuts lineage, survives lost executors."""
+    """Write below ``spark.checkpoint.dir`` and read back: cuts lineage, survives lost executors.
+
+    Also where a grouping is joined with the rows it was made from: adaptive execution
+    splits a hot key of a join only where both sides come straight from a shuffle, not
+    where one is still being aggregated in the same stage.
+    """
     path = workspace(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
