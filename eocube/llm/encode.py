@@ -36,7 +36,9 @@ class Known:
         """The numbers of hashes, and which of them are known."""
         if not len(self.keys):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        order = np.argsort(hashes)  # a sorted search walks the keys in order
+        at = np.empty(len(hashes), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.keys, hashes[order]), len(self.keys) - 1)
         return self.values[at], self.keys[at] == hashes
 
     def add(self, hashes: np.ndarray, values: np.ndarray) -> None:
@@ -106,8 +108,7 @@ class Encoder:
             total = np.concatenate([[0], np.cumsum(counts)])
             row_start = total[first] + np.arange(len(offsets))
             out = np.full(int(row_start[-1]), end_id, np.uint32)
-            # a row's ids lie as many places later as rows end before it
-            row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-            where = np.arange(int(total[-1]))
-            out[where + np.repeat(row, counts)] = self.flat[where + np.repeat(begin - total[:-1], counts)]
+            inside = np.ones(len(out), bool)
+            inside[row_start[1:] - 1] = False  # a row's last place is its end id
+            out[inside] = self.flat[np.arange(int(total[-1])) + np.repeat(begin - total[:-1], counts)]
             yield i, out, row_start
