@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eocube.functions.projection import EQUI7_GRIDS
@@ -12,24 +12,22 @@ from eocube.model import Extent
 TILE_KEY = ("grid_name", "tile_name")
 
 
-def _overlaps(box: Extent) -> Column:
-    return (
-        (F.col("min_x") < box.max_x) & (F.col("max_x") > box.min_x) & (F.col("min_y") < box.max_y) & (F.col("max_y") > box.min_y)
-    )
-
-
 def tiles_meeting(tiles: DataFrame, extent: Extent) -> DataFrame:
     """Tiles whose box overlaps the extent.
 
     An extent with a reference system is moved into the grid of each tile, since
-    the coordinates of two grids are unrelated; one without is in the tiles' own.
+    the coordinates of two grids are unrelated: a table of one row per continental
+    grid.  One without is in the tiles' own.
     """
     if extent.crs is None:
-        return tiles.where(_overlaps(extent))
-    meets = F.lit(False)
-    for name, crs in EQUI7_GRIDS.items():
-        meets = meets | ((F.col("grid_name") == name) & _overlaps(extent.to(crs)))
-    return tiles.where(meets)
+        return tiles.where(
+            (F.col("min_x") < extent.max_x) & (F.col("max_x") > extent.min_x)
+            & (F.col("min_y") < extent.max_y) & (F.col("max_y") > extent.min_y)
+        )
+    boxes = [(name, *extent.to(crs).corners()) for name, crs in EQUI7_GRIDS.items()]
+    asked = tiles.sparkSession.createDataFrame(boxes, "grid_name string, _x0 double, _y0 double, _x1 double, _y1 double")
+    meets = (F.col("min_x") < F.col("_x1")) & (F.col("max_x") > F.col("_x0")) & (F.col("min_y") < F.col("_y1")) & (F.col("max_y") > F.col("_y0"))
+    return tiles.join(F.broadcast(asked), "grid_name").where(meets).select(*tiles.columns)
 
 
 def tile_table(files: DataFrame) -> DataFrame:
