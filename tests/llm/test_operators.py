@@ -385,6 +385,44 @@ def test_licenses_with_changes(spark, odd):
     assert licenses.license_matches(odd, templates).count() == 0
 
 
+FREE = """This program is free software: you can redistribute it and/or modify it under the terms of the {} as published
+by the Free Software Foundation, either version {} of the License, or (at your option) any later version."""
+OTHERS = [
+    (FREE.format("GNU General Public License", "2"), "GPL-2.0"), (FREE.format("GNU General Public License", "3"), "GPL-3.0"),
+    (FREE.format("GNU Lesser General Public License", "3"), "LGPL-3.0"), (FREE.format("GNU Affero General Public License", "3"), "AGPL-3.0"),
+    (FREE.format("GNU Lesser General Public License", "2.1").replace("program", "library"), "LGPL-2.1"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("It is distributed under the GNU Lesser General Public License v2.1.", "LGPL-2.1"), ("Licensed under the GNU GPL v3.", "GPL-3.0"),
+    ("Licensed under the MIT License.", "MIT"), ("This may be used under the terms of the MIT license.", "MIT"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY-SA 3.0.", "CC-BY-SA-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License.", "CC-BY-NC-3.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "ISC"),
+    ("Released under the BSD 3-Clause License.", "BSD-3-Clause"), ("Released under the Simplified BSD License.", "BSD-2-Clause"),
+    ("Released under CC0 1.0.", "CC0-1.0"), ("Released under the Mozilla Public License 1.1.", "MPL-1.1"),
+    ("SPDX-License-Identifier: LGPL-2.1-only", "LGPL-2.1"), ("Licensed under the Apache License 2.0.", "Apache-2.0"),
+    ("This work is licensed under the GNU General Public License, version 7.", None), ("Licensed under CC BY-XY 4.0.", None),
+]
+
+
+@pytest.mark.parametrize("broadcast_words", [200_000, 0])
+def test_licenses_of_notices_outside_the_tables(spark, monkeypatch, broadcast_words):
+    monkeypatch.setattr(licenses, "BROADCAST_WORDS", broadcast_words)
+    texts = [f"{prose(30 + k, k)}\n{t}\n{prose(70 + k, 120)}" for k, (t, _) in enumerate(OTHERS)]
+    pair = (len(texts), f"{OTHERS[0][0]}\n{prose(3, 200)}\n{OTHERS[3][0]}")
+    df = spark.createDataFrame([*enumerate(texts), pair], "doc_id bigint, text string")
+    got = {(r.doc_id, r.license_id) for r in licenses.license_matches(df, licenses.notices(spark)).collect()}
+    assert got == {(k, i) for k, (_, i) in enumerate(OTHERS) if i} | {(pair[0], "GPL-2.0"), (pair[0], "AGPL-3.0")}
+
+
+def test_the_best_contained_license_counts(spark):
+    one = "this text may be passed on under the rules of the green book"
+    templates = spark.createDataFrame([("green", one), ("red", one.replace("green book", "red book"))], "license_id string, text string")
+    df = spark.createDataFrame([(1, one), (2, one.replace("green", "red"))], "doc_id bigint, text string")
+    assert {(r.doc_id, r.license_id) for r in licenses.license_matches(df, templates).collect()} == {(1, "green"), (2, "red")}
+
+
 def test_licenses_without_broadcast(spark, whole, monkeypatch):
     want = sorted(rows(queries.op7_license_scan(spark, FOLDER)))
     monkeypatch.setattr(licenses, "BROADCAST_WORDS", 0)
