@@ -3,15 +3,15 @@
 Only DataFrame functions are used. A document's lines become rows ``(hash, document,
 position)``; they are range-partitioned by hash and document, so a line that a third of
 all documents hold is spread over many partitions, and sorted within them by document and
-position. One streaming pass over that order leaves one row per hash and document, a
-second, combined before its shuffle, one row per hash: in how many documents, and which
+position. One streaming pass over that order leaves the first row per hash and document; they
+are combined, also before a shuffle, to one row per hash: in how many documents, and which
 document comes first in the kept order. Lines to drop go back to their documents as
 positions, which become a gap-coded bitmap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eocube.llm.tables import ascii_lower, free_name, written
@@ -24,6 +24,13 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.trim(line, F.lit(BLANKS)))
 
 
+def first_occurrences(occurs: DataFrame) -> DataFrame:
+    """The first row of every hash and document; the window takes over the ranges, no group is a hash alone."""
+    ordered = Window.partitionBy("h", "g", "doc_id").orderBy("pos")
+    ranges = occurs.repartitionByRange("h", "g", "doc_id")
+    return ranges.withColumn("nth", F.row_number().over(ordered)).where("nth = 1").drop("nth")
+
+
 def dropped_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, keep: str = "last") -> DataFrame:
     """``(doc_id, pos)`` of the lines of ``(doc_id, text)`` that repeat elsewhere.
 
@@ -41,8 +48,7 @@ def dropped_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, ke
     )
     # read three times: for the bounds of the ranges, for the ranges, for the lines to drop
     occurs = written(occurs, "line-hashes")
-    ordered = occurs.repartitionByRange("h", "g", "doc_id").sortWithinPartitions("h", "g", "doc_id", "pos")
-    firsts = ordered.groupBy("h", "g", "doc_id").agg(F.min("pos").alias("pos"))
+    firsts = first_occurrences(occurs)
     stays = F.max if keep == "last" else F.min
     known = F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id")
     repeated = (

@@ -552,6 +552,22 @@ def test_lines_of_odd_rows(odd):
     assert by_id[13] == "other\n" and by_id[14] == "" and by_id[15] == dict(ODD)[15]
 
 
+def test_first_occurrences_follow_the_order(spark, odd, monkeypatch):
+    """The plan that counts documents sorts by document and position within the ranges, and shuffles once before."""
+    plans, write = {}, line_dedup.written
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(line_dedup, "written", recorded)
+    line_dedup.dropped_lines(odd)
+    before, ranges = plans["repeated-lines"].split("rangepartitioning")
+    assert "pos" in ranges.split("FileScan")[1].split("]")[0]
+    assert "row_number() windowspecdefinition(h" in before and "Sort [h" in before
+    assert before.count("Exchange") == 2 and "hashpartitioning(h" in before
+
+
 def test_bitmaps(spark):
     df = spark.createDataFrame([(["a", "b", "c", "d", "e"], [0, 2, 3])], "lines array<string>, at array<int>")
     coded = "unhex('000000000000000100000000')"
