@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from eocube.llm import (
+    clustering,
     decontamination,
     fingerprints,
     licenses,
@@ -67,11 +68,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir)).drop("keep_map")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_token_files, op3_quality_rules, op4_near_duplicates, op5_token_counts,
         op6_fingerprints, op7_license_scan, op8_decontamination, op9_best_fit_packing, op10_line_dedup,
+        op11_centroid_clusters,
     )
 }
 
