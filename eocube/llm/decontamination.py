@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eocube.llm.near_duplicates import LOWER
-from eocube.llm.spans import IS_SPACE, Hasher, U, mix, pieces, words
+from eocube.llm.spans import IS_SPACE, U, mix, pieces, range_hashes, words
 
 SPAN = 13
 SUBSTITUTIONS = 2
@@ -45,7 +45,7 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     # separators become blanks, so that words() finds the runs between them
     blank = np.where(APART[low], np.uint8(32), low)
     start, end, first = words(blank, offsets)
-    return Hasher(blank).ranges(start, end), first
+    return range_hashes(blank, start, end), first
 
 
 def seeds(word: np.ndarray, mask: str) -> np.ndarray:

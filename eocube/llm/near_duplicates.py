@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eocube.llm.spans import Hasher, U, mix, pieces, words
+from eocube.llm.spans import U, mix, pieces, range_hashes, words
 from eocube.llm.tables import free_name, written
 
 SHINGLE_WORDS = 5
@@ -58,7 +58,7 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     for i, j, buf, offsets in pieces(column):
         buf = LOWER[buf]
         start, end, first = words(buf, offsets)
-        word = Hasher(buf).ranges(start, end)
+        word = range_hashes(buf, start, end)
         n = len(word)
         joined = np.zeros(max(0, n - k + 1), U)
         for p in range(k):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eocube.llm.spans import IS_SPACE, Hasher, U, mix, pieces, words
+from eocube.llm.spans import IS_SPACE, U, mix, pieces, range_hashes, words
 from eocube.llm.tables import free_name, written
 
 STATISTICS = (
@@ -57,8 +57,7 @@ def statistics(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
         return (sums[first[1:]] - sums[first[:-1]]).astype(float)
 
-    hashes = Hasher(buf)
-    word = hashes.ranges(start, end)
+    word = range_hashes(buf, start, end)
     solid = np.concatenate([[0], np.cumsum(letters | digits, dtype=np.int64)])
     bare = solid[end] == solid[start]
     lone = ~(letters | digits | IS_SPACE[buf])
@@ -71,7 +70,7 @@ def statistics(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     triples = mix(word[:-2] * U(3) + word[1:-1] * U(5) + word[2:] * U(7)) if len(word) > 2 else np.zeros(0, U)
     breaks = np.flatnonzero(buf == 10)
     line_start, line_end = _lines(breaks, offsets)
-    line = hashes.ranges(line_start, line_end)
+    line = range_hashes(buf, line_start, line_end)
     line_first = np.searchsorted(line_start, offsets)
     distinct = np.zeros((4, n))
     for r in range(n):

@@ -16,6 +16,7 @@ from eocube.llm import (
     near_duplicates,
     packing,
     quality,
+    sentence_pieces,
     suffix_dedup,
     token_counts,
     token_files,
@@ -24,6 +25,7 @@ from eocube.llm.tables import documents, table
 from eocube.sources.store import workspace
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,12 +74,16 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.piece_digests(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_token_files, op3_quality_rules, op4_near_duplicates, op5_token_counts,
         op6_fingerprints, op7_license_scan, op8_decontamination, op9_best_fit_packing, op10_line_dedup,
-        op11_centroid_clusters,
+        op11_centroid_clusters, op13_sentence_pieces,
     )
 }
 

@@ -1,13 +1,17 @@
 """Numpy helpers over the UTF-8 bytes of a batch of texts: words, units and their hashes.
 
-Texts of a batch lie in one byte buffer with offsets, as Arrow holds them. Hashes of
-byte ranges come from one running sum: byte ``i`` adds ``table[byte] * base**i`` modulo
-2**64, so the difference at the two ends of a range, divided by ``base**start``, depends
-on the bytes of the range alone.
+Texts of a batch lie in one byte buffer with offsets, as Arrow holds them. Ranges of any
+length are hashed eight bytes at a time, each step a bijection of the 64 bits before it
+(:func:`range_hashes`). :class:`Hasher` gives the hashes of all windows of one length from
+running sums: byte ``i`` adds ``table[byte] * base**i`` modulo 2**64, so the difference at
+the two ends of a range, divided by ``base**start``, depends on the bytes of the range alone.
+Such sums are linear: texts of 1,024 bytes and more can be built that collide whatever the
+base, so they serve short windows only.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +56,53 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+LANES = 32
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], U)
+
+
+def lanes(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of a buffer as one number, zeros behind its end."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+
+
+def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of ranges of a buffer; those beyond ``LANES`` numbers go through blake2b."""
+    view, left = lanes(buf), end - start
+    h = mix((left.astype(U) + U(seed << 40)) * U(0xA24BAED4963EE407) + U(1))
+    at = np.flatnonzero((left > 0) & (left <= 8 * LANES))
+    place, left = start[at], left[at]
+    while len(at):
+        h[at] = mix(h[at] ^ (view[place] & _KEEP[np.minimum(left, 8)]))
+        more = np.flatnonzero(left > 8)
+        at, place, left = at[more], place[more] + 8, left[more] - 8
+    for i in np.flatnonzero(end - start > 8 * LANES).tolist():
+        digest = hashlib.blake2b(buf[start[i] : end[i]], digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
+def same_ranges(
+    a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray
+) -> bool:
+    """Whether all ranges of one buffer equal those of the other, byte by byte."""
+    size = a_end - a_start
+    if not (size == b_end - b_start).all():
+        return False
+    one, two = lanes(a), lanes(b)
+    at = np.flatnonzero((size > 0) & (size <= 8 * LANES))
+    p, q, left = a_start[at], b_start[at], size[at]
+    while len(p):
+        if ((one[p] ^ two[q]) & _KEEP[np.minimum(left, 8)]).any():
+            return False
+        more = left > 8
+        p, q, left = p[more] + 8, q[more] + 8, left[more] - 8
+    long = np.flatnonzero(size > 8 * LANES).tolist()
+    return all(np.array_equal(a[a_start[i] : a_end[i]], b[b_start[i] : b_end[i]]) for i in long)
+
+
 class Hasher:
-    """Hashes of ranges of one byte buffer."""
+    """Hashes of short ranges of one byte buffer."""
 
     def __init__(self, buf: np.ndarray):
         up, self.down = powers(len(buf) + 1)

@@ -26,8 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.encode import Known, first_places
-from eocube.llm.spans import Hasher, pieces, units
+from eocube.llm.encode import UnitTable
+from eocube.llm.spans import pieces, units
 
 # Fixed value: the pre-token pattern of the byte-level scheme.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -88,7 +88,7 @@ class Transducer:
         self.pretoken = regex.compile(PRETOKEN)
         self.splits = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.fits: dict[int, bool] = {}
-        self.known = Known(KEPT_UNITS)
+        self.table, self.counts = UnitTable(KEPT_UNITS), np.zeros(0, np.int64)
         self._reset_states()
 
     @staticmethod
@@ -183,18 +183,16 @@ class Transducer:
             total += 1 if i % 2 else sum(self.pretoken_count(w.encode()) for w in self.pretoken.findall(part))
         return total
 
-    def unit_counts(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Counts of distinct units, from those of before where the hash is known."""
-        if len(self.known.keys) + len(hashes) > self.known.limit:
-            self.known.clear()
-        counts, hit = self.known.find(hashes)
-        new = np.flatnonzero(~hit)
+    def unit_counts(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The count of every unit; a unit known from before is not counted again."""
+        numbers, new, emptied = self.table.number(buf, start, end)
+        if emptied:
+            self.counts = np.zeros(0, np.int64)
         if len(new):
             data = buf.tobytes()
             found = [self.count(data[s:e].decode("utf-8")) for s, e in zip(start[new].tolist(), end[new].tolist())]
-            counts[new] = found
-            self.known.add(hashes[new], counts[new])
-        return counts
+            self.counts = np.concatenate([self.counts, np.array(found, np.int64)])
+        return self.counts[numbers]
 
 
 def transducer(path: str) -> Transducer:
@@ -218,9 +216,7 @@ def chunk_summaries(rows: DataFrame, tokenizer: str) -> DataFrame:
         for b in batches:
             for i, j, buf, offsets in pieces(b.column("part")):
                 start, end, first = units(buf, offsets)
-                codes, hashes = pd.factorize(Hasher(buf).ranges(start, end))
-                at = first_places(codes, len(hashes))
-                per_unit = machine.unit_counts(hashes, buf, start[at], end[at])[codes] if len(codes) else np.zeros(0, int)
+                per_unit = machine.unit_counts(buf, start, end)
                 sums = np.concatenate([[0], np.cumsum(per_unit)])
                 whole = np.asarray(b.column("whole").slice(i, j - i).to_numpy(zero_copy_only=False), bool)
                 inner = sums[first[1:]] - sums[first[:-1]]
