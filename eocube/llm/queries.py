@@ -11,6 +11,7 @@ from eocube.llm import (
     clustering,
     decontamination,
     fingerprints,
+    lexical_search,
     licenses,
     line_dedup,
     near_duplicates,
@@ -74,6 +75,11 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(documents(spark, sf_dir))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.piece_digests(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
 
@@ -83,8 +89,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_suffix_dedup, op2_token_files, op3_quality_rules, op4_near_duplicates, op5_token_counts,
         op6_fingerprints, op7_license_scan, op8_decontamination, op9_best_fit_packing, op10_line_dedup,
-        op11_centroid_clusters, op13_sentence_pieces,
+        op11_centroid_clusters, op12_ranked_search, op13_sentence_pieces,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_line_dedup": line_dedup.LINE_DEDUP_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op10_line_dedup": line_dedup.LINE_DEDUP_SQL,
+    "op11_centroid_clusters": clustering.CLUSTER_SQL,
+    "op12_ranked_search": lexical_search.SEARCH_SQL,
+}
