@@ -124,7 +124,7 @@ CLUSTER_SQL = (
     """
 with kept as materialized (
   select vec_id, embedding, row_number() over () as r from embeddings
-  where len(embedding) = 64 and len(list_filter(embedding, x -> x is not null and isfinite(x))) = 64
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
 ), v as materialized (
   select r, i, floor(1024 * embedding[i]::double)::bigint as x from kept, range(1, 65) t(i)
 ), c0 as (
