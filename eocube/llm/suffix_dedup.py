@@ -296,21 +296,19 @@ def repeated_ranges(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM)
 REMOVED = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<bigint>"
 
 
-def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, stored: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)`` of every row of ``(doc_id, text)``.
 
     Texts count as UTF-8 bytes, a null text as an empty one. Each byte in a string of
     ``length`` bytes that also starts anywhere else goes, matches never cross texts;
     ``spans`` holds start and end of every maximal removed run. Rows are texts of their own,
     also equal ones and those without id; an empty table stays empty. Other columns are
-    ignored. Rows are numbered where they are read, more than once; ``stored`` says that
-    ``docs`` comes straight from files, which give the same numbers each time. Otherwise the
-    texts are written first.
+    ignored. The texts are numbered and written once, since a plan that numbers rows where it
+    reads them numbers them otherwise when the cores, and with them the splits, change.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
-    rows = (rows if stored else written(rows, "texts")).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
+    rows = written(numbered, "texts")
     marks = repeated_ranges(rows, length=length, gram=gram)
     per_row = marks.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
 
