@@ -191,7 +191,7 @@ def fit_rules(
 ) -> RuleModel:
     """Fit the ensemble on ``(_stats, label)``, labels 0 and 1.
 
-    Without rows or with one label only, the model has no rules and a constant score, the
+    Without rows, with one label only or one so rare that no rule has enough support, the model has no rules and a constant score, the
     smoothed share of label 1.
     """
     rows = written(rows, "learning-rows")
@@ -206,10 +206,11 @@ def fit_rules(
         numTrees=trees, maxDepth=depth, subsamplingRate=0.7, featureSubsetStrategy="0.5", minInstancesPerNode=5, seed=seed
     ).fit(vectors)
     rules = sorted(tree_rules(forest.toDebugString))
-    if not rules:
+    if rules:
+        support = rows.agg(*(F.avg(rule_column(r).cast("double")).alias(f"r{k}") for k, r in enumerate(rules))).first()
+        rules = [r for r, s in zip(rules, support) if least_support <= s <= 1 - least_support]
+    if not rules:  # none at all, or all of them hold for nearly no or nearly every row
         return constant
-    support = rows.agg(*(F.avg(rule_column(r).cast("double")).alias(f"r{k}") for k, r in enumerate(rules))).first()
-    rules = [r for r, s in zip(rules, support) if least_support <= s <= 1 - least_support]
     flags = F.array(*(rule_column(r).cast("double") for r in rules))
     ruled = rows.select(array_to_vector(flags).alias("features"), "label")
     lasso = LogisticRegression(
