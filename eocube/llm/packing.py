@@ -197,7 +197,7 @@ def pack(
     of the rest enter the next, which has fewer blocks, until one block holds them all or
     ``rounds`` are done; the last round keeps all its bins. No piece is left out.
     """
-    done = [pieces.where(F.col("length") >= capacity).select("item", "length", F.concat(F.lit("f"), "item").alias("seq"))]
+    done = [pieces.where(F.col("length") >= capacity).select("item", "length", (2 * F.col("item") + 1).alias("sequence_id"))]
     rest = pieces.where(F.col("length") < capacity).select("item", "length")
     for r in range(rounds):
         packed = written(
@@ -207,20 +207,20 @@ def pack(
             ),
             "packed",
         )
-        named = packed.withColumn("seq", F.concat_ws("-", F.lit(r), "blk", "bin"))
+        # even numbers by block, bin and round; odd ones by the piece that fills a sequence alone
+        named = packed.withColumn("sequence_id", 2 * ((F.col("blk") * block + F.col("bin")) * rounds + r))
         if r + 1 == rounds or packed.select("blk").distinct().limit(2).count() < 2:
-            done.append(named.select("item", "length", "seq"))
+            done.append(named.select("item", "length", "sequence_id"))
             break
         full = packed.groupBy("blk", "bin").agg((F.sum("length") >= FILLED * capacity).alias("full"))
-        split = written(named.join(full, ["blk", "bin"]).select("item", "length", "seq", "full"), "filled")
-        done.append(split.where("full").select("item", "length", "seq"))
+        split = written(named.join(full, ["blk", "bin"]).select("item", "length", "sequence_id", "full"), "filled")
+        done.append(split.where("full").select("item", "length", "sequence_id"))
         rest = split.where(~F.col("full")).select("item", "length")
     everything = done[0]
     for part in done[1:]:
         everything = everything.unionByName(part)
     within = Window.partitionBy("sequence_id").orderBy("item")
-    numbered = everything.select("item", "length", F.xxhash64("seq").alias("sequence_id"))
-    return numbered.select(
+    return everything.select(
         "item", "sequence_id", (F.sum("length").over(within) - F.col("length")).cast("bigint").alias("offset")
     )
 
