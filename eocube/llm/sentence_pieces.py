@@ -72,6 +72,7 @@ class CharacterMap:
         for a in np.flatnonzero(self.first >= 0).tolist():
             after = self._children(np.array([self._base(int(self.first[a]))]))[0] >= 0
             self.pairs[a << 8 : (a + 1) << 8] = after | bool(self.units[self.first[a]] >> 8 & 1)
+        self.mapped = (self.first >= 0) & (self.units[np.maximum(self.first, 0)] >> 8 & 1 > 0)  # keys of one byte
         self.blank_inside = self._blank_inside(base)
 
     def _base(self, node):
@@ -228,13 +229,19 @@ class PieceModel:
         return self.flat[at], np.cumsum(self.width[at]), total[np.searchsorted(start, edges)]
 
     def stretches(self, buf: np.ndarray) -> Iterator[tuple[int, int]]:
-        """A long text in stretches that begin with a blank behind another byte."""
+        """A long text in stretches that begin with a blank behind another symbol."""
         at = 0
         while at < len(buf):
             end = len(buf)
             if self.cuts and end - at > PIECE_BYTES:
                 window = buf[at + PIECE_BYTES :]
-                found = np.flatnonzero((window[1:] == 32) & (window[:-1] != 32))
+                if self.map is None:
+                    solid = window != 32
+                    solid[2:] &= (window[:-2] != BLANK[0]) | (window[1:-1] != BLANK[1]) | (window[2:] != BLANK[2])
+                    solid[:2] = False
+                else:  # other bytes may end a symbol that becomes a blank
+                    solid = (window > 32) & (window < 127) & ~self.map.mapped[window]
+                found = np.flatnonzero((window[1:] == 32) & solid[:-1])
                 end = at + PIECE_BYTES + 1 + int(found[0]) if len(found) else end
             yield at, end
             at = end
