@@ -57,7 +57,7 @@ def plain_clusters(vectors, clusters=8, rounds=10, scale=1024, seed=3):
 
 def test_clusters_match_sql(spark):
     con = connect(FOLDER)
-    compare(queries.op11_centroid_clusters(spark, FOLDER), con, queries.ORACLE_SQL["op11_centroid_clusters"])
+    assert compare(queries.op11_centroid_clusters(spark, FOLDER), con, queries.ORACLE_SQL["op11_centroid_clusters"]) == []
 
 
 @pytest.mark.parametrize("clusters, rounds", [(3, 4), (8, 10), (40, 2)])
@@ -106,7 +106,7 @@ def plain_search(docs, items, limit=10):
 
 
 def test_search_matches_sql(spark):
-    compare(queries.op12_ranked_search(spark, FOLDER), connect(FOLDER), queries.ORACLE_SQL["op12_ranked_search"])
+    assert compare(queries.op12_ranked_search(spark, FOLDER), connect(FOLDER), queries.ORACLE_SQL["op12_ranked_search"]) == []
 
 
 ITEMS = [(1, "theta iota alpha3"), (2, None), (3, "the the NAÏVE café — 漢字"), (4, "nothing-of-this occurs"), (None, "one two"), (1, "changed TWO"), (5, ""), (6, prose(2, 200)), (7, "x" * 70_000)]
