@@ -22,6 +22,8 @@ from eocube.streaming.cache import fill_from_stream
 
 #: The days arrive in three deliveries; the stream runs after each.
 DELIVERIES = 3
+#: Files of one micro-batch; a delivery of more is cut in the middle of its days.
+FILES_PER_BATCH = 64
 
 
 def _days(cells) -> list[dt.date]:
@@ -34,15 +36,17 @@ def _parts(days: list[dt.date]) -> list[list[dt.date]]:
     return [days[a:b] for a, b in zip(cut, cut[1:])]
 
 
-def _deliver(t: Tables, run):
-    """Land the calendar delivery by delivery and run the stream after each."""
+def _deliver(t: Tables, run, *, marks: bool = False):
+    """Land the calendar delivery by delivery, each in files that mix its days, and run the stream after each."""
     root = store.workspace(t.spark, "stream")
     cells = t.tp
     landing, out, check = (f"{root}/{p}" for p in ("landing", "out", "checkpoint"))
     for days in _parts(_days(cells)):
-        steps.land_steps(cells, landing, days)
-        query_run = run(steps.step_stream(t.spark, landing, cells.schema), out, check)
-    return out, query_run
+        steps.land_files(cells, landing, days)
+        if marks:
+            steps.mark_whole(t.spark, landing, cells.schema, days)
+        run(steps.file_stream(t.spark, landing, cells.schema, files_per_batch=FILES_PER_BATCH), out, check)
+    return out, check
 
 
 STRICT = """
@@ -55,13 +59,13 @@ def step_stream(t: Tables):
     """The stream hands on one step at a time, every cell of it, in order."""
     root = store.workspace(t.spark, "steps")
     cells = t.tp
-    steps.land_each(cells, f"{root}/landing", _days(cells))
+    steps.land_steps(cells, f"{root}/landing", _days(cells))
 
     def send(batch, batch_id):
         sums = batch.groupBy("day").agg(F.count(F.lit(1)).alias("cells"), F.sum("tp").alias("total"))
         sums.write.mode("overwrite").parquet(f"{root}/out/step={batch_id}")
 
-    steps.run_each(send, steps.step_stream(t.spark, f"{root}/landing", cells.schema, files_per_batch=1), f"{root}/checkpoint")
+    steps.run_each(send, steps.step_stream(t.spark, f"{root}/landing", cells.schema), f"{root}/checkpoint")
     return rounded(i64(t.spark.read.parquet(f"{root}/out"), "step"), "total")
 
 
@@ -74,7 +78,7 @@ def run_stream(t: Tables):
 
 
 def _totals(t: Tables):
-    out, _ = _deliver(t, lambda s, path, check: steps.run_to_files(acc.running_accumulate(s), path, check))
+    out, _ = _deliver(t, lambda s, path, check: steps.run_to_files(acc.running_accumulate(s), path, check), marks=True)
     return t.spark.read.parquet(out)
 
 
@@ -94,13 +98,11 @@ def stream_close(t: Tables):
     return rounded(cells, "tp", digits=3)
 
 
-@query("stream_progress", """
-    with days as (select day, row_number() over (order by day) - 1 as i, count(*) over () as n from (select distinct day from fx_tp))
-    select count(*) as rows from fx_tp where day in (select day from days where i >= floor(n * 2 / 3))""")
+@query("stream_progress", "select count(*) as rows from fx_tp")
 def stream_progress(t: Tables):
-    """Rows the last run reports: those of the last delivery."""
-    _, last = _deliver(t, steps.run_to_files)
-    return steps.progress(t.spark, last).agg(F.sum("rows").alias("rows"))
+    """Rows that the micro-batches of all three runs report."""
+    _, check = _deliver(t, steps.run_to_files)
+    return steps.progress(t.spark, check).agg(F.sum("rows").alias("rows"))
 
 
 @query("cache_fill", f"""
@@ -114,8 +116,8 @@ def cache_fill(t: Tables):
         # the first day of the next delivery has already landed up to noon
         early = hourly.where(F.col("day").isin(parts[i + 1][:1]) & (F.col("step") < 12)) if i + 1 < len(parts) else hourly.limit(0)
         hourly.where(F.col("day").isin(days)).unionByName(early).write.mode("append").parquet(landing)
-        stream = steps.step_stream(t.spark, landing, hourly.schema)
-        fill_from_stream(stream, f"{root}/store", "tp", f"{root}/checkpoint", landing=landing)
+        stream = steps.file_stream(t.spark, landing, hourly.schema, files_per_batch=FILES_PER_BATCH)
+        fill_from_stream(stream, f"{root}/store", "tp", f"{root}/checkpoint")
     return rounded(t.spark.read.parquet(f"{root}/store/cube").select("day", "y_idx", "x_idx", "tp"), "tp")
 
 
@@ -146,8 +148,8 @@ def stream_sink(t: Tables):
             return t.spark.read.parquet(self.path).drop("batch").withColumn("wet", F.lit(True))
 
     root = store.workspace(t.spark, "sink")
-    steps.land_steps(t.tp, f"{root}/landing", _days(t.tp))
-    stream = steps.step_stream(t.spark, f"{root}/landing", t.tp.schema)
+    steps.land_files(t.tp, f"{root}/landing", _days(t.tp))
+    stream = steps.file_stream(t.spark, f"{root}/landing", t.tp.schema)
     return steps.run_to_sink(stream, WetCells(f"{root}/out"), f"{root}/checkpoint")
 
 

@@ -3,30 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from eocube.operators.select import CELL
-from eocube.plans.ingest import STEPS, fill_days
-from eocube.sources.store import materialize
+from eocube.plans.ingest import STEPS, add_slices
 from eocube.streaming.steps import run_each
 
 
-def fill_from_stream(stream: DataFrame, root: str, value: str, checkpoint: str, *, landing: str, steps: int = STEPS):
-    """Each micro-batch says which days have grown; these are stored from all that has landed.
+def fill_from_stream(stream: DataFrame, root: str, value: str, checkpoint: str, *, steps: int = STEPS):
+    """Each micro-batch is added to the partial aggregates of its days.
 
-    A day may land in any number of deliveries: it is read whole from ``landing``,
-    the folder behind the stream, until it is complete.  A slice of a cell that
-    lands twice counts once.  Replaying a batch after a failure finds its days
-    covered, or redoes them whole.
+    A day may land in any number of deliveries.  Besides the batch only the stored cells of its
+    days are read, never what has landed before.  A slice of a cell that lands again, or in a
+    batch that is replayed after a failure, is known by its step and counts once.
     """
-    schema = stream.schema
 
     def send(batch: DataFrame, _id: int) -> None:
-        spark = batch.sparkSession
-        days = materialize(batch.select("day").distinct(), "grown")
-        landed = spark.read.schema(schema).parquet(landing).join(days, "day", "left_semi")
-        # both groupings follow one shuffle by day and cell
-        once = landed.repartition("day", *CELL).groupBy("day", *CELL, "step").agg(F.max(value).alias(value))
-        fill_days(spark, root, once, value, days, steps=steps)
+        add_slices(batch.sparkSession, root, batch, value, steps=steps)
 
     return run_each(send, stream, checkpoint)

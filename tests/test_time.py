@@ -225,13 +225,19 @@ def rain(spark):
     return spark.createDataFrame(rows, "day date, y_idx long, x_idx long, tp double")
 
 
+def total_run(spark, schema, landing, out, check, **kw):
+    return steps.run_to_files(accumulate.running_accumulate(steps.file_stream(spark, landing, schema, **kw)), out, check)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     from eocube.operators.running import accumulate as batch
 
     cells, landing, out, check = rain(spark), *(str(tmp_path / p) for p in ("in", "out", "check"))
-    for days in ([1], [2, 3], [4]):
-        steps.land_steps(cells, landing, [dt.date(2024, 1, d) for d in days])
-        steps.run_to_files(accumulate.running_accumulate(steps.step_stream(spark, landing, cells.schema)), out, check)
+    for numbers in ([1], [2, 3], [4]):
+        days = [dt.date(2024, 1, d) for d in numbers]
+        steps.land_files(cells, landing, days)
+        steps.mark_whole(spark, landing, cells.schema, days)
+        total_run(spark, cells.schema, landing, out, check)
     got = {(r.day, r.x_idx): r.tp for r in spark.read.parquet(out).collect()}
     want = {(r.day, r.x_idx): r.tp for r in batch(cells, "tp", time="day", skipna=False).collect()}
     assert got == want and len(got) == 12
@@ -239,24 +245,69 @@ def test_stream_equals_batch(spark, tmp_path):
     assert spec.crs == "EPSG:3857" and fine.count() > 0
 
 
+def test_days_cut_across_batches(spark, tmp_path):
+    """80 files that each hold all ten days, 30 a batch: no day is whole before the last batch."""
+    landing, out, check = (str(tmp_path / p) for p in ("in", "out", "check"))
+    cells = spark.range(4000).selectExpr(
+        "date_add(date'2024-01-01', int(id % 10)) as day", "id div 10 div 20 as y_idx", "70 + id div 10 % 20 as x_idx", "double(id % 7) as tp"
+    )
+    days = [dt.date(2024, 1, d) for d in range(1, 11)]
+    steps.land_files(cells, landing, days, files=80)
+    total_run(spark, cells.schema, landing, out, check, files_per_batch=30)
+    assert spark.read.schema(cells.schema).parquet(out).count() == 0  # held back until their end marks
+    steps.mark_whole(spark, landing, cells.schema, days[:9])
+    total_run(spark, cells.schema, landing, out, check, files_per_batch=30)
+    assert {r.day.day for r in spark.read.parquet(out).select("day").distinct().collect()} == set(range(1, 10))
+    steps.mark_whole(spark, landing, cells.schema, days[9:])
+    total_run(spark, cells.schema, landing, out, check, files_per_batch=30)
+    want = cells.selectExpr("day", "y_idx", "x_idx", "sum(tp * 1000) over (partition by y_idx, x_idx order by day) as tp")
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_late_day_fails_the_stream(spark, tmp_path):
     cells, landing, out, check = rain(spark), *(str(tmp_path / p) for p in ("in", "out", "check"))
-    run = lambda: steps.run_to_files(accumulate.running_accumulate(steps.step_stream(spark, landing, cells.schema)), out, check)
-    steps.land_steps(cells, landing, [dt.date(2024, 1, 2)])
-    run()
-    steps.land_steps(cells, landing, [dt.date(2024, 1, 1)])
+    second, first = dt.date(2024, 1, 2), dt.date(2024, 1, 1)
+    steps.land_files(cells, landing, [second])
+    steps.mark_whole(spark, landing, cells.schema, [second])
+    total_run(spark, cells.schema, landing, out, check)
+    assert spark.read.parquet(out).count() == 3
+    steps.land_files(cells, landing, [first])
     with pytest.raises(PySparkException):
-        run()
+        total_run(spark, cells.schema, landing, out, check)
+
+
+def test_a_step_is_one_whole_day(spark, tmp_path):
+    """However many files a day has, and after a restart."""
+    cells, root, check = rain(spark), str(tmp_path / "in"), str(tmp_path / "check")
+    seen = {}
+
+    def send(batch, batch_id):
+        seen[batch_id] = sorted((r.day.day, r.x_idx, r.tp) for r in batch.where("y_idx is not null").collect())
+
+    for numbers in ([2, 1], [3], [4]):
+        steps.land_steps(cells, root, [dt.date(2024, 1, d) for d in numbers], files=3)
+        steps.run_each(send, steps.step_stream(spark, root, cells.schema, marks=len(numbers) == 2), check)
+    want = {d - 1: sorted((d, r.x_idx, r.tp) for r in cells.collect() if r.day.day == d) for d in range(1, 5)}
+    assert {k: len(v) for k, v in seen.items()} == {k: 3 for k in range(4)}
+    assert {k: [x[:2] for x in v] for k, v in seen.items()} == {k: [x[:2] for x in v] for k, v in want.items()}
+
+
+def test_totals_of_a_step_stream(spark, tmp_path):
+    cells, root, out, check = rain(spark), *(str(tmp_path / p) for p in ("in", "out", "check"))
+    steps.land_steps(cells, root, [dt.date(2024, 1, d) for d in (1, 2)], files=2)
+    steps.run_to_files(accumulate.running_accumulate(steps.step_stream(spark, root, cells.schema, marks=True)), out, check)
+    got = {(r.day.day, r.x_idx): r.tp for r in spark.read.parquet(out).collect()}
+    assert got == {(1, 0): 1000.0, (2, 0): 3000.0, (1, 1): 1000.0, (2, 1): None, (1, 2): None, (2, 2): None}
 
 
 def test_stream_fills_the_store(spark, tmp_path):
     landing, root, check = (str(tmp_path / p) for p in ("in", "store", "check"))
     src = hourly(spark, [1, 2])
     src.write.parquet(landing)
-    stream = steps.step_stream(spark, landing, src.schema)
-    fill = lambda: cache.fill_from_stream(stream, root, "tp", check, landing=landing, steps=3)
-    query = fill()
-    assert [r.rows for r in steps.progress(spark, query).collect()] == [12]
+    stream = steps.file_stream(spark, landing, src.schema)
+    fill = lambda: cache.fill_from_stream(stream, root, "tp", check, steps=3)
+    fill()
+    assert [r.rows for r in steps.progress(spark, check).collect()] == [12]
     fill()
     assert spark.read.parquet(f"{root}/cube").count() == 4
     # a day in two deliveries, and one slice that lands twice
@@ -265,15 +316,67 @@ def test_stream_fills_the_store(spark, tmp_path):
         third.where(part).write.mode("append").parquet(landing)
         fill()
     assert {r.tp for r in spark.read.parquet(f"{root}/cube").where("day = '2024-01-03'").collect()} == {9.0}
+    covered = {r.day.day: r.covered for r in spark.read.parquet(f"{root}/coverage").collect()}
+    assert covered == {1: 1, 2: 1, 3: 1}
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    day = hourly(spark, [5])
+    read = lambda: sorted(map(tuple, spark.read.parquet(f"{root}/cube").select("y_idx", "x_idx", "tp", "n", "steps").collect()))
+    ingest.add_slices(spark, root, day.where("step < 2"), "tp", steps=3)
+    first = read()
+    ingest.add_slices(spark, root, day.where("step < 2"), "tp", steps=3)
+    assert read() == first
+    ingest.add_slices(spark, root, day, "tp", steps=3)
+    ingest.fill_days(spark, str(tmp_path / "whole"), day, "tp", day.select("day").distinct(), steps=3)
+    assert read() == sorted(map(tuple, spark.read.parquet(f"{tmp_path}/whole/cube").select("y_idx", "x_idx", "tp", "n", "steps").collect()))
+
+
+def test_what_a_batch_reads_follows_what_arrived(spark, tmp_path):
+    """After 20 batches of one day each, a batch reads its own rows and the stored cells of its day."""
+    from eocube.sources import store as stored
+
+    landing, root, check = (str(tmp_path / p) for p in ("in", "store", "check"))
+    days = [dt.date(2024, 1, d) for d in range(1, 21)]
+    src = hourly(spark, range(1, 21))
+    for d in days:
+        steps.land_files(src, landing, [d], files=1)
+    asked = []
+
+    def reading(spark, path, schema, real=ingest.read_or_empty):
+        df = real(spark, path, schema)
+        asked.append((path, df))
+        return df
+
+    ingest.read_or_empty = reading
+    try:
+        cache.fill_from_stream(steps.file_stream(spark, landing, src.schema, files_per_batch=1), root, "tp", check, steps=3)
+    finally:
+        ingest.read_or_empty = stored.read_or_empty
+    assert all(not path.startswith(landing) for path, _ in asked) and len(asked) == 20
+    assert spark.read.parquet(f"{root}/cube").count() == 40
+
+
+@pytest.mark.parametrize("step, steps_a_day", [(64, 24), (-1, 24), (0, 96)])
+def test_steps_beyond_the_bits_are_an_error(spark, tmp_path, step, steps_a_day):
+    day = hourly(spark, [1]).withColumn("step", F.lit(step))
+    with pytest.raises((PySparkException, ValueError)):
+        ingest.fill_days(spark, str(tmp_path), day, "tp", day.select("day").distinct(), steps=steps_a_day)
 
 
 def test_progress_of_a_long_run(spark, tmp_path):
+    """150 batches in two runs; no setting of the session changes."""
     landing, out, check = (str(tmp_path / p) for p in ("in", "out", "check"))
-    spark.range(12_000).repartition(120).write.parquet(landing)
-    stream = steps.step_stream(spark, landing, "id long", files_per_batch=1)
-    query = steps.run_to_files(stream, out, check)
-    rows = steps.progress(spark, query).collect()
-    assert len(rows) > 100 and sum(r.rows for r in rows) == 12_000
+    settings = lambda: {k: v for k, v in spark.conf.getAll.items() if "streaming" in k}
+    before = settings()
+    stream = lambda: steps.file_stream(spark, landing, "id long", files_per_batch=1)
+    for part, batches in ((0, 90), (1, 60)):
+        spark.range(part * 10_000, (part + 1) * 10_000).repartition(batches).write.mode("append").parquet(landing)
+        steps.run_to_files(stream(), out, check)
+    rows = steps.progress(spark, check).collect()
+    assert sorted(r.batch for r in rows) == list(range(150)) and sum(r.rows for r in rows) == 20_000
+    assert settings() == before
 
 
 def test_catalogue(spark):
