@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eocube.bindings import sqltext as q
 from eocube.bindings.fixtures import BUILT, DEM, LANDCOVER, POLYGONS, RAIN, SCENE
-from eocube.bindings.joins import NEAREST_POINTS, aligned, files_catalog, tile_table
+from eocube.bindings.joins import NEAREST_POINTS, aligned
 from eocube.bindings.ordered import ACCUMULATED, IN_RAIN_BOX, RAIN_BOX, RAIN_END, RAIN_START
 from eocube.bindings.registry import Tables, i64, q6, query, r6, rounded
 from eocube.bindings.scans import SCENE_BOX
@@ -17,10 +17,11 @@ from eocube.functions.projection import EQUIDISTANT_EU, LONLAT, WEB_MERCATOR, pr
 from eocube.functions.text import CCI_LEVELS, DEM_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name, scene_name
 from eocube.model import Extent, GridSpec
 from eocube.operators.clip import to_crs
+from eocube.operators.tiles import tile_table
 from eocube.operators.resample import day_span, resample_time
 from eocube.plans import drought, flood, ingest
 from eocube.sources import store
-from eocube.sources.files import file_catalog
+from eocube.sources.archive import catalogue, land_archive, opener
 from eocube.sources.vector import vertices_of
 
 
@@ -49,9 +50,24 @@ FLOOD_SCENE = rf"""
     group by 1, 2"""
 
 
+_landed: dict[tuple, str] = {}
+
+
+def _archive(t: Tables, name: str, cells, levels: int) -> str:
+    """Land the cells of an archive, once a session and data folder; queries only list and open it."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _landed:
+        root = store.workspace(t.spark, "archive")
+        land_archive(cells(), root, levels)
+        _landed[key] = root
+    return _landed[key]
+
+
 def _scene(t: Tables):
-    files = files_catalog(t)
-    return flood.flood_scene(files, tile_table(files), _pixels(t), SCENE, SCENE_BOX, dt.date(2022, 8, 5), dt.date(2022, 8, 20))
+    root = _archive(t, "scenes", lambda: _pixels(t), 4)
+    files = catalogue(t.spark, root, scene_name, ())
+    cells = opener(t.spark, "y_idx bigint, x_idx bigint, flood double")
+    return flood.flood_scene(files, tile_table(files), cells, SCENE, SCENE_BOX, dt.date(2022, 8, 5), dt.date(2022, 8, 20))
 
 
 @query("flood_scene", FLOOD_SCENE)
@@ -130,9 +146,11 @@ def restructure_dem(t: Tables):
         (F.col("y_idx") % 50).alias("y_idx"), (F.col("x_idx") % 50).alias("x_idx"), "dem",
     )
     old = cells.withColumns({"path": F.regexp_replace("path", "V01R01", "V00R01"), "dem": F.lit(-5.0)})
-    files = file_catalog(cells.union(old).select("path").distinct(), scene_name, DEM_LEVELS)
+    root = _archive(t, "heights", lambda: cells.union(old), 4)
+    files = catalogue(t.spark, root, scene_name, DEM_LEVELS)
     path = store.workspace(t.spark, "dem")
-    store.write_cube(flood.restructure_dem(cells.union(old), files, DEM_GRID, WEB_MERCATOR, k=5)[0], path)
+    opened = opener(t.spark, "y_idx bigint, x_idx bigint, dem double")
+    store.write_cube(flood.restructure_dem(opened, files, DEM_GRID, WEB_MERCATOR, k=5)[0], path)
     return i64(t.spark.read.parquet(path), "dem")
 
 
@@ -285,10 +303,12 @@ def _landcover(t: Tables, name: str, convention, levels):
         path.alias("path"), (F.col("y_idx") % 100).alias("y_idx"), (F.col("x_idx") % 100).alias("x_idx"), "corine_lc"
     )
     old = cells.withColumns({"path": F.concat(F.regexp_replace("path", "T6/", "T3/"), F.lit("_old")), "corine_lc": F.lit(999.0)})
-    files = file_catalog(cells.union(old).select("path").distinct(), convention, levels)
+    root = _archive(t, name, lambda: cells.union(old), name.count("/"))
+    files = catalogue(t.spark, root, convention, levels)
     catchment = vertices_of(t.spark, [LC_RING])
     out = store.workspace(t.spark, "landcover")
-    store.write_cube(drought.restructure_landcover(cells.union(old), files, LC_GRID, catchment)[0], out)
+    opened = opener(t.spark, "y_idx bigint, x_idx bigint, corine_lc double")
+    store.write_cube(drought.restructure_landcover(opened, files, LC_GRID, catchment)[0], out)
     return t.spark.read.parquet(out)
 
 

@@ -1,6 +1,7 @@
 """Batch jobs: ``spark-submit`` this file with a job name and its folders.
 
-Inputs are Parquet cell tables; rasters, swaths and polygons in other formats
+Inputs are Parquet cell tables, those of an archive one file or folder per scene under its
+name; rasters, swaths and polygons in other formats
 are converted to those (and to GeoJSON) before they get here.
 """
 
@@ -16,10 +17,12 @@ from eocube.model import Extent, GridSpec
 from eocube.functions.text import CCI_LEVELS, DEM_LEVELS, FLOOD_LEVELS, LANDCOVER_LEVELS, cci_name, landcover_name, scene_name
 from eocube.operators.tiles import tile_table
 from eocube.plans import drought, flood as flood_plans, ingest
-from eocube.sources.files import file_catalog
+from eocube.sources.archive import catalogue, opener
 from eocube.sources.store import calendar, write_cube
 from eocube.sources.vector import read_geojson
 
+CELLS = "y_idx bigint, x_idx bigint"
+
 
 def _extent(text: str) -> Extent:
     return Extent.parse(text)
@@ -28,10 +31,10 @@ def _extent(text: str) -> Extent:
 def flood(spark, source, target, spec: GridSpec, extent: str, day: dt.date, land: str, crs: str = LONLAT) -> None:
     """One day's files of the archive that meet the extent: crop, take the maximum, reproject, blank the sea.
 
-    ``source`` holds the cells of all files with the ``path`` each comes from.
+    ``source`` is the folder of the archive: it is listed, and the chosen files are opened.
     """
-    cells = spark.read.parquet(source)
-    files = file_catalog(cells.select("path").distinct(), scene_name, FLOOD_LEVELS)
+    files = catalogue(spark, source, scene_name, FLOOD_LEVELS)
+    cells = opener(spark, f"{CELLS}, flood double")
     scene, cut = flood_plans.flood_scene(files, tile_table(files), cells, spec, _extent(extent), day)
     write_cube(flood_plans.restructure_flood(scene, cut, read_geojson(spark, land), crs)[0], target)
 
@@ -42,9 +45,8 @@ def built(spark, source, target, spec: GridSpec, extent: str, crs: str = LONLAT)
 
 def dem(spark, source, target, spec: GridSpec, crs: str = LONLAT) -> None:
     """The tiles of the height model below the folder, by their names."""
-    cells = spark.read.parquet(source)
-    files = file_catalog(cells.select("path").distinct(), scene_name, DEM_LEVELS)
-    write_cube(flood_plans.restructure_dem(cells, files, spec, crs)[0], target)
+    files = catalogue(spark, source, scene_name, DEM_LEVELS)
+    write_cube(flood_plans.restructure_dem(opener(spark, f"{CELLS}, dem double"), files, spec, crs)[0], target)
 
 
 def gridded(spark, sources: list[str], target) -> None:
@@ -62,8 +64,8 @@ def landcover(
 ) -> None:
     """Corine or CCI: the files of the product below the folder, by their names."""
     names = {"corine": (landcover_name, LANDCOVER_LEVELS), "cci": (cci_name, CCI_LEVELS)}[product]
-    tiles = spark.read.parquet(source)
-    files = file_catalog(tiles.select("path").distinct(), *names)
+    files = catalogue(spark, source, *names)
+    tiles = opener(spark, f"{CELLS}, {value} double")
     cells, _ = drought.restructure_landcover(tiles, files, spec, read_geojson(spark, catchment), value)
     write_cube(cells, target)
 

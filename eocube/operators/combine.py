@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eocube.functions.text import tile_bounds
 from eocube.model import GridSpec
 from eocube.operators.select import CELL
+from eocube.operators.sizing import small_side
 
 
 def concat(parts: Sequence[DataFrame]) -> DataFrame:
@@ -50,19 +51,21 @@ def mosaic(tiles: DataFrame, value: str, *, strict: bool = True) -> DataFrame:
     return merged.drop("n")
 
 
-def place_tiles(cells: DataFrame, files: DataFrame, spec: GridSpec) -> DataFrame:
-    """Cells ``(path, y_idx, x_idx, ...)`` of tiles as input of :func:`mosaic`.
+def place_tiles(open_files: Callable[[Sequence[str], bool], DataFrame], files: DataFrame, spec: GridSpec) -> DataFrame:
+    """The cells of a catalogue's files as input of :func:`mosaic`; only these files are opened.
 
     A tile's first row and column on the mosaic grid follow from the box that its
-    name stands for; cells of files that the catalogue does not list go.
+    name stands for: one row per file, which is known here and stays beside the cells.
     """
     box = tile_bounds(F.col("tile_name"), abs(spec.dx))
     offsets = files.select(
-        "path",
+        "file",
         F.round((box["y0"] - spec.y0) / spec.dy).cast("bigint").alias("tile_y"),
         F.round((box["x0"] - spec.x0) / spec.dx).cast("bigint").alias("tile_x"),
-    )
-    return cells.join(offsets, "path").drop("path")
+    ).collect()
+    listed = files.sparkSession.createDataFrame(offsets, "file string, tile_y bigint, tile_x bigint")
+    cells = open_files([r.file for r in offsets], True)
+    return cells.join(small_side(listed, len(offsets)), "file").drop("file")
 
 
 def meshgrid(spark: SparkSession, ny: int, nx: int) -> DataFrame:

@@ -83,6 +83,11 @@ def bbox_slice(df: DataFrame, spec: GridSpec, extent: Extent) -> tuple[DataFrame
     return inside.withColumns(moved) if moved else inside, spec.window(*window)
 
 
+def crop(spec: GridSpec, extent: Extent) -> GridSpec:
+    """The grid that a crop by a box leaves."""
+    return spec.window(*spec.index_window(_on(spec, extent)))
+
+
 def clip_box(df: DataFrame, spec: GridSpec, extent: Extent) -> tuple[DataFrame, GridSpec]:
     """Crop by a box that may be given in another reference system; cells and the cropped grid."""
     return bbox_slice(df, spec, _on(spec, extent))

@@ -18,6 +18,7 @@ from eocube.operators.regrid import reproject
 from eocube.operators.resample import resample_time
 from eocube.operators.select import bbox_slice, block_steps, clip_box, native_resolution, time_slice, valid_location
 from eocube.operators.swath import resample_points
+from eocube.sources.archive import Opener
 from eocube.sources.store import materialize
 
 # The swath's target area, search radius and final crop.
@@ -107,14 +108,13 @@ def restructure_ragged(
 
 
 def restructure_landcover(
-    cells: DataFrame, files: DataFrame, spec: GridSpec, catchment: DataFrame, value: str = "corine_lc"
+    open_files: Opener, files: DataFrame, spec: GridSpec, catchment: DataFrame, value: str = "corine_lc"
 ) -> tuple[DataFrame, GridSpec]:
-    """Place the catalogue's tiles, mosaic, mask to the catchment, keep, reproject to longitude and latitude.
+    """Open and place the catalogue's tiles, mosaic, mask to the catchment, keep, reproject to longitude and latitude.
 
-    ``cells`` holds the cells of all files keyed by ``path``; ``files`` is the
-    catalogue of either product; ``catchment`` is in the system of the tiles.
+    ``files`` is the catalogue of either product; ``catchment`` is in the system of the tiles.
     """
-    masked = clip_polygon(mosaic(place_tiles(cells, files, spec), value), spec, catchment, [value])
+    masked = clip_polygon(mosaic(place_tiles(open_files, files, spec), value), spec, catchment, [value])
     return reproject(materialize(masked, "landcover"), spec, LONLAT, [value])
 
 

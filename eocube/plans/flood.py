@@ -18,30 +18,34 @@ from eocube.operators.overlay import OVERLAY_CLASSES, class_label, overlay_flood
 from eocube.operators.reduce import coarsen, composite_max
 from eocube.operators.regrid import regrid, reproject
 from eocube.operators.running import accumulate
-from eocube.operators.select import bbox_slice, block_steps, clip_box, day_select, native_resolution, time_slice
-from eocube.operators.tiles import sorted_tiles, tile_semi_join
+from eocube.operators.select import bbox_slice, block_steps, clip_box, crop, day_select, native_resolution, time_slice
+from eocube.operators.tiles import tile_semi_join
+from eocube.sources.archive import Opener, meeting
 from eocube.sources.catalog import with_attrs
 
 
 def flood_scene(
     files: DataFrame,
     tiles: DataFrame,
-    pixels: DataFrame,
+    open_files: Opener,
     spec: GridSpec,
     extent: Extent,
     start: dt.date,
     end: dt.date | None = None,
 ) -> tuple[DataFrame, GridSpec]:
-    """Scene of one day, or of several: pick files by day and tile, crop, take the maximum.
+    """Scene of one day, or of several: pick files by day and tile, open them, crop, take the maximum.
 
-    Tiles are picked by the extent moved into each grid; their sorted names are an
-    attribute of the scene. ``pixels`` holds the cells of all files keyed by ``path``;
-    the grid returned is that of the crop.
+    ``files`` is a catalogue of the archive or its manifest, whose bounds then leave out files
+    beside the crop.  Tiles are picked by the extent moved into each grid; their sorted names are
+    an attribute of the scene.  Choosing is a job over the catalogue while the plan is made, as
+    the plan names the files it reads; the grid returned is that of the crop.
     """
+    cut = crop(spec, extent)
     chosen = tile_semi_join(day_select(files, start, end, "day"), tiles, extent)
-    names = {r.grid_name: list(r.tiles) for r in sorted_tiles(chosen).collect()}
-    stacked = pixels.join(chosen.select("path"), "path", "left_semi")
-    cells, cut = clip_box(stacked, spec, extent)
+    picked = chosen.select("grid_name", "tile_name", "file").collect()
+    names = {g: sorted({r.tile_name for r in picked if r.grid_name == g}) for g in sorted({r.grid_name for r in picked})}
+    near = picked if "y_from" not in files.columns else meeting(chosen, spec, cut).select("file").collect()
+    cells, cut = clip_box(open_files([r.file for r in near], False), spec, extent)
     return with_attrs(composite_max(cells, "flood"), "flood", {"tiles": names}), cut
 
 
@@ -57,11 +61,11 @@ def restructure_built(built: DataFrame, spec: GridSpec, extent: Extent, crs: str
 
 
 def restructure_dem(
-    cells: DataFrame, files: DataFrame, spec: GridSpec, crs: str, k: int | None = None
+    open_files: Opener, files: DataFrame, spec: GridSpec, crs: str, k: int | None = None
 ) -> tuple[DataFrame, GridSpec]:
-    """Place the catalogue's tiles, mosaic, exact block mean, reproject, pack to 16 bits; cells are keyed by ``path``."""
+    """Open and place the catalogue's tiles, mosaic, exact block mean, reproject, pack to 16 bits."""
     k = k or block_steps(native_resolution("dem"))
-    means, coarse = coarsen(mosaic(place_tiles(cells, files, spec), "dem"), spec, k, "mean", "dem", boundary="exact")
+    means, coarse = coarsen(mosaic(place_tiles(open_files, files, spec), "dem"), spec, k, "mean", "dem", boundary="exact")
     cells, dst = reproject(means, coarse, crs, ["dem"])
     return cells.withColumn("dem", encode_int16(F.col("dem"))), dst
 
