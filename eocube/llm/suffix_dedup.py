@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eocube.llm.spans import Hasher, U, mix, pieces
-from eocube.llm.tables import written
+from eocube.llm.tables import numbered, written
 
 LENGTH = 200
 GRAM = 32
@@ -293,6 +293,30 @@ def repeated_ranges(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM)
     return marks.unionByName(few).unionByName(crowded)
 
 
+def merge_marks(marks: DataFrame) -> DataFrame:
+    """Overlapping and touching ranges of a row joined, as the sorted marks stream by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, 3), np.int64)  # the range that may go on
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            row, start, end = np.concatenate([held.T, np.stack([b.column(c).to_numpy() for c in ("row", "start", "end")])], axis=1)
+            of = np.cumsum(np.r_[0, row[1:] != row[:-1]])
+            # a reach per row: each row's ends lie above all of the rows before it
+            base = of * (int(end.max()) + 1)
+            reach = np.maximum.accumulate(end + base) - base
+            first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] > reach[:-1])])
+            done = np.stack([row[first], start[first], reach[np.append(first[1:], len(row)) - 1]], axis=1)
+            held = done[-1:]
+            if len(done) > 1:
+                yield pa.record_batch([pa.array(x) for x in done[:-1].T], names=["row", "start", "end"])
+        if len(held):
+            yield pa.record_batch([pa.array(x) for x in held.T], names=["row", "start", "end"])
+
+    return marks.repartition("row").sortWithinPartitions("row", "start").mapInArrow(run, MARKS)
+
+
 REMOVED = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<bigint>"
 
 
@@ -303,14 +327,13 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
     ``length`` bytes that also starts anywhere else goes, matches never cross texts;
     ``spans`` holds start and end of every maximal removed run. Rows are texts of their own,
     also equal ones and those without id; an empty table stays empty. Other columns are
-    ignored. The texts are numbered and written once, since a plan that numbers rows where it
-    reads them numbers them otherwise when the cores, and with them the splits, change.
+    ignored. Rows keep their numbers when the cores, and with them the splits, change between
+    the passes (:func:`eocube.llm.tables.numbered`).
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
-    rows = written(numbered, "texts")
+    rows = numbered(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text")))
     marks = repeated_ranges(rows, length=length, gram=gram)
-    per_row = marks.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
+    per_row = merge_marks(marks).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("marks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eocube.sources.store import workspace
@@ -29,6 +30,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Files whose numbers go to every task; with more, the rows are written with their numbers instead.
+NUMBERED_FILES = 100_000
+
+
+def numbered(rows: DataFrame, name: str = "row") -> DataFrame:
+    """The rows with a number each that stays the same whenever, and by whatever splits, they are read.
+
+    Rows that come straight from files are numbered by file and place in it, and are not
+    written; all others are written once with their numbers.
+    """
+    try:
+        files = rows.select(F.col("_metadata.file_path").alias("_file")).distinct()
+        count = files.count()
+    except AnalysisException:
+        count = None
+    if not count or count > NUMBERED_FILES:
+        return written(rows.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    known = written(files.select("_file", F.row_number().over(Window.orderBy("_file")).cast("bigint").alias("_no")), "files")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    number = F.shiftleft(F.col("_no"), 40).bitwiseOR(F.col("_index"))
+    return placed.join(F.broadcast(known), "_file").withColumn(name, number).drop("_file", "_no", "_index")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the table doesn't have."""
     taken = {c.lower() for c in df.columns}
