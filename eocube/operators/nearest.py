@@ -1,18 +1,26 @@
 """Nearest-in-time lookup and positions on a time axis.
 
-A sorted axis cuts the time line into stretches, one per label: from half way
-to its predecessor up to half way to its successor.  The lookup is then an
-equi-join on time buckets with a range condition, one match per row, and never
-compares a row with the whole axis.
+The lookup is an as-of merge of the distinct times of the rows with the labels of the axis.
+Both are cut into the same ranges of time, of about as many times each; inside a range running
+windows in either direction give the label before and the label after a time, and the ranges
+hand their first and last labels on to their neighbours.  The rows then take the label of their
+time by an equi-join: every row once, however the labels or the rows crowd.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from eocube.functions.calendar import epoch_micros
 from eocube.operators.sizing import small_side
+from eocube.sources.store import materialize
+
+#: Times of one range of the merge, about.
+RANGE_TIMES = 200_000
 
 
 def time_axis(df: DataFrame, time: str = "time") -> DataFrame:
@@ -25,59 +33,78 @@ def step_dates(df: DataFrame, time: str = "time") -> DataFrame:
     return df.select(F.to_date(time).alias("day")).distinct().orderBy("day")
 
 
-def axis_positions(axis: DataFrame, time: str = "time", to: str = "step") -> DataFrame:
-    """Zero-based position of each label; an axis is small, cells never pass here."""
-    return axis.select(time).distinct().withColumn(to, F.row_number().over(Window.orderBy(time)) - 1)
+def _ranges(times: DataFrame, count: int) -> tuple[Column, int]:
+    """The range of ``_micros`` that each of ``count`` times belongs to, and how many ranges there are."""
+    n = -(-count // RANGE_TIMES)
+    if n <= 1:
+        return F.lit(0), 1
+    cuts = times.agg(F.percentile_approx("_micros", [i / n for i in range(1, n)], 100 * n)).first()[0]
+    cuts = sorted(set(cuts))
+    return F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c <= F.col("_micros"))), len(cuts) + 1
 
 
-def nearest_label(
-    df: DataFrame, axis: DataFrame, *, time: str = "time", label: str = "label", listed: int | None = None
-) -> DataFrame:
+def _by_range(values: list, part: Column) -> Column:
+    """One of a few numbers, by the range."""
+    return F.element_at(F.lit(values).cast("array<bigint>"), part + 1)
+
+
+def axis_positions(axis: DataFrame, time: str = "time", to: str = "step") -> DataFrame:
+    """Zero-based position of each label: its place in its range of time, behind the ranges before."""
+    labels = materialize(axis.select(time, epoch_micros(F.col(time)).alias("_micros")).distinct(), "axis")
+    part, n = _ranges(labels, labels.count())
+    placed = labels.withColumn("_range", part)
+    sizes = dict.fromkeys(range(n), 0)
+    if n > 1:
+        sizes |= {r["_range"]: r["count"] for r in placed.groupBy("_range").count().collect()}
+    before = [0, *accumulate(sizes[i] for i in range(n))][:n]
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.col("_micros").asc_nulls_first())) - 1
+    return placed.select(time, (place + _by_range(before, F.col("_range"))).cast("int").alias(to))
+
+
+def _nearest_of(times: DataFrame, n: int, part: Column, label: str) -> DataFrame:
+    """``(_micros, label)`` of every time of ``(_micros, _label)``, where ``_label`` is null beside the labels."""
+    ranged = times.withColumn("_range", part)
+    upward = Window.partitionBy("_range").orderBy("_micros").rowsBetween(Window.unboundedPreceding, 0)
+    downward = Window.partitionBy("_range").orderBy(F.desc("_micros")).rowsBetween(Window.unboundedPreceding, 0)
+    before, after = F.last("_label", ignorenulls=True).over(upward), F.last("_label", ignorenulls=True).over(downward)
+    if n > 1:
+        # one row per range comes here: the first and the last label of each
+        kind = times.schema["_label"].dataType
+        edges = {r["_range"]: (r["lo"], r["hi"]) for r in ranged.groupBy("_range").agg(F.min("_label").alias("lo"), F.max("_label").alias("hi")).collect()}
+        first, last = ([edges.get(i, (None, None))[k] for i in range(n)] for k in (0, 1))
+        behind, ahead = [None] * n, [None] * n
+        for i in range(1, n):
+            behind[i] = last[i - 1] if last[i - 1] is not None else behind[i - 1]
+        for i in range(n - 2, -1, -1):
+            ahead[i] = first[i + 1] if first[i + 1] is not None else ahead[i + 1]
+        schema = StructType([StructField("_range", IntegerType()), StructField("_behind", kind), StructField("_ahead", kind)])
+        handed = times.sparkSession.createDataFrame(list(zip(range(n), behind, ahead)), schema)
+        ranged = ranged.join(small_side(handed, n), "_range")
+        before, after = F.coalesce(before, F.col("_behind")), F.coalesce(after, F.col("_ahead"))
+    near = ranged.select("_micros", before.alias("_before"), after.alias("_after"))
+    early, late = F.col("_micros") - epoch_micros(F.col("_before")), epoch_micros(F.col("_after")) - F.col("_micros")
+    # ties go to the later
+    return near.select("_micros", F.when(late.isNull() | (early < late), F.col("_before")).otherwise(F.col("_after")).alias(label))
+
+
+def nearest_label(df: DataFrame, axis: DataFrame, *, time: str = "time", label: str = "label") -> DataFrame:
     """Add to every row the axis label nearest to its time; ties go to the later.
 
-    A stretch is listed in the time buckets of a width that fits its own length,
-    the next power of two, so it lies in two buckets at most, and a bucket holds
-    three stretches of its width at most however much the labels crowd.  A row
-    looks into one bucket of every width that some stretch has.  ``listed`` is an
-    upper bound on the listed stretches; where it is known and small they are
-    broadcast and the rows stay in place.  A row without time gets no label.
+    The distinct times are written once, with the labels among them.  A row without time gets no
+    label; with an empty axis only such rows are left.
     """
     axis_label = axis.columns[0]
-    order = Window.orderBy("_at")
-    at = axis.select(F.col(axis_label).alias(label), epoch_micros(F.col(axis_label)).alias("_at")).where("_at is not null").distinct()
-    neighbours = at.withColumns(
-        {
-            # Twice the midpoint keeps the comparison in whole microseconds.
-            "_from": F.lag("_at").over(order) + F.col("_at"),
-            "_to": F.lead("_at").over(order) + F.col("_at"),
-        }
-    )
-    start = F.floor(F.coalesce(F.col("_from") / 2, F.col("_at"))).cast("bigint")
-    end = F.ceil(F.coalesce(F.col("_to") / 2, F.col("_at"))).cast("bigint")
-    sized = neighbours.withColumns({"_start": start, "_end": end}).withColumn(
-        "_width", F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("_end") - F.col("_start"), F.lit(1))))).cast("bigint")
-    )
-    # Earlier and later rows are looked up at the first and the last label.
-    ends = sized.agg(
-        F.struct(F.min("_at").alias("lo"), F.max("_at").alias("hi"), F.collect_set("_width").alias("widths"))
-    ).scalar()
-    within = F.greatest(ends["lo"], F.least(ends["hi"], F.col("_micros")))
-    bucket = lambda micros: F.floor((micros - ends["lo"]) / F.col("_width"))
-    stretches = sized.select(
-        label, "_from", "_to", "_width", F.explode(F.sequence(bucket(F.col("_start")), bucket(F.col("_end")))).alias("_bucket")
-    )
-    if listed is not None:
-        stretches = small_side(stretches, listed)
-    timed = df.where(F.col(time).isNotNull()).withColumn("_micros", epoch_micros(F.col(time))).withColumn("_width", F.explode(ends["widths"]))
-    timed = timed.withColumn("_bucket", bucket(within))
-    twice = F.col("_micros") * 2
-    hit = (F.col("_from").isNull() | (twice >= F.col("_from"))) & (F.col("_to").isNull() | (twice < F.col("_to")))
-    found = timed.alias("l").join(
-        stretches.alias("r"),
-        (F.col("l._width") == F.col("r._width")) & (F.col("l._bucket") == F.col("r._bucket")) & hit,
-    )
-    found = found.select(*(F.col(f"l.{c}") for c in df.columns), F.col(f"r.{label}"))
-    unlabelled = df.where(F.col(time).isNull()).withColumn(label, F.lit(None).cast(axis.schema[axis_label].dataType))
+    labels = axis.select(F.col(axis_label).alias("_label")).where("_label is not null")
+    kind = labels.schema["_label"].dataType
+    asked = df.select(epoch_micros(F.col(time)).alias("_micros"), F.lit(None).cast(kind).alias("_label")).where("_micros is not null")
+    both = labels.select(epoch_micros(F.col("_label")).alias("_micros"), "_label").unionByName(asked)
+    times = materialize(both.groupBy("_micros").agg(F.max("_label").alias("_label")), "times")
+    count = times.count()
+    part, n = _ranges(times, count)
+    nearest = _nearest_of(times, n, part, label).where(F.col(label).isNotNull())
+    timed = df.where(F.col(time).isNotNull()).withColumn("_micros", epoch_micros(F.col(time)))
+    found = timed.join(small_side(nearest, count), "_micros").select(*df.columns, label)
+    unlabelled = df.where(F.col(time).isNull()).withColumn(label, F.lit(None).cast(kind))
     return found.unionByName(unlabelled) if df.schema[time].nullable else found
 
 
@@ -100,7 +127,8 @@ def first_step(cube: DataFrame, time: str = "time") -> DataFrame:
 def nth_step(cube: DataFrame, n: int, time: str = "time", axis: DataFrame | None = None) -> DataFrame:
     """The cube at the n-th label of its time axis, counted from 0."""
     axis = time_axis(cube, time) if axis is None else axis
-    at = axis_positions(axis, time).where(F.col("step") == n).select(time)
+    first = axis.select(time).distinct().orderBy(time).limit(n + 1)
+    at = first.agg(F.when(F.count(F.lit(1)) == n + 1, F.max(time)).alias(time))
     return cube.where(F.col(time) == at.scalar())
 
 

@@ -101,14 +101,14 @@ def align_to_axis(
     ``locations`` lists the locations wanted, also those without observations;
     ``order`` are its columns that say which of equally long series is the first.
     The axis is cut to whole minutes, which bounds its length by the calendar;
-    it is written and measured before the observations are matched with it.
+    it is written before the observations are matched with it.
     The result lists filled slots; ``dense`` adds the unfilled ones as missing.
     """
     lengths = series_length(obs, location, locations=locations, order=order)
     longest = longest_series(lengths, location, order=order).select(location).scalar()
     minutes = obs.where(F.col(location) == longest).select(to_minute(F.col(time)).alias("label"))
     axis = materialize(minutes.distinct(), "axis")
-    snapped = nearest_label(obs, axis, time=time, label="label", listed=3 * axis.count())
+    snapped = nearest_label(obs, axis, time=time, label="label")
     slots = last_write_wins(snapped, value, location, "label", position=position)
     slots = slots.withColumnRenamed("label", time)
     if not dense:

@@ -162,6 +162,35 @@ def hourly(spark, days, value=1.0):
     return spark.createDataFrame(rows, "day date, step int, y_idx long, x_idx long, tp double")
 
 
+@pytest.mark.parametrize("in_a_range", [200_000, 7, 1])
+def test_nearest_of_crowded_labels(spark, monkeypatch, in_a_range):
+    """Labels and rows at all distances, many at one time, against a comparison with every label."""
+    monkeypatch.setattr(nearest, "RANGE_TIMES", in_a_range)
+    rng = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    at = lambda: base + dt.timedelta(microseconds=rng.choice([rng.randrange(50), rng.randrange(10**6), rng.randrange(10**12)]))
+    labels = sorted({at() for _ in range(60)})
+    times = [at() for _ in range(80)] + [base] * 40 + [labels[5]] * 3 + [base - dt.timedelta(days=9), base + dt.timedelta(days=900)]
+    df = spark.createDataFrame(list(enumerate(times)), "id long, time timestamp_ntz").repartition(3)
+    axis = spark.createDataFrame([(x,) for x in labels], "time timestamp_ntz")
+    got = sorted((r.id, r.label) for r in nearest.nearest_label(df, axis).collect())
+    want = [(i, min(labels, key=lambda x: (abs(x - t), -x.toordinal(), -(x - base)))) for i, t in enumerate(times)]
+    assert got == want
+    placed = {r.time: r.step for r in nearest.axis_positions(axis.union(axis)).collect()}
+    assert placed == {x: i for i, x in enumerate(labels)}
+    found = nearest.first_index_of(axis, df.withColumnRenamed("time", "request")).collect()
+    assert sorted((r.id, r["index"]) for r in found) == [(i, labels.index(x)) for i, x in want]
+
+
+def test_each_row_is_joined_once(spark):
+    """No row is copied, and no window runs without partition."""
+    df = spark.range(1000).selectExpr("id", "timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,id) as time")
+    axis = df.where("id % 7 = 0").select("time")
+    plan = nearest.nearest_label(df, axis)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Window [" in plan and ", [_micros" in plan
+    assert nearest.nearest_label(df, axis).count() == 1000
+
+
 def test_store_fills_only_uncovered_days(spark, tmp_path):
     root = str(tmp_path / "store")
     box = Extent(0, 0, 2, 2)
