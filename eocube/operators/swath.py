@@ -9,15 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eocube.functions.geodesy import EARTH_RADIUS_M, haversine
-from eocube.functions.projection import DEG, LONLAT, WEB_MERCATOR, WGS84_RADIUS, is_azimuthal, project
+from eocube.functions.projection import DEG, LONLAT, WEB_MERCATOR, WGS84_RADIUS, project
 from eocube.model import GridSpec
 from eocube.operators.sizing import small_side
 
-#: How much longer than on the ground a distance may look on the azimuthal map,
-#: up to 66 degrees from its centre.
-STRETCH = 1.25
-
-
 def _reach(one: Column, two: Column, n: int) -> Column:
     """Indices of target cells whose centre may lie between two positions."""
     lo = F.greatest(F.lit(0), F.ceil(F.least(one, two) - 0.5 - 1e-6))
@@ -32,14 +27,6 @@ def _offers(places: DataFrame, dst: GridSpec, radius: float) -> DataFrame:
     mercator keeps it a box; where it crosses the date line it is listed again
     a world's width to either side, and around a pole it spans all longitudes.
     """
-    if is_azimuthal(dst.crs):
-        near = radius * STRETCH
-        placed = project(places, F.col("lon"), F.col("lat"), LONLAT, dst.crs, ("x", "y"))
-        return placed.withColumns(
-            {"x_lo": F.col("x") - near, "x_hi": F.col("x") + near, "y_lo": F.col("y") - near, "y_hi": F.col("y") + near}
-        )
-    if dst.crs not in (LONLAT, WEB_MERCATOR):
-        raise ValueError(f"the reach of a point is not known in {dst.crs!r}")
     angle = radius / EARTH_RADIUS_M
     south, north = F.col("lat") - angle / DEG, F.col("lat") + angle / DEG
     pole = (south <= -90) | (north >= 90)
@@ -59,6 +46,43 @@ def _offers(places: DataFrame, dst: GridSpec, radius: float) -> DataFrame:
     return boxes.withColumns({"x_lo": F.col("x_lo") * scale, "x_hi": F.col("x_hi") * scale, "y_lo": edge("y_lo"), "y_hi": edge("y_hi")})
 
 
+def _offered_in_boxes(places: DataFrame, dst: GridSpec, radius: float) -> DataFrame:
+    """Places beside the target cells of their boxes, for maps on which the reach is a box."""
+    offered = (
+        _offers(places, dst, radius)
+        .withColumn("x_idx", F.explode(_reach(dst.pixel_x(F.col("x_lo")), dst.pixel_x(F.col("x_hi")), dst.nx)))
+        .withColumn("y_idx", F.explode(_reach(dst.pixel_y(F.col("y_lo")), dst.pixel_y(F.col("y_hi")), dst.ny)))
+    )
+    centre = dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx"))
+    return project(offered, *centre, dst.crs, LONLAT, ("cell_lon", "cell_lat"))
+
+
+def _space(lon: str, lat: str) -> dict[str, Column]:
+    """A position as a unit vector."""
+    level = F.cos(F.col(lat) * DEG)
+    return {"u": level * F.cos(F.col(lon) * DEG), "v": level * F.sin(F.col(lon) * DEG), "w": F.sin(F.col(lat) * DEG)}
+
+
+def _offered_in_space(places: DataFrame, dst: GridSpec, radius: float) -> DataFrame:
+    """Places beside the target cells near them in space, for any map.
+
+    Cells and places are unit vectors, so that the reach is a chord whatever the map does to
+    distances, poles and the date line.  Space is cut into cubes of two chords; a cell lies in one
+    of them, a place reaches into one or two along each axis, and cube by cube they meet.
+    """
+    chord = 2 * math.sin(min(radius / EARTH_RADIUS_M, math.pi) / 2) * (1 + 1e-9) + 1e-12
+    size = 2 * chord
+    spine = dst.spine(places.sparkSession)
+    cells = project(spine, dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx")), dst.crs, LONLAT, ("cell_lon", "cell_lat"))
+    cells = cells.where(F.col("cell_lon").isNotNull() & F.col("cell_lat").isNotNull()).withColumns(_space("cell_lon", "cell_lat"))
+    cells = cells.withColumns({f"cube_{c}": F.floor(F.col(c) / size) for c in "uvw"}).drop(*"uvw")
+    reaching = places.withColumns(_space("lon", "lat"))
+    for c in "uvw":
+        cubes = F.sequence(F.floor((F.col(c) - chord) / size), F.floor((F.col(c) + chord) / size))
+        reaching = reaching.withColumn(f"cube_{c}", F.explode(cubes))
+    return reaching.drop(*"uvw").join(small_side(cells, dst.cells), [f"cube_{c}" for c in "uvw"])
+
+
 def nearest_points(
     points: DataFrame,
     dst: GridSpec,
@@ -70,26 +94,18 @@ def nearest_points(
 ) -> DataFrame:
     """(y_idx, x_idx, point, distance): the nearest point of each target cell.
 
-    Each point offers itself to the few cells within its radius and a minimum
-    per cell decides, ties to the smaller id.  The fan-out per point is fixed by
-    radius, cell size and the map's local scale, minima are taken before the shuffle, and no bucket of
-    points is ever gathered, so a crowd of points at one place costs no more
-    than the same points spread out.
+    Each point offers itself to the few cells near it and a minimum per cell decides, ties to the
+    smaller id.  On maps where a ground circle has a known box the cells follow from the box, on
+    all others points and cells meet in space.  Minima are taken before the shuffle, and points at
+    one place count as one.
     """
     places = (
         points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
         .groupBy(F.col(lon).alias("lon"), F.col(lat).alias("lat"))
         .agg(F.min(point_id).alias("point"))
     )
-    offered = (
-        _offers(places, dst, radius)
-        .withColumn("x_idx", F.explode(_reach(dst.pixel_x(F.col("x_lo")), dst.pixel_x(F.col("x_hi")), dst.nx)))
-        .withColumn("y_idx", F.explode(_reach(dst.pixel_y(F.col("y_lo")), dst.pixel_y(F.col("y_hi")), dst.ny)))
-    )
-    centre = dst.center_x(F.col("x_idx")), dst.center_y(F.col("y_idx"))
-    measured = project(offered, *centre, dst.crs, LONLAT, ("cell_lon", "cell_lat")).withColumn(
-        "distance", haversine(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))
-    )
+    offered = (_offered_in_boxes if dst.crs in (LONLAT, WEB_MERCATOR) else _offered_in_space)(places, dst, radius)
+    measured = offered.withColumn("distance", haversine(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon")))
     best = (
         measured.where(F.col("distance") <= radius)
         .groupBy("y_idx", "x_idx")

@@ -252,10 +252,25 @@ def test_equidistant_grids_go_there_and_back(name):
         project_point(0, 0, LONLAT, crs.replace("WGS84", "NAD27"))
 
 
-def test_reach_is_refused_where_it_is_unknown(spark):
-    df = spark.createDataFrame([(1, 10.0, 47.0)], "location_id long, lon double, lat double")
-    with pytest.raises(ValueError):
-        nearest_points(df, GridSpec("ESRI:54009", 0.0, 500.0, 0.0, -500.0, 5, 5), 5_000.0)
+FAR_AZIMUTHAL = "+proj=aeqd +lat_0=50 +lon_0=10 +x_0=0 +y_0=0 +datum=WGS84 +units=m"
+
+
+@pytest.mark.parametrize("crs, lon, lat, radius", [
+    ("ESRI:54009", 12.0, 46.0, 5_000.0), ("ESRI:54009", -179.9, 71.0, 20_000.0), ("ESRI:54009", 100.0, -84.0, 9_000.0),
+    (EQUIDISTANT_EU, 10.0, 45.0, 5_000.0), (FAR_AZIMUTHAL, 178.0, 49.0, 30_000.0), (FAR_AZIMUTHAL, -179.99, 48.0, 30_000.0),
+    (FAR_AZIMUTHAL, 130.0, 5.0, 12_000.0),
+])
+def test_reach_in_space_on_any_map(spark, crs, lon, lat, radius):
+    """Mollweide, an azimuthal grid 80 degrees and more from its centre, and across the date line."""
+    x, y = project_point(lon, lat, LONLAT, crs)
+    dst = GridSpec(crs, x - 15 * radius / 6, radius / 6, y + 15 * radius / 6, -radius / 6, 30, 30)
+    rng = random.Random(4)
+    wrap = lambda d: (d + 180) % 360 - 180
+    spread = radius / 111_000
+    points = [(k, wrap(lon + rng.uniform(-6, 6) * spread), max(-89.99, min(89.99, lat + rng.uniform(-3, 3) * spread))) for k in range(40)]
+    df = spark.createDataFrame(points, "location_id long, lon double, lat double")
+    got = grid(nearest_points(df, dst, radius), "location_id")
+    assert got == brute_points(points, dst, radius) and got
 
 
 def test_points_without_position_are_ignored(spark):
