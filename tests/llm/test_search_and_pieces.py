@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from test_operators import FOLDER, ODD, empty, odd, ordered, prose, rows  # noqa: F401
 
 from eocube.llm import (
-    clustering, lexical_search, near_duplicates, packing, quality, queries, sentence_pieces, suffix_dedup, token_counts,
+    clustering, decontamination, fingerprints, lexical_search, licenses, line_dedup, near_duplicates, packing, quality, queries, sentence_pieces, suffix_dedup, token_counts,
     token_files,
 )
 from eocube.llm.encode import UnitTable
@@ -232,6 +232,45 @@ def test_pieces_of_odd_rows(odd, empty):  # noqa: F811
     assert rows(sentence_pieces.piece_digests(empty, MODEL)) == []
 
 
+# 8: repeated words -------------------------------------------------------
+
+
+def found_passages(docs, items):
+    block = decontamination.Benchmark(list(range(len(items))), items)
+    return [
+        (hit[0] + i, *hit[1:])
+        for i, _, buf, offsets in decontamination.pieces(pa.array(docs, pa.string()))
+        for hit in block.passages(*decontamination.word_hashes(buf, offsets))
+    ]
+
+
+def test_repeated_words_are_one_stretch():
+    assert found_passages(["the " * 100_000], ["the " * 100]) == [(0, 0, 0, 0, 100_000, 100_000)]
+
+
+def test_passages_of_few_words_against_brute_force():
+    rng = random.Random(1)
+    for words in (2, 3, 200):
+        letters = [f"w{k}" for k in range(words)]
+        for _ in range(60):
+            items = [" ".join(rng.choices(letters, k=rng.randint(3, 30))) for _ in range(3)]
+            docs = [" ".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(4)]
+            docs.append(" ".join(w if rng.random() > 0.1 else "other" for w in (items[0] + " " + items[1]).split()))
+            got = {(d, i) for d, i, *_ in found_passages(docs, items)}
+            assert got == brute.passages(list(enumerate(docs)), list(enumerate(items)))
+
+
+def test_the_benchmark_comes_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 20)
+    items = spark.createDataFrame([(k, prose(30 + k % 5, 40)) for k in range(50)], "item_id bigint, text string")
+    texts, members = decontamination.numbered_texts(items)
+    assert texts.count() == 5 and members.count() == 50
+    assert iter(decontamination.blocks(texts)) and sum(len(b.ids) for b in decontamination.blocks(texts)) == 5
+    docs = spark.createDataFrame([(1, prose(32, 40))], "doc_id bigint, text string")
+    got = decontamination.benchmark_passages(docs, items).collect()
+    assert sorted(r.item_id for r in got) == [k for k in range(50) if k % 5 == 2]
+
+
 # hashes, numbering and rare labels ---------------------------------------
 
 
@@ -303,3 +342,54 @@ def test_rare_labels_give_a_constant_score(spark):
     scores = {r.score for r in quality.quality_scores(docs, labels).select("score").distinct().collect()}
     assert all(0 <= s <= 1 for s in scores)
     assert quality.drop_low_quality(docs, labels).count() == 6000
+
+
+# 3: a score by hand ------------------------------------------------------
+
+
+def test_scores_are_the_weighted_rules(spark):
+    """The compiled column equals the rules applied one by one to the statistics in Python."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    stats = quality.with_statistics(docs.select("doc_id", "text"))
+    model = quality.fit_rules(quality.learning_rows(stats, labels, "quality", 20_000))
+    assert model.rules
+    got = {r.doc_id: r.score for r in stats.select("doc_id", model.score().alias("score")).collect()}
+    for r in stats.select("doc_id", "text").collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        row = quality.statistics(data, np.array([0, len(data)]))[0]
+        hold = lambda rule: all((row[i] > t) == above for i, above, t in rule)
+        logit = model.intercept + sum(w for w, rule in model.rules if hold(rule))
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-logit)), rel=1e-9)
+
+
+# long texts and odd tables through everything ----------------------------
+
+
+def test_texts_beyond_a_piece(spark):
+    """Texts of more than 2 MB, one of them without white space, through every operator on documents."""
+    words = prose(77, 40_000)
+    long = [(1, words * 8), (2, "".join(words.split()) * 9), (3, words[:300])]
+    df = spark.createDataFrame(long, "doc_id bigint, text string").repartition(2)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id bigint, quality int")
+    ids = {i: brute.encode(t) for i, t in long}
+    assert {r[0]: r[2] for r in rows(token_counts.token_counts(df, brute.PATH))} == {i: len(x) for i, x in ids.items()}
+    files = token_files.write_token_files(df, token_files_folder(spark), brute.PATH, end_id=2)
+    assert {r[0]: r[3] for r in rows(token_files.read_documents(files))} == {i: brute.crc([*x, 2]) for i, x in ids.items()}
+    assert sum(r.length for r in packing.best_fit_packing(df, brute.PATH).collect()) == sum(len(x) + 1 for x in ids.values())
+    assert {r[0]: r[1] for r in rows(sentence_pieces.piece_digests(df, MODEL))} == {i: len(LIBRARY.encode(t)) for i, t in long}
+    removed = {r[0]: r[1:3] for r in rows(suffix_dedup.remove_repeats(df).drop("spans"))}
+    assert removed[1][0] == removed[1][1] and removed[2][0] == removed[2][1] and removed[3] == (300, 300)
+    assert all(r[3] for r in rows(near_duplicates.near_duplicates(df)))
+    assert quality.quality_scores(df, labels).count() == 3
+    assert rows(line_dedup.line_dedup(df).select("doc_id", "n_lines", "n_dropped").orderBy("doc_id")) == [(i, 1, 0) for i in (1, 2, 3)]
+    assert rows(decontamination.benchmark_passages(df, spark.createDataFrame([(9, words[:200])], "item_id bigint, text string")).select("doc_id").distinct().orderBy("doc_id")) == [(1,), (3,)]
+    assert fingerprints.fingerprints(df).count() == 3
+    assert licenses.license_matches(df, licenses.notices(spark)).count() == 0
+    found = rows(lexical_search.search(lexical_search.build_index(df), spark.createDataFrame([(1, words[:50])], "item_id bigint, text string")))
+    assert {r[2] for r in found} == {1, 3}
+
+
+def token_files_folder(spark):
+    from eocube.sources.store import workspace
+
+    return workspace(spark, "long-tokens")
