@@ -162,7 +162,8 @@ def fingerprints(docs: DataFrame, *, samples: int = SAMPLES) -> DataFrame:
     Columns: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``. A null text is empty; texts without words share one fingerprint; equal
     texts have equal fingerprints. Rows of one ``doc_id`` are each other's neighbours; a
-    single row is its own next. Other columns are ignored, an empty table stays empty.
+    single row is its own next. Other columns are ignored, an empty table stays empty. A text
+    of any length counts with all its words, which are grouped before they are sampled.
     """
     if samples % GROUP:
         raise ValueError(f"samples must be a multiple of {GROUP}")

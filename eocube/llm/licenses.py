@@ -187,7 +187,8 @@ def license_matches(docs: DataFrame, templates: DataFrame, *, percent: int = 75)
     alternatives; of different licenses the better contained one counts at a window. A template
     with fewer than five words, a null or an empty one matches nothing, as do such
     documents. Rows of ``docs`` that are equal are reported as one; null ids are reported as
-    null; other columns are ignored. Templates are broadcast when they hold at most
+    null; other columns are ignored; an empty table gives an empty result; a text of any length is
+    read in all its windows. Templates are broadcast when they hold at most
     ``BROADCAST_WORDS`` words and are joined by a shuffle of windows otherwise.
     """
     none = F.array().cast("array<string>")

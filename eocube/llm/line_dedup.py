@@ -97,7 +97,7 @@ def drop_repeated_lines(docs: DataFrame, **rule) -> DataFrame:
 
     A null or empty text is one empty line and stays as it is; repeated rows of one
     ``doc_id`` are one document, whose rows all keep or lose a line at a position
-    together; an empty table stays empty.
+    together; an empty table stays empty. Texts of any length lose lines the same way.
     """
     node, bitmap = free_name(docs, "_node"), free_name(docs, "_bitmap")
     maps = keep_bitmaps(docs.select("doc_id", "text"), **rule).select(
@@ -108,7 +108,11 @@ def drop_repeated_lines(docs: DataFrame, **rule) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, **rule) -> DataFrame:
-    """``(doc_id, n_lines, n_dropped, kept_sha256, keep_map)`` of every row of ``(doc_id, text)``."""
+    """``(doc_id, n_lines, n_dropped, kept_sha256, keep_map)`` of every row of ``(doc_id, text)``.
+
+    Null and empty texts, repeated rows and empty tables as in :func:`drop_repeated_lines`; texts
+    and lines of any length count whole, a line by the hash of its key.
+    """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     maps = keep_bitmaps(docs, **rule).withColumnRenamed("doc_id", "_line_doc")
     joined = docs.join(maps, docs["doc_id"].eqNullSafe(maps["_line_doc"]), "left")

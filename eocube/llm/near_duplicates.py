@@ -305,7 +305,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75) -> DataFrame:
     sets (``percent`` at least 75); a component is named by its smallest ``doc_id``, which
     is kept. Null and empty texts have an empty set and stand alone. Rows of one ``doc_id``
     are one document, with the links of all of them; a row without ``doc_id`` stands alone,
-    has no component and is kept. Other columns are ignored, an empty table stays empty.
+    has no component and is kept. Other columns are ignored, an empty table stays empty. Texts
+    of any length enter with all their shingles; one set is held at a time.
     """
     if percent < 75:
         raise ValueError("the bands are made for a similarity of 0.75 and more")
@@ -356,7 +357,7 @@ def drop_near_duplicates(docs: DataFrame, **rule) -> DataFrame:
     """All columns of one row per group of near duplicates, that of its smallest ``doc_id``.
 
     Of several rows of that id the one with the longest text stays, ties by the text; rows
-    without ``doc_id`` all stay.
+    without ``doc_id`` all stay, and so do null and empty texts; an empty table stays empty.
     """
     node, turn = free_name(docs, "_kept"), free_name(docs, "_turn")
     kept = near_duplicates(docs, **rule).where("kept and doc_id is not null").select(F.col("doc_id").alias(node)).distinct()

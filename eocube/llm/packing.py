@@ -229,7 +229,8 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, *, end_id: int = 0, capaci
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of every piece of ``(doc_id, text)``.
 
     Rows are packed one by one, so repeated rows and null ids keep their own pieces; an
-    empty table gives an empty result; other columns are ignored.
+    empty table gives an empty result; other columns are ignored. A null text is empty and packs
+    its end id; a long one is cut into pieces of ``capacity`` after its shorter first piece.
     """
     pieces = written(token_pieces(docs, tokenizer, end_id=end_id, capacity=capacity), "pieces")
     placed = pack(pieces, capacity=capacity, **search)

@@ -228,7 +228,9 @@ def quality_scores(
 
     At most ``max_rows`` labelled rows outside the held-out fold are learnt from; every row
     is scored by its whole text, null and empty texts by statistics of zero. A document with
-    several labels counts with the largest. Only the text enters a score.
+    several labels counts with the largest. Only the text enters a score. Repeated rows are scored
+    each, a row without id too; an empty table gives an empty result; other columns are ignored;
+    a text of any length is measured whole, one at a time beyond 2 MB.
     """
     rows = docs.select("doc_id", "text")
     stats = written(with_statistics(rows).drop("text"), "statistics")
@@ -241,7 +243,11 @@ def quality_scores(
 def drop_low_quality(
     docs: DataFrame, labels: DataFrame, *, label: str = "quality", max_rows: int = 20_000, threshold: float = 0.3
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that the classifier accepts."""
+    """The rows of ``docs``, all columns, that the classifier accepts.
+
+    Null, empty and long texts, repeated rows and rows without id as in :func:`quality_scores`;
+    without labels the constant score decides on all rows alike; an empty table stays empty.
+    """
     known = labels.where(F.col(label).isNotNull()).select("doc_id").distinct()
     learnt = with_statistics(docs.select("doc_id", "text").join(known, "doc_id", "left_semi")).drop("text")
     model = fit_rules(learning_rows(learnt, labels, label, max_rows))

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from eocube.llm.encode import UnitTable
 from eocube.llm.spans import pieces, units
+from eocube.llm.tables import written
 
 # Fixed value: the pre-token pattern of the byte-level scheme.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -242,26 +244,40 @@ def chunk_summaries(rows: DataFrame, tokenizer: str) -> DataFrame:
     return rows.mapInArrow(run, SUMMARY)
 
 
-def compose(summaries: list[tuple[bytes, int, bytes | None]], count) -> int:
-    """The token count of a text from the summaries of its chunks, in order; ``count`` counts bytes.
+Summary = tuple[bytes, int, bytes | None]
 
-    Adjacent summaries compose as ``(h1, n1, t1) (h2, n2, t2) = (h1, n1 + count(t1 h2) + n2, t2)``;
-    a chunk without a boundary is all head, and only extends its neighbour.
+
+def join_summaries(a: Summary, b: Summary, count) -> Summary:
+    """The summary of two neighbouring stretches; ``count`` counts the bytes between their boundaries.
+
+    ``(h1, n1, t1) (h2, n2, t2) = (h1, n1 + count(t1 h2) + n2, t2)``; a stretch without a
+    boundary is all head, and only extends its neighbour.
     """
-    total, open_bytes = 0, bytearray()
-    for head, inner, tail in summaries:
-        open_bytes += head
-        if tail is not None:
-            total += count(bytes(open_bytes)) + inner
-            open_bytes = bytearray(tail)
-    return total + count(bytes(open_bytes))
+    if a[2] is None:
+        return a[0] + b[0], b[1], b[2]
+    if b[2] is None:
+        return a[0], a[1], a[2] + b[0]
+    return a[0], a[1] + count(a[2] + b[0]) + b[1], b[2]
+
+
+def total(summary: Summary, count) -> int:
+    """The token count of a whole text from its summary."""
+    head, inner, tail = summary
+    return count(head) + inner + (count(tail) if tail is not None else 0)
+
+
+def compose(summaries: list[Summary], count) -> int:
+    """The token count of a text from the summaries of its chunks, in order."""
+    return total(reduce(lambda a, b: join_summaries(a, b, count), summaries), count)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, *, limit: int = 512, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` of every row of ``(doc_id, text)``.
 
     A null or empty text has no bytes and no tokens; repeated rows and null ids are
-    counted row by row; other columns are ignored; an empty table gives an empty result.
+    counted row by row; other columns are ignored; an empty table gives an empty result. Texts
+    of more than ``chunk_chars`` characters are counted in chunks; one without any white space
+    behind an ASCII or Latin character has no boundary and is counted whole in the last round.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
@@ -280,20 +296,35 @@ def token_counts(docs: DataFrame, tokenizer: str, *, limit: int = 512, chunk_cha
 
 
 def combined(found: DataFrame, tokenizer: str) -> DataFrame:
-    """One row per text from its chunk summaries; only texts of several chunks are shuffled."""
-    from eocube.llm.tables import written
+    """One row per text from its chunk summaries; only texts of several chunks are shuffled.
 
+    Neighbours are joined pairwise, round by round, so a text of ``n`` chunks takes ``log2(n)``
+    rounds and the borders of a round are counted in parallel.
+    """
     found = written(found, "token-summaries")
     single = found.where("whole").select("doc_id", "n_bytes", F.col("inner_count").alias("n_tokens"))
+    several = found.where(~F.col("whole")).drop("whole")
+    last = several.agg(F.max("chunk")).first()[0] or 0
 
-    def scan(frame: pd.DataFrame) -> pd.DataFrame:
+    def pair(frame: pd.DataFrame) -> pd.DataFrame:
         machine = transducer(tokenizer)
         count = lambda data: machine.count(data.decode("utf-8"))
-        parts = frame.sort_values("chunk")
-        summaries = [(h, n, t) for h, n, t in zip(parts["head"], parts["inner_count"].tolist(), parts["tail"])]
-        return pd.DataFrame(
-            {"doc_id": parts["doc_id"].iloc[:1], "n_bytes": [int(parts["n_bytes"].sum())], "n_tokens": [compose(summaries, count)]}
-        )
+        parts = frame.sort_values("place")
+        summaries = list(zip(parts["head"], parts["inner_count"].tolist(), parts["tail"]))
+        head, inner, tail = reduce(lambda a, b: join_summaries(a, b, count), summaries)
+        one = {"n_bytes": int(parts["n_bytes"].sum()), "head": head, "inner_count": inner, "tail": tail}
+        return parts.iloc[:1].assign(**{k: [v] for k, v in one.items()}).drop(columns="place")
+
+    for _ in range(last.bit_length()):
+        near = several.select("*", F.col("chunk").alias("place")).withColumn("chunk", F.shiftright("chunk", 1))
+        several = near.groupBy("row_id", "chunk").applyInPandas(pair, several.schema)
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(tokenizer)
+        count = lambda data: machine.count(data.decode("utf-8"))
+        for b in batches:
+            summaries = zip(*(b.column(c).to_pylist() for c in ("head", "inner_count", "tail")))
+            counts = pa.array([total(x, count) for x in summaries], pa.int64())
+            yield pa.record_batch([b.column("doc_id"), b.column("n_bytes"), counts], names=["doc_id", "n_bytes", "n_tokens"])
 
-    several = found.where(~F.col("whole")).groupBy("row_id").applyInPandas(scan, "doc_id bigint, n_bytes bigint, n_tokens bigint")
-    return single.unionByName(several)
+    return single.unionByName(several.mapInArrow(close, "doc_id bigint, n_bytes bigint, n_tokens bigint"))

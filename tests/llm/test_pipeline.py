@@ -5,7 +5,7 @@ from __future__ import annotations
 import brute
 import corpus_pipeline
 import pytest
-from test_operators import check_packing
+from test_operators import check_packing, empty, odd  # noqa: F401
 
 from eocube.llm import queries
 
@@ -49,3 +49,24 @@ def test_each_stage_decides_on_its_input(spark, stages):
 def test_run_is_the_stages_one_after_the_other(spark, stages):
     got = sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in corpus_pipeline.run(spark, FOLDER).collect())
     assert got == sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in stages[-1][1].collect())
+
+
+def through(spark, docs, root):
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, FOLDER).write.parquet(str(root / name))
+        docs = spark.read.parquet(str(root / name))
+    return docs
+
+
+def test_odd_rows_through_all_stages(spark, odd, tmp_path):  # noqa: F811
+    """Null ids and texts, repeated rows, a long text and clashing column names."""
+    packed = through(spark, odd, tmp_path)
+    kept = spark.read.parquet(str(tmp_path / "decontamination"))
+    assert kept.columns == odd.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids and len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
+    check_packing(packed.where("doc_id is not null").collect(), [(r.doc_id, r.text) for r in kept.where("doc_id is not null").collect()])
+
+
+def test_an_empty_table_through_all_stages(spark, empty, tmp_path):  # noqa: F811
+    assert through(spark, empty, tmp_path).count() == 0
