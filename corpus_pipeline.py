@@ -3,7 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again as the ``docs`` of the next one. All but the last return the columns
 of ``documents``. Null texts count as empty, an empty table passes through all stages, and
-columns of any other name are carried along unread.
+columns of any other name are carried along unread. Of repeated rows of one ``doc_id`` one is left
+by the near-duplicate stage; rows without ``doc_id`` all stay. Texts of any length go through whole.
 """
 
 from __future__ import annotations
