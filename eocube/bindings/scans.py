@@ -202,6 +202,19 @@ def grid_spine(t: Tables):
     )
 
 
+@query("grid_gaps", """
+    select d.day, count(*) - count(t.day) as missing
+    from (select distinct day from fx_tp) d
+    cross join (select i as y_idx, j as x_idx from range(100) a(i), range(60) b(j)) g
+    left join (select distinct day, y_idx, x_idx from fx_tp) t on t.day = d.day and t.y_idx = g.y_idx and t.x_idx = g.x_idx group by d.day""")
+def grid_gaps(t: Tables):
+    """How much of the cube the landed days leave open, counted by runs of columns."""
+    gaps = store.gap_runs(store.covered_runs(t.tp), RAIN, t.tp.select("day"))
+    days = t.tp.select("day").distinct()
+    counts = gaps.groupBy("day").agg(F.sum(F.col("x_to") - F.col("x_from")).alias("n"))
+    return days.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0)).cast("bigint").alias("missing"))
+
+
 @query("encode_int16", """
     select y_idx, x_idx, cast(case when round_even(dem * 100, 0) between -32768 and 32767 then round_even(dem * 100, 0) else -9999 end as bigint) as packed
     from fx_heights""")

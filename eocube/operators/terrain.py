@@ -13,12 +13,28 @@ from eocube.model import GridSpec
 AZIMUTH, ALTITUDE, VERT_EXAG = 315.0, 45.0, 0.001
 
 
+#: Cells per side of a block.
+BLOCK = 512
+
+
+def _with_halo(df: DataFrame, block: int) -> DataFrame:
+    """Cells dealt to blocks, those on a block's edge to its neighbour too; ``_own`` marks the block's own."""
+    y, x = F.col("y_idx"), F.col("x_idx")
+    home = F.struct(F.floor(y / block).alias("y"), F.floor(x / block).alias("x"), F.lit(True).alias("own"))
+    beside = lambda dy, dx: F.struct((home["y"] + dy).alias("y"), (home["x"] + dx).alias("x"), F.lit(False).alias("own"))
+    edges = ((y % block == 0, -1, 0), (y % block == block - 1, 1, 0), (x % block == 0, 0, -1), (x % block == block - 1, 0, 1))
+    homes = F.array_compact(F.array(home, *(F.when(at, beside(dy, dx)) for at, dy, dx in edges)))
+    dealt = df.withColumn("_at", F.explode(homes)).select("*", "_at.*").drop("_at")
+    dealt = dealt.withColumnsRenamed({"y": "_by", "x": "_bx", "own": "_own"})
+    return dealt.repartition("_by", "_bx")
+
+
 def _slope(z: Column, along: str, across: str, n: int) -> Column:
-    """Central difference along an index, one-sided on the raster's border.
+    """Central difference along an index inside a block, one-sided on the raster's border.
 
     A neighbour that is absent, or missing, makes the slope missing.
     """
-    w = Window.partitionBy(across).orderBy(along)
+    w = Window.partitionBy("_by", "_bx", across).orderBy(along)
     i = F.col(along)
     before = F.when(F.lag(i).over(w) == i - 1, F.lag(z).over(w))
     after = F.when(F.lead(i).over(w) == i + 1, F.lead(z).over(w))
@@ -33,17 +49,19 @@ def hillshade(
     azimuth: float = AZIMUTH,
     altitude: float = ALTITUDE,
     vert_exag: float = VERT_EXAG,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Illumination 0..1 of a surface, stretched over the raster's own range.
 
-    Windows run along single raster rows and columns.  Row indices grow
-    southwards, so the slope northwards is the negated row difference.
+    Cells are exchanged once, by blocks with a halo of their neighbours' edge cells; windows run
+    along the rows and columns inside a block.  Row indices grow southwards, so the slope northwards is the negated row difference.
     """
     z = F.col(height) * vert_exag
     a, h = math.radians(90 - azimuth), math.radians(altitude)
-    sloped = df.withColumn("_gx", _slope(z, "x_idx", "y_idx", spec.nx)).withColumn(
+    blocks = _with_halo(df.select("y_idx", "x_idx", height), block)
+    sloped = blocks.withColumn("_gx", _slope(z, "x_idx", "y_idx", spec.nx)).withColumn(
         "_gy", -_slope(z, "y_idx", "x_idx", spec.ny)
-    )
+    ).where("_own")
     gx, gy = F.col("_gx"), F.col("_gy")
     lit = (
         -gx * (math.cos(a) * math.cos(h)) - gy * (math.sin(a) * math.cos(h)) + math.sin(h)

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eocube.functions.calendar import days_between
@@ -137,6 +137,30 @@ def empty_cube(spark: SparkSession, spec: GridSpec, days: DataFrame, value: str)
     )
 
 
+def covered_runs(cells: DataFrame, day: str = "day") -> DataFrame:
+    """``(day, y_idx, x_from, x_to)``: the runs of columns that a cube's rows have, ends exclusive."""
+    once = cells.select(day, "y_idx", "x_idx").distinct()
+    place = F.row_number().over(Window.partitionBy(day, "y_idx").orderBy("x_idx"))
+    runs = once.withColumn("_run", F.col("x_idx") - place).groupBy(day, "y_idx", "_run")
+    return runs.agg(F.min("x_idx").alias("x_from"), (F.max("x_idx") + 1).alias("x_to")).drop("_run")
+
+
+def gap_runs(runs: DataFrame, spec: GridSpec, days: DataFrame, day: str = "day") -> DataFrame:
+    """``(day, y_idx, x_from, x_to)``: what runs leave of the grid on the given days.
+
+    A row per day and line of the grid and a row per run, never one per cell.
+    """
+    lines = days.select(day).distinct().withColumn("y_idx", F.explode(F.sequence(F.lit(0), F.lit(spec.ny - 1)))).select(
+        day, F.col("y_idx").cast("bigint").alias("y_idx"), F.lit(spec.nx).cast("bigint").alias("x_from"), F.lit(spec.nx).cast("bigint").alias("x_to")
+    )
+    inside = runs.where(F.col("y_idx").between(0, spec.ny - 1) & (F.col("x_from") < spec.nx) & (F.col("x_to") > 0))
+    both = lines.unionByName(inside.join(days.select(day).distinct(), day, "left_semi").select(day, "y_idx", "x_from", "x_to"))
+    order = Window.partitionBy(day, "y_idx").orderBy("x_from", F.desc("x_to"))
+    left = F.coalesce(F.lag("x_to").over(order), F.lit(0))
+    gaps = both.select(day, "y_idx", left.alias("x_from"), F.least("x_from", F.lit(spec.nx)).alias("x_to"))
+    return gaps.where("x_from < x_to")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table, or no rows before anything has been written."""
     try:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from conftest import grid
 from pyspark.errors import PySparkException
@@ -156,6 +157,14 @@ def test_hillshade_of_a_plane_is_flat(cells):
     assert len({round(v, 9) for v in grid(hillshade(df, spec(4, 5)), "shade").values()}) == 1
 
 
+@pytest.mark.parametrize("block", [1, 2, 3])
+def test_hillshade_does_not_depend_on_blocks(cells, block):
+    rng = np.random.default_rng(1)
+    rows = [[None if rng.random() < 0.1 else ... if rng.random() < 0.1 else float(rng.integers(0, 900)) for _ in range(7)] for _ in range(6)]
+    df = cells(rows, "dem")
+    assert grid(hillshade(df, spec(6, 7), block=block), "shade") == grid(hillshade(df, spec(6, 7)), "shade")
+
+
 def test_hillshade_matches_gradients(cells):
     import numpy as np
 

@@ -17,6 +17,7 @@ from eocube.operators import nearest, ragged
 from eocube.operators.resample import resample_time
 from eocube.plans import ingest
 from eocube.sources import store
+from eocube.sources.archive import land_archive
 from eocube.sources.catalog import Catalog, CellSource, attrs_of
 from eocube.sources.files import file_catalog, list_files
 from eocube.sources.tables import read_colours, read_legend
@@ -476,6 +477,52 @@ def test_geojson(spark, tmp_path):
     assert {r.poly_id for r in read_geojson(spark, str(path), Extent(8, 8, 11, 11)).collect()} == {"1/1"}
 
 
+def test_a_large_document_is_read_by_several_tasks(spark, tmp_path):
+    """Members in any order, features without polygons, texts that look like keys."""
+    ring = lambda k: [[k, 0], [k + 1, 0], [k + 1, 1], [k, 0]]
+    features = []
+    for k in range(300):
+        shapes = [
+            {"type": "Polygon", "coordinates": [ring(k)]}, {"coordinates": [[ring(k)], [ring(k + 7)]], "type": "MultiPolygon"},
+            {"type": "MultiLineString", "coordinates": [ring(k)]}, {"type": "Point", "coordinates": [1, 2]}, None,
+        ]
+        members = [("geometry", shapes[k % 5]), ("type", "Feature"), ("properties", {"name": "geometry", "{": "}", "text": "x" * (k % 90)})]
+        features.append(dict(members if k % 2 else members[::-1]))
+    path = tmp_path / "large.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    want = {}
+    for i, f in enumerate(features):
+        kind, points = (f["geometry"] or {}).get("type"), (f["geometry"] or {}).get("coordinates")
+        for j, rings in enumerate({"Polygon": [points], "MultiPolygon": points}.get(kind, [])):
+            want[f"{i}/{j}"] = [tuple(map(float, p)) for p in rings[0]]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 5_000)
+    try:
+        text = spark.read.option("lineSep", '"geometry"').text(str(path))
+        assert text.rdd.getNumPartitions() > 5
+        got = {}
+        for r in read_geojson(spark, str(path)).orderBy("poly_id", "seq").collect():
+            got.setdefault(r.poly_id, []).append((r.x, r.y))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == want
+
+
+def test_gaps_of_a_cube(spark):
+    rng = random.Random(2)
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    there = {(d, y, x) for d in days[:2] for y in range(4) for x in range(6) if rng.random() < 0.6}
+    df = spark.createDataFrame([*there, *there, (days[0], 9, 0), (dt.date(2030, 1, 1), 0, 0)], "day date, y_idx long, x_idx long")
+    axis = spark.createDataFrame([(d,) for d in days], "day date")
+    small = GridSpec(LONLAT, 0.0, 1.0, 4.0, -1.0, 6, 4)
+    gaps = store.gap_runs(store.covered_runs(df), small, axis).collect()
+    got = {(r.day, r.y_idx, x) for r in gaps for x in range(r.x_from, r.x_to)}
+    assert got == {(d, y, x) for d in days for y in range(4) for x in range(6)} - there
+    assert sum(r.x_to - r.x_from for r in gaps) == len(got)  # no cell twice
+    none = df.where("1 = 0")
+    runs = store.gap_runs(store.covered_runs(none), store.GLOBAL_GRID, axis)
+    assert runs.count() == 3 * 1801 and runs.agg(F.sum(F.col("x_to") - F.col("x_from"))).first()[0] == 3 * 6_483_600
+
+
 def test_text_tables(spark, tmp_path):
     colours = tmp_path / "c.ct"
     colours.write_text("".join(f"{i % 256} {i // 2} 7\n" for i in range(230)))
@@ -516,7 +563,7 @@ def test_flood_job(spark, tmp_path):
     # another day, a tile that does not meet the extent, another version of the archive
     rows += [(name("E033N051", 30, 0), 0, 0, 5.0), (name("E003N051", 18, 0), 0, 0, 6.0)]
     rows.append((name("E033N051", 18, 0).replace("V0M2R3", "V0M1R0"), 0, 0, 7.0))
-    spark.createDataFrame(rows, "path string, y_idx long, x_idx long, flood double").write.parquet(scenes)
+    land_archive(spark.createDataFrame(rows, "path string, y_idx long, x_idx long, flood double"), scenes, 4)
     ring = [[0, 0], [1, 0], [1, 2], [0, 2], [0, 0]]
     with open(land, "w") as f:
         json.dump({"features": [{"geometry": {"type": "Polygon", "coordinates": [ring]}}]}, f)
