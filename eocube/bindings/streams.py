@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eocube import jobs
@@ -19,6 +20,7 @@ from eocube.sources import store
 from eocube.streaming import accumulate as acc
 from eocube.streaming import steps
 from eocube.streaming.cache import fill_from_stream
+from eocube.streaming.sink import StatefulSink
 
 #: The days arrive in three deliveries; the stream runs after each.
 DELIVERIES = 3
@@ -132,25 +134,25 @@ def transformer(t: Tables):
     return rounded(t.tp.transform(ToMillimetres()), "tp")
 
 
-@query("stream_sink", "select day, y_idx, x_idx, true as wet from fx_tp where tp > 0.05e0")
+@query("stream_sink", """
+    select day, y_idx, x_idx, count(*) over (partition by y_idx, x_idx order by day) as wet_days from fx_tp where tp > 0.05e0""")
 def stream_sink(t: Tables):
-    """A user sink that keeps the wet cells of each micro-batch."""
+    """A user sink whose state is each cell's number of wet days; every delivery meets a new sink on the same folder."""
 
-    class WetCells:
-        def __init__(self, path):
-            self.path = path
-
-        def send(self, batch, batch_id):
-            wet = batch.where(F.col("tp") > 0.05).select("day", "y_idx", "x_idx")
-            wet.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-
-        def close(self):
-            return t.spark.read.parquet(self.path).drop("batch").withColumn("wet", F.lit(True))
+    def count_wet(state, batch):
+        wet = batch.where(F.col("tp") > 0.05).select("day", "y_idx", "x_idx")
+        place = F.row_number().over(Window.partitionBy("y_idx", "x_idx").orderBy("day"))
+        before = wet.join(state, ["y_idx", "x_idx"], "left").withColumn("before", F.coalesce("n", F.lit(0).cast("bigint")))
+        rows = before.select("day", "y_idx", "x_idx", (F.col("before") + place).cast("bigint").alias("wet_days"))
+        counts = wet.groupBy("y_idx", "x_idx").agg(F.count(F.lit(1)).alias("n"))
+        return state.unionByName(counts).groupBy("y_idx", "x_idx").agg(F.sum("n").alias("n")), rows
 
     root = store.workspace(t.spark, "sink")
-    steps.land_files(t.tp, f"{root}/landing", _days(t.tp))
-    stream = steps.file_stream(t.spark, f"{root}/landing", t.tp.schema)
-    return steps.run_to_sink(stream, WetCells(f"{root}/out"), f"{root}/checkpoint")
+    kept = lambda: StatefulSink(t.spark, f"{root}/out", "y_idx bigint, x_idx bigint, n bigint", count_wet)
+    for days in _parts(_days(t.tp)):
+        steps.land_files(t.tp, f"{root}/landing", days)
+        steps.run_each(kept().send, steps.file_stream(t.spark, f"{root}/landing", t.tp.schema), f"{root}/checkpoint")
+    return kept().close()
 
 
 @query("source_protocol", f"""

@@ -23,6 +23,7 @@ from eocube.sources.files import file_catalog, list_files
 from eocube.sources.tables import read_colours, read_legend
 from eocube.sources.vector import read_geojson
 from eocube.streaming import accumulate, cache, steps
+from eocube.streaming.sink import StatefulSink
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -388,6 +389,33 @@ def test_what_a_batch_reads_follows_what_arrived(spark, tmp_path):
     assert spark.read.parquet(f"{root}/cube").count() == 40
 
 
+def test_a_sink_commits_whole_batches(spark, tmp_path):
+    """A batch that fails on the way or is sent again leaves no trace; a new sink goes on."""
+    root, fail = str(tmp_path / "sink"), []
+
+    def total(state, batch):
+        after = state.unionByName(batch).groupBy("k").agg(F.sum("v").alias("v"))
+        rows = after.join(batch.select("k").distinct(), "k", "left_semi")
+        return (after if not fail else after.select("k", F.raise_error("lost").cast("bigint").alias("v"))), rows
+
+    sink = lambda: StatefulSink(spark, root, "k string, v bigint", total)
+    batch = lambda *rows: spark.createDataFrame(rows, "k string, v long")
+    kept = lambda: sorted(map(tuple, sink().close().collect()))
+    assert sink().state().count() == 0
+    with pytest.raises(ValueError):
+        sink().close()
+    sink().send(batch(("a", 1), ("b", 2)), 0)
+    fail.append(1)
+    with pytest.raises(PySparkException):
+        sink().send(batch(("a", 5)), 1)
+    fail.clear()
+    assert kept() == [("a", 1), ("b", 2)] and {r.k: r.v for r in sink().state().collect()} == {"a": 1, "b": 2}
+    for _ in range(2):
+        sink().send(batch(("a", 5)), 1)
+    sink().send(batch(("a", 99)), 0)
+    assert kept() == [("a", 1), ("a", 6), ("b", 2)] and {r.k: r.v for r in sink().state().collect()} == {"a": 6, "b": 2}
+
+
 @pytest.mark.parametrize("step, steps_a_day", [(64, 24), (-1, 24), (0, 96)])
 def test_steps_beyond_the_bits_are_an_error(spark, tmp_path, step, steps_a_day):
     day = hourly(spark, [1]).withColumn("step", F.lit(step))
