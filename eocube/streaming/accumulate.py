@@ -99,7 +99,8 @@ def running_accumulate(stream: DataFrame, *, factor: float = MM_PER_M) -> DataFr
     state store it needs.
     """
     block = [F.floor(F.col(c) / STATE_BLOCK).alias(f"block_{c[0]}") for c in ("y_idx", "x_idx")]
-    mark = F.when(F.col("y_idx").isNull(), F.col("day").cast("timestamp"))
+    # midnight of the day in UTC, whatever the session's zone
+    mark = F.when(F.col("y_idx").isNull(), F.timestamp_seconds(F.unix_date("day").cast("bigint") * (DAY_MS // 1000)))
     totals = (
         stream.withColumn("mark", mark)
         .withWatermark("mark", "0 seconds")

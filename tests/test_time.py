@@ -276,6 +276,22 @@ def test_stream_equals_batch(spark, tmp_path):
     assert spec.crs == "EPSG:3857" and fine.count() > 0
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_totals_do_not_depend_on_the_zone(spark, tmp_path, zone):
+    cells, landing, out, check = rain(spark), *(str(tmp_path / p) for p in ("in", "out", "check"))
+    days, before = [dt.date(2024, 1, d) for d in (1, 2)], spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for day in days:
+            steps.land_files(cells, landing, [day])
+            steps.mark_whole(spark, landing, cells.schema, [day])
+            total_run(spark, cells.schema, landing, out, check)
+        got = {(r.day, r.x_idx): r.tp for r in spark.read.parquet(out).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert {k[0] for k in got} == set(days) and got[days[1], 0] == 3000.0
+
+
 def test_days_cut_across_batches(spark, tmp_path):
     """80 files that each hold all ten days, 30 a batch: no day is whole before the last batch."""
     landing, out, check = (str(tmp_path / p) for p in ("in", "out", "check"))
