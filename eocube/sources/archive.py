@@ -7,8 +7,15 @@ files in the manifest and open just those, so the bytes read follow the choice a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
+import re
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +26,11 @@ from eocube.sources.store import read_or_empty
 #: Opens files by their paths and returns their cells; with ``True`` each keeps its ``path``.
 Opener = Callable[[Sequence[str], bool], DataFrame]
 BOUNDS = "y_from bigint, y_to bigint, x_from bigint, x_to bigint"
+#: Rows of a row group of a landed file.
+GROUP_ROWS = 1 << 20
+# Fixed values of partition folders: the name of a missing value, and signs that are escaped.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def one_slash(path: Column) -> Column:
@@ -38,8 +50,9 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
 
 def catalogue(spark: SparkSession, root: str, convention, levels: Sequence[str] = ()) -> DataFrame:
     """The archive's files by the fields of their names: ``path``, ``file`` and what the convention parses."""
-    names = listing(spark, root)
-    return file_catalog(names.select("path").distinct(), convention, levels).join(names, "path")
+    # a task of a listing takes few files, so an archive of many would have thousands of tasks
+    names = listing(spark, root).coalesce(spark.sparkContext.defaultParallelism)
+    return file_catalog(names, convention, levels, ["file"])
 
 
 def opener(spark: SparkSession, schema: str) -> Opener:
@@ -83,9 +96,95 @@ def meeting(files: DataFrame, spec: GridSpec, cut: GridSpec) -> DataFrame:
     return files.where(~F.coalesce(apart, F.lit(False)))
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system; fails if it exists."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place):
+        raise ValueError(f"an archive is landed in a new folder: {path} exists")
+    return files.makeQualified(place).toString()
+
+
+def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a qualified path, and the path within it."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    return pafs.FileSystem.from_uri(path)
+
+
+def _folder(scene: str | None, levels: int) -> str:
+    """The partition folders of a scene's name."""
+    parts = [None] * levels if scene is None else scene.split("/")
+    if len(parts) < levels:
+        raise ValueError(f"the path of a scene has {levels} parts: {scene}")
+    value = lambda x: _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", x) if x else NO_VALUE
+    return "/".join(f"p{i}={value(x)}" for i, x in enumerate(parts))
+
+
+class _SceneFile:
+    """One file of the archive, written beside its place and moved there when it is whole."""
+
+    def __init__(self, files: pafs.FileSystem, folder: str, name: str):
+        files.create_dir(folder, recursive=True)
+        self.files, self.path, self.made = files, f"{folder}/{name}", f"{folder}/_{uuid.uuid4().hex}"
+        self.writer: pq.ParquetWriter | None = None
+        self.held: list[pa.RecordBatch] = []
+        self.rows = 0
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.held.append(part)
+        self.rows += part.num_rows
+        if self.rows >= GROUP_ROWS:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.held:
+            group = pa.Table.from_batches(self.held)
+            self.writer = self.writer or pq.ParquetWriter(self.made, group.schema, filesystem=self.files)
+            self.writer.write_table(group, row_group_size=GROUP_ROWS)
+        self.held, self.rows = [], 0
+
+    def close(self) -> None:
+        self._flush()
+        self.writer.close()
+        if self.files.get_file_info(self.path).type != pafs.FileType.NotFound:  # of an earlier attempt
+            self.files.delete_file(self.path)
+        self.files.move(self.made, self.path)
+
+
 def land_archive(cells: DataFrame, root: str, levels: int) -> None:
-    """Write cells ``(path, …)`` as one folder per path of ``levels`` parts, as an archive that has arrived."""
-    parts = F.split(F.regexp_replace("path", "^/+", ""), "/")
-    names = [f"p{i}" for i in range(levels)]
-    placed = cells.withColumns({n: parts[i] for i, n in enumerate(names)}).drop("path")
-    placed.repartition(*names).write.partitionBy(*names).parquet(root)
+    """Write cells ``(path, …)`` as one folder per path of ``levels`` parts, as an archive that has arrived.
+
+    The cells of a path meet in one task, which writes its scenes one after the other with Arrow:
+    an archive has as many files as scenes, and Spark's own writer needs some 30 ms for each.
+    A file is named after its partition and appears when it is whole, so a repeated task replaces its files.
+    """
+    where = _qualified(cells.sparkSession, root)
+
+    def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        files, base = _filesystem(where)
+        name = f"part-{TaskContext.get().partitionId():05d}.parquet"
+        scene, out, landed, rows = None, None, 0, 0
+        for b in batches:
+            names = b.column("_scene")
+            data = b.drop_columns(["_scene"])
+            codes = pc.fill_null(names.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+            starts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), b.num_rows] if b.num_rows else []
+            for i, j in zip(starts, starts[1:]):
+                if out is None or names[i].as_py() != scene:
+                    if out is not None:
+                        out.close()
+                    scene = names[i].as_py()
+                    out = _SceneFile(files, f"{base}/{_folder(scene, levels)}", name)
+                    landed += 1
+                out.add(data.slice(i, j - i))
+            rows += b.num_rows
+        if out is not None:
+            out.close()
+        yield pa.record_batch([pa.array([landed]), pa.array([rows])], names=["files", "rows"])
+
+    scene = F.substring_index(F.regexp_replace("path", "^/+", ""), "/", levels)
+    placed = cells.withColumn("_scene", scene).drop("path").repartition("_scene").sortWithinPartitions("_scene")
+    placed.mapInArrow(land, "files bigint, rows bigint").write.parquet(f"{root}/_landed")

@@ -19,17 +19,17 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     )
 
 
-def file_catalog(paths: DataFrame, convention, levels: Sequence[str] = ()) -> DataFrame:
+def file_catalog(paths: DataFrame, convention, levels: Sequence[str] = (), also: Sequence[str] = ()) -> DataFrame:
     """Parse names by a convention and keep paths that match every level pattern.
 
     ``convention`` turns the path Column into a struct of fields, which become
-    columns (see :mod:`eocube.functions.text`).
+    columns (see :mod:`eocube.functions.text`).  Columns named in ``also`` are carried along.
     """
     keep = F.lit(True)
     for level in levels:
         keep = keep & F.col("path").rlike(f"(^|/){level}")
     fields: Column = convention(F.col("path"))
-    return paths.where(keep).select("path", fields.alias("_f")).select("path", "_f.*")
+    return paths.where(keep).select("path", *also, fields.alias("_f")).select("path", "_f.*", *also)
 
 
 def read_many(spark: SparkSession, paths: Sequence[str], band: str | None = "band") -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyarrow import fs as pafs
 from pyspark.sql import functions as F
 
 from eocube import jobs
@@ -14,6 +17,7 @@ from eocube.model import Extent, GridSpec
 from eocube.operators.combine import mosaic, place_tiles
 from eocube.operators.tiles import tile_table
 from eocube.plans.flood import flood_scene
+from eocube.sources import archive as archives
 from eocube.sources.archive import catalogue, land_archive, listing, meeting, opener, update_manifest
 
 GRID = GridSpec(LONLAT, 65.0, 1.0, 31.0, -1.0, 4, 4)
@@ -101,3 +105,49 @@ def test_the_flood_job_lists_its_folder(spark, archive, tmp_path):
     out = str(tmp_path / "out")
     jobs.flood(spark, archive, out, GRID, "65.0, 27.0, 69.0, 31.0, EPSG:4326", DAY, str(land))
     assert spark.read.parquet(out).where("flood = 0").count() > 0
+
+
+def test_many_scenes_are_landed_by_their_tasks(spark, tmp_path):
+    names = spark.range(3000).select(
+        F.when(F.col("id") % 1000 < 998, F.format_string("//V0M2R3/a=b/T%03d/S_%d.tif/more", F.col("id") % 7, F.col("id") % 1000)).alias("path"),
+        F.when(F.col("id") % 10 > 0, F.col("id")).alias("y_idx"), F.when(F.col("id") % 3 > 0, F.col("id") / 2).alias("flood"),
+    )
+    names = names.union(spark.createDataFrame([("/V0M2R3//T/x y.tif", 1, 0.5), (None, 2, None)], names.schema)).repartition(5)
+    root = str(tmp_path / "many")
+    land_archive(names, root, 4)
+    # tasks report their files: 998 names in up to 7 tiles each, one with an empty part, one missing
+    want = names.withColumn("path", F.substring_index(F.regexp_replace("path", "^/+", ""), "/", 4))
+    scenes = want.select("path").distinct().count()
+    assert tuple(spark.read.parquet(f"{root}/_landed").agg(F.sum("files"), F.sum("rows")).first()) == (scenes, 3002)
+    got = opener(spark, "y_idx bigint, flood double")([r.file for r in listing(spark, root).collect()], True)
+    assert got.select("file").distinct().count() == scenes and len(list((tmp_path / "many").rglob("part-*.parquet"))) == scenes + len(list((tmp_path / "many" / "_landed").glob("part-*.parquet")))
+    assert not list((tmp_path / "many").glob("p0=*/**/_*"))
+    assert sorted(map(str, got.select("y_idx", "flood").collect())) == sorted(map(str, names.select("y_idx", "flood").collect()))
+    folders = {r.file.split("/many/")[1].rsplit("/", 1)[0] for r in listing(spark, root).collect()}
+    assert {"p0=V0M2R3/p1=__HIVE_DEFAULT_PARTITION__/p2=T/p3=x y.tif", "/".join(f"p{i}=__HIVE_DEFAULT_PARTITION__" for i in range(4))} <= folders
+    assert "p0=V0M2R3/p1=a%3Db/p2=T000/p3=S_0.tif" in folders
+    with pytest.raises(ValueError, match="exists"):
+        land_archive(names, root, 4)
+    empty = str(tmp_path / "none")
+    land_archive(names.limit(0), empty, 4)
+    assert listing(spark, empty).count() == 0
+
+
+def test_a_scene_file_has_large_groups_and_replaces_an_earlier_attempt(tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "GROUP_ROWS", 100)
+    for attempt in (0, 1):
+        out = archives._SceneFile(pafs.LocalFileSystem(), str(tmp_path / "p0=a"), "part-00000.parquet")
+        for i in range(25):
+            out.add(pa.record_batch([pa.array([i + attempt] * 10)], names=["y_idx"]))
+        out.close()
+    found = pq.ParquetFile(tmp_path / "p0=a" / "part-00000.parquet")
+    assert found.num_row_groups == 3 and found.read()["y_idx"].to_pylist() == [i + 1 for i in range(25) for _ in range(10)]
+    assert [p.name for p in (tmp_path / "p0=a").iterdir()] == ["part-00000.parquet"]
+
+
+def test_the_catalogue_lists_an_archive_once(spark, archive):
+    files = catalogue(spark, archive, scene_name, FLOOD_LEVELS)
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("binaryFile") == 1 and "Join" not in plan and "Aggregate" not in plan
+    assert files.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert files.columns[0] == "path" and files.columns[-1] == "file"
