@@ -24,8 +24,14 @@ from eocube.llm.spans import PIECE_BYTES, pieces
 BLANK = "▁".encode()
 NORMALIZER, CHARSMAP, DUMMY_PREFIX, REMOVE_EXTRA, ESCAPE = 3, 2, 3, 4, 5
 TRAINER, SUFFIX_BLANK, DENORMALIZER = 2, 24, 5
-KEPT_UNITS = 1_000_000
+# A worker serves tasks of both steps in turn, so what it keeps counts twice per core: the units
+# that are kept, their bytes, the bytes of rows taken at a time, and the units given to the library at once.
+KEPT_UNITS = 200_000
+KEPT_BYTES = 16 << 20
+ROW_BYTES = 512 << 10
+ENCODED_UNITS = 20_000
 _models: dict[str, "PieceModel"] = {}
+_decoders: dict = {}
 
 
 def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -153,7 +159,7 @@ class PieceModel:
         sign = BLANK.decode()
         crossing = any(sign in x.lstrip(sign) for x in names)
         self.cuts = self.escape and not crossing and not (self.map and self.map.blank_inside)
-        self.table = UnitTable(KEPT_UNITS)
+        self.table = UnitTable(KEPT_UNITS, KEPT_BYTES)
         self._clear()
 
     def _clear(self) -> None:
@@ -210,17 +216,9 @@ class PieceModel:
         if emptied:
             self._clear()
         if len(new):
-            data = out.tobytes()
-            texts = [data[s:e].decode("utf-8", "replace") for s, e in zip(start[new].tolist(), end[new].tolist())]
-            ids = self.core.encode(texts, num_threads=1)
-            count = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for one in ids for x in one), np.int32, int(count.sum()))
-            width = self.size[flat].astype(np.int32)
-            where = np.cumsum(count) - count
-            for k in np.unique(np.searchsorted(where, np.flatnonzero(width < 0), side="right") - 1).tolist():
-                found = self.core.encode(texts[k], return_type="offset_mapping", return_bytes=True)
-                width[where[k] : where[k] + count[k]] = [z - a for a, z in found["offsets"]]
-            self.begin = np.concatenate([self.begin, len(self.flat) + where])
+            made = [self._look_up(out, start[part], end[part]) for part in np.split(new, range(ENCODED_UNITS, len(new), ENCODED_UNITS))]
+            flat, width, count = (np.concatenate(x) for x in zip(*made))
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
             self.flat, self.width = np.concatenate([self.flat, flat]), np.concatenate([self.width, width])
         count = self.count[numbers]
@@ -228,6 +226,19 @@ class PieceModel:
         at = np.arange(int(total[-1])) + np.repeat(self.begin[numbers] - total[:-1], count)
         return self.flat[at], np.cumsum(self.width[at]), total[np.searchsorted(start, edges)]
 
+    def _look_up(self, out: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The library's ids of units one after the other, the bytes each id stands for, and how many a unit has."""
+        texts = [out[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(start.tolist(), end.tolist())]
+        ids = self.core.encode(texts, num_threads=1)
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((x for one in ids for x in one), np.int32, int(count.sum()))
+        width = self.size[flat].astype(np.int32)
+        where = np.cumsum(count) - count
+        for k in np.unique(np.searchsorted(where, np.flatnonzero(width < 0), side="right") - 1).tolist():
+            found = self.core.encode(texts[k], return_type="offset_mapping", return_bytes=True)
+            width[where[k] : where[k] + count[k]] = [z - a for a, z in found["offsets"]]
+        return flat, width, count
+
     def stretches(self, buf: np.ndarray) -> Iterator[tuple[int, int]]:
         """A long text in stretches that begin with a blank behind another symbol."""
         at = 0
@@ -248,7 +259,7 @@ class PieceModel:
 
     def encode_batch(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Runs of rows: first row, ids, bounds of the pieces in their text (one more than ids), first id per row."""
-        for i, j, buf, offsets in pieces(column):
+        for i, j, buf, offsets in pieces(column, ROW_BYTES):
             parts = []  # stretches: row, bytes, place in the row, begins and ends its text
             for r in range(j - i):
                 text = buf[offsets[r] : offsets[r + 1]]
@@ -292,6 +303,15 @@ def piece_model(path: str) -> PieceModel:
     return _models[path]
 
 
+def decoder(path: str):
+    """One processor of the library per Python worker and file."""
+    import sentencepiece
+
+    if path not in _decoders:
+        _decoders[path] = _models[path].library if path in _models else sentencepiece.SentencePieceProcessor(model_file=path)
+    return _decoders[path]
+
+
 def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
     """``(doc_id, ids, ends)``: the piece ids of every row of ``(doc_id, text)`` and where each piece ends.
 
@@ -320,7 +340,7 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
     """The rows of ``(doc_id, ids, ends)`` with ``text``, the library's decoding of the ids; null ids are an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = piece_model(model).library
+        library = decoder(model)
         for b in batches:
             column = b.column("ids")
             for at in range(0, b.num_rows, 256):

@@ -393,3 +393,35 @@ def token_files_folder(spark):
     from eocube.sources.store import workspace
 
     return workspace(spark, "long-tokens")
+
+
+def test_memory_of_sentence_pieces_is_bounded(monkeypatch):
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    words = [bytes(w).decode() for w in letters[rng.integers(0, 26, (400_000, 9))]]
+    column = pa.array([" ".join(words[i : i + 200]) for i in range(0, len(words), 200)])
+    model = sentence_pieces.PieceModel(MODEL)
+    tracemalloc.start()
+    for _ in model.encode_batch(column):
+        assert len(model.table.keys) <= sentence_pieces.KEPT_UNITS and len(model.begin) <= sentence_pieces.KEPT_UNITS
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20, peak >> 20
+    monkeypatch.setattr(sentence_pieces, "_models", {})
+    monkeypatch.setattr(sentence_pieces, "_decoders", {})
+    assert sentence_pieces.decoder(MODEL).decode([5, 6]) == LIBRARY.decode([5, 6])
+    assert not sentence_pieces._models  # decoding needs no tables of the encoder
+
+
+def test_a_full_table_of_units_gives_the_same_pieces(monkeypatch):
+    texts = ["".join(t or "" for t in random_texts(k, 60)) for k in range(6)]
+    want = [LIBRARY.encode(t) for t in texts]
+    for name, value in (("KEPT_UNITS", 40), ("KEPT_BYTES", 500), ("ROW_BYTES", 300), ("ENCODED_UNITS", 7)):
+        monkeypatch.setattr(sentence_pieces, name, value)
+    model = sentence_pieces.PieceModel(MODEL)
+    got = {}
+    for i, ids, ends, first in model.encode_batch(pa.array(texts)):
+        got |= {i + k: ids[a:z].tolist() for k, (a, z) in enumerate(zip(first, first[1:]))}
+    assert [got[k] for k in range(len(texts))] == want
